@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from .exact_dedup import OP5_SQL, op5_exact_dedup
 from .quality_rules import op7_quality_rules
+from .simhash import op8_simhash
 from .token_counts import OP10_SQL, op10_token_counts
+from .url_filters import OP9_SQL, op9_url_filters
+from .warc import OP3_SQL, op3_warc
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op7_quality_rules": op7_quality_rules, "op10_token_counts": op10_token_counts}
-SQL = {"op5_exact_dedup": OP5_SQL, "op10_token_counts": OP10_SQL}
+QUERIES = {
+    "op3_warc": op3_warc,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_simhash": op8_simhash,
+    "op9_url_filters": op9_url_filters,
+    "op10_token_counts": op10_token_counts,
+}
+SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_token_counts": OP10_SQL}

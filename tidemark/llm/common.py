@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package where it isn't installed but reachable."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables: ``spark.checkpoint.dir``.
 

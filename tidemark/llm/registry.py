@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+from .bpe import op6_bpe
+from .common import share_code
 from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .packing import op4_packing
 from .quality_rules import op7_quality_rules
 from .simhash import op8_simhash
 from .token_counts import OP10_SQL, op10_token_counts
+from .toxicity import op2_toxicity
 from .url_filters import OP9_SQL, op9_url_filters
 from .warc import OP3_SQL, op3_warc
 
+
+def _query(f):
+    @wraps(f)
+    def run(spark, sf_dir):
+        share_code(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    "op3_warc": op3_warc,
-    "op5_exact_dedup": op5_exact_dedup,
-    "op7_quality_rules": op7_quality_rules,
-    "op8_simhash": op8_simhash,
-    "op9_url_filters": op9_url_filters,
-    "op10_token_counts": op10_token_counts,
-}
+    f.__name__: _query(f)
+    for f in (
+        op2_toxicity, op3_warc, op4_packing, op5_exact_dedup, op6_bpe, op7_quality_rules, op8_simhash, op9_url_filters, op10_token_counts,
+    )
+}
 SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_token_counts": OP10_SQL}

@@ -7,6 +7,7 @@ from functools import wraps
 from .bpe import op6_bpe
 from .common import share_code
 from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .language_model import op1_language_model
 from .packing import op4_packing
 from .quality_rules import op7_quality_rules
 from .simhash import op8_simhash
@@ -28,7 +29,8 @@ def _query(f):
 QUERIES = {
     f.__name__: _query(f)
     for f in (
-        op2_toxicity, op3_warc, op4_packing, op5_exact_dedup, op6_bpe, op7_quality_rules, op8_simhash, op9_url_filters, op10_token_counts,
+        op1_language_model, op2_toxicity, op3_warc, op4_packing, op5_exact_dedup, op6_bpe, op7_quality_rules, op8_simhash, op9_url_filters,
+        op10_token_counts,
     )
 }
 SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_token_counts": OP10_SQL}

@@ -5,7 +5,7 @@ shrunk along suffix -> registered domain -> host: each level's prior is a beta
 with the parent's posterior mean, and its strength is estimated from the data by
 moments (how much the children's rates differ beyond binomial noise).  A host is
 blocked when the lower bound of its posterior bad rate, mean minus z standard
-deviations, exceeds ``max_bad_rate``.  Hosts without outcomes have their parent's
+deviations (those of its parents included), exceeds ``max_bad_rate``.  Hosts without outcomes have their parent's
 mean as theirs.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and
@@ -90,19 +90,27 @@ def reputations(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     hosts = hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("root", F.lit(0))
-    root = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("r_mean"))
+    root = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("p_mean"), F.sum("n").alias("_n"))
+    root = root.select("p_mean", (F.col("p_mean") * (1 - F.col("p_mean")) / (F.col("_n") + 1)).alias("p_var"))
 
-    def shrunk(level: DataFrame, parents: DataFrame, on: str | None, child: str, parent: str, mean: str, name: str) -> DataFrame:
+    def shrunk(level: DataFrame, parents: DataFrame, on: str | None, child: str, parent: str) -> DataFrame:
+        """Posterior mean and variance; the parent's own variance counts by the weight of the prior."""
         joined = level.join(parents, on) if on else level.join(F.broadcast(parents))
         joined = joined.join(F.broadcast(_strength(level, child, parent, p)))
-        return joined.withColumn(name, (F.col("m") * F.col(mean) + F.col("bad")) / (F.col("m") + F.col("n")))
+        weight = F.col("m") + F.col("n")
+        joined = joined.withColumn("mean", (F.col("m") * F.col("p_mean") + F.col("bad")) / weight)
+        own = F.col("mean") * (1 - F.col("mean")) / (weight + 1)
+        return joined.withColumn("var", own + F.pow(F.col("m") / weight, 2) * F.col("p_var"))
 
-    s = shrunk(suffixes, root, None, "suffix", "root", "r_mean", "s_mean").select("suffix", "s_mean")
-    d = shrunk(domains, s, "suffix", "domain", "suffix", "s_mean", "d_mean").select("domain", "d_mean")
-    h = shrunk(hosts, d, "domain", "host", "domain", "d_mean", "bad_rate")
-    sd = F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (F.col("m") + F.col("n") + 1))
-    h = h.withColumn("bound", F.col("bad_rate") - p.z * sd)
-    return h.select("host", "pages", "n", "bad", "bad_rate", "bound", F.when(F.col("bound") > p.max_bad_rate, "block").otherwise("allow").alias("host_verdict"))
+    def as_parent(level: DataFrame, key: str) -> DataFrame:
+        return level.select(key, F.col("mean").alias("p_mean"), F.col("var").alias("p_var"))
+
+    s = shrunk(suffixes, root, None, "suffix", "root")
+    d = shrunk(domains, as_parent(s, "suffix"), "suffix", "domain", "suffix")
+    h = shrunk(hosts, as_parent(d, "domain"), "domain", "host", "domain")
+    h = h.withColumn("bound", F.col("mean") - p.z * F.sqrt("var"))
+    verdict = F.when(F.col("bound") > p.max_bad_rate, "block").otherwise("allow").alias("host_verdict")
+    return h.select("host", "pages", "n", "bad", F.col("mean").alias("bad_rate"), "bound", verdict)
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str] | None = None, p: Reputation = Reputation()) -> DataFrame:
@@ -153,7 +161,7 @@ hd AS (
   FROM h),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hd GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY 1),
-root AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0 END AS mean FROM s),
+root AS (SELECT mean, mean * (1 - mean) / (n + 1) AS var FROM (SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n) ELSE 0 END AS mean, sum(n) AS n FROM s) a),
 lv AS (
   SELECT 's' AS k, suffix AS child, 'root' AS parent, n, bad FROM s
   UNION ALL SELECT 'd', domain, suffix, n, bad FROM d
@@ -166,10 +174,13 @@ rho AS (SELECT wh.k, CASE WHEN rate * (1 - rate) = 0 OR free - (children - paren
                           ELSE (ss / (rate * (1 - rate)) - (children - parents)) / (free - (children - parents)) END AS x
         FROM wh JOIN sp ON sp.k = wh.k),
 m AS (SELECT k, 1 / greatest(1 / 1001.0, least(0.5, coalesce(x, 1 / 1001.0))) - 1 AS m FROM rho),
-sm AS (SELECT suffix, (m * mean + bad) / (m + n) AS mean FROM s, root, m WHERE k = 's'),
-dm AS (SELECT domain, (m * sm.mean + bad) / (m + n) AS mean FROM d JOIN sm ON sm.suffix = d.suffix, m WHERE k = 'd'),
-hm AS (SELECT host, n, m, (m * dm.mean + bad) / (m + n) AS mean FROM hd JOIN dm ON dm.domain = hd.domain, m WHERE k = 'h'),
-v AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (m + n + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM hm)
+sm AS (SELECT suffix, mean, mean * (1 - mean) / (m + n + 1) + power(m / (m + n), 2) * pv AS var
+       FROM (SELECT suffix, m, n, var AS pv, (m * mean + bad) / (m + n) AS mean FROM s, root, m WHERE k = 's') a),
+dm AS (SELECT domain, mean, mean * (1 - mean) / (m + n + 1) + power(m / (m + n), 2) * pv AS var
+       FROM (SELECT domain, m, n, sm.var AS pv, (m * sm.mean + bad) / (m + n) AS mean FROM d JOIN sm ON sm.suffix = d.suffix, m WHERE k = 'd') a),
+hm AS (SELECT host, mean, mean * (1 - mean) / (m + n + 1) + power(m / (m + n), 2) * pv AS var
+       FROM (SELECT host, m, n, dm.var AS pv, (m * dm.mean + bad) / (m + n) AS mean FROM hd JOIN dm ON dm.domain = hd.domain, m WHERE k = 'h') a),
+v AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(var) > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM hm)
 SELECT page_id, r.host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' ELSE coalesce(v.verdict, 'allow') END AS verdict
 FROM r LEFT JOIN v ON v.host = r.host

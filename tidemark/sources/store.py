@@ -1,0 +1,159 @@
+"""Versioned Parquet tables with one atomic commit for all of them.
+
+A table is a set of named parts, each a folder written before it is visible.  A
+commit is a small file, put in place by a rename, that names the parts of every
+table, the resource state and the run; readers follow the newest one.  A crash
+before the rename leaves the commit before it as it was.  Appending adds a part,
+and a table in buckets of a key replaces the buckets that a batch touches, so a
+small batch doesn't rewrite a large table.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MODEL_VERSION = "1"
+
+
+class Conflict(Exception):
+    """Another run has committed in between."""
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    # -- commits
+
+    def _commit_numbers(self) -> list[int]:
+        folder = self._path(f"{self.root}/_commits")
+        if not self._fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def head(self) -> dict:
+        """The newest commit: number, tables, state, run, applied fingerprints."""
+        numbers = self._commit_numbers()
+        if not numbers:
+            return {"number": 0, "tables": {}, "state": {}, "run": None, "applied": []}
+        text = "".join(r[0] for r in self.spark.read.text(f"{self.root}/_commits/{numbers[-1]:010d}.json", wholetext=True).collect())
+        return json.loads(text)
+
+    def exists(self, table: str) -> bool:
+        return table in self.head()["tables"]
+
+    def read(self, table: str, buckets: list[int] | None = None) -> DataFrame:
+        """A table, or what it has in some buckets."""
+        parts = self.head()["tables"][table]
+        wanted = None if buckets is None else {f"b{b}" for b in buckets}
+        paths = [p for name, p in parts["parts"].items() if wanted is None or name.split("/")[0] in wanted]
+        schema = T.StructType.fromJson(json.loads(parts["schema"]))
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def stage(self, table: str, df: DataFrame, append: bool = False) -> dict:
+        """Write a new version, or one more part, that nobody sees yet."""
+        name = uuid.uuid4().hex
+        path = f"{self.root}/{table}/v={name}"
+        df.write.parquet(path)
+        old = self.head()["tables"].get(table, {"parts": {}})["parts"] if append else {}
+        return {"parts": old | {f"all/{name}": path}, "schema": df.schema.json()}
+
+    def stage_buckets(self, table: str, df: DataFrame, key: str, touched: list[int], buckets: int, append: bool = False) -> dict:
+        """Rows of the touched buckets take their places, or are added to them."""
+        name = uuid.uuid4().hex
+        path = f"{self.root}/{table}/v={name}"
+        df.withColumn("_bucket", bucket_of(key, buckets)).repartition(max(1, len(touched)), "_bucket").write.partitionBy("_bucket").parquet(path)
+        old = self.head()["tables"].get(table, {"parts": {}})["parts"]
+        kept = {n: p for n, p in old.items() if append or n.split("/")[0] not in {f"b{b}" for b in touched}}
+        new = {f"b{b}/{name}": f"{path}/_bucket={b}" for b in touched if self._fs.exists(self._path(f"{path}/_bucket={b}"))}
+        return {"parts": kept | new, "schema": df.schema.json()}
+
+    def _read_staged(self, staged: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(staged["schema"]))
+        paths = list(staged["parts"].values())
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def commit(self, tables: dict[str, dict], state: dict | None = None, run: dict | None = None, fingerprint: str | None = None) -> int:
+        """Make staged versions visible together.  A rename onto an existing commit fails, so of two runs one wins."""
+        head = self.head()
+        n = head["number"] + 1
+        applied = [*head["applied"], *([fingerprint] if fingerprint else [])]
+        body = {"number": n, "tables": head["tables"] | tables, "state": head["state"] | (state or {}), "run": run, "applied": applied}
+        temp, final = self._path(f"{self.root}/_commits/.{uuid.uuid4().hex}"), self._path(f"{self.root}/_commits/{n:010d}.json")
+        out = self._fs.create(temp)
+        out.write(bytearray(json.dumps(body, default=str).encode()))
+        out.close()
+        if self._fs.exists(final) or not self._fs.rename(temp, final):
+            self._fs.delete(temp, False)
+            raise Conflict(f"commit {n} exists")
+        return n
+
+    # -- runs
+
+    def apply(self, run_id: str, tables: dict[str, DataFrame | dict], check: Callable[[dict[str, DataFrame]], None], fingerprint: str | None = None, state: dict | None = None, replay: bool = False) -> bool:
+        """Stage (unless staged already), check what was written, commit; all or nothing.
+
+        False if a batch of this fingerprint was applied before (unless it is
+        replayed).  A failure is recorded and raised; what was published stays.
+        """
+        if fingerprint and not replay and self.already_applied(fingerprint):
+            return False
+        try:
+            staged = {name: t if isinstance(t, dict) else self.stage(name, t) for name, t in tables.items()}
+            check({name: self._read_staged(t) for name, t in staged.items()})
+        except Exception as error:
+            self.record_failure(run_id, error)
+            raise
+        self.commit(staged, state, {"run_id": run_id, "status": "SUCCESS"}, fingerprint)
+        return True
+
+    def record_failure(self, run_id: str, error: Exception) -> None:
+        row = [(run_id, "FAILED", str(error)[:2000])]
+        self.spark.createDataFrame(row, "run_id string, run_status string, error_message string").write.mode("append").parquet(f"{self.root}/_failures")
+
+    def failures(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/_failures")
+
+    def already_applied(self, fingerprint: str) -> bool:
+        return fingerprint in self.head()["applied"]
+
+
+def batch_fingerprint(resources: list[str], files: list[tuple[str, int, str]]) -> str:
+    """Of the resources, each file's name, rows and digest, and the model's version."""
+    body = json.dumps([sorted(resources), sorted(files), MODEL_VERSION])
+    return hashlib.sha256(body.encode()).hexdigest()
+
+
+def append_raw(store: Store, table: str, df: DataFrame, identity: str) -> bool:
+    """Append once per identity (table, source digest, schema digest); False if it is in already."""
+    key = f"{table}:{identity}"
+    if store.already_applied(key):
+        return False
+    store.commit({table: store.stage(table, df, append=True)}, fingerprint=key)
+    return True
+
+
+def publish(store: Store, run_id: str, table: str, candidate: DataFrame, check: Callable[[DataFrame], None]) -> bool:
+    """Replace a table by a checked candidate."""
+    return store.apply(run_id, {table: candidate}, lambda written: check(written[table]))
+
+
+def verify_loaded(raw: DataFrame, expected: dict[str, int]) -> bool:
+    """Whether the rows per resource are those of the manifest; only then is a loaded batch skipped."""
+    found = {r["resource"]: r["n"] for r in raw.groupBy("resource").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return all(found.get(k, 0) == n for k, n in expected.items())

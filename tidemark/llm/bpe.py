@@ -28,6 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cache, lru_cache
 from hashlib import sha256
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 #: Pieces no token crosses: a word with the space before it, or white space.
 PIECES = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]"
 LEXICON_WORDS = 65_536
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 LONG_WORD = 1_000
 SLICE_CHARS = 2_000_000
 
@@ -78,16 +79,35 @@ class Vocabulary:
         self.byte_id = np.array([vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])], np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], order
+        self.worst = len(keys)
+        self._hash(keys)
         self.pair_ids = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.rank_of = dict(zip(keys.tolist(), range(len(keys))))
 
+    def _hash(self, keys: np.ndarray) -> None:
+        """A table with a slot's key and rank; keys that find their slot taken go to the next table."""
+        self.bits, self.tables = max(4, int(keys.size * 8).bit_length()), []
+        left = np.arange(len(keys))
+        while len(left):
+            slot = self._slot(keys[left], len(self.tables))
+            _, first = np.unique(slot, return_index=True)
+            key, rank = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, self.worst, np.int32)
+            key[slot[first]], rank[slot[first]] = keys[left[first]], left[first]
+            self.tables.append((key, rank))
+            left = np.delete(left, first)
+
+    def _slot(self, keys: np.ndarray, n: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * n)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair; a large number if it has none."""
         keys = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], len(self.pair_keys))
+        out = None
+        for n, (key, rank) in enumerate(self.tables):
+            slot = self._slot(keys, n)
+            found = np.where(key[slot] == keys, rank[slot], self.worst)
+            out = found if out is None else np.minimum(out, found)
+        return out
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """Exact merges of one long word in n log n."""
@@ -125,7 +145,7 @@ class Vocabulary:
         at = np.array([i for i, x in enumerate(out) if x is None], np.int64)
         lengths = np.array([len(words[i]) for i in at], np.int64)
         ids = self.byte_id[np.frombuffer(b"".join(words[i] for i in at), np.uint8)]
-        done_ids, done_word, worst = [], [], len(self.pair_keys)
+        done_ids, done_word, worst = [], [], self.worst
         word = np.repeat(at, lengths)
         while len(ids):
             inner = word[1:] == word[:-1]
@@ -290,6 +310,8 @@ class Encoder:
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each has."""
+        if not len(self.lexicon.keys):
+            return self.vocabulary.merge(words)
         rank = self.lexicon.rank(words)
         rest = np.flatnonzero(rank < 0)
         merged, merged_counts = self.vocabulary.merge([words[i] for i in rest])
@@ -302,17 +324,16 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces that aren't known yet."""
-        split = [self.words.findall(p) for p in pieces]
-        distinct = dict.fromkeys(w for ws in split for w in ws)
-        for i, w in enumerate(distinct):
-            distinct[w] = i
-        ids, counts = self.encode_words([w.encode() for w in distinct])
-        start = np.cumsum(counts) - counts
-        of = np.fromiter((distinct[w] for ws in split for w in ws), np.int64)
-        flat, per_word = ids[spread(start[of], counts[of])], counts[of]
-        words = np.fromiter(map(len, split), np.int64, len(split))
-        bounds = np.concatenate(([0], np.cumsum(per_word)))[np.concatenate(([0], np.cumsum(words)))]
-        self._remember(pieces, flat, np.diff(bounds))
+        # A piece of letters only, with or without a space before them, is one word.
+        whole = [p for p in pieces if p.isalpha() or p[0] == " " and p[1:].isalpha()]
+        if whole:
+            self._remember(whole, *self.encode_words([p.encode() for p in whole]))
+        mixed = [p for p in pieces if p not in self.known]
+        if mixed:
+            split = [self.words.findall(p) for p in mixed]
+            ids, counts = self.encode_words([w.encode() for w in chain.from_iterable(split)])
+            ends = np.concatenate(([0], np.cumsum([*map(len, split)])))
+            self._remember(mixed, ids, np.diff(np.concatenate(([0], np.cumsum(counts)))[ends]))
 
     def cut(self, text: str) -> list[str]:
         if self.specials and "<|" in text and self.specials.search(text):
@@ -327,14 +348,17 @@ class Encoder:
         cut = [self.cut(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [p for p in dict.fromkeys(p for c in cut for p in c) if p not in self.known]
-        if new:
-            self.learn(new)
-        out = []
-        for c in cut:
-            at = np.fromiter(map(self.known.__getitem__, c), np.int64, len(c))
-            out.append(self.ids[spread(self.start[at], self.size[at])])
-        return out
+        flat = list(chain.from_iterable(cut))
+        at = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = [flat[i] for i in missing]
+            self.learn(list(dict.fromkeys(new)))
+            at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        start, size = self.start[at], self.size[at]
+        ids = self.ids[spread(start, size)]
+        bounds = np.concatenate(([0], np.cumsum(size)))[np.cumsum([0, *map(len, cut)])]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def encode_column(self, column) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow column, some texts at a time."""

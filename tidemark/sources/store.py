@@ -157,3 +157,15 @@ def verify_loaded(raw: DataFrame, expected: dict[str, int]) -> bool:
     """Whether the rows per resource are those of the manifest; only then is a loaded batch skipped."""
     found = {r["resource"]: r["n"] for r in raw.groupBy("resource").agg(F.count(F.lit(1)).alias("n")).collect()}
     return all(found.get(k, 0) == n for k, n in expected.items())
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``; a temporary one only where the session names none."""
+    import tempfile
+
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        sc.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/tidemark-store/{label}-{uuid.uuid4().hex}"

@@ -79,3 +79,24 @@ def join_grouped(left: DataFrame, groups: DataFrame, key: str, size: str, rows:
     in_hot = left.join(hot, key)
     in_cold = left.join(hot.select(key), key, "left_anti").join(cold.hint("merge"), key)
     return in_hot.unionByName(in_cold)
+
+
+#: Bars of the histogram of counts in a doubling of the count.
+OCTAVE = 64
+
+
+def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows of the largest counts, at most ``limit``, with no more than those to gather.
+
+    The least count that fits comes from a histogram of at most 64 * OCTAVE bars;
+    rows of one bar are in or out together, so fewer than ``limit`` may come.
+    """
+    bar = F.floor(F.log2(count) * OCTAVE)
+    bars = df.groupBy(bar.alias("bar")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least = None
+    for value, n in sorted(((r["bar"], r["n"]) for r in bars), reverse=True):
+        limit -= n
+        if limit < 0:
+            break
+        least = value
+    return df.where(bar >= least) if least is not None else df.where(F.lit(False))

@@ -190,4 +190,50 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read_table(spark, sf_dir, "documents")).drop("text_hash")
+    df = judge(read_table(spark, sf_dir, "documents")).drop("text_hash")
+    return df.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
+
+
+def _sql(bounds: Bounds = Bounds()) -> str:
+    """The same rows in SQL, for the lists and bounds of this module."""
+    chars = [f"c{i}" for i in range(len(CLASS_COLUMNS))]
+    listed = [f"w{i}" for i in range(N_COMMON)]
+    taken, classes = [], list(CHAR_CLASSES.values())
+    for i, c in enumerate(classes):
+        taken.append(f"j{i} AS (SELECT *, length(r{i}) - length(r{i + 1}) AS c{i + 1} FROM (SELECT *, regexp_replace(r{i}, '[{c}]+', '', 'g') AS r{i + 1} FROM {f'j{i - 1}' if i else 'j'}) a)")
+    forms = lambda w: ", ".join(f"'{f}'" for f in sorted({w, w.capitalize(), w.upper()}))
+    counts = ", ".join(
+        "CASE lang " + " ".join(f"WHEN '{k}' THEN len([w FOR w IN ws IF w IN ({forms(v[i])})])" for k, v in COMMON_WORDS.items()) + f" END AS w{i}" for i in range(N_COMMON)
+    )
+    half = lambda a, b: f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+
+    def distance(p: list[str], q: list[str]) -> str:
+        return "sqrt(greatest((" + " + ".join(f"({half(a, b)}) + ({half(b, a)})" for a, b in zip(p, q, strict=True)) + ") / 2, 0))"
+
+    all_chars, rest = " + ".join(chars), "n_words - (" + " + ".join(listed) + ")"
+    p_chars, p_words = [f"(f.{c} * 1.0::DOUBLE / greatest(n_chars, 1))" for c in chars], [f"(f.{w} * 1.0::DOUBLE / greatest(n_words, 1))" for w in [*listed, "rest"]]
+    return rf"""
+WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws, [l FOR l IN string_split(x, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls FROM t),
+j AS (SELECT *, array_to_string(ws, '') AS r0, length(x) - length(array_to_string(ws, '')) AS c0 FROM w),
+{", ".join(taken)},
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w) a),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) a WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM rep) a GROUP BY 1),
+f0 AS (SELECT j.doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(r0) AS BIGINT) AS word_chars, CAST(c3 AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+       coalesce(cov.n, 0) AS n_repeat_words, {", ".join(chars[:-1])}, length(r{len(classes)}) AS {chars[-1]}, {counts}
+       FROM j{len(classes) - 1} j LEFT JOIN cov ON cov.doc_id = j.doc_id),
+f AS (SELECT *, {all_chars} AS n_chars, {rest} AS rest FROM f0),
+ref AS (SELECT lang, {", ".join(f"sum({c}) / sum({all_chars}) AS {c}" for c in chars)}, {", ".join(f"sum({w}) / sum(n_words) AS {w}" for w in [*listed, "rest"])}
+        FROM f WHERE lang IN ({", ".join(f"'{k}'" for k in COMMON_WORDS)}) AND n_words > 0 GROUP BY lang),
+d AS (SELECT f.*, f.n_words < {bounds.min_words} OR 100 * n_repeat_words > {bounds.max_repeat_percent} * n_words AS base_failed,
+      CASE WHEN ref.lang IS NOT NULL AND n_chars >= {bounds.min_chars_judged} THEN {distance(p_chars, [f"ref.{c}" for c in chars])} END AS char_distance,
+      CASE WHEN ref.lang IS NOT NULL AND n_words >= {bounds.min_words_judged} THEN {distance(p_words, [f"ref.{w}" for w in [*listed, "rest"]])} END AS word_distance
+      FROM f LEFT JOIN ref ON ref.lang = f.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(char_distance > {bounds.max_char_distance}, FALSE) AND NOT coalesce(word_distance > {bounds.max_word_distance}, FALSE) AS kept,
+       round(char_distance, 6) AS char_distance, round(word_distance, 6) AS word_distance FROM d
+"""
+
+
+OP7_SQL = _sql()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .classify import analysis_currency, cover_match, coverage_state
 from .fx import asof_rate
-from .relational import latest_by, latest_periods, missing_refs, overlap_pairs, with_previous
-from ..functions.expr import money
+from .relational import latest_by, latest_periods, missing_refs, opposite_amounts, overlap_pairs, with_previous
+from ..functions.expr import json_scalar, money
 
 
 def _metric(name: str, value: Column) -> Column:
@@ -145,3 +145,21 @@ def silver_status(runs: DataFrame, first: str) -> DataFrame:
     """Run log with fields of its JSON summary."""
     field = lambda n: F.get_json_object("summary", f"$.{n}").cast("long").alias(n)
     return runs.where(F.to_date("started_at") >= F.lit(first).cast("date")).select("run_id", "run_status", field("history_rows"), field("active_rows"), field("claim_rows"))
+
+
+def audit_raw_claims(raw: DataFrame) -> DataFrame:
+    """Claims as they came (``payload``): repeated and conflicting ids, negatives and their opposites, how a currency is missing, currencies elsewhere."""
+    scalar = lambda path: json_scalar("payload", path)
+    df = raw.select(
+        "payload", F.sha2("payload", 256).alias("hash"), scalar("$.claim_id").alias("claim_id"), scalar("$.policy_id").alias("policy_id"), scalar("$.amount.value").try_cast("decimal(19,9)").alias("amount"),
+        scalar("$.amount.currency").alias("currency"), F.get_json_object("payload", "$.amount.currency").alias("any_currency"),
+    )
+    per = df.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("hash").alias("v"))
+    ids = per.agg(F.count_if(F.col("n") > 1).alias("repeated_ids"), F.count_if(F.col("v") > 1).alias("conflicting_ids"))
+    opposite = opposite_amounts(df, ["policy_id", "currency"]).agg(F.count(F.lit(1)).alias("negative"), F.count_if(F.col("opposites") > 0).alias("negative_with_opposite"))
+    missing = df.agg(
+        F.count_if(F.col("any_currency").isNull()).alias("currency_absent"), F.count_if(F.col("any_currency").isNotNull() & F.col("currency").isNull()).alias("currency_nested"), F.count_if(F.trim("currency") == "").alias("currency_blank")
+    )
+    elsewhere = leaf_screen(json_leaves(df, "payload", ["claim_id"]), r"(?i)(currency|moneda)", r"^[A-Z]{3}$", ["claim_id"]).where("path <> 'amount.currency'")
+    facts = ids.join(opposite).join(missing).join(elsewhere.agg(F.countDistinct("claim_id").alias("currency_elsewhere")))
+    return _unpivot(facts, "repeated_ids", "conflicting_ids", "negative", "negative_with_opposite", "currency_absent", "currency_nested", "currency_blank", "currency_elsewhere")

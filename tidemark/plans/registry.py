@@ -633,3 +633,14 @@ def consumption_audit(p):
     label = F.array(F.struct(F.lit("flag").alias("key"), F.col("l_returnflag").alias("value")))
     jobs = p.table("lineitem").select(F.col("l_orderkey").alias("job_id"), F.col("l_shipdate").cast("timestamp").alias("started_at"), label.alias("labels"), F.col("l_quantity").cast("long").alias("bytes"), F.lit(False).alias("cached"))
     return profile.consumption_audit(jobs, "1996-01-01", "1999-01-01", ("flag", "R"), 1)
+
+
+@query("""SELECT unnest(['repeated_ids', 'conflicting_ids', 'negative', 'negative_with_opposite', 'currency_absent', 'currency_nested', 'currency_blank', 'currency_elsewhere']) AS metric, unnest([rep, CAST(0 AS BIGINT), neg, opp, nul, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)]) AS rows
+  FROM (SELECT COUNT(*) AS rep FROM claims WHERE policy_id % 10 = 0) a, (SELECT 2 * COUNT(*) FILTER (policy_id % 10 = 0) + COUNT(*) FILTER (policy_id % 10 <> 0) AS neg FROM claims WHERE amount < 0) b,
+  (SELECT CAST(COALESCE(SUM(CASE WHEN n.policy_id % 10 = 0 THEN 2 ELSE 1 END), 0) AS BIGINT) AS opp FROM claims n WHERE n.amount < 0 AND EXISTS (SELECT 1 FROM claims c WHERE c.policy_id = n.policy_id AND c.currency = n.currency AND c.amount = -n.amount)) c,
+  (SELECT CAST(COALESCE(SUM(CASE WHEN policy_id % 10 = 0 THEN 2 ELSE 1 END), 0) AS BIGINT) AS nul FROM claims WHERE currency IS NULL) d""")
+def raw_claim_audit(p):
+    """A tenth of the claims come twice."""
+    df = claim_payloads(p)
+    again = df.where(F.get_json_object("payload", "$.policy_id").cast("long") % 10 == 0)
+    return profile.audit_raw_claims(df.unionByName(again))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import materialize, most_frequent, read_table, text_or_empty
 
 #: Unicode white space, as the tokenizer's pattern understands it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -400,8 +400,8 @@ def frequent_words(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> li
         yield out()
 
     counts = docs.select(text_or_empty().alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(limit)
-    return [r["word"].encode() for r in top.collect() if len(r["word"]) < LONG_WORD]
+    counts = materialize(counts.where((F.col("n") > 1) & (F.length("word") < LONG_WORD)), "word-counts")
+    return sorted(r["word"].encode() for r in most_frequent(counts, "n", limit).select("word").collect())
 
 
 def build_lexicon(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> bytes:

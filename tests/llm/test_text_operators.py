@@ -380,6 +380,27 @@ def test_language_model_base_and_gain(spark, tmp_path):
     assert sum(r.score for r in test) > sum(r.base_score for r in test) + 0.1 * sum(r.n_tokens for r in test)
 
 
+def test_language_model_learns_from_every_training_document(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import language_model as lm
+
+    rng, fitted = random.Random(8), []
+    rows = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 40)))) for i in range(300)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").select(F.xxhash64("doc_id").alias("pick"), "text")
+    config = lm.Config(dynamic=32, class_size=8, min_fit_tokens=1, lanes=4, window=10)  # as if the table were large
+    lex, n_tokens, _ = lm.lexicon_of(lm.count_tokens(texts.select("text")), config)
+    average = lm._average
+
+    def seen(trained, size):
+        fitted.append(trained.where("part = 0").agg(F.sum("tokens")).first()[0])
+        return average(trained, size)
+
+    monkeypatch.setattr(lm, "_average", seen)
+    lm.fit(texts, lex, n_tokens)
+    assert len(fitted) == config.rounds and sum(fitted) == n_tokens == sum(len(t.split()) + 1 for _, t in rows)
+
+
 # ---- token counts
 
 

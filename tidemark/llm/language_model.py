@@ -16,8 +16,8 @@ lanes, windows of fixed length are run with the state carried from the one
 before (reset where a document begins), and gradients stop at the window.  Each
 task starts from the same weights and trains on its own documents; the weights
 are then averaged by tokens, in two steps, and go out again for the next round.
-Documents enter by ``fit_share`` (more if the corpus is small), so what is
-learned from grows with the input.
+Every training document is learned from once, whatever the corpus's size: the
+rounds deal the documents out among them.
 
 Score.  Documents lie in lanes of like length and the state is carried over
 every window from a document's first token to its end.
@@ -58,7 +58,8 @@ class Config:
     class_size: int = 64
     embedding: int = 16
     hidden: int = 32
-    fit_share: float = 1 / 8
+    #: Share of the training documents that is learned from: all. Below 1, at least ``min_fit_tokens`` are.
+    fit_share: float = 1.0
     min_fit_tokens: int = 1_500_000
     rounds: int = 2
     lanes: int = 64
@@ -413,11 +414,13 @@ def fit(texts: DataFrame, lex: Lexicon, n_tokens: int) -> dict[str, np.ndarray]:
     """``texts``: pick (a hash of the row's id), text of the training documents."""
     c, p = lex.config, initial(lex)
     share = min(1.0, max(c.fit_share, c.min_fit_tokens / max(1, n_tokens)))
-    unit = F.col("pick").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
-    sample = materialize(texts.where(unit < share), "lm-sample")
-    shared = sample.sparkSession.sparkContext.broadcast(lex)
+    chosen = texts
+    if share < 1:
+        unit = F.col("pick").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
+        chosen = materialize(texts.where(unit < share), "lm-sample")
+    shared = chosen.sparkSession.sparkContext.broadcast(lex)
     for r in range(c.rounds):
-        start = sample.sparkSession.sparkContext.broadcast(pack_weights(p))
+        start = chosen.sparkSession.sparkContext.broadcast(pack_weights(p))
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -441,7 +444,7 @@ def fit(texts: DataFrame, lex: Lexicon, n_tokens: int) -> dict[str, np.ndarray]:
                     names=["part", "task", "tokens", "vector"],
                 )
 
-        turn = sample.where(F.shiftright("pick", 32).bitwiseAND(0xFFFF) % c.rounds == r).select("text")
+        turn = chosen.where(F.shiftright("pick", 32).bitwiseAND(0xFFFF) % c.rounds == r).select("text")
         trained = materialize(turn.mapInArrow(run, "part int, task int, tokens double, vector binary"), f"lm-round-{r}")
         flat = _average(trained, len(pack_weights(p)))
         if len(flat):

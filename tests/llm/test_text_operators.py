@@ -291,6 +291,17 @@ def test_toxicity_learns_and_spares_exceptions(spark, docs, no_docs):
     assert score(no_docs, fit(no_docs, df.select("doc_id", F.lit(None).cast("int").alias("toxic")))).count() == 0
 
 
+def test_toxicity_keeps_rare_terms_among_many_common_ones(spark):
+    from itertools import product
+
+    from tidemark.llm.toxicity import Learning, fit
+
+    common = " ".join(map("".join, product("abcdefghi", repeat=5)))  # 59,049 words, each in more toxic documents than the insult
+    rows = [(i, common + " vermin" * (i < 4), int(i < 5)) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert set(fit(df.drop("toxic"), df.drop("text"), Learning()).weights) == {"vermin "}
+
+
 # ---- language model
 
 

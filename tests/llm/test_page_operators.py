@@ -39,6 +39,16 @@ def test_warc_round_trip(spark, pages, tmp_path, chunk):
     assert sorted(map(tuple, read_archives(spark, f"{tmp_path}/t").collect()), key=repr) == want()
 
 
+@pytest.mark.parametrize("chunk", [1000, 32 * 1024])
+def test_warc_long_urls(spark, tmp_path, chunk):
+    from tidemark.llm.warc import read_archives, write_archives
+
+    rows = [(1, "data:text/html," + "a" * 70_000, "small"), (2, "http://a.com/?q=" + "é\n" * 200_000, "y" * 100_000), (3, "http://b.com/" + "b" * 70_000, "y" * 100_000)]
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/t", chunk_bytes=chunk)
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in read_archives(spark, f"{tmp_path}/t").collect())
+    assert got == [(1, 5, "response", None), (2, 100_000, "revisit", 3), (3, 100_000, "response", None)]
+
+
 def test_warc_files_are_whole(spark, pages, tmp_path):
     from tidemark.llm.warc import export_files, write_archives
 

@@ -147,7 +147,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if k == 0:
                 if fields is not None:
                     raise ValueError("a record's last chunks are missing")
-                fields, start = parse_header(bytes(data[: 64 * 1024]))
+                fields, start = parse_header(bytes(data))  # a record's first chunk has the whole header
                 sha1, left = hashlib.sha1(), int(fields["Content-Length"])
             piece = data[start : start + left]
             sha1.update(piece)

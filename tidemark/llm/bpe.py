@@ -401,7 +401,7 @@ def frequent_words(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> li
 
     counts = docs.select(text_or_empty().alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialize(counts.where((F.col("n") > 1) & (F.length("word") < LONG_WORD)), "word-counts")
-    return sorted(r["word"].encode() for r in most_frequent(counts, "n", limit).select("word").collect())
+    return sorted(r["word"].encode() for r in most_frequent(counts, "n", "word", limit).select("word").collect())
 
 
 def build_lexicon(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> bytes:

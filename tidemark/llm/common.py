@@ -81,22 +81,37 @@ def join_grouped(left: DataFrame, groups: DataFrame, key: str, size: str, rows:
     return in_hot.unionByName(in_cold)
 
 
-#: Bars of the histogram of counts in a doubling of the count.
+#: Bars of the histogram of counts in a doubling of the count, and of the hashes of keys that tie.
 OCTAVE = 64
+TIE_BARS = 4096
 
 
-def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
-    """The rows of the largest counts, at most ``limit``, with no more than those to gather.
+def most_frequent(df: DataFrame, count: str, key: str, limit: int) -> DataFrame:
+    """The ``limit`` rows of the largest counts (all, if there are fewer), with no more than those to gather.
 
-    The least count that fits comes from a histogram of at most 64 * OCTAVE bars;
-    rows of one bar are in or out together, so fewer than ``limit`` may come.
+    Ties are broken by a hash of ``key``, then by the key.  The place where the
+    limit falls is narrowed down by histograms: of the counts' logarithms, of
+    the counts in the bar that crosses the limit, and of hashes among rows of
+    the count that crosses it.  Only the last bar's rows are sorted.
     """
-    bar = F.floor(F.log2(count) * OCTAVE)
-    bars = df.groupBy(bar.alias("bar")).agg(F.count(F.lit(1)).alias("n")).collect()
-    least = None
-    for value, n in sorted(((r["bar"], r["n"]) for r in bars), reverse=True):
-        limit -= n
-        if limit < 0:
-            break
-        least = value
-    return df.where(bar >= least) if least is not None else df.where(F.lit(False))
+
+    def cross(rows: DataFrame, bar: Column, left: int, descending: bool) -> tuple[object, int]:
+        """The bar that crosses the limit (None: all fit) and how many of its rows still fit."""
+        bars = rows.groupBy(bar.alias("bar")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(bars, key=lambda r: r["bar"], reverse=descending):
+            if r["n"] > left:
+                return r["bar"], left
+            left -= r["n"]
+        return None, left
+
+    if limit <= 0:
+        return df.where(F.lit(False))
+    octave, tie = F.floor(F.log2(count) * OCTAVE), F.pmod(F.xxhash64(key), F.lit(TIE_BARS))
+    edge, left = cross(df, octave, limit, True)
+    if edge is None:
+        return df
+    value, left = cross(df.where(octave == edge), F.col(count), left, True)
+    ties = df.where(F.col(count) == value)
+    bar, left = cross(ties, tie, left, False)
+    above = df.where((F.col(count) > value) | ((F.col(count) == value) & (tie < bar)))
+    return above.unionByName(ties.where(tie == bar).orderBy(F.xxhash64(key), key).limit(left)) if left else above

@@ -382,7 +382,7 @@ def lexicon_of(counts: DataFrame, config: Config) -> tuple[Lexicon, int, int]:
     """The bounded head of the counts, with sums over the rest; the number of tokens and of distinct tokens."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     candidates = counts.where((F.col("word") != "") & (F.col("c") >= config.min_head_count))
-    frequent = most_frequent(candidates, "c", config.head - 1)
+    frequent = most_frequent(candidates, "c", "word", config.head - 1)
     top = frequent.unionByName(counts.where("word = ''")).select("word", "rule", "c").collect()
     top.sort(key=lambda r: (r["word"] != "", -r["c"], r["word"]))
     words, n = [r["word"].encode() for r in top], np.array([r["c"] for r in top], np.float64)

@@ -309,38 +309,78 @@ def tiny():
     from tidemark.llm.language_model import END, RULES, Config, Lexicon
 
     words = [END, *(bytes([97 + i % 26, 98 + i // 26]) for i in range(30))]
-    config = Config(head=40, dynamic=10, class_size=4, hidden=5, embedding=3, lanes=3, window=6)
+    config = Config(head=40, dynamic=10, class_size=2, group_size=3, hidden=5, embedding=3, lanes=3, window=6, least_lanes=3)
     return Lexicon(words, np.arange(40, 9, -1).astype(float), np.ones(RULES) * 5, np.ones(RULES) * 3, config)
 
 
+def plain_log10(lex, p, tokens):
+    """The model's log10 probability of one document, a token at a time, in plain loops."""
+    from tidemark.llm.language_model import RULES
+
+    c = lex.config
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    share = lambda w, s, i: float(np.log10(np.exp(s @ w)[i] / np.exp(s @ w).sum()))
+    h, read, total, n = np.zeros(c.hidden), 0, 0.0, c.hidden
+    for t in tokens:
+        x, g = p["emb"][read] @ p["wx"] + p["bx"], p["u"] @ h + p["bu"]
+        r, z = sig(x[:n] + g[:n]), sig(x[n : 2 * n] + g[n : 2 * n])
+        h = (1 - z) * np.tanh(x[2 * n :] + r * g[2 * n :]) + z * h
+        s = np.append(h, 1)
+        if t < lex.dynamic:
+            group, cls = t // (c.class_size * c.group_size), t // c.class_size
+            total += share(p["top"][0], s, group) + share(p["mid"][group], s, cls % c.group_size) + share(p["word"][cls], s, t % c.class_size)
+        else:
+            tier, k = divmod(t - lex.dynamic, RULES)
+            total += share(p["top"][0], s, lex.groups + tier) + share(p["rule"][tier], s, k)
+        read = t
+    return total
+
+
 def test_gradients():
-    from tidemark.llm.language_model import RULES, Network, initial, lay_out
+    from tidemark.llm.language_model import RULES, Network, as_rows, initial, lay_out, views
 
     lex = tiny()
-    p = {k: v.astype(np.float64) for k, v in initial(lex).items()}
-    net, rng = Network(lex, p), np.random.default_rng(0)
-    target, doc = lay_out([rng.integers(0, lex.dynamic + 2 * RULES, n) for n in (4, 7, 5, 3)], 3)
+    flat = initial(lex).astype(np.float64)
+    net, rng = Network(lex, flat), np.random.default_rng(0)
+    target, doc, _ = lay_out([rng.integers(0, lex.dynamic + 2 * RULES, n) for n in (4, 7, 5, 3)], 3)
     read, fresh = net.inputs(target, doc)
-    use, grad = target >= 0, {}
+    use, tokens = target >= 0, np.arange(lex.dynamic + 2 * RULES)
+    grad = views(np.zeros_like(flat), lex)
+
+    def states(keep):
+        return net.run(net.gates(tokens), read, fresh, np.zeros((5, target.shape[1])), keep)
 
     def loss():
-        states, _ = net.run(read, fresh, np.zeros((target.shape[1], 5)), False)
-        return -net.output(states[use].astype(float), target[use], None)[0].sum()
-
-    states, saved = net.run(read, fresh, np.zeros((target.shape[1], 5)), True)
-    d = np.zeros_like(states)
-    _, d[use] = net.output(states[use], target[use], grad)
-    net.backward(read, fresh, saved, d, grad)
-    for k in p:
-        for _ in range(5):
-            i = tuple(rng.integers(0, n) for n in p[k].shape)
-            old = p[k][i]
-            p[k][i] = old + 1e-3
+        return -net.output(as_rows(states(False)[0], use), target[use], None)[0].sum()
+
+    s, saved = states(True)
+    d = np.zeros((*use.shape, 5))
+    d[use] = net.output(as_rows(s, use), target[use], grad)[1][:, :-1]
+    net.backward(tokens, read, fresh, saved, np.ascontiguousarray(d.transpose(0, 2, 1)), grad)
+    for k, w in net.p.items():
+        for _ in range(8):
+            i = tuple(rng.integers(0, n) for n in w.shape)
+            old = w[i]
+            w[i] = old + 1e-3
             up = loss()
-            p[k][i] = old - 1e-3
+            w[i] = old - 1e-3
             down = loss()
-            p[k][i] = old
-            assert (up - down) / 2e-3 == pytest.approx(grad[k][i], rel=2e-2, abs=2e-3)
+            w[i] = old
+            assert (up - down) / 2e-3 == pytest.approx(grad[k][i], rel=1e-3, abs=1e-5)
+
+
+def test_scores_equal_plain_loops():
+    """Whole documents, one of them of a thousand tokens, after a fit."""
+    from tidemark.llm.language_model import RULES, Trainer, initial, log10_likelihoods
+
+    lex, rng = tiny(), np.random.default_rng(3)
+    docs = [rng.integers(0, lex.dynamic + 2 * RULES, n) for n in (50, 7, 1000, 1, 33)]
+    flat = initial(lex)
+    trainer = Trainer(lex, flat, np.zeros_like(flat))
+    trainer.fit(docs)
+    assert trainer.tokens == sum(map(len, docs))
+    p = {k: v.astype(float) for k, v in trainer.net.p.items()}
+    assert np.allclose(log10_likelihoods(trainer.net, docs), [plain_log10(lex, p, d.tolist()) for d in docs], rtol=1e-4)
 
 
 def test_state_is_carried_over_windows():
@@ -351,9 +391,8 @@ def test_state_is_carried_over_windows():
     lex, rng = tiny(), np.random.default_rng(1)
     docs = [rng.integers(0, lex.dynamic, n) for n in (50, 7, 120, 1, 33)]
     p = initial(lex)
-    lex.config = replace(lex.config, score_window=1000)
     whole = log10_likelihoods(Network(lex, p), docs)
-    lex.config = replace(lex.config, score_window=7)
+    lex.config = replace(lex.config, score_places=7)
     assert np.allclose(whole, log10_likelihoods(Network(lex, p), docs), atol=1e-4)
     alone = [log10_likelihoods(Network(lex, p), [d])[0] for d in docs]
     assert np.allclose(whole, alone, atol=1e-4)
@@ -364,7 +403,7 @@ def test_probabilities_add_up_to_one():
 
     lex = tiny()
     net, n = Network(lex, initial(lex)), lex.dynamic + 2 * RULES
-    state = np.random.default_rng(2).normal(size=(1, 5)).astype(np.float32)
+    state = np.append(np.random.default_rng(2).normal(size=(1, 5)), [[1]], 1).astype(np.float32)
     logp, _ = net.output(np.repeat(state, n, 0), np.arange(n), None)
     assert np.exp(logp).sum() == pytest.approx(1, abs=1e-4)
 
@@ -379,7 +418,7 @@ def test_language_model_base_and_gain(spark, tmp_path):
     rows = [(i, " ".join(rng.choice(langs[i % 4]) for _ in range(rng.randint(5, 60)))) for i in range(600)]
     rows += [(1000, None), (None, "Ba bE"), (1001, "ba " * 3000), (1001, "neverseen wörd")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = op1_language_model(spark, str(tmp_path), Config(dynamic=64, class_size=8, min_fit_tokens=10**9, lanes=4, window=10, rounds=4)).collect()
+    got = op1_language_model(spark, str(tmp_path), Config(dynamic=64, class_size=8, group_size=4, lanes=4, least_lanes=4, window=10, rounds=4)).collect()
     held = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2
     tokens = [(i, [*WORD.findall(lower(t or "")), ""]) for i, t in rows]
     c = Counter(w for i, ws in tokens if not held(i) for w in ws)
@@ -398,20 +437,31 @@ def test_language_model_learns_from_every_training_document(spark, monkeypatch):
 
     rng, fitted = random.Random(8), []
     rows = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 40)))) for i in range(300)]
-    texts = spark.createDataFrame(rows, "doc_id long, text string").select(F.xxhash64("doc_id").alias("pick"), "text")
-    config = lm.Config(dynamic=32, class_size=8, min_fit_tokens=1, lanes=4, window=10)  # as if the table were large
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    config = lm.Config(dynamic=32, class_size=8, group_size=2, first_tokens=100, lanes=4, least_lanes=4, window=10)
     lex, n_tokens, _ = lm.lexicon_of(lm.count_tokens(texts.select("text")), config)
     average = lm._average
 
-    def seen(trained, size):
+    def seen(trained):
         fitted.append(trained.where("part = 0").agg(F.sum("tokens")).first()[0])
-        return average(trained, size)
+        return average(trained)
 
     monkeypatch.setattr(lm, "_average", seen)
-    lm.fit(texts, lex, n_tokens)
+    lm.fit(lm.materialize(lm.tokenized(texts, lex), "tokens"), lex)
     assert len(fitted) == config.rounds and sum(fitted) == n_tokens == sum(len(t.split()) + 1 for _, t in rows)
 
 
+def test_most_frequent_takes_ties_up_to_the_limit(spark):
+    from tidemark.llm.common import most_frequent
+
+    rows = [(f"w{i}", 7 if i >= 20 else 8 if i >= 10 else 900 + i) for i in range(200)]
+    df = spark.createDataFrame(rows, "word string, n long")
+    for limit in (0, 5, 10, 15, 20, 50, 120, 200, 300):
+        got = sorted(r.n for r in most_frequent(df, "n", "word", limit).collect())
+        assert got == sorted(sorted((n for _, n in rows), reverse=True)[:limit])
+    assert most_frequent(df.where("n < 0"), "n", "word", 5).count() == 0
+
+
 # ---- token counts
 
 

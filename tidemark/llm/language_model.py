@@ -4,20 +4,23 @@ Counts.  Tokens are counted over all training documents, in tasks first.  The
 most frequent words (``head``, a bounded number) go to every task; the rest stay
 in a table and meet the documents by a shuffled join on the word.
 
-Model.  A gated recurrent unit reads the words; the output is factored into a
-class and a word within its class.  The first ``dynamic`` words fill classes of
-equal size whose words have a softmax over the state.  Other head words, and
-separately all rarer words, fall into classes by their last letter; within those
-a word's probability is its share of the class's counts, so any word, seen or
-not, has one (a word never seen counts as one of count one, added to its class).
+Model.  A gated recurrent unit reads the words; the output is factored into
+groups of classes, classes, and words within their class, each a softmax over
+the state.  The first ``dynamic`` words fill classes of equal size.  Other head
+words, and separately all rarer words, are two more groups, whose classes go by
+the last letter; within those a word's probability is its share of the class's
+counts, so any word, seen or not, has one (a word never seen counts as one of
+count one, added to its class).
 
 Fit.  Truncated backpropagation in numpy: documents lie one after another in
 lanes, windows of fixed length are run with the state carried from the one
-before (reset where a document begins), and gradients stop at the window.  Each
-task starts from the same weights and trains on its own documents; the weights
-are then averaged by tokens, in two steps, and go out again for the next round.
-Every training document is learned from once, whatever the corpus's size: the
-rounds deal the documents out among them.
+before (reset where a document begins), and gradients stop at the window; a
+document that would fill much of a lane is learned from in pieces.  Each task
+starts from the same weights and trains on its own documents, first in few lanes
+and then in many; weights and step sizes are then averaged by tokens, in two
+steps, and go out again for the next round.  Every training document is learned
+from once, whatever the corpus's size: the rounds deal the documents out among
+them.
 
 Score.  Documents lie in lanes of like length and the state is carried over
 every window from a document's first token to its end.
@@ -29,10 +32,12 @@ are unknown and the model is its initial state; other columns aren't read.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -44,9 +49,11 @@ from .common import materialize, most_frequent, read_table, text_or_empty
 
 END = b""
 RULES = 33
-FLUSH = 200_000
+FLUSH = 500_000
 PARTS = 64
 AVERAGE_FAN = 256
+#: Logits beyond this, either way, count as this.
+LARGEST = 60.0
 
 
 @dataclass(frozen=True)
@@ -54,21 +61,24 @@ class Config:
     head: int = 131_072
     #: Words below this count are rare whatever room the head has, so that the classes of rare words are learned.
     min_head_count: int = 3
-    dynamic: int = 4_096
-    class_size: int = 64
+    dynamic: int = 8_192
+    class_size: int = 32
+    group_size: int = 16
     embedding: int = 16
-    hidden: int = 32
-    #: Share of the training documents that is learned from: all. Below 1, at least ``min_fit_tokens`` are.
-    fit_share: float = 1.0
-    min_fit_tokens: int = 1_500_000
+    hidden: int = 16
     rounds: int = 2
-    lanes: int = 64
-    window: int = 20
-    rate: float = 4e-3
-    score_window: int = 64
+    lanes: int = 512
+    window: int = 16
+    rate: float = 0.3
+    #: Steps times lanes that are scored at a time: what they need stays in the processor's cache.
+    score_places: int = 32_768
     #: Tokens that a task lays out at a time: many, so that long documents share their steps with many lanes.
     score_tokens: int = 2_500_000
-    fit_tokens: int = 600_000
+    fit_tokens: int = 1_000_000
+    #: A fit's first layout; each is twice the one before, up to ``fit_tokens``, with a lane for every ``lane_tokens``.
+    first_tokens: int = 40_000
+    lane_tokens: int = 1_200
+    least_lanes: int = 32
     seed: int = 7
 
 
@@ -103,15 +113,19 @@ class Lexicon:
         n = len(self.words)
         self.index = dict(zip(self.words, range(n)))
         self.dynamic = min(c.dynamic, n)
-        self.dynamic_classes = max(1, -(-self.dynamic // c.class_size))
-        self.classes = self.dynamic_classes + 2 * RULES
+        self.groups = max(1, -(-self.dynamic // (c.class_size * c.group_size)))
+        self.word_classes = self.groups * c.group_size
         self.rules = np.array([rule(w) if i >= self.dynamic else 0 for i, w in enumerate(self.words)], np.int64)
         at = np.arange(n)
-        self.token = np.where(at < self.dynamic, at, self.dynamic + self.rules)
+        self.token = np.append(np.where(at < self.dynamic, at, self.dynamic + self.rules), 0).astype(np.int32)  # the last stands for rare words
         mass = np.bincount(self.rules[self.dynamic :], self.counts[self.dynamic :], RULES) if n > self.dynamic else np.zeros(RULES)
         self.middle_mass = mass
         self.fixed = np.zeros(n)  # log10 of the share in the class, for head words that aren't dynamic
         self.fixed[self.dynamic :] = np.log10(self.counts[self.dynamic :]) - np.log10(np.maximum(mass[self.rules[self.dynamic :]], 1))
+        token = np.arange(self.dynamic + 2 * RULES)
+        tier = (token - self.dynamic) // RULES
+        self.key = np.where(token < self.dynamic, token // c.class_size, self.word_classes + tier).astype(np.int16)  # the last class on a token's path
+        self.top = np.where(token < self.dynamic, token // (c.class_size * c.group_size), self.groups + tier)
         self.log_count = np.log10(self.counts + 1.0)
         self.rare_log = -np.log10(self.rare_sum + 1)
 
@@ -119,61 +133,62 @@ class Lexicon:
         """Tokens of a text with its end; fixed log10 shares; sum of log10(count + 1) and number of head tokens; the rare words."""
         words = words_in(text)
         words.append(END)
-        at = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        tokens = self.token[at]
         known = at[at >= 0]
-        tokens = np.empty(len(words), np.int64)
-        tokens[at >= 0] = self.token[known]
-        rare = np.flatnonzero(at < 0)
-        kinds = np.array([rule(words[i]) for i in rare.tolist()], np.int64)
-        tokens[rare] = self.dynamic + RULES + kinds
+        rare = [words[i] for i in np.flatnonzero(at < 0).tolist()]
+        kinds = np.fromiter(map(rule, rare), np.int64, len(rare))
+        tokens[at < 0] = self.dynamic + RULES + kinds
         fixed = float(self.fixed[known].sum() + self.rare_log[kinds].sum())
-        return tokens, fixed, float(self.log_count[known].sum()), len(known), [words[i] for i in rare.tolist()]
-
-    def class_of(self, tokens: np.ndarray) -> np.ndarray:
-        return np.where(tokens < self.dynamic, tokens // self.config.class_size, self.dynamic_classes + tokens - self.dynamic)
+        return tokens, fixed, float(self.log_count[known].sum()), len(known), rare
 
 
 # ---- the network
 
 
-def initial(lex: Lexicon) -> dict[str, np.ndarray]:
-    """Small random weights; output biases at the logarithms of the counts."""
-    c, rng = lex.config, np.random.default_rng(lex.config.seed)
-    h, d = c.hidden, lex.dynamic_classes * c.class_size
-    mass = np.zeros(lex.classes)
-    np.add.at(mass, np.arange(lex.dynamic) // c.class_size, lex.counts[: lex.dynamic])
-    mass[lex.dynamic_classes :] = np.concatenate((lex.middle_mass, lex.rare_count))
-    bias = np.full(d, -30.0)  # slots without a word
-    bias[: lex.dynamic] = np.log(lex.counts[: lex.dynamic])
-    draw = lambda *shape: rng.normal(0, 0.1, shape)
-    out = {
-        "emb": draw(lex.dynamic + 2 * RULES, c.embedding), "wx": draw(c.embedding, 3 * h), "bx": np.zeros(3 * h), "u": rng.normal(0, h**-0.5, (h, 3 * h)), "bu": np.zeros(3 * h),
-        "wc": draw(h, lex.classes) * 0.1, "bc": np.log(mass + 0.5), "ww": draw(d, h) * 0.1, "bw": bias,
+def shapes(lex: Lexicon) -> dict[str, tuple[int, ...]]:
+    """The weights.  Output weights have a last row for the bias: states get a one appended."""
+    c = lex.config
+    return {
+        "emb": (lex.dynamic + 2 * RULES, c.embedding), "wx": (c.embedding, 3 * c.hidden), "bx": (3 * c.hidden,), "u": (3 * c.hidden, c.hidden), "bu": (3 * c.hidden,),
+        "top": (1, c.hidden + 1, lex.groups + 2), "mid": (lex.groups, c.hidden + 1, c.group_size), "word": (lex.word_classes, c.hidden + 1, c.class_size),
+        "rule": (2, c.hidden + 1, RULES),
     }
-    return {k: v.astype(np.float32) for k, v in out.items()}
-
-
-def pack_weights(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in sorted(p)])
 
 
-def unpack_weights(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def views(flat: np.ndarray, lex: Lexicon) -> dict[str, np.ndarray]:
+    """Each weight as a part of one vector."""
     out, at = {}, 0
-    for k in sorted(like):
-        out[k] = flat[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
-        at += like[k].size
+    for k, shape in shapes(lex).items():
+        n = math.prod(shape)
+        out[k] = flat[at : at + n].reshape(shape)
+        at += n
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):  # exp of a large number is infinite, its sigmoid zero
-        return 1 / (1 + np.exp(-x))
-
-
-def lay_out(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Target token (-1: none) and document number of each step and lane; the longest documents first, each to the emptiest lane."""
-    import heapq
-
+def initial(lex: Lexicon) -> np.ndarray:
+    """Small random weights; output biases at the logarithms of the counts' shares."""
+    c, rng = lex.config, np.random.default_rng(lex.config.seed)
+    flat = np.zeros(sum(map(math.prod, shapes(lex).values())), np.float32)
+    p = views(flat, lex)
+    for k, size in (("emb", 0.1), ("wx", 0.1), ("u", c.hidden**-0.5), ("top", 0.01), ("mid", 0.01), ("word", 0.01), ("rule", 0.01)):
+        p[k][...] = rng.normal(0, size, p[k].shape)
+    words = np.zeros(lex.word_classes * c.class_size)
+    words[: lex.dynamic] = lex.counts[: lex.dynamic]
+    words = words.reshape(lex.groups, c.group_size, c.class_size)
+    rules = np.stack((lex.middle_mass, lex.rare_count))
+    for k, counts in (("top", np.concatenate((words.sum(axis=(1, 2)), rules.sum(axis=1)))), ("mid", words.sum(axis=2)), ("word", words), ("rule", rules)):
+        counts = counts.reshape(len(p[k]), -1)
+        with np.errstate(divide="ignore"):  # a slot without a word gets the least bias
+            p[k][:, -1] = np.maximum(np.log(counts) - np.log(np.maximum(counts.sum(axis=1, keepdims=True), 1)), -30)
+    return flat
+
+
+def lay_out(docs: list[np.ndarray], lanes: int, rng: np.random.Generator | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Target token (-1: none) and document number of each step and lane, and the lanes' lengths, the longest lane first.
+
+    The longest documents are dealt first, each to the emptiest lane; with ``rng`` a lane's documents are then shuffled.
+    """
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     heap = [(0, i) for i in range(min(lanes, max(1, len(docs))))]
     rows: list[list[int]] = [[] for _ in heap]
@@ -181,168 +196,246 @@ def lay_out(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray]
         size, lane = heapq.heappop(heap)
         rows[lane].append(i)
         heapq.heappush(heap, (size + len(docs[i]), lane))
-    steps = max((size for size, _ in heap), default=0)
-    target = np.full((steps, len(rows)), -1, np.int64)
-    doc = np.zeros((steps, len(rows)), np.int64)
-    for lane, mine in enumerate(rows):
-        at = 0
-        for i in mine:
-            n = len(docs[i])
-            target[at : at + n, lane], doc[at : at + n, lane] = docs[i], i
-            at += n
-    return target, doc
+    heap.sort(reverse=True)
+    target = np.full((heap[0][0], len(heap)), -1, np.int32)
+    doc = np.full(target.shape, -1, np.int32)
+    for at, (size, lane) in enumerate(heap):
+        if rng is not None:
+            rng.shuffle(rows[lane])
+        if rows[lane]:
+            target[:size, at] = np.concatenate([docs[i] for i in rows[lane]])
+            doc[:size, at] = np.repeat(rows[lane], [len(docs[i]) for i in rows[lane]])
+    return target, doc, np.array([size for size, _ in heap])
 
 
 class Network:
-    def __init__(self, lex: Lexicon, p: dict[str, np.ndarray]):
-        self.lex, self.p = lex, p
+    """Gated recurrent unit with a class-factored softmax.  Arrays of a step are (unit, lane), so gates are whole blocks."""
+
+    def __init__(self, lex: Lexicon, flat: np.ndarray):
+        self.lex, self.flat, self.p = lex, flat, views(flat, lex)
         self.end = int(lex.token[lex.index[END]]) if END in lex.index else 0
 
+    def gates(self, tokens: np.ndarray | slice) -> np.ndarray:
+        """What each token adds to the gates; the first two gates are negated, as 1 / (1 + exp(-x)) wants them."""
+        p, n = self.p, self.lex.config.hidden
+        table = p["emb"][tokens] @ p["wx"]
+        table += p["bx"]
+        table[:, : 2 * n] += p["bu"][: 2 * n]
+        np.negative(table[:, : 2 * n], out=table[:, : 2 * n])
+        return table
+
+    def is_bounded(self) -> bool:
+        """No state is beyond 1, so the weights tell whether a logit can be too large for exp."""
+        return all(np.abs(self.p[k]).sum(axis=1).max() < LARGEST for k in ("top", "mid", "word", "rule"))
+
     def inputs(self, target: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token read before each target, and whether a document begins there."""
         fresh = np.ones(target.shape, bool)
-        fresh[1:] = doc[1:] != doc[:-1]
-        read = np.full(target.shape, self.end, np.int64)
-        read[1:][~fresh[1:]] = np.maximum(target[:-1][~fresh[1:]], 0)
+        np.not_equal(doc[1:], doc[:-1], out=fresh[1:])
+        read = np.full(target.shape, self.end, np.int32)
+        read[1:] = np.where(fresh[1:], self.end, np.maximum(target[:-1], 0))
         return read, fresh
 
-    def run(self, read: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """States of a window; with ``keep`` what the way back needs."""
-        p, n = self.p, h.shape[1]
-        table = p["emb"] @ p["wx"] + p["bx"] if read.size > len(p["emb"]) else None
-        gx = table[read] if table is not None else p["emb"][read] @ p["wx"] + p["bx"]
-        states, saved, begins = np.empty((*read.shape, n), np.float32), [], fresh.any(axis=1).tolist()
-        for t in range(len(read)):
-            if begins[t]:
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            g = h @ p["u"] + p["bu"]
-            rz = _sigmoid(gx[t][:, : 2 * n] + g[:, : 2 * n])
-            r, z = rz[:, :n], rz[:, n:]
-            new = np.tanh(gx[t][:, 2 * n :] + r * g[:, 2 * n :])
-            before, h = h, new + z * (h - new)
-            states[t] = h
-            if keep:
-                saved.append((before, r, z, new, g[:, 2 * n :]))
+    def run(self, table: np.ndarray, read: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+        """States (step, unit, lane) of a window; with ``keep`` what the way back needs.  ``read``: rows of ``table``."""
+        n, (steps, lanes) = len(h), read.shape
+        gx = np.ascontiguousarray(table[read.ravel()].reshape(steps, lanes, 3 * n).transpose(0, 2, 1))
+        states, saved, bias = np.empty((steps, n, lanes), table.dtype), [], self.p["bu"][2 * n :, None]
+        begins, stays, u = fresh.any(axis=1).tolist(), (~fresh).astype(table.dtype), self.p["u"].copy()
+        u[: 2 * n] *= -1
+        with np.errstate(over="ignore"):  # exp of a large number is infinite, the gate zero
+            for t in range(steps):
+                if begins[t]:
+                    h = h * stays[t]
+                g = u @ h
+                rz, gn = g[: 2 * n], g[2 * n :]
+                rz += gx[t, : 2 * n]
+                np.exp(rz, out=rz)
+                rz += 1
+                np.reciprocal(rz, out=rz)
+                gn += bias
+                new = rz[:n] * gn
+                new += gx[t, 2 * n :]
+                np.tanh(new, out=new)
+                after = states[t]
+                np.subtract(h, new, out=after)
+                if keep:
+                    saved.append((h, rz, new, gn, after.copy()))
+                after *= rz[n:]
+                after += new
+                h = after
         return states, saved
 
-    def output(self, states: np.ndarray, target: np.ndarray, grad: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log-probability of each target's class and, if it is dynamic, of the word in it; optionally gradients."""
-        p, lex, size = self.p, self.lex, self.lex.config.class_size
-        cls = lex.class_of(target)
-        logits = states @ p["wc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        at = np.arange(len(target))
-        out = logits[at, cls] - np.log(total)
-        back = None
-        if grad is not None:
-            d = e / total[:, None]
-            d[at, cls] -= 1
-            grad["wc"], grad["bc"] = states.T @ d, d.sum(axis=0)
-            back = d @ p["wc"].T
-            grad["ww"], grad["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-        order = np.argsort(cls, kind="stable")
-        order = order[cls[order] < lex.dynamic_classes]
-        ends = np.searchsorted(cls[order], np.arange(lex.dynamic_classes + 1))
-        for c in range(lex.dynamic_classes):
-            mine = order[ends[c] : ends[c + 1]]
-            if not len(mine):
-                continue
-            w, span = p["ww"][c * size : (c + 1) * size], slice(c * size, (c + 1) * size)
-            logits = states[mine] @ w.T + p["bw"][span]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total, word, row = e.sum(axis=1), target[mine] - c * size, np.arange(len(mine))
-            out[mine] += logits[row, word] - np.log(total)
+    def output(self, s: np.ndarray, target: np.ndarray, grad: dict[str, np.ndarray] | None, bounded: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """Natural log-probability of each target along its path of classes; optionally gradients.
+
+        ``s``: states as rows with a one appended.  Rows are put in the order of their classes, so that every class's are one block.
+        """
+        lex, c, p = self.lex, self.lex.config, self.p
+        key = lex.key[target]
+        order = np.argsort(key, kind="stable")
+        s, target = s[order], target[order]
+        ends = np.searchsorted(key[order], np.arange(lex.word_classes + 3)).tolist()
+        cut, n = ends[lex.word_classes], len(target)
+        blocks = [(k, x, y) for k, (x, y) in enumerate(zip(ends, ends[1:])) if x < y]
+        words = [x for x in blocks if x[0] < lex.word_classes]
+        mids = [(k, x, y) for k in range(lex.groups) if (x := ends[k * c.group_size]) < (y := ends[(k + 1) * c.group_size])]
+        rules = [(k - lex.word_classes, x, y) for k, x, y in blocks if k >= lex.word_classes]
+        path = [
+            ("top", 0, n, [(0, 0, n)], lex.top[target]),
+            ("mid", 0, cut, mids, target[:cut] // c.class_size % c.group_size),
+            ("word", 0, cut, words, target[:cut] % c.class_size),
+            ("rule", cut, n, rules, (target[cut:] - lex.dynamic) % RULES),
+        ]
+        out, back = np.zeros(n, s.dtype), None if grad is None else np.zeros_like(s)
+        for name, lo, hi, parts, slot in path:
+            w, at = p[name], np.arange(hi - lo)
+            e = np.empty((hi - lo, w.shape[2]), s.dtype)
+            for k, x, y in parts:
+                np.matmul(s[x:y], w[k], out=e[x - lo : y - lo])
+            if not bounded:
+                np.clip(e, -LARGEST, LARGEST, out=e)
+            np.exp(e, out=e)
+            total = e.sum(axis=1)
+            out[lo:hi] += np.log(e[at, slot] / total)
             if grad is not None:
-                d = e / total[:, None]
-                d[row, word] -= 1
-                grad["ww"][span], grad["bw"][span] = d.T @ states[mine], d.sum(axis=0)
-                back[mine] += d @ w
-        return out, back
-
-    def backward(self, read: np.ndarray, fresh: np.ndarray, saved: list, d_states: np.ndarray, grad: dict) -> None:
-        """Through the window's steps, the last first; no gradient leaves the window."""
-        p, n = self.p, d_states.shape[2]
-        grad["u"], grad["bu"] = np.zeros_like(p["u"]), np.zeros_like(p["bu"])
-        d_gx, d_h = np.empty((*read.shape, 3 * n), np.float32), np.zeros(d_states.shape[1:], np.float32)
-        for t in range(len(read) - 1, -1, -1):
-            before, r, z, new, gn = saved[t]
-            d_h = d_h + d_states[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (before - new) * z * (1 - z)
-            d_r = d_new * gn * r * (1 - r)
-            d_g = np.concatenate((d_r, d_z, d_new * r), axis=1)
-            d_gx[t] = np.concatenate((d_r, d_z, d_new), axis=1)
-            grad["u"] += before.T @ d_g
-            grad["bu"] += d_g.sum(axis=0)
-            d_h = np.where(fresh[t][:, None], np.float32(0), d_h * z + d_g @ p["u"].T)
-        flat, x = d_gx.reshape(-1, 3 * n), self.p["emb"][read.ravel()]
-        grad["wx"], grad["bx"] = x.T @ flat, flat.sum(axis=0)
-        grad["emb"] = np.zeros_like(p["emb"])
-        np.add.at(grad["emb"], read.ravel(), flat @ p["wx"].T)
+                e /= total[:, None]
+                e[at, slot] -= 1
+                grad[name][...] = 0
+                more = np.empty((hi - lo, s.shape[1]), s.dtype)
+                for k, x, y in parts:
+                    d = e[x - lo : y - lo]
+                    np.matmul(s[x:y].T, d, out=grad[name][k])
+                    np.matmul(d, w[k].T, out=more[x - lo : y - lo])
+                back[lo:hi] += more
+        result = np.empty_like(out)
+        result[order] = out
+        if back is not None:
+            unsorted = np.empty_like(back)
+            unsorted[order] = back
+            back = unsorted
+        return result, back
+
+    def backward(self, tokens: np.ndarray, read: np.ndarray, fresh: np.ndarray, saved: list, d_states: np.ndarray, grad: dict[str, np.ndarray]) -> None:
+        """Through the window's steps, the last first; no gradient leaves the window.  ``grad["emb"]`` gets a row for each of ``tokens``."""
+        p, (steps, n, lanes) = self.p, d_states.shape
+        d_g, d_x = np.empty((steps, 3 * n, lanes), d_states.dtype), np.empty((steps, n, lanes), d_states.dtype)
+        d_h, back_u, begins, stays = np.zeros((n, lanes), d_states.dtype), np.ascontiguousarray(p["u"].T), fresh.any(axis=1).tolist(), (~fresh).astype(d_states.dtype)
+        tmp = np.empty((n, lanes), d_states.dtype)
+        for t in range(steps - 1, -1, -1):
+            before, rz, new, gn, gap = saved[t]
+            r, z, g = rz[:n], rz[n:], d_g[t]
+            d_h += d_states[t]
+            d_r, d_z, d_u, d_new = g[:n], g[n : 2 * n], g[2 * n :], d_x[t]
+            np.multiply(d_h, z, out=tmp)  # d_h * z
+            np.subtract(d_h, tmp, out=d_new)  # d_h * (1 - z)
+            np.multiply(tmp, gap, out=d_z)
+            np.multiply(new, new, out=gap)
+            np.subtract(1, gap, out=gap)
+            d_new *= gap
+            np.subtract(1, z, out=gap)
+            d_z *= gap
+            np.multiply(d_new, r, out=d_u)
+            np.subtract(1, r, out=gap)
+            np.multiply(d_u, gap, out=d_r)
+            d_r *= gn
+            d_h = back_u @ g
+            d_h += tmp
+            if begins[t]:
+                d_h *= stays[t]
+        grad["u"][...] = np.matmul(d_g, np.stack([x[0] for x in saved]).transpose(0, 2, 1)).sum(axis=0)
+        sums = d_g.sum(axis=(0, 2))
+        grad["bu"][...] = sums
+        d_g[:, 2 * n :] = d_x
+        flat = np.ascontiguousarray(d_g.transpose(0, 2, 1)).reshape(-1, 3 * n)
+        flat_read = read.ravel()
+        emb = p["emb"][tokens]
+        np.matmul(emb[flat_read].T, flat, out=grad["wx"])
+        grad["bx"][: 2 * n], grad["bx"][2 * n :] = sums[: 2 * n], flat[:, 2 * n :].sum(axis=0)
+        per_row, width = flat @ p["wx"].T, emb.shape[1]
+        places = (flat_read[:, None] * width + np.arange(width)).ravel()
+        grad["emb"] = np.bincount(places, per_row.ravel(), emb.size).reshape(emb.shape).astype(flat.dtype)
+
+
+def as_rows(states: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """The states of the used steps and lanes as rows, with a one appended."""
+    steps, n, lanes = states.shape
+    s = np.empty((steps, lanes, n + 1), states.dtype)
+    s[:, :, :n] = states.transpose(0, 2, 1)
+    s[:, :, n] = 1
+    s = s.reshape(-1, n + 1)
+    return s if use.all() else s[use.ravel()]
 
 
 class Trainer:
-    """Adam over windows; lanes are refilled from a stream of documents."""
+    """Adagrad over windows of lanes."""
 
-    def __init__(self, lex: Lexicon, p: dict[str, np.ndarray]):
-        self.net, self.c = Network(lex, p), lex.config
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
-        self.t = self.tokens = 0
+    def __init__(self, lex: Lexicon, flat: np.ndarray, squares: np.ndarray):
+        self.net, self.c, self.squares = Network(lex, flat), lex.config, squares
+        #: The embeddings come first in the vector; only those read in a window have a gradient.
+        self.inner = self.net.p["emb"].size
+        self.flat_grad = np.zeros_like(flat)
+        self.grad, self.seen = views(self.flat_grad, lex), views(squares, lex)["emb"]
+        self.rng, self.tokens = np.random.default_rng(lex.config.seed), 0
 
     def fit(self, docs: list[np.ndarray]) -> None:
-        c = self.c
-        target, doc = lay_out(docs, c.lanes)
-        read, fresh = self.net.inputs(target, doc)
-        h = np.zeros((target.shape[1], c.hidden), np.float32)
+        """Documents that would fill much of a lane are learned from in pieces, each from a state of zeros, so that lanes end together."""
+        c, net, size = self.c, self.net, sum(map(len, docs))
+        lanes = min(c.lanes, max(c.least_lanes, size // c.lane_tokens))
+        piece = max(8 * c.window, size // (8 * lanes))
+        docs = [x for d in docs for x in (np.array_split(d, -(-len(d) // piece)) if len(d) > piece else [d])]
+        target, doc, lengths = lay_out(docs, lanes, self.rng)
+        read, fresh = net.inputs(target, doc)
+        h = np.zeros((c.hidden, target.shape[1]), np.float32)
         for at in range(0, len(target), c.window):
-            part = slice(at, at + c.window)
-            states, saved = self.net.run(read[part], fresh[part], h, True)
+            live = int((lengths > at).sum())  # the lanes that aren't at their end
+            part = slice(at, at + c.window), slice(0, live)
+            tokens, rows = np.unique(read[part], return_inverse=True)
+            states, saved = net.run(net.gates(tokens), rows, fresh[part], h[:, :live], True)
             h = states[-1]
             use = target[part] >= 0
             n = int(use.sum())
-            if not n:
-                continue
-            grad: dict[str, np.ndarray] = {}
-            _, back = self.net.output(states[use], target[part][use], grad)
-            d_states = np.zeros_like(states)
-            d_states[use] = back
-            self.net.backward(read[part], fresh[part], saved, d_states, grad)
-            self.step({k: g / n for k, g in grad.items()}, n / use.size)
+            _, back = net.output(as_rows(states, use), target[part][use], self.grad)
+            d = np.zeros((*use.shape, c.hidden), np.float32)
+            d[use] = back[:, :-1]
+            net.backward(tokens, rows, fresh[part], saved, np.ascontiguousarray(d.transpose(0, 2, 1)), self.grad)
+            self.step(tokens, n, n / (c.window * len(lengths)))
             self.tokens += n
 
-    def step(self, grad: dict[str, np.ndarray], full: float) -> None:
-        """``full``: share of the window's places with a token; a few long documents left over must not steer the weights."""
-        norm = math.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-        scale = min(1.0, 1.0 / (norm + 1e-9))
-        self.t += 1
-        rate = full * self.c.rate * math.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
-        for k, g in grad.items():
-            g = g * np.float32(scale)
-            m, v = self.m[k], self.v[k]
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.001) * (g * g - v)
-            self.net.p[k] -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-6))
+    def step(self, tokens: np.ndarray, n: int, full: float) -> None:
+        """``full``: share of the window's places with a token; a few lanes left over must not steer the weights."""
+        g, ge = self.flat_grad[self.inner :], self.grad["emb"]
+        norm = math.sqrt(float(g @ g) + float((ge * ge).sum())) / n
+        scale, rate = np.float32(min(1.0, 1.0 / (norm + 1e-9)) / n), np.float32(full * self.c.rate)
+        for g, weights, squares, at in ((g, self.net.flat[self.inner :], self.squares[self.inner :], slice(None)), (ge, self.net.p["emb"], self.seen, tokens)):
+            g *= scale
+            total = squares[at] + g * g
+            squares[at] = total
+            np.sqrt(total, out=total)
+            total += np.float32(1e-5)
+            g *= rate
+            g /= total
+            weights[at] -= g
 
 
 def log10_likelihoods(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each document's classes and dynamic words, the state carried from its first token to its end."""
     longest, total = max(map(len, docs), default=1), sum(map(len, docs))
     lanes = int(min(512, max(16, total // max(longest, 1))))
-    target, doc = lay_out(docs, lanes)
+    target, doc, lengths = lay_out(docs, lanes)
     read, fresh = net.inputs(target, doc)
-    h, out = np.zeros((target.shape[1], net.lex.config.hidden), np.float32), np.zeros(len(docs))
-    step = net.lex.config.score_window
-    for at in range(0, len(target), step):
-        part = slice(at, at + step)
-        states, _ = net.run(read[part], fresh[part], h, False)
+    h, out = np.zeros((net.lex.config.hidden, target.shape[1]), np.float32), np.zeros(len(docs))
+    table, bounded, at = net.gates(slice(None)), net.is_bounded(), 0
+    while at < len(target):
+        live = int((lengths > at).sum())
+        steps = max(16, net.lex.config.score_places // live)
+        part = slice(at, at + steps), slice(0, live)
+        states, _ = net.run(table, read[part], fresh[part], h[:, :live], False)
         h = states[-1]
         use = target[part] >= 0
-        logp, _ = net.output(states[use], target[part][use], None)
+        logp, _ = net.output(as_rows(states, use), target[part][use], None, bounded)
         out += np.bincount(doc[part][use], logp, len(docs))
+        at += steps
     return out / math.log(10)
 
 
@@ -395,8 +488,31 @@ def lexicon_of(counts: DataFrame, config: Config) -> tuple[Lexicon, int, int]:
     return Lexicon(words, n, sums, plain, config), int(total[0]), int(total[1])
 
 
-def _average(rows: DataFrame, size: int) -> np.ndarray:
-    """Weights averaged by tokens: within groups of tasks, then over the groups; parts of the vector apart."""
+TOKENS = "row long, doc_id long, tokens binary, n_known long, base double, fixed double, rare array<string>"
+
+
+def tokenized(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """Every text's tokens as 32-bit numbers, what is fixed about it, and its rare words; ``row`` names the row."""
+    shared = docs.sparkSession.sparkContext.broadcast(lex)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        mine, row = shared.value, TaskContext.get().partitionId() << 40
+        for b in batches:
+            read = [mine.read(t.as_py()) for t in b.column(1)]
+            cols = [
+                pa.array(range(row, row + len(read)), pa.int64()), b.column(0), pa.array([x[0].tobytes() for x in read], pa.binary()), pa.array([x[3] for x in read], pa.int64()),
+                pa.array([x[2] for x in read], pa.float64()), pa.array([x[1] for x in read], pa.float64()), pa.array([[w.decode() for w in x[4]] for x in read], pa.list_(pa.string())),
+            ]
+            row += len(read)
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "tokens", "n_known", "base", "fixed", "rare"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, TOKENS)
+
+
+def _average(rows: DataFrame) -> np.ndarray:
+    """Vectors averaged by tokens: within groups of tasks, then over the groups; parts of the vector apart."""
 
     def mean(pdf: pd.DataFrame) -> pd.DataFrame:
         tokens = float(pdf["tokens"].sum())
@@ -410,102 +526,88 @@ def _average(rows: DataFrame, size: int) -> np.ndarray:
     return np.concatenate([parts[i] for i in sorted(parts)]) if parts else np.empty(0, np.float32)
 
 
-def fit(texts: DataFrame, lex: Lexicon, n_tokens: int) -> dict[str, np.ndarray]:
-    """``texts``: pick (a hash of the row's id), text of the training documents."""
-    c, p = lex.config, initial(lex)
-    share = min(1.0, max(c.fit_share, c.min_fit_tokens / max(1, n_tokens)))
-    chosen = texts
-    if share < 1:
-        unit = F.col("pick").bitwiseAND((1 << 30) - 1) / F.lit(float(1 << 30))
-        chosen = materialize(texts.where(unit < share), "lm-sample")
-    shared = chosen.sparkSession.sparkContext.broadcast(lex)
+def fit(train: DataFrame, lex: Lexicon) -> np.ndarray:
+    """The weights, learned from all rows of ``train`` (row and tokens, as of ``tokenized``)."""
+    c, flat = lex.config, initial(lex)
+    squares, sc = np.zeros_like(flat), train.sparkSession.sparkContext
+    shared = sc.broadcast(lex)
     for r in range(c.rounds):
-        start = chosen.sparkSession.sparkContext.broadcast(pack_weights(p))
+        start = sc.broadcast((flat, squares))
 
-        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start=start, first=c.first_tokens if r == 0 else c.fit_tokens) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            mine = shared.value
-            trainer = Trainer(mine, unpack_weights(start.value, initial(mine)))
+            mine, (flat, squares) = shared.value, start.value
+            trainer, most = Trainer(mine, flat.copy(), squares.copy()), first
             docs, size = [], 0
             for b in batches:
                 for t in b.column(0):
-                    docs.append(mine.read(t.as_py())[0])
+                    docs.append(np.frombuffer(t.as_buffer(), np.int32))
                     size += len(docs[-1])
-                    if size > mine.config.fit_tokens:
+                    if size > most:
                         trainer.fit(docs)
-                        docs, size = [], 0
+                        docs, size, most = [], 0, min(2 * most, mine.config.fit_tokens)
             if docs:
                 trainer.fit(docs)
             if trainer.tokens:
-                cut = np.array_split(pack_weights(trainer.net.p), PARTS)
+                cut = np.array_split(np.concatenate((trainer.net.flat, trainer.squares)), PARTS)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(PARTS), pa.int32()), pa.array([TaskContext.get().partitionId()] * PARTS, pa.int32()), pa.array([float(trainer.tokens)] * PARTS), pa.array([x.tobytes() for x in cut], pa.binary())],
                     names=["part", "task", "tokens", "vector"],
                 )
 
-        turn = chosen.where(F.shiftright("pick", 32).bitwiseAND(0xFFFF) % c.rounds == r).select("text")
+        turn = train.where(F.pmod(F.xxhash64("row"), F.lit(c.rounds)) == r).select("tokens")
         trained = materialize(turn.mapInArrow(run, "part int, task int, tokens double, vector binary"), f"lm-round-{r}")
-        flat = _average(trained, len(pack_weights(p)))
-        if len(flat):
-            p = unpack_weights(flat, p)
-    return p
+        mean = _average(trained)
+        if len(mean):
+            flat, squares = np.split(mean, 2)
+    return flat
 
 
-def score(docs: DataFrame, lex: Lexicon, p: dict[str, np.ndarray], counts: DataFrame, n_tokens: int, distinct: int) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row (columns doc_id, text)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((lex, pack_weights(p)))
+def score(read: DataFrame, lex: Lexicon, flat: np.ndarray, counts: DataFrame, n_tokens: int, distinct: int) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every row of ``read`` (as of ``tokenized``)."""
+    shared = read.sparkSession.sparkContext.broadcast((lex, flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         mine, flat = shared.value
-        net = Network(mine, unpack_weights(flat, initial(mine)))
-        row = TaskContext.get().partitionId() << 40
-        ids: list = []
-        read: list[tuple] = []
+        net = Network(mine, flat)
+        rows: list[int] = []
+        docs: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            nonlocal row, ids, read, size
-            s = log10_likelihoods(net, [x[0] for x in read]) + np.array([x[1] for x in read])
-            cols = [
-                pa.array(range(row, row + len(ids)), pa.int64()), pa.array(ids, pa.int64()), pa.array([len(x[0]) for x in read], pa.int64()), pa.array([x[3] for x in read], pa.int64()),
-                pa.array([x[2] for x in read], pa.float64()), pa.array(s, pa.float64()), pa.array([[w.decode() for w in x[4]] for x in read], pa.list_(pa.string())),
-            ]
-            row += len(ids)
-            ids, read, size = [], [], 0
-            return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+            cols = [pa.array(rows, pa.int64()), pa.array([len(x) for x in docs], pa.int64()), pa.array(log10_likelihoods(net, docs), pa.float64())]
+            return pa.RecordBatch.from_arrays(cols, names=["row", "n_tokens", "score"])
 
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids.append(i)
-                read.append(mine.read(t.as_py()))
-                size += len(read[-1][0])
+                rows.append(i)
+                docs.append(np.frombuffer(t.as_buffer(), np.int32))
+                size += len(docs[-1])
                 if size > mine.config.score_tokens:
                     yield out()
-        if ids:
+                    rows, docs, size = [], [], 0
+        if rows:
             yield out()
 
-    schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<string>"
-    scored = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema), "lm-scored")
+    scored = materialize(read.select("row", "tokens").mapInArrow(run, "row long, n_tokens long, score double"), "lm-scored")
     # Rare words meet their counts; each is at most as frequent as the head's last word.
-    rare = scored.select("row", F.explode("rare").alias("word")).join(counts.select("word", "c").hint("merge"), "word")
+    rare = read.select("row", F.explode("rare").alias("word")).join(counts.select("word", "c").hint("merge"), "word")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count(F.lit(1)).alias("known"))
     per_token = math.log10(n_tokens + distinct + 1)
     more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    rows = read.drop("tokens", "rare").join(scored.hint("merge"), "row").join(rare.hint("merge"), "row", "left")
+    return rows.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        (F.col("base") + more - per_token * F.col("n_tokens")).alias("base_score"), (F.col("score") + more).alias("score"),
+        (F.col("base") + more - per_token * F.col("n_tokens")).alias("base_score"), (F.col("score") + F.col("fixed") + more).alias("score"),
     )
 
 
 def op1_language_model(spark: SparkSession, sf_dir: str, config: Config = Config()) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    train = docs.where(~held_out(F.col("doc_id"))).select(F.xxhash64("doc_id").alias("pick"), text_or_empty().alias("text"))
-    counts = materialize(count_tokens(train.select("text")), "lm-counts")
+    learned = ~held_out(F.col("doc_id"))
+    counts = materialize(count_tokens(docs.where(learned).select(text_or_empty().alias("text"))), "lm-counts")
     lex, n_tokens, distinct = lexicon_of(counts, config)
-    p = fit(train, lex, n_tokens)
-    rows = score(docs, lex, p, counts, n_tokens, distinct)
+    read = materialize(tokenized(docs, lex), "lm-tokens")
+    rows = score(read, lex, fit(read.where(learned), lex), counts, n_tokens, distinct)
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

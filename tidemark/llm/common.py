@@ -56,6 +56,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without_rows(docs: DataFrame, gone: DataFrame, digest: Column) -> DataFrame:
+    """``docs`` without the rows that ``gone`` names by id and digest of the text.
+
+    ``gone``: two columns; ``digest``: how the second is made from a row of
+    ``docs``.  Its columns get names that no column of ``docs`` has, whatever
+    those are called; all columns of ``docs`` pass through.  A null id is an id
+    like any other here.
+    """
+    taken = {c.lower() for c in docs.columns}
+    names = [next(n for i in range(len(taken) + 1) if (n := f"{base}_{i}") not in taken) for base in ("gone_id", "gone_digest")]
+    gone = gone.toDF(*names).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (digest == F.col(names[1]))
+    return docs.join(gone, same, "left_anti")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, materialize, read_table, text_or_empty, words_of
+from .common import WORD_PATTERN, materialize, read_table, text_or_empty, without_rows, words_of
 
 #: Frequent function words; the reference frequencies come from the corpus.
 COMMON_WORDS = {
@@ -182,11 +182,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that fail the rules go.
 
     The anti-join carries the ids of rejected documents with a hash of the text,
-    so ids that occur twice with different texts are told apart.
+    so ids that occur twice with different texts are told apart.  Null and empty
+    texts fail the rules and go; repeated rows stay or go together; other
+    columns pass through, whatever their names; an empty table stays empty.
     """
-    gone = judge(docs).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
-    return docs.join(gone, same, "left_anti")
+    return without_rows(docs, judge(docs).where("NOT kept").select("doc_id", "text_hash"), F.xxhash64(text_or_empty()))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

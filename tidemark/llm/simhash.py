@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, materialize, read_table, text_or_empty
+from .common import HOT_SHARE, materialize, read_table, text_or_empty, without_rows
 from .components import components
 
 MAX_BITS = 2
@@ -248,10 +248,14 @@ def cluster(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id stays."""
-    gone = cluster(docs).where("NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
-    return docs.join(gone, same, "left_anti")
+    """Pipeline stage: of each component the document with the smallest doc_id stays.
+
+    Null and empty texts are one component; rows that repeat id and text stay or
+    go together; a null id goes if its component has an id; other columns pass
+    through, whatever their names; an empty table stays empty.
+    """
+    gone = cluster(docs).where("NOT (doc_id <=> component_id)").select("doc_id", "text_hash")
+    return without_rows(docs, gone, F.xxhash64(text_or_empty()))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

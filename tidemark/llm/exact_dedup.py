@@ -4,7 +4,11 @@ The index is a Parquet table bucketed and sorted by the SHA-256 of the text.
 A batch is reduced to one row per digest before anything is compared (so a text
 with a million copies is one row), the digests already in the index are removed
 by a sort-merge anti-join that reads the index by its buckets, and the rest is
-appended with the id of the row that stays.
+appended with the id of the row that stays.  A batch's rows then meet the index
+for their decisions, texts with very many rows in the batch by broadcast.
+
+The query brings the documents in two batches, those with the larger ids first,
+so that the row with the largest id stays as if they had come at once.
 
 Defined cases: a null text counts as empty; a null id never stays when the text
 has a row with an id, and stays when it has none; rows that repeat id and text
@@ -19,22 +23,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_grouped, materialize, read_table, text_or_empty
+from .common import fresh_dir, join_grouped, materialize, read_table, text_or_empty, without_rows
 
 
 class DigestIndex:
     """Digests seen so far, with the id that stays for each.
 
-    Table columns: ``digest`` (32 bytes), ``keep_id``, ``group_size`` (rows with
-    the text in the batch that brought it) and ``batch_id``.
+    Table columns: ``digest`` (32 bytes), ``keep_id`` and ``batch_id`` (the batch
+    that brought it).  The table's files lie under ``path``, which all executors
+    share; choose ``buckets`` so that a bucket of the grown index suits a task.
     """
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int = 64):
-        self.spark, self.name, self.buckets = spark, name, buckets
+    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int = 64):
+        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
 
     @classmethod
     def temporary(cls, spark: SparkSession, buckets: int = 64) -> DigestIndex:
-        return cls(spark, f"digest_index_{uuid.uuid4().hex}", buckets)
+        return cls(spark, f"digest_index_{uuid.uuid4().hex}", fresh_dir(spark, "digest-index"), buckets)
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -42,31 +47,29 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, batch: DataFrame, batch_id: str) -> DataFrame:
-        """Index ``batch`` (columns doc_id, digest); returns a decision per row.
-
-        Adds keep_id, group_size and kept.  Appending a batch again changes
-        nothing and gives the same decisions: its digests are in the index.
-        """
+    def append(self, batch: DataFrame, batch_id: str) -> None:
+        """Index ``batch`` (columns doc_id, digest).  Appending a batch again changes nothing: its digests are in the index."""
+        fresh, known = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), self.exists()
+        if known:
+            fresh = fresh.hint("merge").join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+        rows = fresh.withColumn("batch_id", F.lit(batch_id)).repartition(self.buckets, "digest")
+        out = rows.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
+        (out if known else out.option("path", self.path)).saveAsTable(self.name)
+
+    def decide(self, batch: DataFrame) -> DataFrame:
+        """doc_id, digest, keep_id, group_size (rows of ``batch`` with the text) and kept for each row of an indexed batch."""
         batch = batch.select("doc_id", "digest")
-        groups = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        fresh = groups
-        if self.exists():
-            fresh = groups.hint("merge").join(self.read().select("digest").hint("merge"), "digest", "left_anti")
-        (
-            fresh.withColumn("batch_id", F.lit(batch_id))
-            .repartition(self.buckets, "digest")
-            .write.mode("append")
-            .format("parquet")
-            .bucketBy(self.buckets, "digest")
-            .sortBy("digest")
-            .saveAsTable(self.name)
-        )
-        known = self.read().select("digest", "keep_id", "group_size")
-        return join_grouped(batch, known, "digest", "group_size", batch.count()).withColumn(
-            "kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))
+        copies = batch.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+        known = copies.hint("merge").join(self.read().select("digest", "keep_id").hint("merge"), "digest")
+        known = materialize(known, "digest-decisions")
+        return join_grouped(batch, known, "digest", "group_size", batch.count()).select(
+            "doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
         )
 
+    def drop(self) -> None:
+        """Forget the table; the files under ``path`` go with the shared folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the 32-byte SHA-256 of the text in UTF-8."""
@@ -74,22 +77,36 @@ def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def dedup(docs: DataFrame, index: DigestIndex | None = None, batch_id: str = "initial") -> DataFrame:
-    """One row per document: doc_id, digest, keep_id, group_size, kept."""
-    index = index or DigestIndex.temporary(docs.sparkSession)
-    return index.append(materialize(text_digests(docs), "digests"), batch_id)
+    """Index the documents as one batch; a row for each, as of ``DigestIndex.decide``."""
+    digests = materialize(text_digests(docs), "digests")
+    own = index or DigestIndex.temporary(docs.sparkSession)
+    own.append(digests, batch_id)
+    rows = own.decide(digests)
+    if index is None:
+        own.drop()  # decisions are in a table of their own
+    return rows
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of equal texts the row with the largest doc_id stays."""
-    gone = dedup(docs).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    digest = F.unhex(F.sha2(text_or_empty(), 256))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_digest")), "left_anti")
+    """Pipeline stage: of equal texts the row with the largest doc_id stays.
+
+    Null and empty texts are equal; rows that repeat id and text stay or go
+    together; other columns pass through, whatever their names; an empty table
+    stays empty.
+    """
+    return without_rows(docs, dedup(docs).where("NOT kept").select("doc_id", "digest"), F.unhex(F.sha2(text_or_empty(), 256)))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
-    )
+    digests = materialize(text_digests(read_table(spark, sf_dir, "documents")), "digests")
+    middle = digests.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    upper = F.coalesce(F.col("doc_id") >= F.lit(middle), F.lit(False))
+    index = DigestIndex.temporary(spark)
+    index.append(digests.where(upper), "upper")
+    index.append(digests.where(~upper), "lower")
+    rows = index.decide(digests).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    index.drop()
+    return rows
 
 
 OP5_SQL = """

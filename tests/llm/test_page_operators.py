@@ -117,9 +117,9 @@ def test_reputation_shrinks_small_hosts(spark):
             rows.append((n, f"http://{host}/{k}"))
             bad.append((n, int(k < worst * pages)))
             n += 1
-    rows.append((n, "http://unseen.vile.com/"))
+    rows += [(n, "http://unseen.vile.com/"), (n + 1, "http://me:secret@c.vile.com:8080/1")]
     got = judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([*bad, (0, None)], "page_id long, bad int"), {})
     verdict = {r.host: r.verdict for r in got.select("host", "verdict").distinct().collect()}
-    assert verdict["c.vile.com"] == "block"
+    assert verdict["c.vile.com"] == verdict["me:secret@c.vile.com:8080"] == "block"
     assert verdict["new.org"] == "allow"  # one bad page isn't enough
     assert verdict["a.good.com"] == "allow"

@@ -1,11 +1,13 @@
 """URL filters: listed rules first, empirical-Bayes host reputation for the rest.
 
-Labelled outcomes of pages (1 bad, 0 good) are counted per host.  A bad rate is
-shrunk along suffix -> registered domain -> host: each level's prior is a beta
-with the parent's posterior mean, and its strength is estimated from the data by
-moments (how much the children's rates differ beyond binomial noise).  A host is
-blocked when the lower bound of its posterior bad rate, mean minus z standard
-deviations (those of its parents included), exceeds ``max_bad_rate``.  Hosts without outcomes have their parent's
+Labelled outcomes of pages (1 bad, 0 good) are counted per host, without a user
+name or port.  A bad rate is shrunk along suffix -> registered domain -> host:
+each level's prior is a beta with the parent's posterior mean, and its strength
+is estimated from the data by moments (how much the children's rates differ
+beyond binomial noise).  A host is blocked when the lower bound of its posterior
+bad rate, by the normal approximation (mean minus z standard deviations, those
+of its parents included), exceeds ``max_lift`` times the rate of all outcomes,
+or ``max_bad_rate`` if that is less.  Hosts without outcomes have their parent's
 mean as theirs.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and
@@ -32,9 +34,11 @@ TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "
 @dataclass(frozen=True)
 class Reputation:
     max_bad_rate: float = 0.5
+    max_lift: float = 2.0
     z: float = 1.645
     min_strength: float = 1.0
     max_strength: float = 1000.0
+    two_label_suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES
 
 
 def host_of(url: Column) -> Column:
@@ -56,9 +60,14 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
-def suffix_of(host: Column) -> Column:
+def site_of(host: Column) -> Column:
+    """The host without a user name and port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
+def suffix_of(host: Column, two_labels: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*two_labels), two).otherwise(F.substring_index(host, ".", -1))
 
 
 def domain_of(host: Column, suffix: Column) -> Column:
@@ -66,12 +75,18 @@ def domain_of(host: Column, suffix: Column) -> Column:
     return F.when(labels == 3, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
+def _with_parents(level: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """Children with their parent's columns; parents of very many children (``com``) go by broadcast."""
+    sizes = level.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    return join_grouped(level, parents.join(sizes, key), key, "_size", level.count()).drop("_size")
+
+
 def _strength(level: DataFrame, child: str, parent: str, p: Reputation) -> DataFrame:
     """One row ``m``: the strength of the beta prior that children of one parent share."""
     within = level.groupBy(parent).agg(
         F.sum("n").alias("_n"), F.sum("bad").alias("_k"), F.sum(F.col("n") * F.col("n")).alias("_nn"), F.count(child).alias("_c")
     )
-    rated = level.where("n > 0").join(within.where("_n > 0"), parent)
+    rated = _with_parents(level.where("n > 0"), within.where("_n > 0"), parent)
     spread = rated.agg(F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("_k") / F.col("_n"), 2)).alias("s"), F.count(F.lit(1)).alias("children"))
     whole = within.where("_n > 0").agg(
         F.sum("_n").alias("n"), F.sum("_k").alias("k"), F.sum(F.col("_n") - F.col("_nn") / F.col("_n")).alias("free"), F.count(F.lit(1)).alias("parents")
@@ -86,16 +101,16 @@ def _strength(level: DataFrame, child: str, parent: str, p: Reputation) -> DataF
 
 def reputations(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     """``hosts``: host, pages, n, bad (outcomes and bad ones).  Adds bad_rate, bound and verdict."""
-    suffix = suffix_of(F.col("host"))
+    suffix = suffix_of(F.col("host"), p.two_label_suffixes)
     hosts = hosts.withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains = materialize(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("root", F.lit(0))
     root = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("p_mean"), F.sum("n").alias("_n"))
     root = root.select("p_mean", (F.col("p_mean") * (1 - F.col("p_mean")) / (F.col("_n") + 1)).alias("p_var"))
 
     def shrunk(level: DataFrame, parents: DataFrame, on: str | None, child: str, parent: str) -> DataFrame:
         """Posterior mean and variance; the parent's own variance counts by the weight of the prior."""
-        joined = level.join(parents, on) if on else level.join(F.broadcast(parents))
+        joined = _with_parents(level, parents, on) if on else level.join(F.broadcast(parents))
         joined = joined.join(F.broadcast(_strength(level, child, parent, p)))
         weight = F.col("m") + F.col("n")
         joined = joined.withColumn("mean", (F.col("m") * F.col("p_mean") + F.col("bad")) / weight)
@@ -109,19 +124,21 @@ def reputations(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     d = shrunk(domains, as_parent(s, "suffix"), "suffix", "domain", "suffix")
     h = shrunk(hosts, as_parent(d, "domain"), "domain", "host", "domain")
     h = h.withColumn("bound", F.col("mean") - p.z * F.sqrt("var"))
-    verdict = F.when(F.col("bound") > p.max_bad_rate, "block").otherwise("allow").alias("host_verdict")
+    cut = root.select(F.least(p.max_lift * F.col("p_mean"), F.lit(p.max_bad_rate)).alias("_cut"))
+    h = h.join(F.broadcast(cut))
+    verdict = F.when(F.col("bound") > F.col("_cut"), "block").otherwise("allow").alias("host_verdict")
     return h.select("host", "pages", "n", "bad", F.col("mean").alias("bad_rate"), "bound", verdict)
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str] | None = None, p: Reputation = Reputation()) -> DataFrame:
     """``pages``: page_id, url.  ``outcomes``: page_id, bad (1, 0 or null).  One row per page."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    urls = materialize(pages.select("page_id", host.alias("host"), path.alias("path")), "urls")
+    urls = materialize(pages.select("page_id", host.alias("host"), path.alias("path"), site_of(host).alias("site")), "urls")
     marked = urls.join(outcomes.where("bad IS NOT NULL").select("page_id", F.col("bad").cast("long")), "page_id")
-    rated = marked.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad"))
-    hosts = urls.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).join(rated, "host", "left").fillna(0, ["n", "bad"])
-    table = materialize(reputations(materialize(hosts, "hosts"), p), "reputations")
-    df = join_grouped(urls, table, "host", "pages", urls.count())
+    rated = marked.groupBy("site").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad"))
+    hosts = urls.groupBy("site").agg(F.count(F.lit(1)).alias("pages")).join(rated, "site", "left").fillna(0, ["n", "bad"]).withColumnRenamed("site", "host")
+    table = materialize(reputations(materialize(hosts, "hosts"), p), "reputations").withColumnRenamed("host", "site")
+    df = join_grouped(urls, table, "site", "pages", urls.count())
     rules = RULES if rules is None else rules
     df = df.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     listed = F.when(F.lit(False), F.lit(None).cast("string"))
@@ -142,15 +159,15 @@ WITH u AS (
          regexp_extract(x, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
   FROM (SELECT page_id, coalesce(url, '') AS x FROM pages) a),
 r AS (
-  SELECT *, CASE
+  SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM u),
 h0 AS (
-  SELECT u.host, CAST(count(l.quality) AS DOUBLE) AS n, CAST(coalesce(sum(1 - l.quality), 0) AS DOUBLE) AS bad
-  FROM u LEFT JOIN labels l ON l.doc_id = u.page_id GROUP BY u.host),
+  SELECT u.site AS host, CAST(count(l.quality) AS DOUBLE) AS n, CAST(coalesce(sum(1 - l.quality), 0) AS DOUBLE) AS bad
+  FROM r u LEFT JOIN labels l ON l.doc_id = u.page_id GROUP BY u.site),
 h AS (
   SELECT *, list_aggregate(p[greatest(len(p) - 1, 1):], 'string_agg', '.') AS two, p[len(p)] AS one, p FROM (SELECT *, string_split(host, '.') AS p FROM h0) a),
 hd AS (
@@ -180,8 +197,8 @@ dm AS (SELECT domain, mean, mean * (1 - mean) / (m + n + 1) + power(m / (m + n),
        FROM (SELECT domain, m, n, sm.var AS pv, (m * sm.mean + bad) / (m + n) AS mean FROM d JOIN sm ON sm.suffix = d.suffix, m WHERE k = 'd') a),
 hm AS (SELECT host, mean, mean * (1 - mean) / (m + n + 1) + power(m / (m + n), 2) * pv AS var
        FROM (SELECT host, m, n, dm.var AS pv, (m * dm.mean + bad) / (m + n) AS mean FROM hd JOIN dm ON dm.domain = hd.domain, m WHERE k = 'h') a),
-v AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(var) > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM hm)
+v AS (SELECT host, CASE WHEN hm.mean - 1.645 * sqrt(hm.var) > least(2 * root.mean, 0.5) THEN 'block' ELSE 'allow' END AS verdict FROM hm, root)
 SELECT page_id, r.host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' ELSE coalesce(v.verdict, 'allow') END AS verdict
-FROM r LEFT JOIN v ON v.host = r.host
+FROM r LEFT JOIN v ON v.host = r.site
 """

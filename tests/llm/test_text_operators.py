@@ -291,6 +291,30 @@ def test_toxicity_learns_and_spares_exceptions(spark, docs, no_docs):
     assert score(no_docs, fit(no_docs, df.select("doc_id", F.lit(None).cast("int").alias("toxic")))).count() == 0
 
 
+def test_toxicity_measure_equals_a_plain_scan():
+    """Every word against every entry, every hit against every phrase; a long text repeats phrases."""
+    from tidemark.llm.toxicity import Lexicon, fold
+
+    rng = random.Random(9)
+    lexicon = Lexicon({"ab ": 1.0, "abc": 2.5, "b": 0.5, "moron ": 3.0, "trash ": 1.5}, (0.0, 1.0, 1.0, 1.0), ("moron mountain", "the abc b", "trash can"))
+    words = ["ab", "abc", "abcd", "b", "ba", "moron", "M0RON", "mountain", "the", "trash", "can", "x", "IDI0T,", "аb"]
+    texts = ["", " ", *(" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(300))]
+    texts.append("moron mountain trash can trash " * 60_000)
+    a = lexicon.automaton()
+    for text in texts:
+        found = fold(text).split()
+        at, hits = 0, []
+        line = f" {fold(text)} "
+        spans = [(i, i + len(p) + 1) for p in lexicon.exceptions for i in range(len(line)) if line.startswith(f" {p} ", i)] if len(text) < 1000 else None
+        for w in found:
+            matched = [v for term, v in lexicon.weights.items() if (w == term[:-1] if term[-1] == " " else w.startswith(term))]
+            if matched and not (any(x <= at < y for x, y in spans) if spans is not None else w == "moron" or (w == "trash" and line.startswith(" trash can ", at))):
+                hits.append(max(matched))
+            at += len(w) + 1
+        total, top, n = lexicon.measure(a, text)
+        assert (pytest.approx(sum(hits)), max(hits, default=0.0), len(found)) == (total, top, n)
+
+
 def test_toxicity_keeps_rare_terms_among_many_common_ones(spark):
     from itertools import product
 
@@ -466,19 +490,50 @@ def test_most_frequent_takes_ties_up_to_the_limit(spark):
 
 
 def test_token_counts(spark, docs, no_docs, tmp_path):
-    from tidemark.llm.token_counts import Rollup, deletes, inserts, revisions
-
-    store = Rollup(spark, str(tmp_path / "counts"))
-    assert store.totals().count() == 0
-    assert store.commit("1", inserts(docs, "words-1")) and not store.commit("1", inserts(docs, "words-1"))
-    store.commit("2", deletes(docs.where("source = 'c'"), "words-1"))
-    store.commit("3", revisions(docs.where("source = 'b'"), "words-1", "words-2"))
-    store.commit("4", inserts(no_docs, "words-1"))
-    want = Counter()
-    for _, text, lang, source in ROWS:
-        if source != "c":
-            n = [w for w in WORD.findall(text or "") if source != "b" or re.search(r"[A-Za-z0-9\x80-\U0010ffff]", w)]
-            want[(source, lang, "words-2" if source == "b" else "words-1")] += len(n)
-    assert {tuple(r)[:3]: r.n_tokens for r in store.totals().collect()} == dict(want)
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.bpe import default_path
+    from tidemark.llm.token_counts import BPE, WORDS, Rollup, count_documents, deletes, inserts, op10_token_counts, revisions
+
+    library = Tokenizer.from_file(default_path())
+    size = {WORDS: lambda t: len(WORD.findall(t)), BPE: lambda t: len(library.encode(t, add_special_tokens=False).ids)}
+    counts = count_documents(docs, default_path()).cache()
+    store, want = Rollup(spark, f"{tmp_path}/rollup"), Counter()
+
+    def change(rows, version, sign):
+        for _, text, lang, source in rows:
+            for k, n in (("docs", 1), ("tokens", size[version](text or "")), ("chars", len(text or ""))):
+                want[source, lang, version, k] += sign * n
+
+    def check(store=store):
+        got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_chars) for r in store.totals().collect()}
+        assert got == {k[:3]: (n, want[*k[:3], "tokens"], want[*k[:3], "chars"]) for k, n in want.items() if k[3] == "docs" and n}
+
+    assert store.totals().count() == 0 and store.committed() == []
+    assert store.commit("load", inserts(counts, WORDS)) and not store.commit("load", inserts(counts, WORDS))
+    change(ROWS, WORDS, 1)
+    check()
+    assert store.commit("bpe", revisions(counts.where("lang = 'en'"), WORDS, BPE))
+    change([r for r in ROWS if r[2] == "en"], WORDS, -1)
+    change([r for r in ROWS if r[2] == "en"], BPE, 1)
+    check()
+    store.compact()
+    check()
+    assert store.commit("gone", deletes(counts.where("source = 'c'  AND lang <> 'en'"), WORDS))
+    change([r for r in ROWS if r[3] == "c" and r[2] != "en"], WORDS, -1)
+    check()
+    store.compact()
+    store.compact()
+    check()
+    assert not store.commit("bpe", inserts(counts, BPE)) and store.committed() == ["bpe", "gone", "load"]
+    assert store.commit("none", inserts(count_documents(no_docs, default_path()), BPE))
+    check()
     with pytest.raises(ValueError):
-        store.commit("../x", inserts(docs, "words-1"))
+        store.commit("a/b", inserts(counts, WORDS))
+    # The query: every row, English ones by words and the others by BPE.
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want.clear()
+    for r in ROWS:
+        change([r], WORDS if r[2] == "en" else BPE, 1)
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_chars) for r in op10_token_counts(spark, str(tmp_path)).collect()}
+    assert got == {k[:3]: (n, want[*k[:3], "tokens"], want[*k[:3], "chars"]) for k, n in want.items() if k[3] == "docs" and n}

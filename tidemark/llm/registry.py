@@ -11,7 +11,7 @@ from .language_model import op1_language_model
 from .packing import op4_packing
 from .quality_rules import OP7_SQL, op7_quality_rules
 from .simhash import op8_simhash
-from .token_counts import OP10_SQL, op10_token_counts
+from .token_counts import op10_token_counts
 from .toxicity import op2_toxicity
 from .url_filters import OP9_SQL, op9_url_filters
 from .warc import OP3_SQL, op3_warc
@@ -33,4 +33,4 @@ QUERIES = {
         op10_token_counts,
     )
 }
-SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": OP7_SQL, "op9_url_filters": OP9_SQL, "op10_token_counts": OP10_SQL}
+SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": OP7_SQL, "op9_url_filters": OP9_SQL}

@@ -1,12 +1,14 @@
 """Token counts kept up to date by signed deltas.
 
-A batch of changes is reduced to one delta row per (source, lang, tokenizer):
-an insert adds a document's counts, a delete takes them off, a revision takes
-off the old counts and adds the new.  The store holds the deltas of each batch
-in a folder named after the batch, written in one commit, so writing a batch
-again replaces it by itself and never counts twice.  Totals are sums of deltas,
-hence the order of batches doesn't matter; ``compact`` folds batches into one
-base to keep reads short.
+Texts are read once, for a narrow table with each document's counts under every
+tokenizer version.  A batch of changes is reduced to one delta row per (source,
+lang, tokenizer): an insert adds a document's counts, a delete takes them off, a
+revision takes off the counts of one version and adds those of another.  The
+store holds the deltas of each batch in a folder named after the batch, written
+in one commit, so writing a batch again replaces it by itself and never counts
+twice.  Totals are sums of deltas, hence the order of batches doesn't matter;
+``compact`` folds batches into one base to keep reads short, and still knows
+their ids.  A batch id has one writer at a time, as has ``compact``.
 
 Defined cases: a null text has no tokens; null source or language form a group
 of their own; repeated rows count each time; an empty batch commits a folder
@@ -16,44 +18,57 @@ without rows; other columns aren't read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, read_table, text_or_empty
+from .bpe import _encoder, default_path
+from .common import fresh_dir, materialize, read_table, text_or_empty
 
 KEYS = ["source", "lang", "tokenizer"]
 MEASURES = ["n_docs", "n_tokens", "n_chars"]
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"
+#: Tokenizer versions: runs of anything but the six ASCII white-space characters, and byte-level BPE of the given file.
+WORDS, BPE = "words-1", "byte-bpe-50k"
+COUNTS = f"source string, lang string, n_chars long, `{WORDS}` long, `{BPE}` long"
 
-#: Tokenizer versions: a pattern each; a token is a match.
-TOKENIZERS = {"words-1": r"[^\x20\x09-\x0D]+", "words-2": r"[^\x20\x09-\x0D]*[A-Za-z0-9\x{80}-\x{10FFFF}][^\x20\x09-\x0D]*"}
 
+def count_documents(docs: DataFrame, path: str) -> DataFrame:
+    """source, lang, n_chars and a count per tokenizer version, in one pass over the texts."""
 
-def token_count(text: Column, tokenizer: str) -> Column:
-    return F.regexp_count(text, F.lit(TOKENIZERS[tokenizer])).cast("long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(path, None)
+        for b in batches:
+            text = b.column(2)
+            chars, words = zip(*((len(t), len(t.encode().split())) for t in text.to_pylist())) if b.num_rows else ((), ())
+            ids = [len(x) for x in encoder.encode_column(text)] if b.num_rows else []
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in (chars, words, ids))], names=["source", "lang", "n_chars", WORDS, BPE])
 
+    texts = docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"))
+    return texts.mapInArrow(run, COUNTS)
 
-def counted(docs: DataFrame, tokenizer: str, sign: int = 1) -> DataFrame:
-    """Signed counts of each document under one tokenizer version."""
-    text = text_or_empty()
-    return docs.select(
+
+def _signed(counts: DataFrame, tokenizer: str, sign: int) -> DataFrame:
+    return counts.select(
         "source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(sign).cast("long").alias("n_docs"),
-        (sign * token_count(text, tokenizer)).alias("n_tokens"), (sign * F.length(text)).cast("long").alias("n_chars"),
+        (sign * F.col(f"`{tokenizer}`")).alias("n_tokens"), (sign * F.col("n_chars")).alias("n_chars"),
     )
 
 
-def inserts(docs: DataFrame, tokenizer: str) -> DataFrame:
-    return counted(docs, tokenizer, 1)
+def inserts(counts: DataFrame, tokenizer: str) -> DataFrame:
+    return _signed(counts, tokenizer, 1)
 
 
-def deletes(docs: DataFrame, tokenizer: str) -> DataFrame:
-    return counted(docs, tokenizer, -1)
+def deletes(counts: DataFrame, tokenizer: str) -> DataFrame:
+    return _signed(counts, tokenizer, -1)
 
 
-def revisions(docs: DataFrame, old: str, new: str) -> DataFrame:
+def revisions(counts: DataFrame, old: str, new: str) -> DataFrame:
     """The same documents, counted by another tokenizer version from now on."""
-    return deletes(docs, old).unionByName(inserts(docs, new))
+    return deletes(counts, old).unionByName(inserts(counts, new))
 
 
 class Rollup:
@@ -62,19 +77,30 @@ class Rollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _fs(self):
+    def _committed(self, kind: str) -> list[str]:
+        """What stands behind ``kind=`` in the names of folders whose write ended, as marked by Spark's committer."""
         jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+        path = jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path(self.path)):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
+        return sorted(n[len(kind) + 1 :] for n in names if n.startswith(f"{kind}=") and fs.exists(path(f"{self.path}/{n}/_SUCCESS")))
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/{name}")
+
+    def _state(self) -> tuple[str | None, set[str], list[str]]:
+        """The last base, the batches folded into it, and the batches that aren't."""
+        bases = self._committed("folded")  # written after the base's deltas
+        base = bases[-1] if bases else None
+        folded = {r["batch"] for r in self.spark.read.schema("batch string").parquet(f"{self.path}/folded={base}").collect()} if base else set()
+        return base, folded, [i for i in self._committed("batch") if i not in folded]
 
     def committed(self) -> list[str]:
-        """Ids of the batches whose write ended, as marked by Spark's committer."""
-        fs, path = self._fs()
-        root = path(self.path)
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        return sorted(n[6:] for n in names if n.startswith("batch=") and fs.exists(path(f"{self.path}/{n}/_SUCCESS")))
+        """Ids of the batches that count."""
+        _, folded, rest = self._state()
+        return sorted(folded.union(rest))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch of signed counts; False if it is in already."""
@@ -83,39 +109,45 @@ class Rollup:
         if batch_id in self.committed():
             return False
         delta = changes.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in MEASURES))
-        delta.where(" OR ".join(f"{c} <> 0" for c in MEASURES)).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        self._write(delta.where(" OR ".join(f"{c} <> 0" for c in MEASURES)), f"batch={batch_id}")
         return True
 
+    def compact(self) -> None:
+        """Fold all batches into a new base.  Totals stay; the folders of folded batches and older bases aren't read any more."""
+        base, folded, rest = self._state()
+        if not rest:
+            return
+        name = f"{int(base or 0) + 1:08d}"
+        self._write(self._totals().where(" OR ".join(f"{c} <> 0" for c in MEASURES)), f"base={name}")
+        self._write(self.spark.createDataFrame([(i,) for i in sorted(folded.union(rest))], "batch string").coalesce(1), f"folded={name}")
+
+    def _totals(self) -> DataFrame:
+        base, _, rest = self._state()
+        folders = [f"base={base}"] * (base is not None) + [f"batch={i}" for i in rest]
+        if not folders:
+            return self.spark.createDataFrame([], SCHEMA)
+        deltas = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/{n}" for n in folders))
+        return deltas.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in MEASURES))
+
     def totals(self) -> DataFrame:
         """Current totals; groups without documents left are not shown."""
-        ids = self.committed()
-        if not ids:
-            return self.spark.createDataFrame([], SCHEMA)
-        deltas = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/batch={i}" for i in ids))
-        return deltas.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in MEASURES)).where("n_docs <> 0")
+        return self._totals().where("n_docs <> 0")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents enter under words-1; those with symbol-only words are then
-    revised to words-2; texts under five words are deleted; one batch is replayed."""
-    docs = read_table(spark, sf_dir, "documents").select("source", "lang", "text")
-    text = text_or_empty()
-    short = token_count(text, "words-1") < 5
-    odd = ~short & (token_count(text, "words-2") < token_count(text, "words-1"))
+    """All documents enter by words; those that aren't English are then revised
+    to BPE; texts under five words are deleted, and enter again after the store
+    is compacted; one batch is replayed.  The totals are over all documents."""
+    counts = materialize(count_documents(read_table(spark, sf_dir, "documents"), default_path()), "document-counts")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    short = counts.where(F.col(f"`{WORDS}`") < 5)
+    versions = [(english, WORDS), (~english, BPE)]
+    both = lambda change: reduce(DataFrame.unionByName, (change(short.where(rows), version) for rows, version in versions))
     store = Rollup(spark, fresh_dir(spark, "token-counts"))
-    store.commit("load", inserts(docs, "words-1"))
-    store.commit("symbols", revisions(docs.where(odd), "words-1", "words-2"))
-    store.commit("short", deletes(docs.where(short), "words-1"))
-    store.commit("load", inserts(docs, "words-1"))
+    store.commit("load", inserts(counts, WORDS))
+    store.commit("bpe", revisions(counts.where(~english), WORDS, BPE))
+    store.commit("short", both(deletes))
+    store.compact()
+    store.commit("restore", both(inserts))
+    store.commit("load", inserts(counts, WORDS))
     return store.totals()
-
-
-OP10_SQL = r"""
-SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens, CAST(sum(n_chars) AS BIGINT) AS n_chars
-FROM (SELECT source, lang, length(t) AS n_chars, CASE WHEN n2 < n1 THEN 'words-2' ELSE 'words-1' END AS tokenizer, CASE WHEN n2 < n1 THEN n2 ELSE n1 END AS n, n1
-      FROM (SELECT source, lang, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n1,
-                   len(regexp_extract_all(t, '[^\x20\x09-\x0D]*[A-Za-z0-9\x{80}-\x{10FFFF}][^\x20\x09-\x0D]*')) AS n2
-            FROM (SELECT source, lang, coalesce(text, '') AS t FROM documents) a) b) c
-WHERE n1 >= 5
-GROUP BY source, lang, tokenizer
-"""

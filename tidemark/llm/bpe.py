@@ -3,8 +3,8 @@
 The frequent words of the corpus, counted by Spark, are compiled with their ids
 into a minimal acyclic automaton: states with equal futures are shared, and the
 numbers on the arcs of a word's path add up to its rank, which points to its
-ids.  The automaton is one flat array of bounded size that tasks memory-map;
-many words walk it at once.  Words that it doesn't have are merged by the
+ids.  The automaton is one flat array of bounded size, in one file per executor
+that its tasks memory-map; many words walk it at once.  Words that it doesn't have are merged by the
 vocabulary's merge ranks, also many at once.  Ids equal those of the tokenizer
 file's own library.
 
@@ -23,15 +23,16 @@ from __future__ import annotations
 import heapq
 import json
 import os
-import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 from hashlib import sha256
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,6 +181,17 @@ class Vocabulary:
             return np.concatenate(parts), np.array([len(x) for x in parts])
         return flat, counts
 
+    @cached_property
+    def decimals(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every id in decimal with a comma after it, and where each begins."""
+        texts = [b"%d," % i for i in range(self.size)]
+        return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+
+    def in_decimal(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by commas."""
+        blob, starts = self.decimals
+        return blob[spread(starts[ids], starts[ids + 1] - starts[ids])].tobytes()[:-1]
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
         start, size = self.starts[ids], self.starts[ids + 1] - self.starts[ids]
@@ -239,14 +251,19 @@ def compile_lexicon(words: dict[bytes, np.ndarray]) -> bytes:
 
 
 class Lexicon:
-    """A compiled lexicon, memory-mapped from a file of this process that has no name any more."""
-
-    def __init__(self, compiled: bytes):
-        fd, name = tempfile.mkstemp()
-        with os.fdopen(fd, "wb") as f:
-            f.write(compiled)
-        flat = np.memmap(name, "<u4", "r")
-        os.unlink(name)
+    """A compiled lexicon, memory-mapped from one file in the executor's folder, so its workers share the pages."""
+
+    def __init__(self, compiled: bytes, folder: str | None = None):
+        """Without a ``folder`` the bytes are used as they are."""
+        flat = np.frombuffer(compiled, "<u4")
+        if folder:
+            name = os.path.join(folder, f"lexicon-{sha256(compiled).hexdigest()}")
+            if not os.path.exists(name):
+                own = f"{name}-{uuid.uuid4().hex}"
+                with open(own, "wb") as f:
+                    f.write(compiled)
+                os.replace(own, name)  # whoever comes first; the others put the same bytes there
+            flat = np.memmap(name, "<u4", "r")
         self.root, arcs, n, ids = map(int, flat[:4])
         cut = np.cumsum([4, arcs, arcs, arcs, n + 1, ids])
         self.keys, self.targets, self.adds, self.offsets, self.ids = (flat[a:b] for a, b in zip(cut, cut[1:]))
@@ -280,13 +297,13 @@ class Lexicon:
 class Encoder:
     """Texts to ids.  ``compiled``: a lexicon of compile_lexicon, or none."""
 
-    def __init__(self, path: str, compiled: bytes | None = None):
+    def __init__(self, path: str, compiled: bytes | None = None, folder: str | None = None):
         import re
 
         import regex
 
         self.vocabulary = Vocabulary(path)
-        self.lexicon = Lexicon(compiled or compile_lexicon({}))
+        self.lexicon = Lexicon(compiled or compile_lexicon({}), folder if compiled else None)
         self.words, self.pieces = regex.compile(WORDS), re.compile(PIECES)
         self.specials = re.compile("(" + "|".join(map(re.escape, self.vocabulary.special)) + ")") if self.vocabulary.special else None
         self.forget()
@@ -374,7 +391,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def _encoder(path: str, compiled: bytes | None) -> Encoder:
-    return Encoder(path, compiled)
+    return Encoder(path, compiled, SparkFiles.getRootDirectory() if compiled else None)
 
 
 def frequent_words(docs: DataFrame, path: str, limit: int = LEXICON_WORDS) -> list[bytes]:
@@ -451,7 +468,7 @@ def digests(docs: DataFrame, path: str, lexicon: bytes) -> DataFrame:
             n, a, d = [], [], []
             for ids in encoder.encode_column(b.column(1)):
                 n.append(len(ids))
-                a.append(sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
+                a.append(sha256(encoder.vocabulary.in_decimal(ids)).hexdigest())
                 d.append(sha256(encoder.vocabulary.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -91,6 +91,30 @@ def test_stream_with_replay_and_late_events(spark, tmp_path):
     assert state(spark.table("latest")) == WANT[5]
 
 
+def test_two_writers_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    from tidemark.sources.store import Conflict, Store, append_raw
+    from tidemark.streaming.cdc import start_cdc_stream
+
+    a, b = Store(spark, f"{tmp_path}/s"), Store(spark, f"{tmp_path}/s")
+    rows = lambda n: spark.range(n).toDF("v")
+    append_raw(a, "raw", rows(3), "0")
+    one, two = a.stage("raw", rows(5), append=True), b.stage("raw", rows(7), append=True)
+    a.commit({"raw": one})
+    b.commit({"raw": two})
+    assert a.read("raw").count() == 15
+    keyed = rows(8).selectExpr("CAST(v AS STRING) AS v")
+    first, second = (s.stage_buckets("state", keyed, "v", [0, 1], 2) for s in (a, b))
+    a.commit({"state": first})
+    with pytest.raises(Conflict):
+        b.commit({"state": second})
+    assert a.read("state").count() == 8
+    store = Store(spark, f"{tmp_path}/cdc")
+    for i, step in enumerate(STEPS[:2]):
+        frame(spark, step).coalesce(1).write.parquet(f"{tmp_path}/in{i}")
+        start_cdc_stream(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in{i}"), store, f"{tmp_path}/check{i}").awaitTermination()
+    assert state(store.read("active")) == WANT[1]
+
+
 def test_claims_upsert_and_catalog_refresh(spark):
     from tidemark.operators.merge import is_fresh, live, mutation_counts, refresh_dimension, upsert
 

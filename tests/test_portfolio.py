@@ -184,3 +184,75 @@ def test_page_files(spark, tmp_path):
     src.write_layout(raw, f"{tmp_path}/l", "ingested_at", ["source_key"])
     assert spark.read.parquet(f"{tmp_path}/l").where("month = '2024-01'").count() == 3
     assert src.run_record(manifest, "r", False).first().rows == 3
+
+
+def test_records_are_written_as_python_would(spark):
+    import json
+    import math
+
+    from tidemark.sources.pages import NON_FINITE, written
+
+    value = {"z": [1, {"b": math.nan, "a": [-math.inf, []]}], "é": {"": {}}, "a": "\"x\u2028", "n": None, "t": True, "f": 1e22}
+    plain = {"z": [1, {"b": {NON_FINITE: "NaN"}, "a": [{NON_FINITE: "-Infinity"}, []]}], "é": {"": {}}, "a": "\"x\u2028", "n": None, "t": True, "f": 1e22}
+    text, ledger = written(value)
+    assert text == json.dumps(plain, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert dict(ledger) == {"$.z[1].b": "NaN", "$.z[1].a[0]": "-Infinity"}
+    deep = "x"
+    for _ in range(5000):
+        deep = [deep]
+    assert written(deep)[0] == "[" * 5000 + '"x"' + "]" * 5000
+
+
+def test_timestamps_are_iso_or_null(spark):
+    from tidemark.functions.expr import norm_ts, utc_date
+
+    rows = ["2024-01-31T23:30:00-02:00", "2024-01-31T23:30:00Z", "2024-01-31 23:30", "2024-01-31", "2024-02-30", "10:00", "2024", "2024-01", "x", "", None, "2024-01-31T23:30:00.5+0130"]
+    want = [date(2024, 2, 1), date(2024, 1, 31), date(2024, 1, 31), date(2024, 1, 31), *[None] * 7, date(2024, 1, 31)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for z in ("UTC", "America/Lima", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", z)
+        try:
+            assert [r[0] for r in df.orderBy("i").select(utc_date(norm_ts("t"))).collect()] == want
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_leaves_of_any_depth(spark):
+    from tidemark.operators.profile import json_depth, json_leaves
+
+    df = spark.createDataFrame([('{"a":{"b":[{"c":{"d":{"e":{"f":[1,{"g":"}}}]]"}]}}}}]}}',), ("[]",), ("no",), (None,)], "j string")
+    assert json_depth(df, "j") == 9
+    assert {(r.path, r.value) for r in json_leaves(df, "j", []).collect()} == {("a.b[].c.d.e.f[]", "1"), ("a.b[].c.d.e.f[].g", "}}}]]")}
+
+
+def test_replay_of_raw_adds_nothing(spark, tmp_path):
+    from tidemark.sources import pages as src
+
+    df = spark.sql("SELECT timestamp'2024-01-05 00:00:00' AS ingested_at, '007' AS run_id, 'b' AS batch_id, 'claims' AS resource, 's' AS snapshot_id, 1L AS page_number, id AS record_index, 'k' AS source_key, timestamp'2024-01-05 00:00:00' AS source_updated_at, 'h' AS record_hash, 'f' AS source_file, '{}' AS payload FROM range(4)")
+    for run in ("007", "007", "008"):
+        src.write_raw(df.withColumn("run_id", df.run_id if run == "007" else df.payload), f"{tmp_path}/raw")
+    rows = src.read_raw(spark, f"{tmp_path}/raw", "007", "2024-01-05", "2024-01-05")
+    assert rows.count() == 4 and rows.first().run_id == "007"
+
+
+def test_latest_of_null_orders_and_ties(spark):
+    from tidemark.operators.relational import latest_by
+
+    df = spark.createDataFrame([("a", None, 1), ("b", 1, 2), ("b", None, 3), ("c", 1, 4), ("c", 1, 5)], "k string, at int, v int")
+    got = {r.k: r.v for r in latest_by(df, ["k"], "at").collect()}
+    assert (got["a"], got["b"]) == (1, 2) and all({r.k: r.v for r in latest_by(df.repartition(n), ["k"], "at").collect()} == got for n in (1, 3))
+
+
+def test_asof_plans_start_no_job(spark):
+    from tidemark.operators.fx import asof_rate
+
+    fx = spark.createDataFrame([(date(1850, 1, 1), "ARS", Decimal(2)), (date(2024, 1, 15), "ARS", Decimal(3)), (date(2024, 1, 20), "ARS", Decimal(-1))], "rate_date date, currency string, factor_usd decimal(18,9)")
+    days = [date(1849, 12, 31), date(1850, 1, 1), date(1999, 5, 5), date(2024, 1, 14), date(2024, 1, 31), date(2500, 1, 1), None]
+    df = spark.createDataFrame([(d, c) for d in days for c in ("ARS", "USD", None)], "d date, c string")
+    spark.sparkContext.setJobGroup("asof", "asof")
+    out = asof_rate(df, fx, "d", "c")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("asof")
+    got = {(r.d, r.c): r.rate and int(r.rate) for r in out.collect()}
+    assert [got[d, "ARS"] for d in days] == [None, 2, 2, 2, 3, 3, None]
+    assert all(got[d, "USD"] == 1 and got[d, None] is None for d in days)

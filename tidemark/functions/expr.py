@@ -16,14 +16,35 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
+#: Months before the first and after the second count as that month when intervals are cut by month.
+FIRST_MONTH, LAST_MONTH = "1900-01-01", "2100-01-01"
+
+
 def norm_ts(c: Column | str) -> Column:
-    """A UTC timestamp of an ISO string; without a zone it is UTC; null if it isn't one."""
-    return _col(c).try_cast("timestamp")
+    """The instant of an ISO date or date and time; without a zone it is UTC, whatever the session's zone; null for anything else."""
+    c = _col(c)
+    iso = c.rlike(_ISO)
+    c = F.regexp_replace(c, r"([T ]\d{2}:\d{2})($|Z|[+-])", "$1:00$2")
+    zoned = F.regexp_replace(c, r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2")
+    text = F.when(c.rlike(r"[T ].*(Z|[+-][\d:]+)$"), zoned).when(c.rlike("[T ]"), F.concat(c, F.lit("Z"))).otherwise(F.concat(c, F.lit("T00:00:00Z")))
+    return F.when(iso, text).try_cast("timestamp")
 
 
 def utc_date(c: Column | str) -> Column:
-    """The date of a timestamp in the session's zone, which is UTC."""
-    return F.to_date(_col(c))
+    """The UTC date of a timestamp, whatever the session's zone."""
+    return F.to_date(F.to_utc_timestamp(_col(c), F.current_timezone()))
+
+
+def month_key(d: Column | str) -> Column:
+    """The month of a date, by which intervals cut with ``month_keys`` are met."""
+    bound = lambda m: F.lit(m).cast("date")
+    return F.least(F.greatest(F.trunc(_col(d), "MM"), bound(FIRST_MONTH)), bound(LAST_MONTH))
+
+
+def month_keys(start: Column | str, end: Column | str) -> Column:
+    """The months that an interval touches, as an array; open ends are bounded by LAST_MONTH, so none is long."""
+    return F.sequence(month_key(start), F.greatest(month_key(start), month_key(end)), F.expr("interval 1 month"))
 
 
 def parse_date_multi(c: Column | str, day_first: bool = False) -> Column:
@@ -32,7 +53,7 @@ def parse_date_multi(c: Column | str, day_first: bool = False) -> Column:
     Only a bare ISO date is cast as a date: a cast would drop a timestamp's zone.
     """
     c = F.trim(_col(c))
-    iso = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c.try_cast("date")).otherwise(F.to_date(norm_ts(c)))
+    iso = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c.try_cast("date")).otherwise(utc_date(norm_ts(c)))
     if not day_first:
         return iso
     return F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(c, "d/M/yyyy")).otherwise(iso)

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import RATE
+from ..functions.expr import RATE, month_key, month_keys
 from .relational import forward_fill, with_next
 
 OPEN_END = "9999-12-31"
-#: Rate tables up to this many rows go to every task; larger ones are joined by currency and month.
-BROADCAST_ROWS = 1_000_000
 
 
 def rate_intervals(fx: DataFrame) -> DataFrame:
@@ -18,27 +16,24 @@ def rate_intervals(fx: DataFrame) -> DataFrame:
     return with_next(fx.where("factor_usd > 0"), ["currency"], "rate_date", "next_date", F.lit(OPEN_END).cast("date"))
 
 
-def asof_rate(df: DataFrame, fx: DataFrame, date: str, currency: str, rates: int | None = None) -> DataFrame:
+def _by_month(intervals: DataFrame) -> DataFrame:
+    """A row per month that an interval touches, so a join by (currency, month) meets a few rates, not all of a currency."""
+    return intervals.withColumn("_month", F.explode(month_keys("rate_date", "next_date")))
+
+
+def asof_rate(df: DataFrame, fx: DataFrame, date: str, currency: str, how: str | None = None) -> DataFrame:
     """Adds ``rate``: 1 for USD, else the last positive rate up to the date, else null.
 
-    The number of rates is checked: a small table is broadcast and joined on the
-    currency with the interval as a residual.  A large one is cut by month, so
-    the shuffled join has many keys per currency instead of one.
+    An equi join on currency and month with the interval as a residual; no job
+    runs while the plan is built.  Whether the rates are broadcast is Spark's
+    decision by their size, unless ``how`` names a join hint.
     """
     intervals = rate_intervals(fx).select(F.col("currency").alias("_ccy"), "rate_date", "next_date", F.col("factor_usd").alias("_rate"))
+    cut = _by_month(intervals)
     inside = (F.col(date) >= F.col("rate_date")) & (F.col(date) < F.col("next_date"))
-    on = (F.col(currency) == F.col("_ccy")) & inside
-    rates = intervals.count() if rates is None else rates
-    if rates <= BROADCAST_ROWS:
-        joined = df.join(F.broadcast(intervals), on, "left")
-    else:
-        latest = df.agg(F.max(date)).first()[0]  # null for no dates: then only months of first days matter
-        last = F.least("next_date", F.date_add(F.lit(latest), 1))
-        months = F.sequence(F.trunc("rate_date", "MM"), F.greatest(F.trunc("rate_date", "MM"), F.trunc(last, "MM")), F.expr("interval 1 month"))
-        cut = intervals.withColumn("_month", F.explode(months))
-        joined = df.join(cut, on & (F.trunc(date, "MM") == F.col("_month")), "left").drop("_month")
+    joined = df.join(cut.hint(how) if how else cut, (F.col(currency) == F.col("_ccy")) & (month_key(date) == F.col("_month")) & inside, "left")
     rate = F.when(F.col(currency) == "USD", F.lit(1)).otherwise(F.col("_rate")).cast(RATE)
-    return joined.withColumn("rate", rate).drop("_ccy", "rate_date", "next_date", "_rate")
+    return joined.withColumn("rate", rate).drop("_ccy", "rate_date", "next_date", "_rate", "_month")
 
 
 def fx_daily(fx: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -84,8 +79,8 @@ def fx_gap_bins(df: DataFrame, fx: DataFrame, date: str, currency: str) -> DataF
     dates = fx.select("currency", "rate_date").distinct()
     intervals = with_next(dates, ["currency"], "rate_date", "next_date", F.lit(OPEN_END).cast("date")).withColumnRenamed("currency", "_ccy")
     known = dates.select(F.col("currency").alias("_known")).distinct()
-    on = (F.col(currency) == F.col("_ccy")) & (F.col(date) >= F.col("rate_date")) & (F.col(date) < F.col("next_date"))
-    joined = df.select(date, currency).join(F.broadcast(intervals), on, "left").join(F.broadcast(known), F.col(currency) == F.col("_known"), "left")
+    on = (F.col(currency) == F.col("_ccy")) & (month_key(date) == F.col("_month")) & (F.col(date) >= F.col("rate_date")) & (F.col(date) < F.col("next_date"))
+    joined = df.select(date, currency).join(_by_month(intervals), on, "left").join(known, F.col(currency) == F.col("_known"), "left")
     age = F.datediff(date, "rate_date")
     gap = (
         F.when(F.col(date).isNull(), "invalid_date").when(F.col(currency) == "USD", "exact").when(F.col("_known").isNull(), "invalid_currency")

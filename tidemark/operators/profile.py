@@ -55,7 +55,7 @@ def period_diagnostics(history: DataFrame, claims: DataFrame) -> DataFrame:
         F.count_if(update & before.isNotNull() & ~F.col("premium").eqNullSafe(before["premium"])).alias("updates_changed_premium"), F.count_if(update & before.isNull()).alias("updates_without_predecessor"),
         F.count_if(F.col("cover_end") < F.col("cover_start")).alias("invalid_periods"),
     )
-    periods = latest_periods(history).where("op <> 'D'")
+    periods = latest_periods(history)
     many = periods.groupBy("policy_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("policies_of_several_periods"))
     overlaps = overlap_pairs(periods).agg(F.count(F.lit(1)).alias("overlapping_pairs"))
     hits = claims.select("claim_id").join(cover_match(claims, periods), "claim_id", "left").agg(
@@ -91,11 +91,24 @@ def diagnose_claims(claims: DataFrame, history: DataFrame) -> DataFrame:
 # ---- JSON records
 
 
-def json_leaves(df: DataFrame, payload: str, keep: list[str], depth: int = 4) -> DataFrame:
-    """(path, value) of every scalar; items of arrays share the path ``[]``; levels beyond ``depth`` stay JSON."""
+def json_depth(df: DataFrame, payload: str) -> int:
+    """The most levels of objects and arrays in any payload; one pass."""
+    plain = F.regexp_replace(payload, r'"(\\\\.|[^"\\\\])*"', "")
+    marks = F.filter(F.split(F.regexp_replace(plain, r"[^{}\[\]]", ""), ""), lambda c: c != "")
+    step = lambda acc, c: F.struct(
+        (acc["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"),
+        F.greatest(acc["most"], acc["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most"),
+    )
+    depth = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda acc: acc["most"])
+    return df.agg(F.coalesce(F.max(depth), F.lit(0))).first()[0]
+
+
+def json_leaves(df: DataFrame, payload: str, keep: list[str], depth: int | None = None) -> DataFrame:
+    """(path, value) of every scalar; items of arrays share the path ``[]``; all levels, of which there are ``depth`` (counted first if not given)."""
+    depth = max(1, json_depth(df, payload) if depth is None else depth)
     level = df.where(F.col(payload).rlike(r"^\s*[{\[]")).select(*keep, F.lit("").alias("path"), F.col(payload).alias("_json"))
     done = None
-    for i in range(depth):
+    for _ in range(depth):
         obj = F.from_json("_json", "map<string,string>")
         arr = F.from_json("_json", "array<string>")
         is_obj, is_arr = F.col("_json").rlike(r"^\s*\{"), F.col("_json").rlike(r"^\s*\[")
@@ -105,8 +118,7 @@ def json_leaves(df: DataFrame, payload: str, keep: list[str], depth: int = 4) ->
         nxt = level.where(is_obj | is_arr).select(*keep, "path", F.explode(items).alias("_i"))
         nxt = nxt.select(*keep, F.concat("path", F.col("_i.k")).alias("path"), F.col("_i.v").alias("_json"))
         nested = F.coalesce(F.col("_json").rlike(r"^\s*[{\[]"), F.lit(False))
-        leaves = nxt.where(~nested if i < depth - 1 else F.lit(True))
-        done = leaves if done is None else done.unionByName(leaves)
+        done = nxt.where(~nested) if done is None else done.unionByName(nxt.where(~nested))
         level = nxt.where(nested)
     return done.select(*keep, F.regexp_replace("path", r"^\.", "").alias("path"), F.col("_json").alias("value"))
 

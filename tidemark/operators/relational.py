@@ -7,29 +7,44 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import month_key, month_keys
+
 # ---- windows
 
 
 def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the largest ``order`` for each key, by a hash aggregate: one shuffle, no sort of groups."""
+    """The row with the largest ``order`` for each key, in one shuffle with partial results before it.
+
+    A null order comes before any other; of equal ones the row with the largest
+    hash stays, so the result doesn't depend on the rows' places.  The buffers
+    are structs, so Spark aggregates by sorting.
+    """
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.col(order)).alias("_best")
+    best = F.max_by(F.struct(*rest), F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*rest))).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in rest)).select(*df.columns)
 
 
 def latest_periods(history: DataFrame, key: str = "policy_id", start: str = "cover_start", end: str = "cover_end", order: str = "updated_on") -> DataFrame:
-    """The latest event of each distinct cover period."""
-    return latest_by(history, [key, start, end], order)
+    """The latest event of each distinct cover period, deletions left out first."""
+    return latest_by(history.where("op <> 'D'"), [key, start, end], order)
 
 
 def latest_with_ties(df: DataFrame, keys: list[str], order: str, content: str) -> DataFrame:
-    """Latest row per key with ``tied``: whether its time has rows of different content."""
+    """Latest row per key with ``tied``: whether its time has rows of different content.
+
+    ``where("NOT tied")`` leaves the ambiguous keys out; ``tie_counts`` counts them.
+    """
     top = df.groupBy(*keys).agg(F.max(order).alias(order))
     at_top = df.join(top, [*keys, order])
     tied = at_top.groupBy(*keys).agg((F.countDistinct(content) > 1).alias("tied"))
     return latest_by(at_top, keys, content).join(tied, keys)
 
 
+def tie_counts(latest: DataFrame) -> DataFrame:
+    """One row: keys with one latest content, and keys left out as ambiguous."""
+    return latest.agg(F.count_if(~F.col("tied")).alias("clear"), F.count_if("tied").alias("ambiguous"))
+
+
 def with_next(df: DataFrame, keys: list[str], order: str, name: str, last: Column) -> DataFrame:
     """The next value of ``order`` in the key, ``last`` for the last row."""
     return df.withColumn(name, F.coalesce(F.lead(order).over(Window.partitionBy(*keys).orderBy(order)), last))
@@ -85,14 +100,25 @@ def self_pairs(df: DataFrame, key: str, id_col: str, cols: list[str], condition:
 
 
 def overlap_pairs(periods: DataFrame, key: str = "policy_id", start: str = "cover_start", end: str = "cover_end") -> DataFrame:
-    """Different periods of one policy that share a day, each pair once, ordered by (start, end)."""
-    order = F.struct(start, end).alias("_p")
-    df = periods.select(key, start, end).distinct().select(key, order)
-    shares = (F.col(f"a__p.{start}") <= F.col(f"b__p.{end}")) & (F.col(f"b__p.{start}") <= F.col(f"a__p.{end}"))
-    out = self_pairs(df, key, "_p", [], shares)
+    """Different periods of one policy that share a day, each pair once, ordered by (start, end).
+
+    Periods meet by (policy, month), in the first month that both touch, so a
+    policy with very many periods isn't paired with itself as a whole.
+    """
+    df = periods.where(F.col(start) <= F.col(end)).select(key, start, end).distinct()
+    df = df.withColumn("month", F.explode(month_keys(start, end))).select(F.struct(key, "month").alias("_k"), F.struct(start, end).alias("_p"))
+    a, b = F.col(f"a__p.{start}"), F.col(f"b__p.{start}")
+    shares = (a <= F.col(f"b__p.{end}")) & (b <= F.col(f"a__p.{end}")) & (F.col("_k.month") == month_key(F.greatest(a, b)))
+    out = self_pairs(df, "_k", "_p", [], shares).withColumn(key, F.col(f"_k.{key}"))
     return out.select(key, *(F.col(f"{s}__p.{c}").alias(f"{s}_{c}") for s in "ab" for c in (start, end)))
 
 
+def same_start_pairs(periods: DataFrame, key: str = "policy_id", start: str = "cover_start", end: str = "cover_end") -> DataFrame:
+    """Starts of a policy with several ends: how many periods, the first and the last end."""
+    df = periods.groupBy(key, start).agg(F.countDistinct(end).alias("ends"), F.min(end).alias("first_end"), F.max(end).alias("last_end"))
+    return df.where("ends > 1")
+
+
 def opposite_amounts(claims: DataFrame, same: list[str], amount: str = "amount", id_col: str = "claim_id") -> DataFrame:
     """Negative rows and how many positive rows of the same ``same`` columns have the opposite amount."""
     positive = claims.where(F.col(amount) > 0).groupBy(*same, F.col(amount).alias("_opposite")).agg(F.count(F.lit(1)).alias("opposites"))
@@ -122,7 +148,7 @@ def count_distinct_if(value: str, condition: Column) -> Column:
 
 
 def single_value(value: Column) -> Column:
-    """The value if all non-null values agree, else null; two hash aggregates, no distinct."""
+    """The value if all non-null values agree, else null; from two aggregates, without a distinct."""
     return F.when(F.min(value) == F.max(value), F.max(value))
 
 
@@ -146,13 +172,19 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 def collect_rows(df: DataFrame, by: list[str], cols: list[str], name: str = "rows") -> DataFrame:
-    """The columns of each group's rows as a sorted array; for groups of bounded size such as a run's jobs."""
+    """The columns of each group's rows as a sorted array; for groups of bounded size, such as a run's jobs or a user's day."""
     return df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
-    """Rows and a sum of row hashes that doesn't depend on their order."""
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))
+    """Rows and a sum, that doesn't depend on their order, of the first 52 bits of each row's SHA-256.
+
+    A row is its columns as text in the order of their names, each after its
+    length (-1 for null), so no two rows are written alike.
+    """
+    text = lambda c: F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-1:"))
+    bits = F.conv(F.substring(F.sha2(F.concat(*map(text, sorted(df.columns))), 256), 1, 13), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))
 
 
 def frequency(df: DataFrame, *cols: str) -> DataFrame:

@@ -33,7 +33,7 @@ class Portfolio:
         issued = F.to_date("o_orderdate")
         currency = F.element_at(F.array(*map(F.lit, ["USD", "ARS", "BRL", "CLP"])), F.col("n_regionkey").cast("int") + 1)
         return o.select(
-            F.col("o_orderkey").alias("policy_id"), F.col("o_custkey").alias("client_id"), (F.col("o_orderkey") % 13).alias("product_id"), (F.col("o_custkey") % 11).alias("agency_id"),
+            F.col("o_orderkey").alias("policy_id"), F.col("o_custkey").alias("client_id"), (F.col("o_orderkey") % 301).alias("product_id"), (F.col("o_custkey") % 131).alias("agency_id"),
             F.col("n_name").alias("country"), F.col("o_orderpriority").alias("channel"), issued.alias("issued_on"), F.date_add(issued, 30).alias("cover_end"),
             F.col("o_totalprice").cast(AMOUNT).alias("premium"), F.when(F.col("n_regionkey") < 4, currency).otherwise("MXN").alias("currency"), F.col("o_orderstatus").alias("src_status"),
         )
@@ -76,19 +76,19 @@ class Portfolio:
 
     @cached_property
     def products(self) -> DataFrame:
-        p = self.table("part").where("p_partkey < 12")
+        p = self.table("part")
         return p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("plan_name"), F.col("p_type").alias("product_type"), F.col("p_retailprice").cast(AMOUNT).alias("max_cover_usd"), (F.col("p_size") > 25).alias("is_premium"))
 
     @cached_property
     def agencies(self) -> DataFrame:
         channel = F.element_at(F.array(*map(F.lit, ["ONLINE", "CALL_CENTER", "PARTNER", "RETAIL"])), (F.col("s_suppkey") % 4).cast("int") + 1)
-        return self.table("supplier").where("s_suppkey < 10").select(F.col("s_suppkey").alias("agency_id"), F.col("s_name").alias("name"), channel.alias("channel"))
+        return self.table("supplier").select(F.col("s_suppkey").alias("agency_id"), F.col("s_name").alias("name"), channel.alias("channel"))
 
 
 #: The same views as common table expressions for the oracle.
 CTE = """
 policy_base AS (
-  SELECT o.o_orderkey AS policy_id, o.o_custkey AS client_id, o.o_orderkey % 13 AS product_id, o.o_custkey % 11 AS agency_id, n.n_name AS country,
+  SELECT o.o_orderkey AS policy_id, o.o_custkey AS client_id, o.o_orderkey % 301 AS product_id, o.o_custkey % 131 AS agency_id, n.n_name AS country,
     o.o_orderpriority AS channel, CAST(o.o_orderdate AS DATE) AS issued_on, CAST(CAST(o.o_orderdate AS DATE) + INTERVAL '30' DAY AS DATE) AS cover_end,
     CAST(o.o_totalprice AS DECIMAL(19,9)) AS premium,
     CASE n.n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'ARS' WHEN 2 THEN 'BRL' WHEN 3 THEN 'CLP' ELSE 'MXN' END AS currency, o.o_orderstatus AS src_status
@@ -113,8 +113,8 @@ claims AS (
 fx AS (
   SELECT rate_date, currency, CAST(CASE WHEN n % 10 = 0 THEN -1.00 ELSE CAST(50 + n % 100 AS DECIMAL(18,9)) / 100 END AS DECIMAL(18,9)) AS factor_usd
   FROM (SELECT CAST(DATE_TRUNC('month', issued_on) AS DATE) AS rate_date, currency, COUNT(*) AS n FROM policy_base WHERE currency <> 'USD' AND issued_on >= DATE '1996-01-01' GROUP BY 1, 2) g),
-products AS (SELECT p_partkey AS product_id, p_name AS plan_name, p_type AS product_type, CAST(p_retailprice AS DECIMAL(19,9)) AS max_cover_usd, p_size > 25 AS is_premium FROM part WHERE p_partkey < 12),
-agencies AS (SELECT s_suppkey AS agency_id, s_name AS name, CASE s_suppkey % 4 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'CALL_CENTER' WHEN 2 THEN 'PARTNER' ELSE 'RETAIL' END AS channel FROM supplier WHERE s_suppkey < 10)"""
+products AS (SELECT p_partkey AS product_id, p_name AS plan_name, p_type AS product_type, CAST(p_retailprice AS DECIMAL(19,9)) AS max_cover_usd, p_size > 25 AS is_premium FROM part),
+agencies AS (SELECT s_suppkey AS agency_id, s_name AS name, CASE s_suppkey % 4 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'CALL_CENTER' WHEN 2 THEN 'PARTNER' ELSE 'RETAIL' END AS channel FROM supplier)"""
 
 RATES_CTE = CTE + """,
 rates AS (SELECT currency, rate_date, factor_usd, LEAD(rate_date, 1, DATE '9999-12-31') OVER (PARTITION BY currency ORDER BY rate_date) AS next_date FROM fx WHERE factor_usd > 0)"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr
 from ..operators import checks, classify, cohort, fx, merge, metrics, parse, profile, relational
+from ..sources.store import work_dir
 from .adapters import CTE, CUTOFF, FIRST, FLAGS_CTE, FULL_CTE, LAST, MART_CTE, RATES_CTE, Portfolio
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,13 @@ def money_as_double(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
 
 
+def stored(p: Portfolio, label: str, df: DataFrame) -> DataFrame:
+    """The rows as read back from a table in the shared folder."""
+    path = work_dir(p.spark, label)
+    df.write.parquet(path)
+    return p.spark.read.schema(df.schema).parquet(path)
+
+
 def flagged(p: Portfolio) -> DataFrame:
     return classify.classify(p.claims, p.history, p.fx)
 
@@ -98,9 +106,20 @@ def policy_history_dedup(p):
     return p.history.unionByName(merge.merge_history(p.history, again.unionByName(again))).select("policy_id", "updated_on", "op")
 
 
-@query("SELECT policy_id, cover_start, cover_end, op FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY policy_id, cover_start, cover_end ORDER BY updated_on DESC) AS rn FROM history) x WHERE rn = 1")
+#: The history with renewals: a sixth of the policies gets a second, overlapping period.
+_RENEWED = """(SELECT policy_id, cover_start, cover_end, premium, op, updated_on FROM history UNION ALL
+  SELECT policy_id, CAST(cover_start + INTERVAL '20' DAY AS DATE), CAST(cover_end + INTERVAL '20' DAY AS DATE), premium, 'U', CAST(updated_on + INTERVAL '5' DAY AS DATE) FROM history WHERE op = 'I' AND policy_id % 6 = 1)"""
+
+
+def renewed(p) -> DataFrame:
+    second = p.history.where("op = 'I' AND policy_id % 6 = 1")
+    second = second.withColumns({"cover_start": F.date_add("cover_start", 20), "cover_end": F.date_add("cover_end", 20), "op": F.lit("U"), "updated_on": F.date_add("updated_on", 5)})
+    return p.history.unionByName(second)
+
+
+@query(f"SELECT policy_id, cover_start, cover_end, op FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY policy_id, cover_start, cover_end ORDER BY updated_on DESC) AS rn FROM {_RENEWED} r WHERE op <> 'D') x WHERE rn = 1")
 def policy_latest_periods(p):
-    return relational.latest_periods(p.history).select("policy_id", "cover_start", "cover_end", "op")
+    return relational.latest_periods(renewed(p)).select("policy_id", "cover_start", "cover_end", "op")
 
 
 @query("""SELECT policy_id, updated_on, op, lag(op) OVER (PARTITION BY policy_id ORDER BY updated_on, op) AS previous_op FROM history""")
@@ -108,10 +127,34 @@ def policy_previous_version(p):
     return relational.with_previous(p.history, ["policy_id"], ["updated_on", "op"], ["op"]).select("policy_id", "updated_on", "op", F.col("previous.op").alias("previous_op"))
 
 
-@query("SELECT policy_id, op, FALSE AS tied FROM latest")
+#: A policy in seven has its events again with another status: a tie of different content; one in five has them again as they are.
+_TIED = """(SELECT policy_id, op, status, updated_on FROM history UNION ALL SELECT policy_id, op, status, updated_on FROM history WHERE policy_id % 5 = 0
+  UNION ALL SELECT policy_id, op, status || '?', updated_on FROM history WHERE policy_id % 7 = 0)"""
+_TIES = f"(SELECT policy_id, MAX(op) AS op, COUNT(DISTINCT (op, status)) > 1 AS tied FROM (SELECT *, MAX(updated_on) OVER (PARTITION BY policy_id) AS last FROM {_TIED} t) x WHERE updated_on = last GROUP BY 1)"
+
+
+def _latest_tied(p) -> DataFrame:
+    again = p.history.where("policy_id % 5 = 0").unionByName(p.history.where("policy_id % 7 = 0").withColumn("status", F.concat("status", F.lit("?"))))
+    df = p.history.unionByName(again).withColumn("content", expr.row_hash("status", "op"))
+    return relational.latest_with_ties(df, ["policy_id"], "updated_on", "content")
+
+
+@query(f"SELECT * FROM {_TIES} y")
 def policy_latest_with_ties(p):
-    df = p.history.withColumn("content", expr.row_hash("premium", "status", "op"))
-    return relational.latest_with_ties(df, ["policy_id"], "updated_on", "content").select("policy_id", "op", "tied")
+    return _latest_tied(p).select("policy_id", "op", "tied")
+
+
+@query(f"SELECT COUNT(*) FILTER (NOT tied) AS clear, COUNT(*) FILTER (tied) AS ambiguous FROM {_TIES} y")
+def policy_tie_counts(p):
+    return relational.tie_counts(_latest_tied(p))
+
+
+@query("SELECT o_custkey AS policy_id, CAST(NULL AS DATE) AS seen_on, COUNT(*) > 0 AS known FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1 UNION ALL SELECT o_custkey, CAST(MAX(o_orderdate) AS DATE), TRUE FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1", None)
+def latest_with_null_order(p):
+    """Rows whose order is null throughout keep their columns; nulls come before any date."""
+    dates = F.when(F.col("o_custkey") % 3 != 0, F.to_date("o_orderdate")).alias("seen_on")
+    df = p.table("orders").select(F.col("o_custkey").alias("policy_id"), dates, F.lit(True).alias("known"))
+    return relational.latest_by(df.unionByName(df.withColumn("seen_on", F.lit(None).cast("date"))), ["policy_id"], "seen_on")
 
 
 @query("SELECT policy_id, updated_on FROM history h WHERE policy_id IN (SELECT policy_id FROM history WHERE op = 'D')")
@@ -262,7 +305,7 @@ def fx_asof_interval(p):
 @query("SELECT a.policy_id, CAST(CASE WHEN a.currency = 'USD' THEN 1 ELSE r.factor_usd END AS DOUBLE) AS rate FROM active a LEFT JOIN rates r ON r.currency = a.currency AND a.issued_on >= r.rate_date AND a.issued_on < r.next_date", RATES_CTE)
 def fx_asof_by_month(p):
     """The way for rate tables too large to broadcast."""
-    return money_as_double(fx.asof_rate(p.active, p.fx, "issued_on", "currency", rates=fx.BROADCAST_ROWS + 1).select("policy_id", "rate"))
+    return money_as_double(fx.asof_rate(p.active, p.fx, "issued_on", "currency", how="merge").select("policy_id", "rate"))
 
 
 @query("SELECT r.currency, CAST(d.day AS DATE) AS day, CAST(r.factor_usd AS DOUBLE) AS factor_usd FROM (SELECT unnest(generate_series(DATE '1996-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS day) d JOIN rates r ON d.day >= r.rate_date AND d.day < r.next_date", RATES_CTE)
@@ -353,10 +396,13 @@ FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(premium_usd) AS DOUBLE) AS
 
 @query(_CHECKS, FULL_CTE)
 def gold_checks(p):
-    claims, detail = flagged(p), detail_of(p)
-    policies = cohort.policy_values(p.active, p.products, p.agencies, p.fx, CUTOFF)
-    scoped = classify.claim_scope(claims, p.active, CUTOFF)
-    df = checks.gold_checks(cohort.cohort_mart(detail), detail, policies, cohort.claim_values(claims, p.active, p.fx, CUTOFF), p.active, scoped, CUTOFF)
+    """Each layer is written once; the checks are aggregates over what was written."""
+    fx_rates, active, claims = stored(p, "fx", p.fx), stored(p, "active", p.active), stored(p, "claims", flagged(p))
+    policies = stored(p, "policies", cohort.policy_values(active, p.products, p.agencies, fx_rates, CUTOFF))
+    values = stored(p, "claim-values", cohort.claim_values(claims, active, fx_rates, CUTOFF))
+    detail = stored(p, "detail", cohort.policy_detail(policies, cohort.claims_by_policy(values)))
+    scoped, mart = classify.claim_scope(claims, active, CUTOFF), stored(p, "mart", cohort.cohort_mart(detail))
+    df = checks.gold_checks(mart, detail, policies, values, active, scoped, CUTOFF)
     return df.select("check_name", F.col("expected").cast("double").alias("expected"), "passed")
 
 
@@ -424,10 +470,13 @@ def segment_vs_rest(p):
     return metrics.segment_vs_rest(mart_of(p), F.col("canal_agencia") == "ONLINE").select("part", *_OUT)
 
 
-@query()
+_LINES = ["l_linenumber", "l_linestatus", "l_orderkey", "l_returnflag"]
+_AS_TEXT = "coalesce(CAST(length(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-1:')"
+
+
+@query(f"SELECT COUNT(*) AS rows, CAST(SUM(CAST(('0x' || substr(sha256({' || '.join(_AS_TEXT.format(c) for c in _LINES)}), 1, 13)) AS BIGINT)) AS DECIMAL(38,0)) AS fingerprint FROM lineitem", None)
 def content_fingerprint(p):
-    """Hashes are Spark's own, hence no SQL."""
-    return relational.content_fingerprint(mart_of(p))
+    return relational.content_fingerprint(p.table("lineitem").select(*_LINES))
 
 
 # ---- audits
@@ -447,6 +496,12 @@ def overlap_pairs(p):
     return relational.overlap_pairs(p.table("orders").select(F.col("o_custkey").alias("policy_id"), start.alias("cover_start"), F.date_add(start, 30).alias("cover_end")))
 
 
+@query("SELECT o_custkey AS policy_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS cover_start, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS ends, CAST(MIN(o_orderdate) AS DATE) AS first_end, CAST(MAX(o_orderdate) AS DATE) AS last_end FROM orders GROUP BY 1, 2 HAVING COUNT(DISTINCT CAST(o_orderdate AS DATE)) > 1", None)
+def same_start_pairs(p):
+    end = F.to_date("o_orderdate")
+    return relational.same_start_pairs(p.table("orders").select(F.col("o_custkey").alias("policy_id"), F.trunc(end, "MM").alias("cover_start"), end.alias("cover_end")))
+
+
 _CENTS = "(SELECT claim_id, status, currency, CAST(CASE WHEN amount < 0 THEN -1 ELSE 1 END * floor(abs(amount) / 1000) AS BIGINT) AS amount FROM claims)"
 
 
@@ -477,10 +532,17 @@ def claim_profile(p):
 
 
 @query("""SELECT unnest(['updates_same_period', 'updates_changed_period', 'updates_changed_premium', 'updates_without_predecessor', 'invalid_periods', 'policies_of_several_periods', 'overlapping_pairs', 'claims_in_no_period', 'claims_in_one_period', 'claims_in_several_periods']) AS metric,
-  unnest([u, 0, u, 0, 0, 0, 0, none, one, 0]) AS rows FROM (SELECT COUNT(*) AS u FROM history WHERE op = 'U') a,
-  (SELECT COUNT(*) FILTER (NOT hit) AS none, COUNT(*) FILTER (hit) AS one FROM (SELECT claim_id, EXISTS (SELECT 1 FROM latest h WHERE h.policy_id = c.policy_id AND h.op <> 'D' AND c.occurred_on BETWEEN h.cover_start AND h.cover_end) AS hit FROM claims c) x) b""")
+  unnest([same, changed, premium, alone, invalid, several, pairs, none, one, more]) AS rows FROM
+  (SELECT COUNT(*) FILTER (op = 'U' AND prev AND s = cover_start AND e = cover_end) AS same, COUNT(*) FILTER (op = 'U' AND prev AND (s <> cover_start OR e <> cover_end)) AS changed,
+     COUNT(*) FILTER (op = 'U' AND prev AND m <> premium) AS premium, COUNT(*) FILTER (op = 'U' AND prev IS NULL) AS alone, COUNT(*) FILTER (cover_end < cover_start) AS invalid
+   FROM (SELECT *, lag(TRUE) OVER w AS prev, lag(cover_start) OVER w AS s, lag(cover_end) OVER w AS e, lag(premium) OVER w AS m FROM renewed r WINDOW w AS (PARTITION BY policy_id ORDER BY updated_on, op)) x) a,
+  (SELECT COUNT(*) FILTER (n > 1) AS several FROM (SELECT COUNT(*) AS n FROM periods GROUP BY policy_id) x) b,
+  (SELECT COUNT(*) AS pairs FROM periods x JOIN periods y ON x.policy_id = y.policy_id AND (x.cover_start, x.cover_end) < (y.cover_start, y.cover_end) AND x.cover_start <= y.cover_end AND y.cover_start <= x.cover_end) c,
+  (SELECT COUNT(*) FILTER (n = 0) AS none, COUNT(*) FILTER (n = 1) AS one, COUNT(*) FILTER (n > 1) AS more
+   FROM (SELECT c.claim_id, COUNT(q.policy_id) AS n FROM claims c LEFT JOIN periods q ON q.policy_id = c.policy_id AND c.occurred_on BETWEEN q.cover_start AND q.cover_end GROUP BY 1) x) d""", CTE + f""",
+renewed AS (SELECT * FROM {_RENEWED} r0), periods AS (SELECT DISTINCT policy_id, cover_start, cover_end FROM renewed WHERE op <> 'D')""")
 def period_diagnostics(p):
-    return profile.period_diagnostics(p.history, p.claims)
+    return profile.period_diagnostics(renewed(p), p.claims)
 
 
 @query("""SELECT COUNT(*) AS without_currency, COUNT(*) FILTER (currency_origin = 'INFERIDA_POLIZA') AS recoverable, COUNT(*) FILTER (currency_origin <> 'INFERIDA_POLIZA') AS unrecoverable, COUNT(usd) FILTER (currency_origin = 'INFERIDA_POLIZA') AS priced,
@@ -521,10 +583,33 @@ def count_distinct_if(p):
     return p.table("lineitem").groupBy("l_returnflag").agg(relational.count_distinct_if("l_partkey", F.col("l_quantity") > 25).alias("parts"))
 
 
-@query("SELECT user_id, list(event_id ORDER BY event_id) AS ids FROM events GROUP BY 1", None)
+@query("SELECT user_id, CAST(ts AS DATE) AS day, list(event_id ORDER BY event_id) AS ids FROM events GROUP BY 1, 2", None)
 def collect_rows(p):
-    df = relational.collect_rows(p.table("events"), ["user_id"], ["event_id"])
-    return df.select("user_id", F.transform("rows", lambda r: r["event_id"]).alias("ids"))
+    """A user's day at a time: a user may hold a third of all events."""
+    df = relational.collect_rows(p.table("events").withColumn("day", F.to_date("ts")), ["user_id", "day"], ["event_id"])
+    return df.select("user_id", "day", F.transform("rows", lambda r: r["event_id"]).alias("ids"))
+
+
+@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey", None)
+def inner_join(p):
+    customers = p.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return relational.inner_on(p.table("orders"), customers, ["o_custkey"]).select("o_orderkey", "c_name")
+
+
+@query("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part", None)
+def explode_words(p):
+    return relational.explode_array(p.table("part"), F.split("p_name", " "), "word").select("p_partkey", "word")
+
+
+_MAYBE = "CASE WHEN l_partkey % {0} = 0 THEN NULL ELSE l_quantity END"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, ({_MAYBE.format(3)}) IS DISTINCT FROM ({_MAYBE.format(5)}) AS changed FROM lineitem", None)
+def null_safe_change(p):
+    """Of two versions of a column with nulls; the other columns are left out."""
+    maybe = lambda n: F.when(F.col("l_partkey") % n != 0, F.col("l_quantity"))
+    df = p.table("lineitem").withColumn("changed", expr.is_distinct(maybe(3), maybe(5)))
+    return expr.without(df, *(c for c in df.columns if c not in ("l_orderkey", "l_linenumber", "changed")))
 
 
 @query("SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders", None)

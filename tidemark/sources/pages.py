@@ -10,17 +10,16 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import KEY_SEPARATOR, norm_ts
+from ..functions.expr import KEY_SEPARATOR, norm_ts, utc_date
 
 #: Key fields of each resource (fixed values).
-SOURCE_KEYS = {"polizas": ["poliza_id", "updated_at", "op"], "siniestros": ["claim_id"], "agencias": ["agencia_id"], "productos": ["producto_id"], "tipo_cambio": ["fecha", "moneda"]}
+SOURCE_KEYS = {"polizas": ["poliza_id"], "siniestros": ["claim_id"], "agencias": ["agencia_id"], "productos": ["producto_id"], "tipo_cambio": ["fecha", "moneda"]}
 NON_FINITE = "__non_finite_number__"
 RAW_COLUMNS = ["ingested_at", "run_id", "batch_id", "resource", "snapshot_id", "page_number", "record_index", "source_key", "source_updated_at", "record_hash", "source_file", "payload"]
 RECORDS = "source_file string, page_number long, record_index long, is_object boolean, source_key string, updated_at string, record_hash string, payload string, issues array<struct<path:string,value:string>>"
@@ -72,23 +71,32 @@ def assert_pages(pages: DataFrame, manifest: DataFrame, records: DataFrame) -> N
 # ---- records
 
 
-def canonical_json(value) -> str:
-    """Sorted keys, no spaces, letters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+def written(record) -> tuple[str, list[tuple[str, str]]]:
+    """A record in canonical text (keys in order, no spaces, letters as they are), and the numbers in it that JSON can't write.
 
-
-def encode_non_finite(value, path: str = "$"):
-    """The value with NaN and infinities as marker objects, and (path, text) of each."""
-    if isinstance(value, float) and not math.isfinite(value):
-        text = "NaN" if math.isnan(value) else "Infinity" if value > 0 else "-Infinity"
-        return {NON_FINITE: text}, [(path, text)]
-    if isinstance(value, dict):
-        parts = {k: encode_non_finite(v, f"{path}.{k}") for k, v in value.items()}
-        return {k: v for k, (v, _) in parts.items()}, [i for _, found in parts.values() for i in found]
-    if isinstance(value, list):
-        parts = [encode_non_finite(v, f"{path}[{i}]") for i, v in enumerate(value)]
-        return [v for v, _ in parts], [i for _, found in parts for i in found]
-    return value, []
+    Those become objects of one marker key; they are listed with their paths.
+    An explicit stack holds what is still to be written, so depth is no limit.
+    """
+    text, ledger = [], []
+    todo: list = [("$", record)]
+    while todo:
+        at, value = todo.pop()
+        if at is None:  # punctuation
+            text.append(value)
+        elif isinstance(value, dict | list):
+            keyed = isinstance(value, dict)
+            members = [(f"{at}.{k}", value[k], json.dumps(k, ensure_ascii=False) + ":") for k in sorted(value)] if keyed else [(f"{at}[{i}]", v, "") for i, v in enumerate(value)]
+            todo.append((None, "}" if keyed else "]"))
+            for i, (where, member, label) in reversed([*enumerate(members)]):
+                todo += [(where, member), (None, ("," if i else "") + label)]
+            text.append("{" if keyed else "[")
+        elif isinstance(value, float) and not math.isfinite(value):
+            name = {math.inf: "Infinity", -math.inf: "-Infinity"}.get(value, "NaN")
+            ledger.append((at, name))
+            text.append(f'{{"{NON_FINITE}":"{name}"}}')
+        else:
+            text.append(json.dumps(value, ensure_ascii=False))
+    return "".join(text), ledger
 
 
 def parse_pages(pages: DataFrame, resource: str) -> DataFrame:
@@ -103,8 +111,8 @@ def parse_pages(pages: DataFrame, resource: str) -> DataFrame:
             rows = []
             for file, number, body in zip(*(c.to_pylist() for c in b.columns)):
                 for i, record in enumerate(json.loads(body)["data"]):
-                    record, issues = encode_non_finite(record)
-                    text, is_object = canonical_json(record), isinstance(record, dict)
+                    text, issues = written(record)
+                    is_object = isinstance(record, dict)
                     parts = [record.get(k) for k in keys] if is_object else [None]
                     key = KEY_SEPARATOR.join(map(str, parts)) if parts and None not in parts else None
                     at = record.get("updated_at") if is_object else None
@@ -153,16 +161,21 @@ def write_ndjson(df: DataFrame, path: str) -> None:
 # ---- raw tables
 
 
+RAW_SCHEMA = """ingested_at timestamp, run_id string, batch_id string, resource string, snapshot_id string, page_number long, record_index long,
+  source_key string, source_updated_at timestamp, record_hash string, source_file string, payload string, ingest_date date"""
+
+
 def write_raw(df: DataFrame, path: str) -> None:
-    """Partitioned by day and resource; a run's rows replace themselves."""
-    df.withColumn("ingest_date", F.to_date("ingested_at")).write.mode("append").partitionBy("ingest_date", "resource").parquet(path)
+    """Partitioned by day, resource and run; a run's rows of a day and resource replace themselves, so a replay adds nothing."""
+    out = df.withColumn("ingest_date", utc_date("ingested_at")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("ingest_date", "resource", "run_id").parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, run_id: str, first: str | None, last: str | None, resource: str | None = None) -> DataFrame:
     """Raw rows of a run within day bounds, which prune partitions; without bounds it is refused."""
     if not first or not last:
         raise ValueError("raw is read between two days only")
-    df = spark.read.parquet(path).where((F.col("ingest_date") >= F.lit(first).cast("date")) & (F.col("ingest_date") <= F.lit(last).cast("date")) & (F.col("run_id") == run_id))
+    df = spark.read.schema(RAW_SCHEMA).parquet(path).where((F.col("ingest_date") >= F.lit(first).cast("date")) & (F.col("ingest_date") <= F.lit(last).cast("date")) & (F.col("run_id") == run_id))
     return df.where(F.col("resource") == resource) if resource else df
 
 
@@ -301,9 +314,3 @@ def run_status(states: DataFrame) -> DataFrame:
     """The worst status of a run's resources; a run without any failed."""
     worst = F.coalesce(F.min(F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status"))), F.lit(1))
     return states.agg(F.element_at(F.array(*map(F.lit, STATUSES)), worst.cast("int")).alias("run_status"))
-
-
-def safe_name(resource: str) -> str:
-    if not re.fullmatch(r"[a-z_]+", resource):
-        raise ValueError(resource)
-    return resource

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODEL_VERSION = "1"
+RETRIES = 20
 
 
 class Conflict(Exception):
@@ -70,28 +71,51 @@ class Store:
         name = uuid.uuid4().hex
         path = f"{self.root}/{table}/v={name}"
         df.write.parquet(path)
-        old = self.head()["tables"].get(table, {"parts": {}})["parts"] if append else {}
-        return {"parts": old | {f"all/{name}": path}, "schema": df.schema.json()}
+        return {"new" if append else "parts": {f"all/{name}": path}, "schema": df.schema.json()}
 
     def stage_buckets(self, table: str, df: DataFrame, key: str, touched: list[int], buckets: int, append: bool = False) -> dict:
-        """Rows of the touched buckets take their places, or are added to them."""
+        """Rows of the touched buckets take their places, or are added to them.
+
+        Places taken are those of the newest commit; if the table changes before
+        the commit, that fails.  Rows that are added meet the table as it is then.
+        """
         name = uuid.uuid4().hex
         path = f"{self.root}/{table}/v={name}"
         df.withColumn("_bucket", bucket_of(key, buckets)).repartition(max(1, len(touched)), "_bucket").write.partitionBy("_bucket").parquet(path)
-        old = self.head()["tables"].get(table, {"parts": {}})["parts"]
-        kept = {n: p for n, p in old.items() if append or n.split("/")[0] not in {f"b{b}" for b in touched}}
         new = {f"b{b}/{name}": f"{path}/_bucket={b}" for b in touched if self._fs.exists(self._path(f"{path}/_bucket={b}"))}
-        return {"parts": kept | new, "schema": df.schema.json()}
-
-    def _read_staged(self, staged: dict) -> DataFrame:
+        if append:
+            return {"new": new, "schema": df.schema.json()}
+        seen = self._parts(self.head(), table)
+        kept = {n: p for n, p in seen.items() if n.split("/")[0] not in {f"b{b}" for b in touched}}
+        return {"parts": kept | new, "schema": df.schema.json(), "seen": seen}
+
+    @staticmethod
+    def _parts(head: dict, table: str) -> dict[str, str]:
+        return head["tables"].get(table, {"parts": {}})["parts"]
+
+    def _resolved(self, head: dict, table: str, staged: dict) -> dict:
+        """The table's entry in the commit after ``head``."""
+        if "seen" in staged and staged["seen"] != self._parts(head, table):
+            raise Conflict(f"{table} has changed since it was staged")
+        parts = self._parts(head, table) | staged["new"] if "new" in staged else staged["parts"]
+        return {"parts": parts, "schema": staged["schema"]}
+
+    def _read_staged(self, table: str, staged: dict) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(staged["schema"]))
-        paths = list(staged["parts"].values())
+        paths = list(self._resolved(self.head(), table, staged)["parts"].values())
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def commit(self, tables: dict[str, dict], state: dict | None = None, run: dict | None = None, fingerprint: str | None = None) -> int:
-        """Make staged versions visible together.  A rename onto an existing commit fails, so of two runs one wins."""
+        """Make staged versions visible together.
+
+        Added parts meet the newest commit; a staged version of buckets that
+        have changed since, a fingerprint that is in already, and a number that
+        another run takes first all raise Conflict, and nothing is published.
+        The last holds where a rename onto a file fails, as on HDFS.
+        """
         head = self.head()
         n = head["number"] + 1
+        tables = {name: self._resolved(head, name, t) for name, t in tables.items()}
         applied = [*head["applied"], *([fingerprint] if fingerprint else [])]
         body = {"number": n, "tables": head["tables"] | tables, "state": head["state"] | (state or {}), "run": run, "applied": applied}
         temp, final = self._path(f"{self.root}/_commits/.{uuid.uuid4().hex}"), self._path(f"{self.root}/_commits/{n:010d}.json")
@@ -115,7 +139,9 @@ class Store:
             return False
         try:
             staged = {name: t if isinstance(t, dict) else self.stage(name, t) for name, t in tables.items()}
-            check({name: self._read_staged(t) for name, t in staged.items()})
+            check({name: self._read_staged(name, t) for name, t in staged.items()})
+        except Conflict:
+            raise
         except Exception as error:
             self.record_failure(run_id, error)
             raise
@@ -144,8 +170,15 @@ def append_raw(store: Store, table: str, df: DataFrame, identity: str) -> bool:
     key = f"{table}:{identity}"
     if store.already_applied(key):
         return False
-    store.commit({table: store.stage(table, df, append=True)}, fingerprint=key)
-    return True
+    staged = store.stage(table, df, append=True)
+    for _ in range(RETRIES):
+        try:
+            store.commit({table: staged}, fingerprint=key)
+            return True
+        except Conflict:  # another run was first; the part is added to what that published
+            if store.already_applied(key):
+                return False
+    raise Conflict(f"{table}: {RETRIES} commits of other runs in between")
 
 
 def publish(store: Store, run_id: str, table: str, candidate: DataFrame, check: Callable[[DataFrame], None]) -> bool:

@@ -1,12 +1,15 @@
 """Change events as a stream: the batch merges inside foreachBatch.
 
 Events are never dropped for being late: a batch's keys are resolved by time over
-the whole history.  A batch's id is part of its fingerprint, so one that is
-delivered again after a failure is not applied twice.
+the whole history.  The stream's own id and the batch's number are a batch's
+fingerprint, so one that is delivered again after a failure is not applied twice,
+and a stream on a new checkpoint, which counts from zero again, loses none.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.checks import ChecksFailed
 from ..operators.merge import immutable_conflicts, live, merge_current, merge_history, op_violations
 from ..operators.relational import table_diff
-from ..sources.store import Store, bucket_of
+from ..sources.store import RETRIES, Conflict, Store, bucket_of
 
 
 BUCKETS = 64
@@ -24,8 +27,18 @@ def apply_batch(store: Store, batch: DataFrame, fingerprint: str, buckets: int =
     """Events into history and current state, checked and committed together.
 
     Both tables lie in buckets of the policy; only those that the batch touches
-    are read, history gets new parts and state gets new buckets.
+    are read, history gets new parts and state gets new buckets.  If another run
+    commits in between, the batch is worked out again on what that published.
     """
+    for _ in range(RETRIES):
+        try:
+            return _apply(store, batch, fingerprint, buckets)
+        except Conflict:
+            continue
+    raise Conflict(f"{RETRIES} commits of other runs in between")
+
+
+def _apply(store: Store, batch: DataFrame, fingerprint: str, buckets: int) -> bool:
     if store.already_applied(fingerprint):
         return False
     batch = batch.distinct()
@@ -59,7 +72,9 @@ def start_cdc_stream(events: DataFrame, store: Store, checkpoint: str, name: str
     """Apply every micro-batch of a stream of events until there is no more."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, batch, f"{name}:{batch_id}")
+        # Spark writes the stream's id before the first batch; it lives as long as the checkpoint.
+        stream = batch.sparkSession.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+        apply_batch(store, batch, f"{name}:{json.loads(stream)['id']}:{batch_id}")
 
     return events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

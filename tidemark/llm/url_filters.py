@@ -120,9 +120,10 @@ def reputations(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     def as_parent(level: DataFrame, key: str) -> DataFrame:
         return level.select(key, F.col("mean").alias("p_mean"), F.col("var").alias("p_var"))
 
-    s = shrunk(suffixes, root, None, "suffix", "root")
-    d = shrunk(domains, as_parent(s, "suffix"), "suffix", "domain", "suffix")
-    h = shrunk(hosts, as_parent(d, "domain"), "domain", "host", "domain")
+    # A level's posteriors are a table of their own, so no plan holds more than one level.
+    s = materialize(as_parent(shrunk(suffixes, root, None, "suffix", "root"), "suffix"), "suffixes")
+    d = materialize(as_parent(shrunk(domains, s, "suffix", "domain", "suffix"), "domain"), "domain-posteriors")
+    h = shrunk(hosts, d, "domain", "host", "domain")
     h = h.withColumn("bound", F.col("mean") - p.z * F.sqrt("var"))
     cut = root.select(F.least(p.max_lift * F.col("p_mean"), F.lit(p.max_bad_rate)).alias("_cut"))
     h = h.join(F.broadcast(cut))

@@ -1,8 +1,9 @@
 """Quality rules: divergence of a text's histograms from its language's.
 
 For every language with a list of common words the reference is the sum, over
-all documents marked with that language, of two histograms: character classes,
-and common words against all other words.  A document is rejected when the
+the different texts marked with that language that pass the base rules, of two
+histograms: character classes, and common words against all other words; so
+neither junk nor copies of one text move it.  A document is rejected when the
 Jensen-Shannon distance (base 2, 0 to 1) to its reference exceeds a bound, with
 a separate bound per histogram.  Below the minimum length a histogram is noise
 and isn't judged.  Only DataFrame functions are used.  One pass over the texts
@@ -95,11 +96,17 @@ CLASS_COLUMNS = ["c_space", *(f"c_{k}" for k in CHAR_CLASSES), "c_other"]
 N_COMMON = len(COMMON_WORDS["en"])
 
 
-def references(hist: DataFrame) -> DataFrame:
-    """One row per listed language: the two reference histograms as shares."""
+def base_failed(bounds: Bounds) -> Column:
+    return (F.col("n_words") < bounds.min_words) | (100 * F.col("n_repeat_words") > bounds.max_repeat_percent * F.col("n_words"))
+
+
+def references(hist: DataFrame, bounds: Bounds) -> DataFrame:
+    """One row per listed language: the two reference histograms as shares, from texts that pass the base rules, each once."""
     common = [F.sum(F.get("common", F.lit(i))).alias(f"w_{i}") for i in range(N_COMMON)]
     sums = (
-        hist.where(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") > 0))
+        hist.where(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("n_words") > 0) & ~base_failed(bounds))
+        .select("lang", "text_hash", *CLASS_COLUMNS, "common", "n_words")
+        .distinct()
         .groupBy("lang")
         .agg(*(F.sum(c).alias(c) for c in CLASS_COLUMNS), *common, F.sum("n_words").alias("n_words"))
     )
@@ -149,7 +156,7 @@ def repeat_counts(df: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """One row per document: counts, distances (null where not judged), base_failed and kept."""
     found = materialize(features(docs), "quality-features")
-    refs = materialize(references(found), "quality-references")  # a row per listed language
+    refs = materialize(references(found, bounds), "quality-references")  # a row per listed language
     df = found.join(F.broadcast(refs), F.col("lang") == F.col("ref_lang"), "left")
     chars = reduce(lambda a, b: a + b, map(F.col, CLASS_COLUMNS))
     listed = F.aggregate("common", F.lit(0).cast("long"), lambda a, b: a + b)
@@ -163,8 +170,7 @@ def judge(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     known = F.col("ref_lang").isNotNull()
     df = df.withColumns(
         {
-            "base_failed": (F.col("n_words") < bounds.min_words)
-            | (100 * F.col("n_repeat_words") > bounds.max_repeat_percent * F.col("n_words")),
+            "base_failed": base_failed(bounds),
             "char_distance": F.when(known & (F.col("_chars") >= bounds.min_chars_judged), char_d),
             "word_distance": F.when(known & (F.col("n_words") >= bounds.min_words_judged), word_d),
         }
@@ -220,13 +226,15 @@ j AS (SELECT *, array_to_string(ws, '') AS r0, length(x) - length(array_to_strin
 g AS (SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w) a),
 rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) a WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM rep) a GROUP BY 1),
-f0 AS (SELECT j.doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(r0) AS BIGINT) AS word_chars, CAST(c3 AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+f0 AS (SELECT j.doc_id, lang, md5(x) AS h, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(r0) AS BIGINT) AS word_chars, CAST(c3 AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
        coalesce(cov.n, 0) AS n_repeat_words, {", ".join(chars[:-1])}, length(r{len(classes)}) AS {chars[-1]}, {counts}
        FROM j{len(classes) - 1} j LEFT JOIN cov ON cov.doc_id = j.doc_id),
-f AS (SELECT *, {all_chars} AS n_chars, {rest} AS rest FROM f0),
+f AS (SELECT *, {all_chars} AS n_chars, {rest} AS rest, n_words < {bounds.min_words} OR 100 * n_repeat_words > {bounds.max_repeat_percent} * n_words AS base_failed FROM f0),
+once AS (SELECT DISTINCT lang, h, {", ".join([*chars, *listed])}, n_words, rest FROM f
+         WHERE lang IN ({", ".join(f"'{k}'" for k in COMMON_WORDS)}) AND n_words > 0 AND NOT base_failed),
 ref AS (SELECT lang, {", ".join(f"sum({c}) / sum({all_chars}) AS {c}" for c in chars)}, {", ".join(f"sum({w}) / sum(n_words) AS {w}" for w in [*listed, "rest"])}
-        FROM f WHERE lang IN ({", ".join(f"'{k}'" for k in COMMON_WORDS)}) AND n_words > 0 GROUP BY lang),
-d AS (SELECT f.*, f.n_words < {bounds.min_words} OR 100 * n_repeat_words > {bounds.max_repeat_percent} * n_words AS base_failed,
+        FROM once GROUP BY lang),
+d AS (SELECT f.*,
       CASE WHEN ref.lang IS NOT NULL AND n_chars >= {bounds.min_chars_judged} THEN {distance(p_chars, [f"ref.{c}" for c in chars])} END AS char_distance,
       CASE WHEN ref.lang IS NOT NULL AND n_words >= {bounds.min_words_judged} THEN {distance(p_words, [f"ref.{w}" for w in [*listed, "rest"]])} END AS word_distance
       FROM f LEFT JOIN ref ON ref.lang = f.lang)

@@ -87,8 +87,8 @@ def test_interval_and_daily_rates_agree(spark, world):
     grid = days.join(daily, (F.col("c") == F.col("currency")) & (F.col("d") == F.col("day")), "left").select("d", "c", "factor_usd")
     want = {(r.d, r.c): r.factor_usd for r in grid.collect()}
     assert want[(date(2024, 1, 4), "ARS")] == 1 and want[(date(2024, 1, 9), "ARS")] == 2 and want[(date(2024, 1, 10), "ARS")] == 3
-    for rates in (1, 10**9):
-        assert {(r.d, r.c): r.rate for r in asof_rate(days, fx, "d", "c", rates=rates).collect()} == want
+    for how in (None, "broadcast", "merge"):
+        assert {(r.d, r.c): r.rate for r in asof_rate(days, fx, "d", "c", how=how).collect()} == want
 
 
 def test_dates_and_scalars(spark):

@@ -11,8 +11,8 @@ def test_stages_take_effect(spark):
     """Each stage equals what its operator decides on what the stage before it kept."""
     import corpus_pipeline
     from tidemark.llm.exact_dedup import dedup
+    from tidemark.llm.near_duplicates import near_groups
     from tidemark.llm.quality_rules import judge
-    from tidemark.llm.simhash import cluster
 
     docs = spark.read.parquet(f"{D}/documents.parquet")
     ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
@@ -24,7 +24,7 @@ def test_stages_take_effect(spark):
     once = stages["exact_dedup"](spark, clean, D)
     assert ids(once) == ids(dedup(clean).where("kept")) and once.columns == docs.columns
     near = stages["simhash_dedup"](spark, once, D)
-    assert ids(near) == ids(cluster(once).where("doc_id = component_id")) and near.columns == docs.columns
+    assert ids(near) == ids(near_groups(once).where("doc_id = component_id")) and near.columns == docs.columns
     packed = stages["packing"](spark, near, D)
     assert {r.doc_id for r in packed.collect()} == set(ids(near))
 
@@ -35,8 +35,8 @@ def test_stages_on_odd_rows_and_clashing_columns(spark, docs):
 
     import corpus_pipeline
     from tidemark.llm.exact_dedup import dedup
+    from tidemark.llm.near_duplicates import near_groups
     from tidemark.llm.quality_rules import judge
-    from tidemark.llm.simhash import cluster
 
     names = ("_hash", "_digest", "_text", "predicted", "matched", "n_words", "text_hash", "component_id", "keep_id", "kept", "gone_id_0", "GONE_DIGEST_0", "words", "_words", "token")
     docs = docs.select("*", *(F.lit("y").alias(c) for c in names if c not in docs.columns))
@@ -47,7 +47,7 @@ def test_stages_on_odd_rows_and_clashing_columns(spark, docs):
     stages = dict(corpus_pipeline.STAGES)
     assert ids(stages["quality_rules"](spark, docs, D)) == ids(judge(docs).where("kept"))
     assert ids(stages["exact_dedup"](spark, docs, D)) == ids(dedup(docs).where("kept"))
-    assert ids(stages["simhash_dedup"](spark, docs, D)) == ids(cluster(docs).where("doc_id <=> component_id"))
+    assert ids(stages["simhash_dedup"](spark, docs, D)) == ids(near_groups(docs).where("doc_id <=> component_id"))
     packed = stages["packing"](spark, docs, D)
     assert packed.where("start = 0").count() == docs.count()
 

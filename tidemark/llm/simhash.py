@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, materialize, read_table, text_or_empty, without_rows
+from .common import HOT_SHARE, materialize, read_table, text_or_empty
 from .components import components
 
 MAX_BITS = 2
@@ -40,18 +40,23 @@ LEAF_PAIRS = 64
 CHUNK = 1 << 18
 
 
-def fingerprint(text: str | None) -> int:
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of every run of ``size`` words, repeats included; of all words if there are fewer."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode().lower().split()  # bytes: only A-Z, and the six ASCII white-space characters
     if not words:
-        return 0
-    n = max(1, len(words) - SHINGLE + 1)
+        return np.empty(0, "<u8")
+    n = max(1, len(words) - size + 1)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
-    hashes = np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[len(words) - n :].tolist())], dtype="<u8")
-    ones = np.zeros(64, np.int64)
+    return np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[len(words) - n :].tolist())], dtype="<u8")
+
+
+def fingerprint(text: str | None) -> int:
+    hashes = shingle_hashes(text, SHINGLE)
+    n, ones = len(hashes), np.zeros(64, np.int64)
     for i in range(0, n, 8192):
         ones += np.unpackbits(hashes[i : i + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
@@ -127,14 +132,20 @@ class _Forest:
 
 
 def trie_join(keys: np.ndarray, roots: list[np.ndarray], depth: int) -> np.ndarray:
-    """Labels of the leaves after linking all pairs that differ in at most MAX_BITS bits.
+    """Labels of the leaves after linking all pairs that differ in at most MAX_BITS bits."""
+    forest = _Forest(len(keys))
+    walk(keys, roots, depth, MAX_BITS, forest)
+    return forest.label
+
+
+def walk(keys: np.ndarray, roots: list[np.ndarray], depth: int, max_bits: int, sink) -> None:
+    """Pairs of leaves that differ in at most ``max_bits`` bits go to ``sink.link``, unless ``sink.joined`` says not to look.
 
     ``keys``: unsigned, with the subtree's own bits leading, ascending within
     each root; ``roots``: alo, ahi, blo, bhi of the node pairs to start with.
     The pairs of one depth are worked off in chunks, the deepest first, so the
     frontier stays small and near leaves are linked before far nodes are met.
     """
-    forest = _Forest(len(keys))
     ones: dict[int, np.ndarray] = {}
     stack = [(depth, np.stack([*roots, np.zeros(len(roots[0]), np.int64)]))]
     while stack:
@@ -144,7 +155,7 @@ def trie_join(keys: np.ndarray, roots: list[np.ndarray], depth: int) -> np.ndarr
             pairs = pairs[:, :CHUNK]
         alo, ahi, blo, bhi, err = pairs
         same = (alo == blo) & (ahi == bhi)
-        live = ~forest.joined(alo, ahi, blo, bhi) & ~(same & (ahi - alo < 2))
+        live = ~sink.joined(alo, ahi, blo, bhi) & ~(same & (ahi - alo < 2))
         pairs = pairs[:, live]
         alo, ahi, blo, bhi, err = pairs
         leaf = ((ahi - alo) * (bhi - blo) <= LEAF_PAIRS) | (d == 64)
@@ -156,8 +167,8 @@ def trie_join(keys: np.ndarray, roots: list[np.ndarray], depth: int) -> np.ndarr
             k = np.arange(len(at)) - at
             nb = np.repeat(nb, size)
             i, j = np.repeat(a0, size) + k // nb, np.repeat(b0, size) + k % nb
-            near = np.bitwise_count(keys[i] ^ keys[j]) <= MAX_BITS
-            forest.link(i[near], j[near])
+            near = np.bitwise_count(keys[i] ^ keys[j]) <= max_bits
+            sink.link(i[near], j[near])
             pairs = pairs[:, ~leaf]
         if not pairs.shape[1]:
             continue
@@ -166,12 +177,11 @@ def trie_join(keys: np.ndarray, roots: list[np.ndarray], depth: int) -> np.ndarr
         alo, ahi, blo, bhi, err = pairs
         amid, bmid = ahi - (ones[d][ahi] - ones[d][alo]), bhi - (ones[d][bhi] - ones[d][blo])
         cross = ~((alo == blo) & (ahi == bhi))
-        new = [(alo, amid, bmid, bhi, err + 1), (amid, ahi, blo, bmid, np.where(cross, err + 1, MAX_BITS + 1)), (alo, amid, blo, bmid, err), (amid, ahi, bmid, bhi, err)]
+        new = [(alo, amid, bmid, bhi, err + 1), (amid, ahi, blo, bmid, np.where(cross, err + 1, max_bits + 1)), (alo, amid, blo, bmid, err), (amid, ahi, bmid, bhi, err)]
         new = np.concatenate([np.stack(x) for x in new], axis=1)
-        keep = (new[0] < new[1]) & (new[2] < new[3]) & (new[4] <= MAX_BITS)
+        keep = (new[0] < new[1]) & (new[2] < new[3]) & (new[4] <= max_bits)
         if keep.any():
             stack.append((d + 1, new[:, keep]))
-    return forest.label
 
 
 def _link_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,34 +238,32 @@ def link_fingerprints(fps: DataFrame) -> DataFrame:
     return rows.mapInArrow(_link_subtrees, "u long, v long")
 
 
-def cluster(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fp, text_hash, component_id."""
-    marked = materialize(fingerprints(docs), "fingerprints")
-    leaves = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "leaves")
-    roots = components(materialize(link_fingerprints(leaves), "links"))
-    named = leaves.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+def name_components(marked: DataFrame, leaves: DataFrame, key: str, links: DataFrame) -> DataFrame:
+    """``marked`` (doc_id, ``key`` and more) with component_id, the smallest doc_id of the component.
+
+    ``leaves``: a row for each key with its smallest doc_id in ``first`` and its
+    rows in ``n``; ``links``: u, v of linked keys.
+    """
+    roots = components(materialize(links, "links"))
+    named = leaves.join(roots.withColumnRenamed("node", key), key, "left").withColumn("root", F.coalesce("root", key))
     named = materialize(named, "rooted")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("leaves"))
-    shared = named.join(least, "root").where("n > 1 OR leaves > 1").select("fp", "component_id", "n")
+    shared = named.join(least, "root").where("n > 1 OR leaves > 1").select(key, "component_id", "n")
     shared = materialize(shared, "components")
-    # Fingerprints with more than 1/HOT_SHARE of the rows are fewer than HOT_SHARE: a bounded broadcast.
+    # Keys with more than 1/HOT_SHARE of the rows are fewer than HOT_SHARE: a bounded broadcast.
     bound = max(marked.count() // HOT_SHARE, 1000)
-    hot = F.broadcast(shared.where(F.col("n") > bound).select("fp", "component_id"))
-    cold = shared.where(F.col("n") <= bound).select("fp", "component_id")
-    rest = marked.join(hot.select("fp"), "fp", "left_anti").join(cold.hint("merge"), "fp", "left")
+    hot = F.broadcast(shared.where(F.col("n") > bound).select(key, "component_id"))
+    cold = shared.where(F.col("n") <= bound).select(key, "component_id")
+    rest = marked.join(hot.select(key), key, "left_anti").join(cold.hint("merge"), key, "left")
     rest = rest.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return marked.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "text_hash", "component_id")
-
+    return marked.join(hot, key).unionByName(rest).select(*marked.columns, "component_id")
 
-def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest doc_id stays.
 
-    Null and empty texts are one component; rows that repeat id and text stay or
-    go together; a null id goes if its component has an id; other columns pass
-    through, whatever their names; an empty table stays empty.
-    """
-    gone = cluster(docs).where("NOT (doc_id <=> component_id)").select("doc_id", "text_hash")
-    return without_rows(docs, gone, F.xxhash64(text_or_empty()))
+def cluster(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, fp, text_hash, component_id."""
+    marked = materialize(fingerprints(docs), "fingerprints")
+    leaves = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "leaves")
+    return name_components(marked, leaves, "fp", link_fingerprints(leaves))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,10 @@ from .quality_rules import OP7_SQL, op7_quality_rules
 from .simhash import op8_simhash
 from .token_counts import op10_token_counts
 from .toxicity import op2_toxicity
+from .vector_codes import OP11_SQL, op11_vector_codes
 from .url_filters import OP9_SQL, op9_url_filters
 from .warc import OP3_SQL, op3_warc
+from .whitening import op12_whitening
 
 
 def _query(f):
@@ -30,7 +32,7 @@ QUERIES = {
     f.__name__: _query(f)
     for f in (
         op1_language_model, op2_toxicity, op3_warc, op4_packing, op5_exact_dedup, op6_bpe, op7_quality_rules, op8_simhash, op9_url_filters,
-        op10_token_counts,
+        op10_token_counts, op11_vector_codes, op12_whitening,
     )
 }
-SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": OP7_SQL, "op9_url_filters": OP9_SQL}
+SQL = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": OP7_SQL, "op9_url_filters": OP9_SQL, "op11_vector_codes": OP11_SQL}

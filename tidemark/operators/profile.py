@@ -9,6 +9,8 @@ from .classify import analysis_currency, cover_match, coverage_state
 from .fx import asof_rate
 from .relational import latest_by, latest_periods, missing_refs, opposite_amounts, overlap_pairs, with_previous
 from ..functions.expr import json_scalar, money
+from ..functions.leaves import json_leaves
+from ..functions.variants import kind_of, members, scalar_class, shape_of
 
 
 def _metric(name: str, value: Column) -> Column:
@@ -45,6 +47,24 @@ def profile_claims(claims: DataFrame, content: list[str]) -> DataFrame:
     return _unpivot(ids.join(sign), "ids", "repeated_ids", "conflicting_ids", "exact_duplicate_rows", "amount_null", "amount_negative", "amount_zero", "amount_positive")
 
 
+def profile_raw_claims(raw: DataFrame) -> DataFrame:
+    """(metric, what, rows) over claims as they came (``payload``): how amounts can be read, kinds of amounts and currencies,
+    fields of the detail with their kinds, and nested shapes.  The text is parsed once."""
+    v = raw.select(F.try_parse_json("payload").alias("v"))
+    at = lambda path: F.try_variant_get("v", path, "variant")
+    v = v.select(at("$.amount.value").alias("amount"), at("$.amount.currency").alias("currency"), at("$.detail").alias("detail"))
+    is_object = F.startswith(F.schema_of_variant("detail"), F.lit("OBJECT"))
+    fields = F.array_join(F.array_sort(F.json_object_keys(F.to_json("detail"))), "|")
+    currency = F.concat_ws(":", F.coalesce(kind_of(F.col("currency")), F.lit("absent")), F.when(kind_of(F.col("currency")) == "string", F.try_variant_get("currency", "$", "string")))
+    metrics = {
+        "amount_class": scalar_class(F.col("amount")), "amount_kind": F.coalesce(kind_of(F.col("amount")), F.lit("absent")), "currency": currency,
+        "detail_fields": F.when(is_object, fields).otherwise(F.coalesce(kind_of(F.col("detail")), F.lit("absent"))), "detail_shape": F.coalesce(shape_of(F.col("detail")), F.lit("absent")),
+    }
+    rows = v.select(F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), c.alias("what")) for n, c in metrics.items()))).alias("m")).select("m.*")
+    inner = members(v.where(is_object).select(F.to_json("detail").alias("detail")), "detail", []).select(F.lit("detail_kind").alias("metric"), F.concat_ws(":", "field", kind_of(F.col("value"))).alias("what"))
+    return rows.unionByName(inner).groupBy("metric", "what").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def period_diagnostics(history: DataFrame, claims: DataFrame) -> DataFrame:
     """How cover periods change over a policy's events, overlap, and match claims."""
     seen = with_previous(history, ["policy_id"], ["updated_on", "op"], ["cover_start", "cover_end", "premium"])
@@ -91,38 +111,6 @@ def diagnose_claims(claims: DataFrame, history: DataFrame) -> DataFrame:
 # ---- JSON records
 
 
-def json_depth(df: DataFrame, payload: str) -> int:
-    """The most levels of objects and arrays in any payload; one pass."""
-    plain = F.regexp_replace(payload, r'"(\\\\.|[^"\\\\])*"', "")
-    marks = F.filter(F.split(F.regexp_replace(plain, r"[^{}\[\]]", ""), ""), lambda c: c != "")
-    step = lambda acc, c: F.struct(
-        (acc["now"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("now"),
-        F.greatest(acc["most"], acc["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most"),
-    )
-    depth = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda acc: acc["most"])
-    return df.agg(F.coalesce(F.max(depth), F.lit(0))).first()[0]
-
-
-def json_leaves(df: DataFrame, payload: str, keep: list[str], depth: int | None = None) -> DataFrame:
-    """(path, value) of every scalar; items of arrays share the path ``[]``; all levels, of which there are ``depth`` (counted first if not given)."""
-    depth = max(1, json_depth(df, payload) if depth is None else depth)
-    level = df.where(F.col(payload).rlike(r"^\s*[{\[]")).select(*keep, F.lit("").alias("path"), F.col(payload).alias("_json"))
-    done = None
-    for _ in range(depth):
-        obj = F.from_json("_json", "map<string,string>")
-        arr = F.from_json("_json", "array<string>")
-        is_obj, is_arr = F.col("_json").rlike(r"^\s*\{"), F.col("_json").rlike(r"^\s*\[")
-        items = F.when(is_obj, F.transform(F.map_entries(obj), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("k"), e["value"].alias("v")))).otherwise(
-            F.transform(arr, lambda v: F.struct(F.lit("[]").alias("k"), v.alias("v")))
-        )
-        nxt = level.where(is_obj | is_arr).select(*keep, "path", F.explode(items).alias("_i"))
-        nxt = nxt.select(*keep, F.concat("path", F.col("_i.k")).alias("path"), F.col("_i.v").alias("_json"))
-        nested = F.coalesce(F.col("_json").rlike(r"^\s*[{\[]"), F.lit(False))
-        done = nxt.where(~nested) if done is None else done.unionByName(nxt.where(~nested))
-        level = nxt.where(nested)
-    return done.select(*keep, F.regexp_replace("path", r"^\.", "").alias("path"), F.col("_json").alias("value"))
-
-
 def leaf_screen(leaves: DataFrame, path_pattern: str, value_pattern: str, keep: list[str]) -> DataFrame:
     """Leaves whose path and value match."""
     return leaves.where(F.col("path").rlike(path_pattern) & F.col("value").rlike(value_pattern)).select(*keep, "path", "value")

@@ -6,11 +6,10 @@ records aren't objects, and some pages differ from their manifest.
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.leaves import share_code
 from ..operators import merge, profile, relational
 from ..sources import pages as src
 from ..sources.store import Store, work_dir
@@ -22,16 +21,9 @@ PAGE = 500
 RESOURCE, RUN = "siniestros", "run1"
 
 
-def share_code(p: Portfolio) -> None:
-    """Let Python workers import this package where it isn't installed but reachable."""
-    env, root = p.spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
-    if root not in env.get("PYTHONPATH", "").split(":"):
-        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), root]))
-
-
 def capture(p: Portfolio) -> DataFrame:
     """page_number, source_file, body; at most PAGE records are gathered into one."""
-    share_code(p)
+    share_code(p.spark)
     value = F.when(F.col("event_id") % 97 == 0, "@NaN@").otherwise(F.col("value").cast("string"))
     extra = F.when((F.col("event_id") % (10 * PAGE) == 0) & (F.col("event_id") > 0), F.lit("x"))
     record = F.to_json(F.struct(F.col("event_id").cast("string").alias("claim_id"), F.col("event_type").alias("status"), value.alias("value"), extra.alias("extra"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at")))
@@ -128,6 +120,31 @@ def shape_drift(p):
     return src.schema_drift(records(p))
 
 
+#: A field of each type by the order's number, an object with the same field names, and a string that looks like an object.
+_SIX = """(SELECT o_orderkey % 50 + 1 AS page_number, unnest(['k', 'a', 'b', 'c', 'd', 'e']) AS field, unnest([CASE o_orderkey % 3 WHEN 0 THEN 'number' ELSE 'string' END, 'number', 'object', 'string', 'array', CASE WHEN o_orderkey % 2 = 0 THEN 'boolean' ELSE 'null' END]) AS type FROM orders)"""
+
+
+def _six_types(p: Portfolio) -> DataFrame:
+    key = F.col("o_orderkey")
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    k = F.when(key % 3 == 0, text(key)).otherwise(text('"', key, '"'))
+    e = F.when(key % 2 == 0, "true").otherwise("null")
+    body = text('{"k":', k, ',"a":', key, '.5,"b":{"a":"x","k":[1,{"c":null}]},"c":"{not json \\\\","d":["{",', key, '],"e":', e, "}")
+    return p.table("orders").select((key % 50 + 1).alias("page_number"), F.lit(True).alias("is_object"), body.alias("payload"))
+
+
+@query(f"SELECT CAST(page_number AS BIGINT) AS page_number, field, type, COUNT(*) AS values FROM {_SIX} x GROUP BY 1, 2, 3", None)
+def field_type_counts(p):
+    return src.field_type_counts(_six_types(p)).withColumn("page_number", F.col("page_number").cast("long"))
+
+
+@query(f"""SELECT CAST(page_number AS BIGINT) AS page_number, 'mixed_types' AS drift, field AS what FROM {_SIX} x WHERE type <> 'null' GROUP BY 1, 3 HAVING COUNT(DISTINCT type) > 1
+  UNION ALL SELECT CAST(MIN(page_number) AS BIGINT), 'new_type', field || ' ' || type FROM {_SIX} x WHERE type <> 'null' GROUP BY field, type
+    HAVING MIN(page_number) > (SELECT MIN(page_number) FROM {_SIX} y WHERE y.field = x.field AND y.type <> 'null')""", None)
+def type_drift(p):
+    return src.schema_drift(_six_types(p)).withColumn("page_number", F.col("page_number").cast("long"))
+
+
 def _offsets(p: Portfolio) -> DataFrame:
     """Offset pages, one of which is short and one of which jumps."""
     df = p.table("events").groupBy((F.floor(F.col("event_id") / 100) + 1).alias("page_number")).agg(F.count(F.lit(1)).alias("rows_received"))

@@ -701,6 +701,26 @@ def json_leaves(p):
     return profile.json_leaves(claim_payloads(p), "payload", []).groupBy("path").agg(F.count(F.lit(1)).alias("leaves"))
 
 
+def deep_payloads(p: Portfolio) -> DataFrame:
+    """An order under o_orderkey % 60 levels of objects and arrays, with backslashes, quotes and braces in strings."""
+    d = (F.col("o_orderkey") % 60).cast("int")
+    text = F.concat(
+        F.lit('{"p":"C:\\\\","q":"}\\"{[","v":'), F.repeat(F.lit('{"a":['), d), F.lit('{"z":'), F.col("o_orderkey").cast("string"), F.lit(',"s":"\\u007b\\\\\\"]"}'), F.repeat(F.lit("]}"), d), F.lit(',"w":null}')
+    )
+    return p.table("orders").select("o_orderkey", text.alias("payload"))
+
+
+@query("""SELECT o_orderkey, unnest(['p', 'q', 'v' || repeat('.a[]', CAST(o_orderkey % 60 AS INT)) || '.z', 'v' || repeat('.a[]', CAST(o_orderkey % 60 AS INT)) || '.s', 'w']) AS path,
+  unnest(['C:\\', '}"{[', CAST(o_orderkey AS VARCHAR), '{\\"]', NULL]) AS value FROM orders""", None)
+def json_leaves_deep(p):
+    return profile.json_leaves(deep_payloads(p), "payload", ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, path, value FROM (SELECT o_orderkey, 'v' || repeat('.a[]', CAST(o_orderkey % 60 AS INT)) || '.z' AS path, CAST(o_orderkey AS VARCHAR) AS value FROM orders) x WHERE value LIKE '%7'""", None)
+def leaf_screen_deep(p):
+    return profile.leaf_screen(profile.json_leaves(deep_payloads(p), "payload", ["o_orderkey"]), r"(^|\.)z$", r"7$", ["o_orderkey"])
+
+
 @query("SELECT claim_id, 'amount.currency' AS path, currency AS value FROM claims WHERE currency IN ('ARS', 'BRL')")
 def leaf_screen(p):
     df = claim_payloads(p).withColumn("claim_id", F.get_json_object("payload", "$.claim_id"))
@@ -712,6 +732,26 @@ def field_quality(p):
     return profile.field_quality(claim_payloads(p), "payload", ["status", "amount", "policy"])
 
 
+#: How an amount is written, by l_partkey % 11, and its class.
+_WRITTEN = {
+    0: ("12.50", "number", "number"), 1: ('"12.50"', "number_text", "string"), 2: ('"1,234.50"', "separators", "string"), 3: ('"1.234,50"', "separators", "string"),
+    4: ('"twelve"', "text", "string"), 5: ('" "', "empty", "string"), 6: ("null", "null", "null"), 7: ('{"value":[12]}', "nested", "object"),
+    8: ('{"__non_finite_number__":"NaN"}', "marker", "object"), 9: (None, "absent", "absent"), 10: ('"Infinity"', "marker", "string"),
+}
+_PICK = lambda k: "CASE l_partkey % 11 " + " ".join(f"WHEN {i} THEN '{w[k]}'" for i, w in _WRITTEN.items()) + " END"
+_DETAIL = "CASE WHEN l_partkey % 3 = 0 THEN '{0}' WHEN l_partkey % 3 = 1 THEN '{1}' ELSE '{2}' END"
+
+
+@query(f"""SELECT metric, what, COUNT(*) AS rows FROM (SELECT unnest(['amount_class', 'amount_kind', 'currency', 'detail_fields', 'detail_shape', CASE WHEN l_partkey % 3 = 0 THEN 'detail_kind' END, CASE WHEN l_partkey % 3 = 0 THEN 'detail_kind' END]) AS metric,
+  unnest([{_PICK(1)}, {_PICK(2)}, CASE WHEN l_partkey % 2 = 0 THEN 'string:USD' ELSE 'null' END, {_DETAIL.format('city|n', 'array', 'absent')}, {_DETAIL.format('OBJECT<city: STRING, n: OBJECT<x: NUMBER>>', 'ARRAY<NUMBER>', 'absent')}, 'city:string', 'n:object']) AS what FROM lineitem) x WHERE metric IS NOT NULL GROUP BY 1, 2""", None)
+def raw_claim_profile(p):
+    """Amounts written in eleven ways, details of three shapes."""
+    amount = F.element_at(F.array(*(F.lit("" if w[0] is None else f'"value":{w[0]},') for w in _WRITTEN.values())), (F.col("l_partkey") % 11).cast("int") + 1)
+    currency = F.when(F.col("l_partkey") % 2 == 0, '"USD"').otherwise("null")
+    detail = F.when(F.col("l_partkey") % 3 == 0, ',"detail":{"n":{"x":1.5},"city":"a"}').when(F.col("l_partkey") % 3 == 1, ',"detail":[1,2]').otherwise("")
+    return profile.profile_raw_claims(p.table("lineitem").select(F.concat(F.lit('{"amount":{'), amount, F.lit('"currency":'), currency, F.lit("}"), detail, F.lit("}")).alias("payload")))
+
+
 @query("""SELECT COUNT(*) AS jobs, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bytes, MAX(CAST(l_quantity AS BIGINT)) AS largest, 'OVER_LIMIT' AS audit_status
   FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'""", None)
 def consumption_audit(p):

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import KEY_SEPARATOR, norm_ts, utc_date
+from ..functions.variants import NON_FINITE, kind_of, members
 
 #: Key fields of each resource (fixed values).
 SOURCE_KEYS = {"polizas": ["poliza_id"], "siniestros": ["claim_id"], "agencias": ["agencia_id"], "productos": ["producto_id"], "tipo_cambio": ["fecha", "moneda"]}
-NON_FINITE = "__non_finite_number__"
 RAW_COLUMNS = ["ingested_at", "run_id", "batch_id", "resource", "snapshot_id", "page_number", "record_index", "source_key", "source_updated_at", "record_hash", "source_file", "payload"]
 RECORDS = "source_file string, page_number long, record_index long, is_object boolean, source_key string, updated_at string, record_hash string, payload string, issues array<struct<path:string,value:string>>"
 _ITEM = pa.struct([("path", pa.string()), ("value", pa.string())])
@@ -276,15 +276,14 @@ def audit_totals(manifest: DataFrame) -> DataFrame:
     return df.select("resource", "source_total", "rows", status.alias("audit_status"))
 
 
-def _field_types(records: DataFrame) -> DataFrame:
-    """page_number, field, type of every top-level field."""
-    entries = records.where("is_object").select("page_number", F.explode(F.json_object_keys("payload")).alias("field"), "payload")
-    value = F.element_at(F.from_json("payload", "map<string,string>"), F.col("field"))
-    kind = (
-        F.when(value.isNull(), "null").when(value.rlike(r"^\{"), "object").when(value.rlike(r"^\["), "array")
-        .when(F.col("payload").contains(F.concat(F.lit('"'), F.col("field"), F.lit('":"'))), "string").when(value.isin("true", "false"), "boolean").otherwise("number")
-    )
-    return entries.select("page_number", "field", kind.alias("type"))
+def field_types(records: DataFrame) -> DataFrame:
+    """page_number, field, type of every top-level field, by value: null, boolean, number, string, array or object."""
+    return members(records.where("is_object"), "payload", ["page_number"]).select("page_number", "field", kind_of(F.col("value")).alias("type"))
+
+
+def field_type_counts(records: DataFrame) -> DataFrame:
+    """How many values of which type a field has in a page."""
+    return field_types(records).groupBy("page_number", "field", "type").agg(F.count(F.lit(1)).alias("values"))
 
 
 def shape_summary(records: DataFrame) -> DataFrame:
@@ -296,7 +295,7 @@ def shape_summary(records: DataFrame) -> DataFrame:
 def schema_drift(records: DataFrame) -> DataFrame:
     """Against the first page: shapes and types of fields that come up later, and fields of several types in a page."""
     shapes = shape_summary(records).groupBy("shape").agg(F.min("page_number").alias("page_number"))
-    types = _field_types(records).where("type <> 'null'").distinct()
+    types = field_types(records).where("type <> 'null'").distinct()
     first_types = types.groupBy("field", "type").agg(F.min("page_number").alias("page_number"))
     first_fields = types.groupBy("field").agg(F.min("page_number").alias("_since"))
     start = records.agg(F.min("page_number").alias("_start"))

@@ -256,7 +256,10 @@ def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bo
 
 
 def token_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, tokens) of the classes (key, first), made from the texts again rather than kept for all."""
+    """(key, tokens) of the classes (key, first), made from the texts again rather than kept for all.
+
+    Other texts under the same ids come along; no group has their keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -265,7 +268,7 @@ def token_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     ids = classes.select(F.col("first").alias("first_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    return texts.select("text").mapInArrow(run, "key binary, tokens binary").join(classes.select("key"), "key", "left_semi")
+    return texts.select("text").where("length(text) > 0").mapInArrow(run, "key binary, tokens binary")
 
 
 def size_of(key: str) -> Column:
@@ -295,7 +298,10 @@ def link_classes(docs: DataFrame, leaves: DataFrame) -> DataFrame:
     """Links (u, v) that connect every component; ``leaves``: key, first, a1, a2, b1, b2, prefix."""
     posts = leaves.select("key", F.explode("prefix").alias("token")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token")))
     shared = materialize(posts.where("n > 1").select("token", "key"), "matrix")
-    classes = materialize(leaves.select("key", "first", "a1", "a2", "b1", "b2").join(shared.select("key").distinct(), "key", "left_semi"), "classes")
+    # Fewer shared tokens than any partner asks for: such a class links with nothing.
+    enough = F.floor(F.floor(size_of("key") * PERCENT / 100) / 32) + 1
+    sharing = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
+    classes = materialize(leaves.select("key", "first", "a1", "a2", "b1", "b2").join(sharing, "key", "left_semi"), "classes")
     sets = materialize(token_sets(docs, classes), "token-sets")
     groups, others = (materialize(grouped(classes, *m), "groups") for m in (("a1", "a2"), ("b1", "b2")))
     first = [materialize(open_groups(g.where("before IS NOT NULL").select("key", F.col("before").alias("group")), g, sets, True), "own-links") for g in (groups, others)]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .cohort import MART_COLUMNS
 from .classify import not_annulled
+from .ranges import find_differences
 from .relational import ambiguous_versions, table_diff
 
 Check = tuple[str, Column, Column]
@@ -130,10 +131,11 @@ def assert_contract(df: DataFrame, columns: list[tuple[str, str]], forbid_ids: b
         raise ChecksFailed(f"ids in the mart: {ids}")
 
 
-def assert_equal(a: DataFrame, b: DataFrame) -> None:
-    r = table_diff(a, b).first()
-    if r["only_a"] or r["only_b"]:
-        raise ChecksFailed(f"tables differ: {r['only_a']} and {r['only_b']} rows on one side")
+def assert_equal(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> None:
+    """Equal row for row, repeats counted; if not, the error names some of the rows and their sides."""
+    found = find_differences(a, b, keys or a.columns).take(5)
+    if found:
+        raise ChecksFailed("tables differ: " + "; ".join(f"{r['side']} has {r['times']} more of {[r[k] for k in keys or a.columns]}" for r in found))
 
 
 def assert_unambiguous(df: DataFrame, keys: list[str]) -> None:

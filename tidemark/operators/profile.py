@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .classify import analysis_currency, cover_match, coverage_state
 from .fx import asof_rate
-from .relational import latest_by, latest_periods, missing_refs, opposite_amounts, overlap_pairs, with_previous
+from .ranges import overlap_counts
+from .relational import latest_by, latest_periods, missing_refs, opposite_amounts, with_previous
 from ..functions.expr import json_scalar, money
 from ..functions.leaves import json_leaves
 from ..functions.variants import kind_of, members, scalar_class, shape_of
@@ -77,7 +78,7 @@ def period_diagnostics(history: DataFrame, claims: DataFrame) -> DataFrame:
     )
     periods = latest_periods(history)
     many = periods.groupBy("policy_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("policies_of_several_periods"))
-    overlaps = overlap_pairs(periods).agg(F.count(F.lit(1)).alias("overlapping_pairs"))
+    overlaps = overlap_counts(periods).agg(F.coalesce(F.sum("overlapping_pairs"), F.lit(0)).alias("overlapping_pairs"))
     hits = claims.select("claim_id").join(cover_match(claims, periods), "claim_id", "left").agg(
         F.count_if(F.col("periods").isNull()).alias("claims_in_no_period"), F.count_if(F.col("periods") == 1).alias("claims_in_one_period"), F.count_if(F.col("periods") > 1).alias("claims_in_several_periods")
     )

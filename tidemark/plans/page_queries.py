@@ -13,7 +13,8 @@ from ..functions.leaves import share_code
 from ..operators import merge, profile, relational
 from ..sources import pages as src
 from ..sources.store import Store, work_dir
-from ..streaming import cdc
+from ..sources.pages import IntegrityError
+from ..streaming import cdc, latest, watermark
 from .adapters import CTE, Portfolio
 from .registry import query
 
@@ -145,22 +146,47 @@ def type_drift(p):
     return src.schema_drift(_six_types(p)).withColumn("page_number", F.col("page_number").cast("long"))
 
 
-def _offsets(p: Portfolio) -> DataFrame:
-    """Offset pages, one of which is short and one of which jumps."""
-    df = p.table("events").groupBy((F.floor(F.col("event_id") / 100) + 1).alias("page_number")).agg(F.count(F.lit(1)).alias("rows_received"))
-    short = (F.col("page_number") == 4).cast("long")
-    cols = {"resource": F.lit(RESOURCE), "request_offset": (F.col("page_number") - 1) * 100, "rows_received": F.col("rows_received") - short, "limit": F.lit(100), "total": F.lit(10**9), "request_cursor": F.lit(None).cast("string"), "next_cursor": F.lit(None).cast("string"), "has_more": F.lit(None).cast("boolean")}
-    return df.withColumns(cols)
+#: Pages of 50 events by offset, and as many by cursor, with a break of each kind at every page whose number has the given rest by 40.
+_BROKEN = """(SELECT event_id // 50 + 1 AS page_number, COUNT(*) AS n FROM events GROUP BY 1)"""
+_AT = "CAST(page_number AS BIGINT) AS page_number"
+_LAST = f"(SELECT MAX(page_number) FROM {_BROKEN} z)"
 
 
-@query("SELECT CAST(4 AS BIGINT) AS page_number, 'short_page' AS problem, COUNT(*) > 0 AS any_events FROM events UNION ALL SELECT 5, 'offset_jump', COUNT(*) > 0 FROM events", None)
+def _offsets(p: Portfolio) -> DataFrame:
+    """Pages by offset (resource siniestros) with short, jumping, oversize pages and changed limits and totals, and pages by cursor (polizas)."""
+    df = p.table("events").groupBy((F.floor(F.col("event_id") / 50) + 1).alias("page_number")).agg(F.count(F.lit(1)).alias("n"))
+    page = F.col("page_number")
+    at = lambda k: page % 40 == k
+    null = lambda t: F.lit(None).cast(t)
+    by_offset = {
+        "resource": F.lit(RESOURCE), "request_offset": (page - 1) * 50, "rows_received": F.when(at(4), 49).when(at(8), 51).otherwise(F.col("n")), "limit": F.when(at(12), 49).otherwise(50),
+        "total": F.when(at(16), 1).otherwise(10**9), "request_cursor": null("string"), "next_cursor": null("string"), "has_more": null("boolean"),
+    }
+    cursor = lambda x: F.concat(F.lit("c"), x.cast("string"))
+    by_cursor = {
+        "resource": F.lit("polizas"), "request_offset": null("long"), "rows_received": F.when(at(4), 0).otherwise(F.col("n")), "limit": null("int"), "total": null("int"),
+        "request_cursor": F.when(at(8), cursor(page - 1)).otherwise(cursor(page)), "next_cursor": F.when(~at(12), cursor(page + 1)), "has_more": F.lit(True),
+    }
+    return df.withColumns(by_offset).drop("n").unionByName(df.withColumns(by_cursor).drop("n"))
+
+
+@query(f"""SELECT 'siniestros' AS resource, {_AT}, problem FROM (SELECT page_number, unnest([
+    CASE WHEN page_number % 40 IN (5, 9) OR (page_number > 1 AND page_number % 40 NOT IN (5, 9) AND (SELECT n FROM {_BROKEN} y WHERE y.page_number = x.page_number - 1) <> 50) THEN 'offset_jump' END,
+    CASE WHEN page_number % 40 IN (12, 13) THEN 'limit_changed' END, CASE WHEN page_number % 40 IN (16, 17) THEN 'total_changed' END,
+    CASE WHEN page_number < {_LAST} AND (page_number % 40 = 4 OR (n < 50 AND page_number % 40 NOT IN (4, 8, 12))) THEN 'short_page' END,
+    CASE WHEN page_number % 40 IN (8, 12) THEN 'oversize_page' END]) AS problem FROM {_BROKEN} x) a WHERE problem IS NOT NULL
+  UNION ALL SELECT 'polizas', {_AT}, problem FROM (SELECT page_number, unnest([
+    CASE WHEN page_number % 40 = 7 AND page_number < {_LAST} OR page_number % 40 = 8 THEN 'repeated_cursor' END, CASE WHEN page_number % 40 = 12 THEN 'more_without_cursor' END,
+    CASE WHEN page_number % 40 = 4 THEN 'empty_with_more' END, CASE WHEN page_number % 40 IN (8, 13) THEN 'cursor_jump' END]) AS problem FROM {_BROKEN} x) b WHERE problem IS NOT NULL""", None)
 def page_continuity(p):
-    return src.audit_pages(_offsets(p)).select("page_number", "problem", F.lit(True).alias("any_events"))
+    """All nine breaks, in every fortieth page or so."""
+    return src.audit_pages(_offsets(p))
 
 
-@query("SELECT 'siniestros' AS resource, 'PARTIAL' AS audit_status, COUNT(*) - 1 AS rows FROM events", None)
+@query(f"""SELECT 'siniestros' AS resource, 'PARTIAL' AS audit_status, CAST(SUM(CASE page_number % 40 WHEN 4 THEN 49 WHEN 8 THEN 51 ELSE n END) AS BIGINT) AS rows FROM {_BROKEN} x
+  UNION ALL SELECT 'polizas', 'UNKNOWN', CAST(SUM(CASE page_number % 40 WHEN 4 THEN 0 ELSE n END) AS BIGINT) FROM {_BROKEN} x""", None)
 def page_totals(p):
-    return src.audit_totals(_offsets(p)).select("resource", "audit_status", "rows")
+    return src.audit_totals(_offsets(p)).select("resource", "audit_status", F.col("rows").cast("long").alias("rows"))
 
 
 @query(f"SELECT DISTINCT CAST({_PAGE} AS BIGINT) AS page_number, 'unexpected' AS side FROM events WHERE {_PAGE} = 7 UNION ALL SELECT 999999, 'missing'", None)
@@ -258,14 +284,42 @@ def stream_deduplicated(p):
     return p.spark.read.schema(once.schema).parquet(out)
 
 
-@query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1", None)
+@query("SELECT user_id, MAX(ts) AS ts FROM events GROUP BY 1 HAVING CAST(floor(epoch(MAX(ts))) AS BIGINT) % 5 <> 0", None)
 def stream_latest_state(p):
-    out = work_dir(p.spark, "latest-out")
-    at = F.struct("ts", "event_id").alias("at")
-    latest = cdc.latest_state_stream(_event_stream(p).select("user_id", "event_id", at), "user_id", "at").select("user_id", "event_id")
-    stream = latest.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
-    stream.option("checkpointLocation", work_dir(p.spark, "latest-check")).trigger(availableNow=True).start().awaitTermination()
-    return p.spark.read.schema(latest.schema).parquet(out)
+    """Three batches in no order of time; an event at a second that five divides deletes its user until a later one comes."""
+    source, out = work_dir(p.spark, "latest-in"), work_dir(p.spark, "latest-out")
+    df = p.table("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    for k in range(3):
+        df.where(F.pmod("event_id", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(source)
+    stream = p.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    changes = latest.latest_changes(stream, "user_id", "ts", "CAST(floor(unix_micros(ts) / 1000000) AS BIGINT) % 5 = 0")
+    latest.write_changes(changes, out, work_dir(p.spark, "latest-check")).awaitTermination()
+    return latest.read_latest(p.spark, out, changes.schema, "user_id").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+_CUTS = ["1994-01-01", "1996-01-01", "1996-01-04", "2003-01-01"]
+_SEEN = " ".join(f"WHEN updated_on <= DATE '{c}' - CASE WHEN policy_id % 7 = 0 THEN 5 ELSE 0 END THEN {k}" for k, c in enumerate(_CUTS))
+
+
+@query(f"SELECT policy_id, updated_on, op, CAST(CASE {_SEEN} END AS BIGINT) AS batch FROM history")
+def watermark_runs(p):
+    """Four reads of a growing source; a seventh of its events come five days late, and the third read fails before it is applied and comes again."""
+    df = p.history.select("policy_id", "op", "premium", "updated_on")
+    delta = watermark.Delta(p.spark, work_dir(p.spark, "delta"), "policies", df.schema, "updated_on", ["policy_id", "op"], 10 * 86400)
+
+    def fail(written):
+        raise IntegrityError("not this time")
+
+    for k, cut in enumerate(_CUTS):
+        late = F.when(F.col("policy_id") % 7 == 0, 5).otherwise(0)
+        source = df.where(F.date_add("updated_on", late) <= F.lit(cut).cast("date"))
+        if k == 2:
+            try:
+                delta.run(source, fail)
+            except IntegrityError:
+                pass
+        delta.run(source)
+    return delta.applied().select("policy_id", "updated_on", "op", "batch")
 
 
 def _store(p: Portfolio, label: str) -> Store:

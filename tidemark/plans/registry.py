@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr
-from ..operators import checks, classify, cohort, fx, merge, metrics, parse, profile, relational
+from ..operators import checks, classify, cohort, fx, merge, metrics, parse, profile, ranges, relational
 from ..sources.store import work_dir
 from .adapters import CTE, CUTOFF, FIRST, FLAGS_CTE, FULL_CTE, LAST, MART_CTE, RATES_CTE, Portfolio
 
@@ -496,6 +496,42 @@ def overlap_pairs(p):
     return relational.overlap_pairs(p.table("orders").select(F.col("o_custkey").alias("policy_id"), start.alias("cover_start"), F.date_add(start, 30).alias("cover_end")))
 
 
+@query(f"SELECT p.policy_id, COUNT(*) AS periods, CAST(SUM((SELECT COUNT(*) FROM {_PERIODS} b WHERE p.policy_id = b.policy_id AND (p.cover_start, p.cover_end) < (b.cover_start, b.cover_end) AND p.cover_start <= b.cover_end AND b.cover_start <= p.cover_end)) AS BIGINT) AS overlapping_pairs FROM {_PERIODS} p GROUP BY 1", None)
+def overlap_counts(p):
+    start = F.to_date("o_orderdate")
+    return ranges.overlap_counts(p.table("orders").select(F.col("o_custkey").alias("policy_id"), start.alias("cover_start"), F.date_add(start, 30).alias("cover_end")))
+
+
+#: The events of every third user give values by type, dense in time; all others ask for the last one; logins pass by.
+_VALUES = "(SELECT event_type, ts, MAX(value) AS value FROM events WHERE user_id % 3 = 0 GROUP BY 1, 2)"
+
+
+@query(f"""SELECT e.event_id, CASE WHEN e.event_type <> 'click' THEN v.value END AS known FROM (SELECT * FROM events WHERE user_id % 3 <> 0) e
+  ASOF LEFT JOIN {_VALUES} v ON v.event_type = e.event_type AND v.ts <= e.ts""", None)
+def asof_dense_values(p):
+    e = p.table("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    facts = e.where("user_id % 3 <> 0").select("event_id", "event_type", "ts")
+    return ranges.asof_last_known(facts, e.where("user_id % 3 = 0").select("event_type", "ts", "value"), ["event_type"], "ts", "value", "known", bypass=F.col("event_type") == "click").select("event_id", "known")
+
+
+@query("SELECT a.policy_id, CAST(CASE WHEN a.currency = 'USD' THEN 1 ELSE r.factor_usd END AS DOUBLE) AS rate FROM active a LEFT JOIN rates r ON r.currency = a.currency AND a.issued_on >= r.rate_date AND a.issued_on < r.next_date", RATES_CTE)
+def fx_asof_last_known(p):
+    """The same as the join with intervals, along the order of days; dollars pass by."""
+    facts = p.active.select("policy_id", "currency", F.col("issued_on").alias("at"))
+    rates = p.fx.where("factor_usd > 0").select("currency", F.col("rate_date").alias("at"), "factor_usd")
+    df = ranges.asof_last_known(facts, rates, ["currency"], "at", "factor_usd", "rate", unit="month", bypass=F.col("currency") == "USD")
+    return df.select("policy_id", F.when(F.col("currency") == "USD", 1.0).otherwise(F.col("rate").cast("double")).alias("rate"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_quantity, 'a' AS side, COUNT(*) AS times FROM lineitem WHERE l_orderkey = 7 GROUP BY ALL
+  UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1, 'b', COUNT(*) FROM lineitem WHERE l_orderkey = 7 GROUP BY ALL""", None)
+def find_differences(p):
+    """One order's lines differ; the fingerprints of all others agree."""
+    a = p.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    b = a.withColumn("l_quantity", F.when(F.col("l_orderkey") == 7, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    return ranges.find_differences(a, b, ["l_orderkey"])
+
+
 @query("SELECT o_custkey AS policy_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS cover_start, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS ends, CAST(MIN(o_orderdate) AS DATE) AS first_end, CAST(MAX(o_orderdate) AS DATE) AS last_end FROM orders GROUP BY 1, 2 HAVING COUNT(DISTINCT CAST(o_orderdate AS DATE)) > 1", None)
 def same_start_pairs(p):
     end = F.to_date("o_orderdate")

@@ -13,11 +13,12 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import KEY_SEPARATOR, norm_ts, utc_date
 from ..functions.variants import NON_FINITE, kind_of, members
+from ..operators.ranges import with_previous_in_order
 
 #: Key fields of each resource (fixed values).
 SOURCE_KEYS = {"polizas": ["poliza_id"], "siniestros": ["claim_id"], "agencias": ["agencia_id"], "productos": ["producto_id"], "tipo_cambio": ["fecha", "moneda"]}
@@ -246,27 +247,30 @@ def audit_pages(manifest: DataFrame) -> DataFrame:
     """Breaks in a capture's continuity, per resource and page.
 
     Pages by cursor: a cursor that comes again, more to come without a cursor,
-    an empty page with more to come.  Pages by offset: a jump, a changed limit or
-    total, a short page before the last, a page over the limit.
+    an empty page with more to come, a cursor that isn't the one before's next.
+    Pages by offset: a jump, a changed limit or total, a short page before the
+    last, a page over the limit.  A page meets the one before it within its
+    stretch of pages, a stretch the end of the one before, and no window holds a resource.
     """
-    w = Window.partitionBy("resource").orderBy("page_number")
-    before = lambda c: F.lag(c).over(w)
-    cursors = F.count(F.lit(1)).over(Window.partitionBy("resource", "request_cursor"))
-    last = F.lead("page_number").over(w).isNull()
-    by_offset, known = F.col("request_offset").isNotNull(), F.lag("page_number").over(w).isNotNull()
+    pages = with_previous_in_order(manifest, ["resource"], "page_number", ["next_cursor", "request_offset", "rows_received", "limit", "total"])
+    ends = manifest.groupBy("resource").agg(F.max("page_number").alias("_last"))
+    again = manifest.where("request_cursor IS NOT NULL").groupBy("resource", "request_cursor").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    pages = pages.join(ends, "resource").join(again, ["resource", "request_cursor"], "left")
+    before = lambda c: F.col(f"previous.{c}")
+    by_offset, known = F.col("request_offset").isNotNull(), F.col("previous").isNotNull()
     problems = {
-        "repeated_cursor": F.col("request_cursor").isNotNull() & (cursors > 1),
+        "repeated_cursor": F.col("_times").isNotNull(),
         "more_without_cursor": F.col("has_more") & F.col("next_cursor").isNull(),
         "empty_with_more": F.col("has_more") & (F.col("rows_received") == 0),
         "cursor_jump": ~by_offset & known & ~F.col("request_cursor").eqNullSafe(before("next_cursor")),
         "offset_jump": by_offset & known & (F.col("request_offset") != before("request_offset") + before("rows_received")),
         "limit_changed": by_offset & known & (F.col("limit") != before("limit")),
         "total_changed": by_offset & known & (F.col("total") != before("total")),
-        "short_page": by_offset & ~last & (F.col("rows_received") < F.col("limit")),
+        "short_page": by_offset & (F.col("page_number") < F.col("_last")) & (F.col("rows_received") < F.col("limit")),
         "oversize_page": by_offset & (F.col("rows_received") > F.col("limit")),
     }
     found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in problems.items())))
-    return manifest.select("resource", "page_number", found.alias("_p")).select("resource", "page_number", F.explode("_p").alias("problem"))
+    return pages.select("resource", "page_number", found.alias("_p")).select("resource", "page_number", F.explode("_p").alias("problem"))
 
 
 def audit_totals(manifest: DataFrame) -> DataFrame:

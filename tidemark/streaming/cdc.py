@@ -84,13 +84,6 @@ def deduplicated(events: DataFrame, keys: list[str], at: str, overlap: str) -> D
     return events.withWatermark(at, overlap).dropDuplicatesWithinWatermark(keys)
 
 
-def latest_state_stream(events: DataFrame, key: str, order: str) -> DataFrame:
-    """The latest row of each key as an updating aggregate."""
-    rest = [c for c in events.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.col(order)).alias("_best")
-    return events.groupBy(key).agg(best).select(key, *(F.col(f"_best.{c}").alias(c) for c in rest))
-
-
 def state_equals_history(store: Store) -> bool:
     """Whether the current state is what the history leads to."""
     from ..operators.merge import current_state

@@ -33,32 +33,70 @@ def state(df):
     return {r.policy_id: (r.premium, r.status) for r in df.collect()}
 
 
+def active(spark, path):
+    from tidemark.streaming import cdc
+
+    return state(cdc.active(spark, str(path), spark.createDataFrame([], SCHEMA).schema))
+
+
 def test_steps(spark, tmp_path):
-    from tidemark.sources.store import Store
-    from tidemark.streaming.cdc import apply_batch, state_equals_history
+    from tidemark.streaming import cdc
 
-    store = Store(spark, str(tmp_path))
+    schema = spark.createDataFrame([], SCHEMA).schema
     for i, (rows, want) in enumerate(zip(STEPS, WANT)):
-        assert apply_batch(store, frame(spark, rows), f"run-{i}", buckets=4)
-        assert state(store.read("active")) == want, i
-    assert store.read("history").count() == 8 and state_equals_history(store)
-    assert not apply_batch(store, frame(spark, STEPS[-1]), "run-5", buckets=4)
+        assert cdc.apply_batch(frame(spark, rows), str(tmp_path), f"run-{i}", buckets=4)
+        assert active(spark, tmp_path) == want, i
+    assert cdc.history(spark, str(tmp_path), schema).count() == 8 and cdc.state_equals_history(spark, str(tmp_path), schema)
+    assert not cdc.apply_batch(frame(spark, STEPS[-1]), str(tmp_path), "run-5", buckets=4)
+
+
+def test_a_batch_that_broke_off_comes_again(spark, tmp_path, monkeypatch):
+    """After history and before the state, and after the state and before the run's row."""
+    from tidemark.streaming import cdc
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    cdc.apply_batch(frame(spark, STEPS[0]), str(tmp_path), "a", buckets=4)
+    for name in ("latest_by", "record_run"):
+        real = getattr(cdc, name)
+        monkeypatch.setattr(cdc, name, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            cdc.apply_batch(frame(spark, STEPS[1]), str(tmp_path), "b", buckets=4)
+        monkeypatch.setattr(cdc, name, real)
+    assert cdc.apply_batch(frame(spark, STEPS[1]), str(tmp_path), "b", buckets=4)
+    assert active(spark, tmp_path) == WANT[1] and cdc.history(spark, str(tmp_path), schema).count() == 4
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    from tidemark.streaming import cdc
+
+    many = [(f"P{i}", "I", 1, float(i), "EMITIDA") for i in range(300)]
+    cdc.apply_batch(frame(spark, many), str(tmp_path), "all", buckets=8)
+    seen = []
+    real = cdc.op_violations
+    cdc.op_violations = lambda batch, old: seen.append(old) or real(batch, old)
+    try:
+        cdc.apply_batch(frame(spark, [("P7", "U", 2, 1.0, "VENCIDA")]), str(tmp_path), "one", buckets=8)
+    finally:
+        cdc.op_violations = real
+    assert seen[0].count() < 100
+    assert "PartitionFilters: [" in seen[0]._jdf.queryExecution().executedPlan().toString()
+    folders = {p.name for p in (tmp_path / "history").glob("bucket=*/batch=one")}
+    assert len(list((tmp_path / "history").glob("bucket=*/batch=one"))) == 1 and folders == {"batch=one"}
+    assert active(spark, tmp_path)["P7"] == (1.0, "VENCIDA") and len(active(spark, tmp_path)) == 300
 
 
 @pytest.mark.parametrize("rows", [[("C", "U", 2, 1.0, "EMITIDA")], [("A", "U", 1, 999.0, "EMITIDA")], [("A", "X", 9, 1.0, "EMITIDA")]])
 def test_bad_batches_change_nothing(spark, tmp_path, rows):
     """An update of an unseen policy, a changed event, an unknown operation."""
     from tidemark.operators.checks import ChecksFailed
-    from tidemark.sources.store import Store
-    from tidemark.streaming.cdc import apply_batch
+    from tidemark.sources.batches import runs
+    from tidemark.streaming import cdc
 
-    store = Store(spark, str(tmp_path))
-    apply_batch(store, frame(spark, STEPS[0]), "good")
-    before = store.head()
+    cdc.apply_batch(frame(spark, STEPS[0]), str(tmp_path), "good")
     with pytest.raises(ChecksFailed):
-        apply_batch(store, frame(spark, rows), "bad")
-    assert store.head() == before and state(store.read("active")) == WANT[0]
-    assert [r.run_status for r in store.failures().collect()] == ["FAILED"]
+        cdc.apply_batch(frame(spark, rows), str(tmp_path), "bad")
+    assert active(spark, tmp_path) == WANT[0] and cdc.history(spark, str(tmp_path), frame(spark, rows).schema).count() == 2
+    assert {r.run_id: r.run_status for r in runs(spark, str(tmp_path)).collect()} == {"good": "SUCCESS", "bad": "FAILED"}
 
 
 def test_order_of_batches_does_not_matter(spark, tmp_path):
@@ -76,43 +114,28 @@ def test_order_of_batches_does_not_matter(spark, tmp_path):
 
 
 def test_stream_with_replay_and_late_events(spark, tmp_path):
-    from tidemark.sources.store import Store
-    from tidemark.streaming.cdc import latest_state_stream, start_cdc_stream
+    from tidemark.streaming.cdc import start_cdc_stream
 
-    source, store = f"{tmp_path}/in", Store(spark, f"{tmp_path}/store")
+    source, path = f"{tmp_path}/in", f"{tmp_path}/tables"
     for rows, want in zip(STEPS, WANT):
         frame(spark, rows).coalesce(1).write.mode("append").parquet(source)
-        q = start_cdc_stream(spark.readStream.schema(SCHEMA).parquet(source), store, f"{tmp_path}/check")
-        q.awaitTermination()
-        assert state(store.read("active")) == want
-    latest = latest_state_stream(spark.readStream.schema(SCHEMA).parquet(source), "policy_id", "updated_on")
-    q = latest.writeStream.outputMode("complete").format("memory").queryName("latest").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert state(spark.table("latest")) == WANT[5]
-
-
-def test_two_writers_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
-    from tidemark.sources.store import Conflict, Store, append_raw
-    from tidemark.streaming.cdc import start_cdc_stream
-
-    a, b = Store(spark, f"{tmp_path}/s"), Store(spark, f"{tmp_path}/s")
-    rows = lambda n: spark.range(n).toDF("v")
-    append_raw(a, "raw", rows(3), "0")
-    one, two = a.stage("raw", rows(5), append=True), b.stage("raw", rows(7), append=True)
-    a.commit({"raw": one})
-    b.commit({"raw": two})
-    assert a.read("raw").count() == 15
-    keyed = rows(8).selectExpr("CAST(v AS STRING) AS v")
-    first, second = (s.stage_buckets("state", keyed, "v", [0, 1], 2) for s in (a, b))
-    a.commit({"state": first})
-    with pytest.raises(Conflict):
-        b.commit({"state": second})
-    assert a.read("state").count() == 8
-    store = Store(spark, f"{tmp_path}/cdc")
-    for i, step in enumerate(STEPS[:2]):
-        frame(spark, step).coalesce(1).write.parquet(f"{tmp_path}/in{i}")
-        start_cdc_stream(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in{i}"), store, f"{tmp_path}/check{i}").awaitTermination()
-    assert state(store.read("active")) == WANT[1]
+        start_cdc_stream(spark.readStream.schema(SCHEMA).parquet(source), path, f"{tmp_path}/check", buckets=4).awaitTermination()
+        assert active(spark, path) == want
+    # A stream on a new checkpoint, which counts from zero again, changes nothing and loses nothing.
+    start_cdc_stream(spark.readStream.schema(SCHEMA).parquet(source), path, f"{tmp_path}/check2", buckets=4).awaitTermination()
+    assert active(spark, path) == WANT[5]
+
+
+def test_loads_once(spark, tmp_path):
+    from tidemark.sources.batches import append_raw, read_loads, verify_loaded
+
+    path, df = str(tmp_path), spark.createDataFrame([("a", 1), ("b", 2)], "resource string, v long")
+    assert read_loads(spark, path, "resource string, v long").count() == 0
+    assert append_raw(df, path, "one") and not append_raw(df, path, "one") and append_raw(df, path, "two")
+    df.write.parquet(f"{path}/rows/load=broken")  # no receipt
+    got = read_loads(spark, path, "resource string, v long")
+    assert got.count() == 4 and got.columns == ["resource", "v"]
+    assert verify_loaded(got, {"a": 2, "b": 2}) and not verify_loaded(got, {"a": 3}) and not verify_loaded(got, {"c": 1})
 
 
 def test_claims_upsert_and_catalog_refresh(spark):

@@ -128,22 +128,27 @@ def test_entry_and_names(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_store_and_conflicts(spark, tmp_path):
-    from tidemark.sources.store import Store, batch_fingerprint, publish, verify_loaded
+def test_runs_publish_after_checks(spark, tmp_path):
+    from tidemark.sources.batches import already_applied, apply_run, batch_fingerprint, publish, read_published, runs
 
-    store, df = Store(spark, str(tmp_path)), spark.createDataFrame([("a", 1)], "resource string, v int")
+    path, df = str(tmp_path), spark.createDataFrame([("a", 1)], "resource string, v int")
 
-    def fail(_):
+    def fail(written):
         raise ValueError("no")
 
-    assert publish(store, "r1", "mart", df, lambda w: None)
+    with pytest.raises(LookupError):
+        read_published(spark, path, "mart")
+    assert publish(spark, path, "r1", "mart", df, lambda w: None)
     with pytest.raises(ValueError):
-        publish(store, "r2", "mart", df.limit(0), fail)
-    assert store.read("mart").count() == 1 and store.head()["number"] == 1 and store.failures().count() == 1
+        publish(spark, path, "r2", "mart", df.limit(0), fail)
+    assert read_published(spark, path, "mart").count() == 1
+    assert [(r.run_status, r.error_message) for r in runs(spark, path).where("run_id = 'r2'").collect()] == [("FAILED", "no")]
     fp = batch_fingerprint(["a"], [("f", 1, "x")])
-    assert store.apply("r3", {"mart": df}, lambda w: None, fp) and not store.apply("r3", {"mart": df}, lambda w: None, fp)
-    assert store.apply("r3", {"mart": df}, lambda w: None, fp, replay=True)
-    assert verify_loaded(df, {"a": 1}) and not verify_loaded(df, {"a": 2})
+    assert fp != batch_fingerprint(["a"], [("f", 2, "x")]) and not already_applied(spark, path, fp)
+    both = {"mart": df.unionAll(df), "detail": df}
+    assert apply_run(spark, path, "r3", both, lambda w: None, fp) and not apply_run(spark, path, "r3", both, lambda w: None, fp)
+    assert apply_run(spark, path, "r3", both, lambda w: None, fp, replay=True)
+    assert read_published(spark, path, "mart").count() == 2 and read_published(spark, path, "detail").count() == 1
 
 
 def test_page_files(spark, tmp_path):

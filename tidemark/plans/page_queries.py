@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.leaves import share_code
 from ..operators import merge, profile, relational
 from ..sources import pages as src
-from ..sources.store import Store, work_dir
+from ..sources import batches
+from ..sources.batches import work_dir
 from ..sources.pages import IntegrityError
 from ..streaming import cdc, latest, watermark
 from .adapters import CTE, Portfolio
@@ -322,31 +323,42 @@ def watermark_runs(p):
     return delta.applied().select("policy_id", "updated_on", "op", "batch")
 
 
-def _store(p: Portfolio, label: str) -> Store:
-    return Store(p.spark, work_dir(p.spark, label))
-
-
-@query("SELECT policy_id, CAST(premium AS DOUBLE) AS premium, status, updated_on FROM active", CTE)
+@query("SELECT policy_id, client_id, CAST(premium AS DOUBLE) AS premium, status, op, updated_on FROM active", CTE)
 def cdc_stream(p):
     """All events in three files, later ones first within a policy's reach, applied by the stream."""
-    store, source = _store(p, "cdc"), work_dir(p.spark, "cdc-in")
+    path, source, schema = work_dir(p.spark, "cdc"), work_dir(p.spark, "cdc-in"), p.history.schema
     for part in ("op = 'I'", "op = 'D'", "op = 'U'"):
         p.history.where(part).write.mode("append").parquet(source)
         if part != "op = 'D'":  # a stream each for the first file and the rest, the second on a new checkpoint
-            stream = p.spark.readStream.schema(p.history.schema).option("maxFilesPerTrigger", 1000).parquet(source)
-            cdc.start_cdc_stream(stream, store, work_dir(p.spark, "cdc-check")).awaitTermination()
-    return store.read("active").select("policy_id", F.col("premium").cast("double").alias("premium"), "status", "updated_on")
+            stream = p.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
+            cdc.start_cdc_stream(stream, path, work_dir(p.spark, "cdc-check")).awaitTermination()
+    return cdc.active(p.spark, path, schema).select("policy_id", "client_id", F.col("premium").cast("double").alias("premium"), "status", "op", "updated_on")
 
 
 @query("SELECT policy_id, op FROM history WHERE op <> 'D'", CTE)
 def raw_append_once(p):
-    """Two batches of two writers, one of them twice."""
-    from ..sources.store import append_raw
-
-    store, df = _store(p, "append"), p.history.select("policy_id", "op")
-    stale = Store(p.spark, store.root)
-    staged = stale.stage("raw", df.where("op = 'U'"), append=True)  # staged before the other run commits
-    for op, identity in (("I", "a"), ("I", "a")):
-        append_raw(store, "raw", df.where(F.col("op") == op), identity)
-    stale.commit({"raw": staged}, fingerprint="raw:b")
-    return store.read("raw")
+    """Two loads, one of them twice, and a third that broke off before its receipt."""
+    path, df = work_dir(p.spark, "append"), p.history.select("policy_id", "op")
+    for op in ("I", "I", "U"):
+        batches.append_raw(df.where(F.col("op") == op), path, op)
+    df.where("op = 'D'").write.parquet(f"{path}/rows/load=broken")
+    return batches.read_loads(p.spark, path, "policy_id long, op string")
+
+
+@query("SELECT c_custkey, c_name, 'r2' AS run_id, CAST(1 AS BIGINT) AS failures, FALSE AS again FROM customer WHERE c_custkey % 2 = 0", None)
+def published_after_checks(p):
+    """Three runs replace a table; the last one's check fails, so the second one's stays; the second comes again and is skipped."""
+    path, c = work_dir(p.spark, "published"), p.table("customer").select("c_custkey", "c_name")
+
+    def at_least_one(written):
+        if not written["customers"].take(1):
+            raise IntegrityError("no rows")
+
+    for run, part in (("r1", "c_custkey % 3 = 0"), ("r2", "c_custkey % 2 = 0"), ("r3", "c_custkey < 0")):
+        try:
+            batches.apply_run(p.spark, path, run, {"customers": c.where(part).withColumn("run_id", F.lit(run))}, at_least_one, fingerprint=run)
+        except IntegrityError:
+            pass
+    again = batches.apply_run(p.spark, path, "r4", {"customers": c}, at_least_one, fingerprint="r2")
+    failed = batches.runs(p.spark, path).where("run_status = 'FAILED'").agg(F.count(F.lit(1)).alias("failures"))
+    return batches.read_published(p.spark, path, "customers").join(failed).withColumn("again", F.lit(again))

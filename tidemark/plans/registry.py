@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr
 from ..operators import checks, classify, cohort, fx, merge, metrics, parse, profile, ranges, relational
-from ..sources.store import work_dir
+from ..sources.batches import work_dir
 from .adapters import CTE, CUTOFF, FIRST, FLAGS_CTE, FULL_CTE, LAST, MART_CTE, RATES_CTE, Portfolio
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

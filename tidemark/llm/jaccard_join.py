@@ -8,10 +8,11 @@ sets are one class, whose key is the set's size and 96 bits of its digest.
    n - need(n) + spare(n) tokens, so the matrix holds those only; any order is
    right, a good one keeps its columns short (passages that many documents share
    come last and are seldom in it).
-2. Classes with a token in common are partitioned into groups of similar ones:
-   runs of at most GROUP along an order by smallest hashes.  Groups are opened
-   for their own members and for the first of the next, for two such orders.  What
-   links then is known to be connected.
+2. Classes with enough tokens in common are partitioned into groups of similar ones:
+   runs of GROUP_TOKENS tokens or so along an order by the sets' most frequent tokens,
+   which copies and the members of a family share.  Groups are opened for their own
+   members and for the first of the next; so are groups by smallest hashes, three
+   times.  What links then is known to be connected.
 3. The token-group matrix has a row for each group and token of its members.
    Classes meet it by token; counted tokens bound the overlap of a class and a
    group, and only tokens of members that aren't connected to the class yet
@@ -33,6 +34,7 @@ row; an empty table gives no rows; other columns aren't read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -49,13 +51,14 @@ SHINGLE = 4
 PERCENT = 85
 #: Hashed counts that order the tokens: 4 MB on every executor, whatever the input; kept as RANGES rows while they are added up.
 SLOTS, RANGES = 1 << 22, 64
-GROUP = 64
+#: Tokens in a group from which another one starts: some 8 MB in a task with their owners, and the longest document more.
+GROUP_TOKENS = 1 << 19
 #: Classes that one task compares with a group.
 QUERIES = 2048
-#: An odd number: products with it are the hashes of the second order.
-TURN = np.uint64(0x9E3779B97F4A7C15)
-
-MARKS = "doc_id long, n_shingles long, key binary, a1 long, a2 long, b1 long, b2 long, prefix array<long>"
+#: Odd numbers: products with them are the hashes of the orders by smallest hashes.
+TURNS = np.array([1, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], np.uint64)
+ORDERS = [(f"m{k}", f"l{k}") for k in range(len(TURNS) + 1)]
+MARKS = "doc_id long, n_shingles long, key binary, " + "".join(f"{m} long, {l} long, " for m, l in ORDERS) + "prefix array<long>"
 
 
 def need(n: int) -> int:
@@ -126,38 +129,37 @@ def marks(docs: DataFrame) -> DataFrame:
                 n.append(len(t))
                 keys.append(key_of(t))
                 if keys[-1] is None or keys[-1] in seen:
-                    least.append(np.zeros(4, np.int64))
+                    least.append(np.zeros(2 * len(ORDERS), np.int64))
                     prefixes.append(None)
                     continue
                 seen.add(keys[-1])
-                turned = np.sort(t * TURN)
-                least.append(np.concatenate([np.resize(x[:2], 2) for x in (t, turned)]).view(np.int64))
+                rarest_first = t[np.lexsort((t, levels[_slots(t)]))]
+                firsts = [rarest_first[: -3 : -1], *(np.sort(t * turn)[:2] for turn in TURNS)]
+                least.append(np.concatenate([np.resize(x, 2) for x in firsts]).view(np.int64))
                 length = min(len(t), len(t) - need(len(t)) + spare(len(t)))
-                prefixes.append(t[np.lexsort((t, levels[_slots(t)]))[:length]].view(np.int64))
+                prefixes.append(rarest_first[:length].view(np.int64))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum([0 if p is None else len(p) for p in prefixes])]), pa.int32()),
                 pa.array(np.concatenate([np.empty(0, np.int64), *(p for p in prefixes if p is not None)])),
                 mask=pa.array([p is None for p in prefixes]),
             )
-            ends = np.stack(least, axis=1) if least else np.empty((4, 0), np.int64)
+            ends = np.stack(least, axis=1) if least else np.empty((2 * len(ORDERS), 0), np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *map(pa.array, ends), lists], names=[c.split()[0] for c in MARKS.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, MARKS)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, m1) in order to (key, group, before): runs of equal m1 are cut into groups, named by their first key;
-    ``before``, for the first of a group, is the group before it in its run."""
-    m1 = group = None
-    size = 0
+    """Keys in order to (key, group, before): runs of about GROUP_TOKENS are groups, named by their first key;
+    ``before``, for the first of a group, is the group before it."""
+    group, size = None, GROUP_TOKENS
     for b in batches:
         groups, before = [], []
-        for key, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for key in b.column(0).to_pylist():
             last = None
-            if m != m1 or size == GROUP:
-                last = group if m == m1 else None
-                m1, group, size = m, key, 0
-            size += 1
+            if size >= GROUP_TOKENS:
+                last, group, size = group, key, 0
+            size += int.from_bytes(key[:4], "big")
             groups.append(group)
             before.append(last)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(groups, pa.binary()), pa.array(before, pa.binary())], names=["key", "group", "before"])
@@ -165,7 +167,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def grouped(classes: DataFrame, m1: str, m2: str) -> DataFrame:
     """(key, group, before) of each class, by one order."""
-    rows = classes.select("key", m1, m2).repartitionByRange(m1, m2, "key").sortWithinPartitions(m1, m2, "key").select("key", m1)
+    rows = classes.select("key", m1, m2).repartitionByRange(m1, m2, "key").sortWithinPartitions(m1, m2, "key").select("key")
     return rows.mapInArrow(_runs, "key binary, group binary, before binary")
 
 
@@ -222,16 +224,39 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _members(keys: list[bytes], sets: list[np.ndarray], own: bool, u: list[bytes], v: list[bytes]) -> tuple[OpenGroup, list[int]]:
-    """The opened group and its members' connected parts, whose links are added if they are wanted."""
-    opened, label = OpenGroup(sets), list(range(len(keys)))
-    for i, s in enumerate(sets if own else []):
-        for k in opened.linked(s).tolist():
-            if label[k] != label[i]:
+    """The opened group and its members' connected parts, whose links are added if they are wanted.
+
+    Of two parts that link, one isn't the largest; so all members ask that no
+    other has found yet, and then those outside of the largest part.
+    """
+    opened, label = OpenGroup(sets), np.arange(len(keys))
+    asked = np.zeros(len(keys), bool)
+
+    def ask(i: int) -> None:
+        asked[i] = True
+        found = opened.linked(sets[i])
+        for part in np.unique(label[found]):
+            if part != label[i]:
+                k = found[label[found] == part][0]
                 u.append(keys[i])
                 v.append(keys[k])
-                old, new = label[k], label[i]
-                label = [new if x == old else x for x in label]
-    return opened, label
+        label[np.isin(label, label[found])] = label[i]
+
+    if own:
+        alone = np.ones(len(keys), bool)
+        for i in range(len(keys)):
+            if alone[i]:
+                ask(i)
+                parts, inverse, sizes = np.unique(label, return_inverse=True, return_counts=True)
+                alone = sizes[inverse] == 1
+                alone[: i + 1] = False
+        while True:
+            parts, sizes = np.unique(label, return_counts=True)
+            rest = np.flatnonzero((label != parts[sizes.argmax()]) & ~asked)
+            if not len(rest):
+                break
+            ask(int(rest[0]))
+    return opened, label.tolist()
 
 
 def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bool) -> DataFrame:
@@ -250,7 +275,7 @@ def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bo
     if own:  # a member asks for nothing, so a row at the end makes the group open
         last = members.where("part = 0").groupBy("group", "part").agg(F.min("key").alias("key")).withColumn("query", F.lit(True))
         rows = rows.unionByName(last)
-    rows = rows.join(sets, "key").withColumn("own", F.lit(own)).select("group", "part", "own", "query", "key", "tokens")
+    rows = rows.join(sets.hint("merge"), "key").withColumn("own", F.lit(own)).select("group", "part", "own", "query", "key", "tokens")
     rows = rows.repartition("group", "part").sortWithinPartitions("group", "part", "query", "key")
     return rows.mapInArrow(_opened, "u binary, v binary")
 
@@ -295,17 +320,21 @@ def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame)
 
 
 def link_classes(docs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Links (u, v) that connect every component; ``leaves``: key, first, a1, a2, b1, b2, prefix."""
+    """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix."""
     posts = leaves.select("key", F.explode("prefix").alias("token")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token")))
     shared = materialize(posts.where("n > 1").select("token", "key"), "matrix")
     # Fewer shared tokens than any partner asks for: such a class links with nothing.
     enough = F.floor(F.floor(size_of("key") * PERCENT / 100) / 32) + 1
     sharing = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
-    classes = materialize(leaves.select("key", "first", "a1", "a2", "b1", "b2").join(sharing, "key", "left_semi"), "classes")
+    classes = materialize(leaves.drop("prefix", "n").join(sharing, "key", "left_semi"), "classes")
     sets = materialize(token_sets(docs, classes), "token-sets")
-    groups, others = (materialize(grouped(classes, *m), "groups") for m in (("a1", "a2"), ("b1", "b2")))
-    first = [materialize(open_groups(g.where("before IS NOT NULL").select("key", F.col("before").alias("group")), g, sets, True), "own-links") for g in (groups, others)]
-    stars = materialize(components(first[0].unionByName(first[1])), "connected")
+    orders = [grouped(classes, *names).withColumn("_order", F.lit(k)) for k, names in enumerate(ORDERS)]
+    groups = materialize(reduce(DataFrame.unionByName, orders), "groups")
+    named = lambda c: F.concat(F.col(c), F.col("_order").cast("string").cast("binary")).alias("group")
+    chained = groups.where("before IS NOT NULL").select("key", named("before"))
+    own = materialize(open_groups(chained, groups.select("key", named("group")), sets, True), "own-links")
+    stars = materialize(components(own), "connected")
+    groups = groups.where("_order = 0")
     requests = materialize(matrix_requests(shared, groups, stars), "requests")
     return stars.toDF("u", "v").unionByName(open_groups(requests, groups, sets, False))
 
@@ -313,7 +342,7 @@ def link_classes(docs: DataFrame, leaves: DataFrame) -> DataFrame:
 def cluster(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, key, component_id."""
     marked = materialize(marks(docs), "sets")
-    one = [F.first(c, ignorenulls=True).alias(c) for c in ("a1", "a2", "b1", "b2", "prefix")]
+    one = [F.first(c, ignorenulls=True).alias(c) for c in (*(c for names in ORDERS for c in names), "prefix")]
     count = marked.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     sets = marked.where("prefix IS NOT NULL").groupBy("key").agg(*one)
     leaves = materialize(count.join(sets, "key"), "set-classes")

@@ -637,3 +637,67 @@ def test_token_counts(spark, docs, no_docs, tmp_path):
         change([r], WORDS if r[2] == "en" else BPE, 1)
     got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_chars) for r in op10_token_counts(spark, str(tmp_path)).collect()}
     assert got == {k[:3]: (n, want[*k[:3], "tokens"], want[*k[:3], "chars"]) for k, n in want.items() if k[3] == "docs" and n}
+
+
+def test_digest_index_is_found_by_its_path(spark, tmp_path):
+    """A session whose catalog doesn't know the index, and another number of buckets: what is there stays."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.exact_dedup import DigestIndex, text_digests
+
+    frame = lambda rows: text_digests(spark.createDataFrame(rows, "doc_id long, text string"))
+    first = DigestIndex(spark, "digests_found", f"{tmp_path}/index", 4)
+    assert not first.exists()
+    first.append(frame([(9, "x"), (2, "y"), (3, "x")]), "a")
+    spark.sql("DROP TABLE digests_found")
+    other = spark.newSession()
+    again = DigestIndex(other, "digests_found", f"{tmp_path}/index", 8)
+    assert again.exists() and again.buckets == 4
+    batch = frame([(1, "x"), (5, "z"), (7, "z")])
+    again.append(batch, "b")
+    again.append(batch, "b")
+    rows = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in again.decide(batch).collect()}
+    assert rows == {(1, 9, 1, False), (5, 7, 2, False), (7, 7, 2, True)}
+    assert {(r.keep_id, r.batch_id) for r in again.read().collect()} == {(9, "a"), (2, "a"), (7, "b")}
+    plan = again.read().groupBy("digest").agg(F.count("*"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # read by its buckets
+    again.drop()
+
+
+def test_a_hot_text_is_reduced_before_it_meets_the_index(spark, tmp_path):
+    from tidemark.llm import exact_dedup
+
+    index = exact_dedup.DigestIndex(spark, "digests_hot", f"{tmp_path}/index", 4)
+    index.append(exact_dedup.text_digests(spark.createDataFrame([(1, "a")], "doc_id long, text string")), "a")
+    hot = exact_dedup.text_digests(spark.range(50_000).selectExpr("id AS doc_id", "IF(id % 50 = 0, CAST(id AS STRING), 'hot') AS text"))
+    made = []
+    real = exact_dedup.materialize
+    exact_dedup.materialize = lambda df, label: made.append((label, real(df, label))) or made[-1][1]
+    try:
+        index.append(hot, "b")
+    finally:
+        exact_dedup.materialize = real
+    assert [(label, df.count()) for label, df in made] == [("digest-batch", 1001)]
+    assert index.read().count() == 1002
+    index.drop()
+
+
+def test_a_commit_beside_a_compaction_counts_once(spark, tmp_path):
+    from tidemark.llm.token_counts import COUNTS, WORDS, Rollup, inserts
+
+    counts = spark.createDataFrame([("s", "en", 4, 10, 0)], COUNTS)
+    store = Rollup(spark, f"{tmp_path}/rollup")
+    store.commit("one", inserts(counts, WORDS))
+    real = store._totals
+
+    def totals(state):
+        df = real(state)
+        store._totals = real
+        store.commit("two", inserts(counts, WORDS))  # between the look at the folders and the list of what is folded
+        return df
+
+    store._totals = totals
+    store.compact()
+    assert store.totals().first().n_tokens == 20 and store.committed() == ["one", "two"]
+    store.compact()
+    assert store.totals().first().n_tokens == 20

@@ -1,8 +1,10 @@
 """Exact dedup against a persistent digest index.
 
-The index is a Parquet table bucketed and sorted by the SHA-256 of the text.
-A batch is reduced to one row per digest before anything is compared (so a text
-with a million copies is one row), the digests already in the index are removed
+The index is a Parquet table bucketed and sorted by the SHA-256 of the text; it is
+found by its path, in any session.
+A batch is reduced to one row per digest, in a table of its own, before anything is
+compared (so a text with a million copies is one row; as a part of one plan Spark would
+join first and reduce then), the digests already in the index are removed
 by a sort-merge anti-join that reads the index by its buckets, and the rest is
 appended with the id of the row that stays.  A batch's rows then meet the index
 for their decisions, texts with very many rows in the batch by broadcast.
@@ -22,6 +24,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import fresh_dir, join_grouped, materialize, read_table, text_or_empty, without_rows
 
@@ -31,30 +34,57 @@ class DigestIndex:
 
     Table columns: ``digest`` (32 bytes), ``keep_id`` and ``batch_id`` (the batch
     that brought it).  The table's files lie under ``path``, which all executors
-    share; choose ``buckets`` so that a bucket of the grown index suits a task.
+    share, in a folder that is named by the number of buckets; an index that is there
+    already keeps its own number.  Choose ``buckets`` so that a bucket of the grown
+    index suits a task.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str, buckets: int = 64):
-        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
+        self.spark, self.name, self.path = spark, name, path.rstrip("/")
+        there = self._folders()
+        self.buckets = there[0] if there else buckets
+        if there:
+            self._register(spark.read.parquet(self.location).schema)
 
     @classmethod
     def temporary(cls, spark: SparkSession, buckets: int = 64) -> DigestIndex:
         return cls(spark, f"digest_index_{uuid.uuid4().hex}", fresh_dir(spark, "digest-index"), buckets)
 
+    @property
+    def location(self) -> str:
+        return f"{self.path}/buckets={self.buckets}"
+
+    def _folders(self) -> list[int]:
+        """Numbers of buckets of the indexes whose first write ended."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        root = path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        return [int(n[8:]) for n in names if n.startswith("buckets=") and fs.exists(path(f"{self.path}/{n}/_SUCCESS"))]
+
+    def _register(self, schema: StructType) -> None:
+        """Name the files under ``location`` for this session's catalog, which may be new."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}'")
+
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        return bool(self._folders())
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def append(self, batch: DataFrame, batch_id: str) -> None:
         """Index ``batch`` (columns doc_id, digest).  Appending a batch again changes nothing: its digests are in the index."""
-        fresh, known = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), self.exists()
+        fresh, known = materialize(batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "digest-batch"), self.exists()
         if known:
             fresh = fresh.hint("merge").join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+        else:
+            self._register(fresh.withColumn("batch_id", F.lit(batch_id)).schema)
         rows = fresh.withColumn("batch_id", F.lit(batch_id)).repartition(self.buckets, "digest")
-        out = rows.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
-        (out if known else out.option("path", self.path)).saveAsTable(self.name)
+        rows.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
+        self.spark.catalog.refreshTable(self.name)  # the batch may be another session's
 
     def decide(self, batch: DataFrame) -> DataFrame:
         """doc_id, digest, keep_id, group_size (rows of ``batch`` with the text) and kept for each row of an indexed batch."""

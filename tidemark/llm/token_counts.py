@@ -8,7 +8,8 @@ store holds the deltas of each batch in a folder named after the batch, written
 in one commit, so writing a batch again replaces it by itself and never counts
 twice.  Totals are sums of deltas, hence the order of batches doesn't matter;
 ``compact`` folds batches into one base to keep reads short, and still knows
-their ids.  A batch id has one writer at a time, as has ``compact``.
+their ids.  A compaction folds the batches that it sees at its start, so others may
+be committed meanwhile.  A batch id has one writer at a time, as has ``compact``.
 
 Defined cases: a null text has no tokens; null source or language form a group
 of their own; repeated rows count each time; an empty batch commits a folder
@@ -114,15 +115,16 @@ class Rollup:
 
     def compact(self) -> None:
         """Fold all batches into a new base.  Totals stay; the folders of folded batches and older bases aren't read any more."""
-        base, folded, rest = self._state()
+        state = self._state()
+        base, folded, rest = state
         if not rest:
             return
         name = f"{int(base or 0) + 1:08d}"
-        self._write(self._totals().where(" OR ".join(f"{c} <> 0" for c in MEASURES)), f"base={name}")
+        self._write(self._totals(state).where(" OR ".join(f"{c} <> 0" for c in MEASURES)), f"base={name}")
         self._write(self.spark.createDataFrame([(i,) for i in sorted(folded.union(rest))], "batch string").coalesce(1), f"folded={name}")
 
-    def _totals(self) -> DataFrame:
-        base, _, rest = self._state()
+    def _totals(self, state: tuple[str | None, set[str], list[str]]) -> DataFrame:
+        base, _, rest = state
         folders = [f"base={base}"] * (base is not None) + [f"batch={i}" for i in rest]
         if not folders:
             return self.spark.createDataFrame([], SCHEMA)
@@ -131,7 +133,7 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """Current totals; groups without documents left are not shown."""
-        return self._totals().where("n_docs <> 0")
+        return self._totals(self._state()).where("n_docs <> 0")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

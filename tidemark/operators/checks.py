@@ -6,28 +6,21 @@ a layer is checked in one job; a null on either side fails.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .cohort import MART_COLUMNS
-from .classify import not_annulled
+from .classify import claim_scope, cost_usd, not_annulled
+from .cohort import MART_COLUMNS, claims_by_policy, cohort_mart, policy_detail, policy_values
 from .ranges import find_differences
 from .relational import ambiguous_versions, table_diff
 
 Check = tuple[str, Column, Column]
-REGISTRY: dict[str, Callable[..., list[Check]]] = {}
 
 
 class ChecksFailed(Exception):
     """A layer must not be published."""
 
 
-def register_check(name: str, make: Callable[..., list[Check]]) -> None:
-    REGISTRY[name] = make
-
-
 def as_checks(facts: DataFrame, checks: list[Check]) -> DataFrame:
     """``facts``: one row; each check compares two of its expressions."""
     rows = F.array(*(F.struct(F.lit(n).alias("check_name"), e.cast("decimal(38,9)").alias("expected"), a.cast("decimal(38,9)").alias("actual")) for n, e, a in checks))
@@ -62,14 +55,29 @@ def unique_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return as_checks(facts, [(f"UNIQUE_{name.upper()}", F.lit(0), F.col(name)) for name in tables])
 
 
-def silver_checks(history: DataFrame, active: DataFrame, claims: DataFrame, dims: dict[str, tuple[DataFrame, list[str]]], latest: DataFrame) -> DataFrame:
-    """Unique keys, current state equal to the latest events, every claim with its flags."""
+def not_preserved(batch: DataFrame, table: DataFrame, keys: list[str], content: list[str], name: str) -> DataFrame:
+    """One row: rows of the batch that the table lacks or has with other content."""
+    here = table.select(*keys, F.struct(F.lit(True).alias("there"), *content).alias("_there"))
+    lost = F.col("_there").isNull() | ~F.struct(F.lit(True).alias("there"), *content).eqNullSafe(F.col("_there"))
+    return batch.select(*keys, *(c for c in content if c not in keys)).join(here, keys, "left").agg(F.count_if(lost).alias(name))
+
+
+def silver_checks(
+    history: DataFrame, active: DataFrame, claims: DataFrame, dims: dict[str, tuple[DataFrame, list[str]]], latest: DataFrame,
+    batches: dict[str, tuple[DataFrame, DataFrame, list[str], list[str]]] | None = None,
+) -> DataFrame:
+    """Unique keys of every table, batches preserved, current state equal to the latest events, every claim with its flags.
+
+    ``batches``: for each resource what was brought, the table it went to, its keys and its content.
+    """
     tables = {"history": (history, ["policy_id", "updated_on", "op"]), "active": (active, ["policy_id"]), "claims": (claims, ["claim_id"]), **dims}
     live = latest.where("op <> 'D'").select(*active.columns)
     same = table_diff(active, live).select((F.col("only_a") + F.col("only_b")).alias("state_difference"))
     flags = claims.agg(F.count_if(F.col("cover_state").isNull() | F.col("amount_state").isNull() | F.col("currency_origin").isNull() | F.col("excluded").isNull()).alias("unflagged"))
-    more = as_checks(_join(same, flags), [("ACTIVE_EQUALS_LATEST", F.lit(0), F.col("state_difference")), ("FLAGS_APPLIED", F.lit(0), F.col("unflagged"))])
-    return unique_keys(tables).unionByName(more)
+    kept = [not_preserved(*b, f"lost_{name}") for name, b in (batches or {}).items()]
+    more = [("ACTIVE_EQUALS_LATEST", F.lit(0), F.col("state_difference")), ("FLAGS_APPLIED", F.lit(0), F.col("unflagged"))]
+    more += [(f"{name.upper()}_BATCH_PRESERVED", F.lit(0), F.col(f"lost_{name}")) for name in batches or {}]
+    return unique_keys(tables).unionByName(as_checks(_join(same, flags, *kept), more))
 
 
 def gold_stops(policies: DataFrame, claims: DataFrame, fx: DataFrame, cutoff: str) -> DataFrame:
@@ -82,31 +90,86 @@ def gold_stops(policies: DataFrame, claims: DataFrame, fx: DataFrame, cutoff: st
     return as_checks(facts, [(n, F.lit(0), F.col(c)) for n, c in names.items()])
 
 
+_SUMS = ["polizas", "polizas_con_prima_usd", "prima_usd", "siniestros", "siniestros_pagados", "siniestros_rechazados", "siniestros_en_analisis", "siniestros_otros_estados", "siniestros_pagados_con_costo_usd", "costo_pagado_usd", "siniestros_sin_poliza", "siniestros_sin_periodo", "siniestros_pagados_sin_periodo", "costo_pagado_sin_periodo_usd", "siniestros_poliza_anulada", "siniestros_poliza_borrada", "siniestros_pagados_con_periodo", "costo_pagado_con_periodo_usd", "siniestros_excluidos", "siniestros_pagados_excluidos", "siniestros_moneda_inferida"]
+
+
+def _total(c: str | Column) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0))
+
+
+def _mart_facts() -> list[Column]:
+    return [*(_total(c).alias(f"m_{c}") for c in _SUMS), F.count_if(F.col("date") != F.trunc("date", "MM")).alias("m_not_month")]
+
+
+def _policy_facts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("p_rows"), F.count_if(~not_annulled()).alias("p_annulled"), _total("premium_usd").alias("p_premium"), F.count("premium_usd").alias("p_priced")]
+
+
+def _active_facts(cutoff: str) -> list[Column]:
+    return [F.count_if(not_annulled() & (F.col("issued_on") <= F.lit(cutoff).cast("date"))).alias("a_eligible")]
+
+
+def _claim_facts(cutoff: str, here: Column) -> list[Column]:
+    used, paid = here & ~F.col("excluded"), here & (F.col("status") == "PAGADO")
+    covered, priced = F.coalesce(F.col("cover_state") == "COINCIDE", F.lit(False)), F.col("cost_usd").isNotNull()
+    return [
+        F.count_if(used).alias("c_used"), F.count_if(used & paid).alias("c_paid"), _total(F.when(paid, F.col("cost_usd"))).alias("c_cost"), F.count_if(used & ~covered).alias("c_outside"),
+        F.count_if(paid & priced).alias("c_priced"), F.count_if(used & paid & covered).alias("c_covered"), _total(F.when(paid & covered, F.col("cost_usd"))).alias("c_covered_cost"),
+        F.count_if(here & F.col("excluded") & priced).alias("c_excluded_cost"), F.count_if(here & F.col("excluded")).alias("c_excluded"), F.count_if(here & (F.col("occurred_on") > F.lit(cutoff).cast("date"))).alias("c_late"),
+        F.count_if(used & (F.col("currency_origin") == "INFERIDA_POLIZA")).alias("c_inferred"),
+    ]
+
+
+def _scope_facts() -> list[Column]:
+    known = F.col("scope").isin("INCLUIDO", "POLIZA_D_O_AUSENTE", "POLIZA_ANULADA", "EMISION_FUTURA", "OCURRENCIA_FUTURA")
+    return [F.count(F.lit(1)).alias("s_all"), F.count_if(known).alias("s_known")]
+
+
+def _between_layers(mart: DataFrame, detail: DataFrame, policies: DataFrame, claims: DataFrame) -> list[DataFrame]:
+    orphans = claims.join(policies.select("policy_id"), "policy_id", "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
+    return [_keys(mart, MART_COLUMNS[:12] + MART_COLUMNS[-2:], "m_repeats"), orphans, _keys(detail, ["policy_id"], "d_repeats")]
+
+
 def gold_checks(mart: DataFrame, detail: DataFrame, policies: DataFrame, claims: DataFrame, active: DataFrame, scoped: DataFrame, cutoff: str) -> DataFrame:
-    """The 24 checks of the mart.
+    """The 24 checks of the mart, over layers that are there.
 
     ``policies`` carry premium_usd, ``claims`` (in scope) cost_usd; ``scoped`` are
     all source claims with their scope.  Sums over no rows count as zero.
     """
-    zero = F.lit(0)
-    total = lambda c: F.coalesce(F.sum(c), zero)
-    used, paid = ~F.col("excluded"), F.col("status") == "PAGADO"
-    covered, priced = F.coalesce(F.col("cover_state") == "COINCIDE", F.lit(False)), F.col("cost_usd").isNotNull()
-    sums = ["polizas", "polizas_con_prima_usd", "prima_usd", "siniestros", "siniestros_pagados", "siniestros_rechazados", "siniestros_en_analisis", "siniestros_otros_estados", "siniestros_pagados_con_costo_usd", "costo_pagado_usd", "siniestros_sin_poliza", "siniestros_sin_periodo", "siniestros_pagados_sin_periodo", "costo_pagado_sin_periodo_usd", "siniestros_poliza_anulada", "siniestros_poliza_borrada", "siniestros_pagados_con_periodo", "costo_pagado_con_periodo_usd", "siniestros_excluidos", "siniestros_pagados_excluidos", "siniestros_moneda_inferida"]
-    m = mart.agg(*(total(c).alias(f"m_{c}") for c in sums), F.count_if(F.col("date") != F.trunc("date", "MM")).alias("m_not_month"))
-    grain = _keys(mart, MART_COLUMNS[:12] + MART_COLUMNS[-2:], "m_repeats")
-    p = policies.agg(F.count(F.lit(1)).alias("p_rows"), F.count_if(~not_annulled()).alias("p_annulled"), total("premium_usd").alias("p_premium"), F.count("premium_usd").alias("p_priced"))
-    eligible = active.agg(F.count_if(not_annulled() & (F.col("issued_on") <= F.lit(cutoff).cast("date"))).alias("a_eligible"))
-    c = claims.agg(
-        F.count_if(used).alias("c_used"), F.count_if(used & paid).alias("c_paid"), total(F.when(paid, F.col("cost_usd"))).alias("c_cost"), F.count_if(used & ~covered).alias("c_outside"),
-        F.count_if(paid & priced).alias("c_priced"), F.count_if(used & paid & covered).alias("c_covered"), total(F.when(paid & covered, F.col("cost_usd"))).alias("c_covered_cost"),
-        F.count_if(~used & priced).alias("c_excluded_cost"), F.count_if(~used).alias("c_excluded"), F.count_if(F.col("occurred_on") > F.lit(cutoff).cast("date")).alias("c_late"),
-        F.count_if(used & (F.col("currency_origin") == "INFERIDA_POLIZA")).alias("c_inferred"),
-    )
-    s = scoped.agg(F.count(F.lit(1)).alias("s_all"), F.count_if(F.col("scope").isin("INCLUIDO", "POLIZA_D_O_AUSENTE", "POLIZA_ANULADA", "EMISION_FUTURA", "OCURRENCIA_FUTURA")).alias("s_known"))
-    orphans = claims.join(policies.select("policy_id"), "policy_id", "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
-    facts = _join(m, grain, p, eligible, c, s, orphans, _keys(detail, ["policy_id"], "d_repeats"))
-    col = F.col
+    layers = [mart.agg(*_mart_facts()), policies.agg(*_policy_facts()), active.agg(*_active_facts(cutoff)), claims.agg(*_claim_facts(cutoff, F.lit(True))), scoped.agg(*_scope_facts())]
+    return _gold(_join(*layers, *_between_layers(mart, detail, policies, claims)))
+
+
+def build_gold(active: DataFrame, claims: DataFrame, products: DataFrame, agencies: DataFrame, fx: DataFrame, cutoff: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the layers of the mart under ``path`` and check them: (mart, checks).
+
+    What a check needs of a layer's rows is observed by the write itself, at its
+    last stage; only the questions between rows and layers (repeats, orphans) are
+    asked of what was written.  All claims are written with scope and cost.
+    """
+    spark = active.sparkSession
+    seen: dict[str, object] = {}
+
+    def write(name: str, df: DataFrame, *facts: Column) -> DataFrame:
+        watch = Observation(name)
+        df.observe(watch, *facts).write.parquet(f"{path}/{name}")
+        seen.update(watch.get)
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    fx = write("fx", fx, F.count(F.lit(1)).alias("f_rows"))
+    active = write("active", active, *_active_facts(cutoff))
+    valued = cost_usd(claim_scope(claims, active, cutoff), fx)
+    included = F.coalesce(F.col("scope") == "INCLUIDO", F.lit(False))
+    valued = write("claims", valued, *_scope_facts(), *_claim_facts(cutoff, included))
+    values = valued.where(included)
+    detail = write("detail", policy_detail(policy_values(active, products, agencies, fx, cutoff), claims_by_policy(values)), *_policy_facts())
+    mart = write("mart", cohort_mart(detail), *_mart_facts())
+    observed = spark.range(1).select(*(F.lit(v).alias(n) for n, v in seen.items()))
+    return mart, _gold(_join(observed, *_between_layers(mart, detail, detail, values)))
+
+
+def _gold(facts: DataFrame) -> DataFrame:
+    col, zero = F.col, F.lit(0)
     return as_checks(facts, [
         ("POLICY_COUNT", col("p_rows"), col("m_polizas")), ("ANNULLED_EXCLUDED", zero, col("p_annulled")), ("LATEST_STATE_ELIGIBILITY", col("a_eligible"), col("p_rows")),
         ("PREMIUM_SUM", col("p_premium"), col("m_prima_usd")), ("CLAIM_COUNT", col("c_used"), col("m_siniestros")), ("SOURCE_SCOPE_PARTITION", col("s_all"), col("s_known")),

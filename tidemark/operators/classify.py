@@ -28,27 +28,33 @@ def cover_match(claims: DataFrame, periods: DataFrame) -> DataFrame:
     return claims.select("claim_id", "policy_id", "occurred_on").join(periods, "policy_id").where(inside).groupBy("claim_id").agg(F.count(F.lit(1)).alias("periods"))
 
 
-def coverage_state(claims: DataFrame, history: DataFrame) -> DataFrame:
-    """Adds cover_state.  Periods of deletes don't count, but their policy exists.
-
-    One aggregate of the history gives a policy its set of periods (few per
-    policy), so claims join it once and nothing fans out.
-    """
+def policy_facts(history: DataFrame) -> DataFrame:
+    """Per policy its set of cover periods (few; those of deletes don't count) and its one currency, by one aggregate of the history."""
     period = F.when(F.col("op") != "D", F.struct("cover_start", "cover_end"))
-    policies = history.groupBy("policy_id").agg(F.collect_set(period).alias("_periods"))
+    return history.groupBy("policy_id").agg(F.collect_set(period).alias("_periods"), single_value(F.upper(F.trim("currency"))).alias("_policy_currency"))
+
+
+def _cover_state() -> Column:
     n = F.size(F.filter("_periods", lambda p: (F.col("occurred_on") >= p["cover_start"]) & (F.col("occurred_on") <= p["cover_end"])))
-    state = F.when(F.col("_periods").isNull(), "POLIZA_AUSENTE").when(n == 0, "FUERA_PERIODO").when(n == 1, "COINCIDE").otherwise("COBERTURA_AMBIGUA")
-    return claims.join(policies, "policy_id", "left").withColumn("cover_state", state).drop("_periods")
+    return F.when(F.col("_periods").isNull(), "POLIZA_AUSENTE").when(n == 0, "FUERA_PERIODO").when(n == 1, "COINCIDE").otherwise("COBERTURA_AMBIGUA")
+
+
+def _analysis_currency() -> tuple[Column, Column]:
+    # An inferred blank stays a value, as in the policy's own events.
+    stated, inferred = clean_code("currency"), F.col("_policy_currency")
+    return F.coalesce(stated, inferred), F.when(stated.isNotNull(), "FUENTE").when(inferred.isNotNull(), "INFERIDA_POLIZA").otherwise("NO_DISPONIBLE")
+
+
+def coverage_state(claims: DataFrame, history: DataFrame) -> DataFrame:
+    """Adds cover_state.  Claims join one row per policy, so nothing fans out."""
+    return claims.join(policy_facts(history).drop("_policy_currency"), "policy_id", "left").withColumn("cover_state", _cover_state()).drop("_periods")
 
 
 def analysis_currency(claims: DataFrame, history: DataFrame) -> DataFrame:
     """Adds claim_currency and currency_origin: stated, inferred from the policy, or not available."""
-    stated = clean_code("currency")
-    joined = claims.join(policy_currency(history), "policy_id", "left")
-    # An inferred blank stays a value, as in the policy's own events.
-    currency = F.coalesce(stated, F.col("policy_currency"))
-    origin = F.when(stated.isNotNull(), "FUENTE").when(F.col("policy_currency").isNotNull(), "INFERIDA_POLIZA").otherwise("NO_DISPONIBLE")
-    return joined.withColumn("claim_currency", currency).withColumn("currency_origin", origin).drop("policy_currency")
+    currency, origin = _analysis_currency()
+    joined = claims.join(policy_facts(history).drop("_periods"), "policy_id", "left")
+    return joined.withColumns({"claim_currency": currency, "currency_origin": origin}).drop("_policy_currency")
 
 
 def amount_state(claims: DataFrame, fx: DataFrame) -> DataFrame:
@@ -69,7 +75,10 @@ def amount_state(claims: DataFrame, fx: DataFrame) -> DataFrame:
 
 def classify(claims: DataFrame, history: DataFrame, fx: DataFrame) -> DataFrame:
     """All derived flags of the claims; rerun for all claims when policies change."""
-    return amount_state(analysis_currency(coverage_state(claims, history), history), fx)
+    currency, origin = _analysis_currency()
+    joined = claims.join(policy_facts(history), "policy_id", "left")
+    flagged = joined.withColumns({"cover_state": _cover_state(), "claim_currency": currency, "currency_origin": origin}).drop("_periods", "_policy_currency")
+    return amount_state(flagged, fx)
 
 
 def claim_scope(claims: DataFrame, active: DataFrame, cutoff: str) -> DataFrame:

@@ -51,10 +51,38 @@ def parse_claims(raw: DataFrame) -> DataFrame:
     )
 
 
-def batch_checks(parsed: DataFrame, keys: list[str], expected_rows: int) -> DataFrame:
-    """One row: rows parsed and expected, rows without a key, keys of several versions."""
+def batch_checks(parsed: DataFrame, keys: list[str], expected_rows: int | DataFrame) -> DataFrame:
+    """One row: rows parsed and expected, rows without a key, keys of several versions.
+
+    ``expected_rows``: a number, or a manifest whose rows_received add up to it.
+    """
     missing = F.lit(False)
     for k in keys:
         missing |= F.col(k).isNull()
     versions = parsed.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_v")).agg(F.count_if(F.col("_v") > 1).alias("ambiguous_keys"))
-    return parsed.agg(F.count(F.lit(1)).alias("rows"), F.lit(expected_rows).alias("expected_rows"), F.count_if(missing).alias("rows_without_key")).join(versions)
+    counted = parsed.agg(F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("rows_without_key")).join(versions)
+    want = expected_rows.agg(F.coalesce(F.sum("rows_received"), F.lit(0)).alias("expected_rows")) if isinstance(expected_rows, DataFrame) else parsed.sparkSession.range(1).select(F.lit(expected_rows).cast("long").alias("expected_rows"))
+    return counted.join(want).select("rows", "expected_rows", "rows_without_key", "ambiguous_keys")
+
+
+#: Statuses of a run whose captures may be applied.
+FINISHED = ("SUCCESS", "SUCCESS_WITH_QUARANTINE")
+#: A change feed may come in parts; every other resource is a snapshot and must come whole.
+MAY_BE_PARTIAL = ("policies",)
+
+
+def run_guards(runs: DataFrame, batches: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per run and resource that is to be applied, what forbids it: (run_id, resource, problem); no rows if nothing does.
+
+    ``runs``: run_id, run_status, invocation_mode; ``batches``: run_id, resource and the
+    columns of ``batch_checks``; ``wanted``: run_id, resource.
+    """
+    df = wanted.join(runs, "run_id", "left").join(batches, ["run_id", "resource"], "left")
+    finished = F.coalesce(F.col("run_status").isin(*FINISHED), F.lit(False))
+    whole = F.coalesce(F.col("invocation_mode") == "full", F.lit(False)) | F.col("resource").isin(*MAY_BE_PARTIAL)
+    problems = {
+        "RUN_NOT_FINISHED": ~finished, "PARTIAL_SNAPSHOT": ~whole, "ROWS_DIFFER": ~F.coalesce(F.col("rows") == F.col("expected_rows"), F.lit(False)),
+        "ROWS_WITHOUT_KEY": F.coalesce(F.col("rows_without_key") > 0, F.lit(False)), "AMBIGUOUS_KEYS": F.coalesce(F.col("ambiguous_keys") > 0, F.lit(False)),
+    }
+    found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in problems.items())))
+    return df.select("run_id", "resource", F.explode(found).alias("problem"))

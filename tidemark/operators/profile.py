@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .classify import analysis_currency, cover_match, coverage_state
+from .classify import analysis_currency, cover_match, coverage_state, policy_currency
 from .fx import asof_rate
 from .ranges import overlap_counts
 from .relational import latest_by, latest_periods, missing_refs, opposite_amounts, with_previous
@@ -109,6 +109,22 @@ def diagnose_claims(claims: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def claim_anomalies(claims: DataFrame, history: DataFrame) -> DataFrame:
+    """(metric, what, rows): negative amounts by currency, missing currencies by status, whether a claim's currency is its
+    policy's, and paid claims that are special: negative, without currency, outside cover or without a policy."""
+    df = analysis_currency(coverage_state(claims, history), history)
+    df = df.join(policy_currency(history), "policy_id", "left")
+    agreement = F.when(F.col("currency").isNull(), "missing").when(F.col("policy_currency").isNull(), "policy unknown").when(F.upper(F.trim("currency")) == F.col("policy_currency"), "same").otherwise("other")
+    paid = F.col("status") == "PAGADO"
+    specials = {"negative": F.col("amount") < 0, "zero": F.col("amount") == 0, "without amount": F.col("amount").isNull(), "without currency": F.col("currency").isNull(), "outside cover": F.col("cover_state") == "FUERA_PERIODO", "without policy": F.col("cover_state") == "POLIZA_AUSENTE"}
+    metric = lambda name, what, on: F.when(on, F.struct(F.lit(name).alias("metric"), F.coalesce(what, F.lit("(none)")).alias("what")))
+    every = [
+        metric("negative by currency", F.col("currency"), F.col("amount") < 0), metric("no currency by status", F.col("status"), F.col("currency").isNull()), metric("currency agreement", agreement, F.lit(True)),
+        *(metric("paid special", F.lit(n), paid & c) for n, c in specials.items()),
+    ]
+    return df.select(F.explode(F.array_compact(F.array(*every))).alias("m")).groupBy("m.metric", "m.what").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # ---- JSON records
 
 

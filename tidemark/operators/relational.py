@@ -119,11 +119,20 @@ def same_start_pairs(periods: DataFrame, key: str = "policy_id", start: str = "c
     return df.where("ends > 1")
 
 
-def opposite_amounts(claims: DataFrame, same: list[str], amount: str = "amount", id_col: str = "claim_id") -> DataFrame:
-    """Negative rows and how many positive rows of the same ``same`` columns have the opposite amount."""
+def opposite_amounts(claims: DataFrame, same: list[str], amount: str = "amount", id_col: str = "claim_id", also: tuple[str, ...] = ()) -> DataFrame:
+    """Negative rows and how many positive rows of the same ``same`` columns have the opposite amount.
+
+    For each column of ``also`` a count ``opposites_same_<column>`` of those that agree in it too (null agrees with null).
+    """
     positive = claims.where(F.col(amount) > 0).groupBy(*same, F.col(amount).alias("_opposite")).agg(F.count(F.lit(1)).alias("opposites"))
     negative = claims.where(F.col(amount) < 0).withColumn("_opposite", (-F.col(amount)).cast(claims.schema[amount].dataType))
-    return negative.join(positive, [*same, "_opposite"], "left").select(id_col, *same, amount, F.coalesce("opposites", F.lit(0)).alias("opposites"))
+    df = negative.join(positive, [*same, "_opposite"], "left")
+    for c in also:
+        name, keys = f"opposites_same_{c}", [f"_k{i}" for i in range(len(same))]
+        agree = claims.where(F.col(amount) > 0).groupBy(*(F.col(k).alias(n) for k, n in zip(same, keys)), F.col(amount).alias("_o"), F.struct(c).alias("_c")).agg(F.count(F.lit(1)).alias(name))
+        on = [F.col(k) == F.col(n) for k, n in zip(same, keys)] + [F.col("_opposite") == F.col("_o"), F.struct(c).eqNullSafe(F.col("_c"))]
+        df = df.join(agree, on, "left").drop(*keys, "_o", "_c").withColumn(name, F.coalesce(name, F.lit(0)))
+    return df.select(id_col, *same, amount, F.coalesce("opposites", F.lit(0)).alias("opposites"), *(f"opposites_same_{c}" for c in also))
 
 
 def missing_refs(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

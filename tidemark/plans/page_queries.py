@@ -96,12 +96,33 @@ def page_stats(p):
     return src.page_stats(raw(p))
 
 
+_NAN = "event_id % 97 = 0 AND event_id % 211 <> 0"
+
+
 @query(f"""WITH g AS (SELECT {_PAGE} AS page, COUNT(*) AS n FROM events GROUP BY 1),
-  f AS (SELECT (SELECT COUNT(*) FROM events) AS rows, (SELECT COUNT(*) FROM g) AS pages, 1 + SUM(n - CASE page WHEN 5 THEN 1 ELSE 0 END) FILTER (page <> 7) AS want_rows, 1 + COUNT(*) FILTER (page <> 7) AS want_pages FROM g)
-  SELECT unnest(['ROWS', 'PAGES', 'REPEATED_POSITIONS', 'BAD_METADATA']) AS check_name, unnest([CAST(want_rows AS BIGINT), want_pages, 0, 0]) AS expected, unnest([rows, pages, 0, 0]) AS actual,
-    unnest([rows = want_rows, pages = want_pages, TRUE, TRUE]) AS passed FROM f""", None)
+  f AS (SELECT (SELECT COUNT(*) FROM events) AS rows, (SELECT COUNT(*) FROM g) AS pages, 1 + SUM(n - CASE page WHEN 5 THEN 1 ELSE 0 END) FILTER (page <> 7) AS want_rows, 1 + COUNT(*) FILTER (page <> 7) AS want_pages,
+    1 + COUNT(*) FILTER (page = 5) AS other, 1 + COUNT(*) FILTER (page = 7) AS inventory, (SELECT COUNT(*) FROM events WHERE {_NAN}) AS marked, (SELECT COUNT(*) FROM events WHERE {_NAN} AND {_PAGE} <> 3) AS logged,
+    (SELECT COUNT(*) FROM events WHERE event_id % 211 = 0) AS errors FROM g),
+  c AS (SELECT unnest(['siniestros', 'siniestros', 'siniestros', 'siniestros', 'siniestros', 'siniestros', 'all', 'all', 'all']) AS resource, unnest(['ROWS', 'PAGES', 'PAGE_COUNTS', 'REPEATED_POSITIONS', 'BAD_METADATA', 'NON_FINITE_MARKERS', 'PAGE_INVENTORY', 'INGESTION_RUNS_ROWS', 'INGESTION_ERRORS_ROWS']) AS check_name,
+    unnest([CAST(want_rows AS BIGINT), want_pages, 0, 0, 0, logged, 0, 1, errors + 1]) AS expected, unnest([rows, pages, other, 0, 0, marked, inventory, 1, errors]) AS actual FROM f)
+  SELECT *, expected = actual AS passed FROM c""", None)
 def raw_reconciliation(p):
-    return src.verify_raw(raw(p), manifest(p)).select("check_name", "expected", "actual", "passed")
+    """A page of other rows, one unexpected and one missing, markers of a page that weren't logged, and an error too few."""
+    r = records(p)
+    logged = src.non_finite_ledger(r).where("page_number <> 3").agg(F.lit(RESOURCE).alias("resource"), F.count(F.lit(1)).alias("marked"))
+    errors = src.quarantine(r).agg(F.lit("ingestion_errors").alias("table"), (F.count(F.lit(1)) + 1).alias("expected"), F.count(F.lit(1)).alias("actual"))
+    runs = p.spark.range(1).select(F.lit("ingestion_runs").alias("table"), F.lit(1).alias("expected"), F.lit(1).alias("actual"))
+    return src.verify_raw(raw(p), manifest(p), logged, errors.unionByName(runs))
+
+
+@query(f"""SELECT 'siniestros' AS resource, CAST(1 + SUM(n - CASE page WHEN 5 THEN 1 ELSE 0 END) FILTER (page <> 7) AS BIGINT) AS rows, 'UNKNOWN' AS audit_status, 1 + COUNT(*) FILTER (page IN (5, 7)) AS pages_of_other_rows,
+    (SELECT COUNT(*) FROM events WHERE {_NAN}) AS encoded, (SELECT COUNT(*) FROM events WHERE {_NAN} AND {_PAGE} <> 3) AS logged FROM (SELECT {_PAGE} AS page, COUNT(*) AS n FROM events GROUP BY 1) g""", None)
+def page_records(p):
+    """Rows of the pages against records, marked numbers against logged ones."""
+    r = records(p).withColumn("resource", F.lit(RESOURCE))
+    m = manifest(p).withColumn("total", F.lit(None).cast("long"))
+    logged = src.non_finite_ledger(records(p)).where("page_number <> 3").withColumn("resource", F.lit(RESOURCE))
+    return src.audit_totals(m, r, logged).select("resource", "rows", "audit_status", "pages_of_other_rows", "encoded", "logged")
 
 
 @query(f"SELECT CAST({_PAGE} AS BIGINT) AS page_number, CAST({_INDEX} AS BIGINT) AS record_index, sha256('\"' || event_type || '\"') AS record_hash FROM events WHERE event_id % 211 = 0", None)

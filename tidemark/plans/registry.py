@@ -396,27 +396,79 @@ FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(premium_usd) AS DOUBLE) AS
 
 @query(_CHECKS, FULL_CTE)
 def gold_checks(p):
-    """Each layer is written once; the checks are aggregates over what was written."""
-    fx_rates, active, claims = stored(p, "fx", p.fx), stored(p, "active", p.active), stored(p, "claims", flagged(p))
-    policies = stored(p, "policies", cohort.policy_values(active, p.products, p.agencies, fx_rates, CUTOFF))
-    values = stored(p, "claim-values", cohort.claim_values(claims, active, fx_rates, CUTOFF))
-    detail = stored(p, "detail", cohort.policy_detail(policies, cohort.claims_by_policy(values)))
-    scoped, mart = classify.claim_scope(claims, active, CUTOFF), stored(p, "mart", cohort.cohort_mart(detail))
-    df = checks.gold_checks(mart, detail, policies, values, active, scoped, CUTOFF)
+    """Each layer is written once and what the checks need of its rows is observed by the write."""
+    _, df = checks.build_gold(p.active, flagged(p), p.products, p.agencies, p.fx, CUTOFF, work_dir(p.spark, "gold"))
     return df.select("check_name", F.col("expected").cast("double").alias("expected"), "passed")
 
 
+@query("""SELECT unnest(['POLICY_COUNT', 'CLAIM_COUNT', 'PAID_COUNT', 'MISSING_PERIOD_COUNT', 'CLAIMS_HAVE_POLICY', 'POLICY_DETAIL_UNIQUE', 'LATEST_STATE_ELIGIBILITY', 'SOURCE_SCOPE_PARTITION', 'EXCLUDED_COUNT']) AS check_name,
+  unnest([p.n, c.used, c.paid, c.outside, 0, 0, p.n, s.n, c.excl]) AS expected, unnest([p.n - p.gone, c.used - c.g_used, c.paid - c.g_paid, c.outside - c.g_outside, 0, p.twice, p.n, s.n - s.unknown, c.excl - c.g_excl]) AS actual
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (policy_id % 10 = 3) AS gone, COUNT(*) FILTER (policy_id % 100 = 1) AS twice FROM policy_values) p, (SELECT COUNT(*) AS n, COUNT(*) FILTER (policy_id % 20 = 7) AS unknown FROM scoped) s,
+  (SELECT COUNT(*) FILTER (u) AS used, COUNT(*) FILTER (u AND gone) AS g_used, COUNT(*) FILTER (u AND paid) AS paid, COUNT(*) FILTER (u AND paid AND gone) AS g_paid, COUNT(*) FILTER (u AND o) AS outside, COUNT(*) FILTER (u AND o AND gone) AS g_outside,
+    COUNT(*) FILTER (NOT u) AS excl, COUNT(*) FILTER (NOT u AND gone) AS g_excl
+   FROM (SELECT NOT excluded AS u, status = 'PAGADO' AS paid, cover_state <> 'COINCIDE' AS o, policy_id % 10 = 3 AS gone FROM claim_values) y) c""", FULL_CTE)
+def gold_checks_failing(p):
+    """A mart without a tenth of the policies, a detail with some twice, and claims of no known scope."""
+    active, claims = p.active, flagged(p)
+    policies, values = cohort.policy_values(active, p.products, p.agencies, p.fx, CUTOFF), cohort.claim_values(claims, active, p.fx, CUTOFF)
+    detail = stored(p, "detail", cohort.policy_detail(policies, cohort.claims_by_policy(values)))
+    scoped = classify.claim_scope(claims, active, CUTOFF).withColumn("scope", F.when(F.col("policy_id") % 20 != 7, F.col("scope")))
+    mart = cohort.cohort_mart(detail.where("policy_id % 10 <> 3"))
+    df = checks.gold_checks(mart, detail.unionByName(detail.where("policy_id % 100 = 1")), policies, values, active, scoped, CUTOFF)
+    names = ["POLICY_COUNT", "CLAIM_COUNT", "PAID_COUNT", "MISSING_PERIOD_COUNT", "CLAIMS_HAVE_POLICY", "POLICY_DETAIL_UNIQUE", "LATEST_STATE_ELIGIBILITY", "SOURCE_SCOPE_PARTITION", "EXCLUDED_COUNT"]
+    return df.where(F.col("check_name").isin(names)).select("check_name", F.col("expected").cast("long").alias("expected"), F.col("actual").cast("long").alias("actual"))
+
+
 @query("SELECT unnest(['JOIN_DUPLICATES', 'POLICY_WITHOUT_ISSUE_DATE', 'CLAIM_WITHOUT_DATE', 'AMBIGUOUS_COVER', 'DUPLICATE_FX']) AS check_name, TRUE AS passed FROM (SELECT COUNT(*) FROM fx) x")
 def gold_stops(p):
     claims = classify.claim_scope(flagged(p), p.active, CUTOFF)
     return checks.gold_stops(p.active, claims, p.fx, CUTOFF).select("check_name", "passed")
 
 
-@query("SELECT unnest(['UNIQUE_HISTORY', 'UNIQUE_ACTIVE', 'UNIQUE_CLAIMS', 'UNIQUE_PRODUCTS', 'UNIQUE_AGENCIES', 'UNIQUE_FX', 'ACTIVE_EQUALS_LATEST', 'FLAGS_APPLIED']) AS check_name, TRUE AS passed FROM (SELECT COUNT(*) FROM fx) x")
-def silver_key_checks(p):
-    dims = {"products": (p.products, ["product_id"]), "agencies": (p.agencies, ["agency_id"]), "fx": (p.fx, ["currency", "rate_date"])}
+def _silver(p: Portfolio, broken: bool) -> DataFrame:
+    """The thirteen checks; if broken, over tables in which each of them fails."""
+    twice = lambda df, rows: df.unionByName(df.where(rows)) if broken else df
+    history, active, claims = twice(p.history, "policy_id % 100 = 1 AND op = 'I'"), twice(p.active, "policy_id % 100 = 33"), twice(flagged(p), "policy_id % 100 = 1")
+    products, agencies, fx_rates = twice(p.products, "product_id % 50 = 1"), twice(p.agencies, "agency_id % 10 = 1"), twice(p.fx, "currency = 'ARS'")
+    dims = {"products": (products, ["product_id"]), "agencies": (agencies, ["agency_id"]), "fx": (fx_rates, ["currency", "rate_date"])}
     latest = relational.latest_by(p.history, ["policy_id"], "updated_on")
-    return checks.silver_checks(p.history, p.active, flagged(p), dims, latest).select("check_name", "passed")
+    lost = lambda df, rows: df.where(f"NOT ({rows})") if broken else df
+    changed = p.products.withColumn("plan_name", F.when(F.col("product_id") % 7 == 0, F.lit("?")).otherwise(F.col("plan_name"))) if broken else p.products
+    content = ["policy_id", "occurred_on", "status", "amount", "currency"]
+    brought = {
+        "policy": (p.history, lost(p.history, "policy_id % 40 = 1 AND op = 'U'"), ["policy_id", "updated_on", "op"], []), "agencies": (p.agencies, lost(p.agencies, "agency_id % 3 = 0"), ["agency_id"], ["name", "channel"]),
+        "products": (p.products, changed, ["product_id"], ["plan_name", "product_type", "max_cover_usd", "is_premium"]), "fx": (p.fx, lost(p.fx, "currency = 'BRL'"), ["currency", "rate_date"], ["factor_usd"]),
+        "claims": (p.claims, lost(p.claims, "amount < 0"), ["claim_id"], content),
+    }
+    if broken:
+        claims = claims.withColumn("cover_state", F.when(F.col("policy_id") % 9 != 0, F.col("cover_state")))
+    return checks.silver_checks(history, active, claims, dims, latest, brought).select("check_name", F.col("actual").cast("long").alias("actual"), "passed")
+
+
+_SILVER_NAMES = "['UNIQUE_HISTORY', 'UNIQUE_ACTIVE', 'UNIQUE_CLAIMS', 'UNIQUE_PRODUCTS', 'UNIQUE_AGENCIES', 'UNIQUE_FX', 'POLICY_BATCH_PRESERVED', 'AGENCIES_BATCH_PRESERVED', 'PRODUCTS_BATCH_PRESERVED', 'FX_BATCH_PRESERVED', 'CLAIMS_BATCH_PRESERVED', 'ACTIVE_EQUALS_LATEST', 'FLAGS_APPLIED']"
+_SILVER = "SELECT check_name, actual, actual = 0 AS passed FROM (SELECT unnest({names}) AS check_name, unnest([{counts}]) AS actual) x"
+_REPEATED = lambda table, keys: f"(SELECT COUNT(*) FROM (SELECT 1 FROM {table} GROUP BY {keys} HAVING COUNT(*) > 1) r)"
+_UNIQUE = [("history", "policy_id, updated_on, op"), ("active", "policy_id"), ("claims", "claim_id"), ("products", "product_id"), ("agencies", "agency_id"), ("fx", "currency, rate_date")]
+_NONE = [f"(SELECT COUNT(*) FROM {t} WHERE FALSE)" for t in ("history", "agencies", "products", "fx", "claims", "active", "claims")]
+_LOST = [
+    "(SELECT COUNT(*) FROM history WHERE policy_id % 40 = 1 AND op = 'U')", "(SELECT COUNT(*) FROM agencies WHERE agency_id % 3 = 0)", "(SELECT COUNT(*) FROM products WHERE product_id % 7 = 0)",
+    "(SELECT COUNT(*) FROM fx WHERE currency = 'BRL')", "(SELECT COUNT(*) FROM claims WHERE amount < 0)", "(SELECT COUNT(*) FROM active WHERE policy_id % 100 = 33)",
+    "(SELECT COUNT(*) + COUNT(*) FILTER (policy_id % 100 = 1) FROM claims WHERE policy_id % 9 = 0)",
+]
+_TWICE = [
+    "(SELECT COUNT(*) FROM history WHERE policy_id % 100 = 1 AND op = 'I')", "(SELECT COUNT(*) FROM active WHERE policy_id % 100 = 33)", "(SELECT COUNT(*) FROM claims WHERE policy_id % 100 = 1)",
+    "(SELECT COUNT(*) FROM products WHERE product_id % 50 = 1)", "(SELECT COUNT(*) FROM agencies WHERE agency_id % 10 = 1)", "(SELECT COUNT(*) FROM fx WHERE currency = 'ARS')",
+]
+
+
+@query(_SILVER.format(names=_SILVER_NAMES, counts=", ".join([*(_REPEATED(*u) for u in _UNIQUE), *_NONE])))
+def silver_key_checks(p):
+    return _silver(p, broken=False)
+
+
+@query(_SILVER.format(names=_SILVER_NAMES, counts=", ".join(_TWICE + _LOST)))
+def silver_checks_failing(p):
+    return _silver(p, broken=True)
 
 
 _METRICS = "CAST(costo AS DOUBLE) / NULLIF(CAST(prima AS DOUBLE), 0) AS loss_ratio, CAST(con AS DOUBLE) / pol AS paid_frequency, CAST(costo AS DOUBLE) / NULLIF(con, 0) AS severity_usd, CAST(prima AS DOUBLE) / pol AS mean_premium_usd"
@@ -541,6 +593,9 @@ def same_start_pairs(p):
 _CENTS = "(SELECT claim_id, status, currency, CAST(CASE WHEN amount < 0 THEN -1 ELSE 1 END * floor(abs(amount) / 1000) AS BIGINT) AS amount FROM claims)"
 
 
+_DATED = "(SELECT claim_id, status, currency, CAST(CASE WHEN amount < 0 THEN -1 ELSE 1 END * floor(abs(amount) / 1000) AS BIGINT) AS amount, policy_id % 100 AS policy_id, date_trunc('quarter', occurred_on) AS occurred_on FROM claims)"
+
+
 @query(f"SELECT n.claim_id, n.status, n.currency, n.amount, COUNT(c.claim_id) AS opposites FROM {_CENTS} n LEFT JOIN {_CENTS} c ON c.status = n.status AND c.currency = n.currency AND c.amount = -n.amount AND c.amount > 0 WHERE n.amount < 0 GROUP BY ALL")
 def opposite_amounts(p):
     sign = F.when(F.col("amount") < 0, -1).otherwise(1)
@@ -548,6 +603,38 @@ def opposite_amounts(p):
     return relational.opposite_amounts(c, ["status", "currency"])
 
 
+@query(f"""SELECT n.claim_id, n.status, n.currency, n.amount, COUNT(c.claim_id) AS opposites, COUNT(c.claim_id) FILTER (c.policy_id = n.policy_id) AS opposites_same_policy_id, COUNT(c.claim_id) FILTER (c.occurred_on = n.occurred_on) AS opposites_same_occurred_on
+  FROM {_DATED} n LEFT JOIN {_DATED} c ON c.status = n.status AND c.currency = n.currency AND c.amount = -n.amount AND c.amount > 0 WHERE n.amount < 0 GROUP BY ALL""")
+def opposite_amounts_same_policy_and_day(p):
+    """The days of occurrence count by quarter of a year, so some agree."""
+    sign = F.when(F.col("amount") < 0, -1).otherwise(1)
+    c = p.claims.select("claim_id", "status", "currency", (sign * F.floor(F.abs("amount") / 1000)).cast("long").alias("amount"), (F.col("policy_id") % 100).alias("policy_id"), F.trunc("occurred_on", "quarter").alias("occurred_on"))
+    return relational.opposite_amounts(c, ["status", "currency"], also=("policy_id", "occurred_on"))
+
+
+@query("""SELECT metric, what, COUNT(*) AS rows FROM (SELECT unnest([CASE WHEN amount < 0 THEN 'negative by currency' END, CASE WHEN f.currency IS NULL THEN 'no currency by status' END, 'currency agreement',
+    CASE WHEN status = 'PAGADO' AND amount < 0 THEN 'paid special' END, CASE WHEN status = 'PAGADO' AND f.currency IS NULL THEN 'paid special' END, CASE WHEN status = 'PAGADO' AND cover_state = 'FUERA_PERIODO' THEN 'paid special' END, CASE WHEN status = 'PAGADO' AND cover_state = 'POLIZA_AUSENTE' THEN 'paid special' END]) AS metric,
+  unnest([COALESCE(f.currency, '(none)'), status, CASE WHEN f.currency IS NULL THEN 'missing' WHEN p.ccy IS NULL THEN 'policy unknown' WHEN UPPER(TRIM(f.currency)) = p.ccy THEN 'same' ELSE 'other' END, 'negative', 'without currency', 'outside cover', 'without policy']) AS what
+  FROM flagged0 f LEFT JOIN policy_ccy p ON p.policy_id = f.policy_id) x WHERE metric IS NOT NULL GROUP BY 1, 2""", FLAGS_CTE)
+def claim_anomalies(p):
+    return profile.claim_anomalies(p.claims, p.history)
+
+
+_GUARDED = "(SELECT CAST(c_custkey AS VARCHAR) AS run_id, c_nationkey % 3 AS r, c_custkey % 4 AS st, c_custkey % 5 = 0 AS bounded, c_custkey % 6 = 0 AS short, c_custkey % 7 = 0 AS keyless FROM customer)"
+
+
+@query(f"""SELECT run_id, CASE r WHEN 0 THEN 'policies' WHEN 1 THEN 'claims' ELSE 'fx' END AS resource, problem FROM (SELECT run_id, r, unnest([CASE WHEN st IN (0, 1) THEN NULL ELSE 'RUN_NOT_FINISHED' END,
+  CASE WHEN r <> 0 AND (bounded OR st = 3) THEN 'PARTIAL_SNAPSHOT' END, CASE WHEN short THEN 'ROWS_DIFFER' END, CASE WHEN keyless THEN 'ROWS_WITHOUT_KEY' END]) AS problem FROM {_GUARDED} g) x WHERE problem IS NOT NULL""", None)
+def run_guards(p):
+    """A run for each customer: finished, quarantined, failed or unknown; bounded ones; batches with too few rows or rows without keys."""
+    k = F.col("c_custkey")
+    df = p.table("customer").select(k.cast("string").alias("run_id"), F.element_at(F.array(*map(F.lit, ("policies", "claims", "fx"))), (F.col("c_nationkey") % 3).cast("int") + 1).alias("resource"), "c_custkey")
+    status = F.element_at(F.array(*map(F.lit, ("SUCCESS", "SUCCESS_WITH_QUARANTINE", "FAILED"))), (k % 4).cast("int") + 1)
+    runs = df.where("c_custkey % 4 <> 3").select("run_id", status.alias("run_status"), F.when(k % 5 == 0, "bounded").otherwise("full").alias("invocation_mode"))
+    batches = df.select("run_id", "resource", (10 - (k % 6 == 0).cast("long")).alias("rows"), F.lit(10).cast("long").alias("expected_rows"), (k % 7 == 0).cast("long").alias("rows_without_key"), F.lit(0).cast("long").alias("ambiguous_keys"))
+    return parse.run_guards(runs, batches, df.select("run_id", "resource"))
+
+
 @query("SELECT ops, COUNT(*) AS policies FROM (SELECT policy_id, string_agg(DISTINCT op, '+' ORDER BY op) AS ops FROM history GROUP BY 1) x GROUP BY 1")
 def policy_op_sets(p):
     return profile.policy_op_sets(p.history)

@@ -163,20 +163,21 @@ def write_ndjson(df: DataFrame, path: str) -> None:
 
 
 RAW_SCHEMA = """ingested_at timestamp, run_id string, batch_id string, resource string, snapshot_id string, page_number long, record_index long,
-  source_key string, source_updated_at timestamp, record_hash string, source_file string, payload string, ingest_date date"""
+  source_key string, source_updated_at timestamp, record_hash string, source_file string, payload string, ingest_date date, part string"""
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Partitioned by day, resource and run; a run's rows of a day and resource replace themselves, so a replay adds nothing."""
-    out = df.withColumn("ingest_date", utc_date("ingested_at")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy("ingest_date", "resource", "run_id").parquet(path)
+def write_raw(df: DataFrame, path: str, part: str = "all") -> None:
+    """Partitioned by day, resource, run and part; rows take the place of the same part's, so a replay adds nothing
+    and a later part of the run (named by its first page, say) leaves the ones before it."""
+    out = df.withColumns({"ingest_date": utc_date("ingested_at"), "part": F.lit(part)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("ingest_date", "resource", "run_id", "part").parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, run_id: str, first: str | None, last: str | None, resource: str | None = None) -> DataFrame:
     """Raw rows of a run within day bounds, which prune partitions; without bounds it is refused."""
     if not first or not last:
         raise ValueError("raw is read between two days only")
-    df = spark.read.schema(RAW_SCHEMA).parquet(path).where((F.col("ingest_date") >= F.lit(first).cast("date")) & (F.col("ingest_date") <= F.lit(last).cast("date")) & (F.col("run_id") == run_id))
+    df = spark.read.schema(RAW_SCHEMA).parquet(path).drop("part").where((F.col("ingest_date") >= F.lit(first).cast("date")) & (F.col("ingest_date") <= F.lit(last).cast("date")) & (F.col("run_id") == run_id))
     return df.where(F.col("resource") == resource) if resource else df
 
 
@@ -216,10 +217,16 @@ def assert_same_batch(old: DataFrame, new: DataFrame) -> None:
         raise IntegrityError("the capture under this run id has changed")
 
 
-def run_record(manifest: DataFrame, run_id: str, bounded: bool) -> DataFrame:
-    """One control row: mode, pages and rows, and a summary."""
+def run_record(manifest: DataFrame, run_id: str, bounded: bool, attempts: DataFrame | None = None) -> DataFrame:
+    """One control row: mode, pages and rows, requests, and a summary.
+
+    ``attempts``: a row per request that was made, retries and failures included;
+    without it each page counts as one request.
+    """
     df = manifest.agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum("rows_received"), F.lit(0)).alias("rows"))
-    return df.select(F.lit(run_id).alias("run_id"), F.lit("bounded" if bounded else "full").alias("invocation_mode"), F.col("pages").alias("http_requests"), "rows", F.to_json(F.struct("pages", "rows")).alias("summary"))
+    made = attempts.agg(F.count(F.lit(1)).alias("http_requests"), F.count_if("failed").alias("failed_requests")) if attempts is not None else manifest.agg(F.count(F.lit(1)).alias("http_requests"), F.lit(0).cast("long").alias("failed_requests"))
+    summary = F.to_json(F.struct("pages", "rows", "failed_requests"))
+    return df.join(made).select(F.lit(run_id).alias("run_id"), F.lit("bounded" if bounded else "full").alias("invocation_mode"), "http_requests", "failed_requests", "rows", summary.alias("summary"))
 
 
 # ---- audits
@@ -233,14 +240,33 @@ def page_stats(raw: DataFrame) -> DataFrame:
     )
 
 
-def verify_raw(raw: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Per resource: rows, pages, repeated positions and bad metadata against the manifest."""
-    stats = page_stats(raw).groupBy("resource").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("pages"), F.sum(F.col("rows") - F.col("positions")).alias("repeats"), F.sum("bad_metadata").alias("bad"))
-    want = manifest.where("rows_received > 0").groupBy("resource").agg(F.sum("rows_received").alias("_rows"), F.count(F.lit(1)).alias("_pages"))
-    both = stats.join(want, "resource", "full")
-    check = lambda n, e, a: F.struct(F.lit(n).alias("check_name"), e.cast("long").alias("expected"), F.coalesce(a.cast("long"), F.lit(-1)).alias("actual"))
-    rows = F.array(check("ROWS", F.col("_rows"), F.col("rows")), check("PAGES", F.col("_pages"), F.col("pages")), check("REPEATED_POSITIONS", F.lit(0), F.col("repeats")), check("BAD_METADATA", F.lit(0), F.col("bad")))
-    return both.select("resource", F.explode(rows).alias("c")).select("resource", "c.*", F.coalesce(F.col("c.expected") == F.col("c.actual"), F.lit(False)).alias("passed"))
+def verify_raw(raw: DataFrame, manifest: DataFrame, resources: DataFrame | None = None, controls: DataFrame | None = None) -> DataFrame:
+    """Raw against the manifest: (resource, check_name, expected, actual, passed).
+
+    Over all resources the inventory of pages; per resource rows, pages, pages of
+    another number of rows, repeated positions, bad metadata and marked numbers.
+    ``resources`` (resource, marked): how many records with marked numbers were logged, if it
+    is given.  ``controls`` (table, expected, actual): rows of control tables.
+    One aggregate of raw by page; everything else is small.
+    """
+    pages = page_stats(raw).join(manifest.where("rows_received > 0").select("resource", "page_number", "rows_received"), ["resource", "page_number"], "full")
+    stats = pages.groupBy("resource").agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_received", "rows", "bad_metadata", "marked")), F.coalesce(F.sum(F.col("rows") - F.col("positions")), F.lit(0)).alias("repeats"),
+        F.count("rows_received").alias("want_pages"), F.count("rows").alias("pages"), F.count_if(F.col("rows_received").isNotNull() & ~F.col("rows").eqNullSafe(F.col("rows_received"))).alias("other_counts"),
+        F.count_if(F.col("rows").isNull() | F.col("rows_received").isNull()).alias("one_side"),
+    )
+    if resources is not None:
+        stats = stats.join(resources.select("resource", F.col("marked").alias("logged")), "resource", "left")
+    check = lambda n, e, a: F.struct(F.lit(n).alias("check_name"), F.coalesce(e.cast("long"), F.lit(0)).alias("expected"), a.cast("long").alias("actual"))
+    rows = [check("ROWS", F.col("rows_received"), F.col("rows")), check("PAGES", F.col("want_pages"), F.col("pages")), check("PAGE_COUNTS", F.lit(0), F.col("other_counts"))]
+    rows += [check("REPEATED_POSITIONS", F.lit(0), F.col("repeats")), check("BAD_METADATA", F.lit(0), F.col("bad_metadata"))]
+    if resources is not None:
+        rows.append(check("NON_FINITE_MARKERS", F.col("logged"), F.col("marked")))
+    found = stats.select("resource", F.explode(F.array(*rows)).alias("c")).select("resource", "c.*")
+    found = found.unionByName(stats.agg(F.lit("all").alias("resource"), F.lit("PAGE_INVENTORY").alias("check_name"), F.lit(0).cast("long").alias("expected"), F.coalesce(F.sum("one_side"), F.lit(0)).alias("actual")))
+    if controls is not None:
+        found = found.unionByName(controls.select(F.lit("all").alias("resource"), F.concat(F.upper("table"), F.lit("_ROWS")).alias("check_name"), F.col("expected").cast("long").alias("expected"), F.col("actual").cast("long").alias("actual")))
+    return found.withColumn("passed", F.col("expected") == F.col("actual"))
 
 
 def audit_pages(manifest: DataFrame) -> DataFrame:
@@ -273,11 +299,24 @@ def audit_pages(manifest: DataFrame) -> DataFrame:
     return pages.select("resource", "page_number", found.alias("_p")).select("resource", "page_number", F.explode("_p").alias("problem"))
 
 
-def audit_totals(manifest: DataFrame) -> DataFrame:
-    """Per resource: the source's total against the rows of its pages (PASS, PARTIAL, or UNKNOWN without a total)."""
+def audit_totals(manifest: DataFrame, records: DataFrame | None = None, logged: DataFrame | None = None) -> DataFrame:
+    """Per resource: the source's total against the rows of its pages (PASS, PARTIAL, or UNKNOWN without a total).
+
+    With ``records`` (parsed, of resource, page_number and issues) and ``logged`` (page_number and a row for
+    each marked number that the run logged, of resource) also pages whose records
+    aren't as many as the page says, and marked numbers in records against logged ones.
+    """
     df = manifest.groupBy("resource").agg(F.max("total").alias("source_total"), F.sum("rows_received").alias("rows"))
     status = F.when(F.col("source_total").isNull(), "UNKNOWN").when(F.col("source_total") == F.col("rows"), "PASS").otherwise("PARTIAL")
-    return df.select("resource", "source_total", "rows", status.alias("audit_status"))
+    df = df.select("resource", "source_total", "rows", status.alias("audit_status"))
+    if records is None:
+        return df
+    found = records.groupBy("resource", "page_number").agg(F.count(F.lit(1)).alias("_records"), F.sum(F.size("issues")).alias("_encoded"))
+    pages = manifest.select("resource", "page_number", "rows_received").join(found, ["resource", "page_number"], "full")
+    other = F.coalesce("rows_received", F.lit(-1)) != F.coalesce("_records", F.lit(0))
+    pages = pages.groupBy("resource").agg(F.count_if(other).alias("pages_of_other_rows"), F.coalesce(F.sum("_encoded"), F.lit(0)).alias("encoded"))
+    log = logged.groupBy("resource").agg(F.count(F.lit(1)).alias("logged"))
+    return df.join(pages, "resource", "left").join(log, "resource", "left").withColumn("logged", F.coalesce("logged", F.lit(0)))
 
 
 def field_types(records: DataFrame) -> DataFrame:

@@ -67,12 +67,18 @@ def mixed(seed):
     return [(i if i % 97 else None, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_all_pairs(spark, tmp_path, seed):
+@pytest.mark.parametrize(("seed", "tokens"), [(1, None), (2, 2000)])
+def test_equals_all_pairs(spark, tmp_path, seed, tokens, monkeypatch):
+    """With one group for all, and with many small ones."""
     from pyspark.sql import functions as F
 
+    from tidemark.llm import jaccard_join
     from tidemark.llm.registry import QUERIES
 
+    if tokens:
+        monkeypatch.setattr(jaccard_join, "GROUP_TOKENS", tokens)
+        monkeypatch.setattr(jaccard_join, "QUERIES", 20)
+
     rows = mixed(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("key", "token", "group", "tokens", "n", "first", "prefix")})
     df.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
@@ -112,21 +118,19 @@ def test_few_groups_are_opened(spark):
         assert j.cluster(df).count() == len(texts)
     finally:
         j.matrix_requests = real
-    # 300 copies in groups of up to 64, 300 texts that share a passage: pairs of a class and a group would be 600 * 305.
     assert made[0].count() < 2 * len(texts)
-    passages = {j.key_of(j.tokens_of(t)) for t in texts[301:]}
-    asking = {bytes(r.key) for r in made[0].collect()} | {bytes(r.group) for r in made[0].collect()}
-    assert not asking & passages
+    passages = {j.key_of(j.Rule().tokens(t)) for t in texts[301:]}
+    assert not {bytes(r.key) for r in made[0].collect()} & passages
 
 
 def test_opened_group_compares_exactly():
     import numpy as np
 
-    from tidemark.llm.jaccard_join import OpenGroup
+    from tidemark.llm.jaccard_join import OpenGroup, Rule
 
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.choice(60, size, replace=False).astype(np.uint64)) for size in rng.integers(1, 50, 40)] + [np.arange(20, dtype=np.uint64)]
-    group = OpenGroup(sets)
+    group = OpenGroup(sets, Rule())
     for q in [*sets, np.arange(23, dtype=np.uint64), np.array([1000], np.uint64)]:
         want = [k for k, s in enumerate(sets) if 100 * len(set(s) & set(q)) >= 85 * len(set(s) | set(q))]
         assert group.linked(q).tolist() == want

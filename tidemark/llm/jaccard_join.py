@@ -3,6 +3,8 @@
 Tokens are 64-bit hashes of a document's different shingles.  Documents of equal
 sets are one class, whose key is the set's size and 96 bits of its digest.
 
+The query links from 85 per cent of words of four on; a ``Rule`` says otherwise.
+
 1. Tokens get an order, the rarest first, from a fixed table of hashed counts
    over all documents.  Sets that link share at least ``spare(n)`` of their first
    n - need(n) + spare(n) tokens, so the matrix holds those only; any order is
@@ -11,8 +13,8 @@ sets are one class, whose key is the set's size and 96 bits of its digest.
 2. Classes with enough tokens in common are partitioned into groups of similar ones:
    runs of GROUP_TOKENS tokens or so along an order by the sets' most frequent tokens,
    which copies and the members of a family share.  Groups are opened for their own
-   members and for the first of the next; so are groups by smallest hashes, three
-   times.  What links then is known to be connected.
+   members and for the last of the one before; so are groups by smallest hashes.
+   What links then is known to be connected.
 3. The token-group matrix has a row for each group and token of its members.
    Classes meet it by token; counted tokens bound the overlap of a class and a
    group, and only tokens of members that aren't connected to the class yet
@@ -34,7 +36,8 @@ row; an empty table gives no rows; other columns aren't read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
+from functools import partial, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -46,32 +49,41 @@ from .common import materialize, read_table, text_or_empty
 from .components import components
 from .simhash import name_components, shingle_hashes
 
-SHINGLE = 4
-#: Documents link from this similarity on, in per cent.
-PERCENT = 85
 #: Hashed counts that order the tokens: 4 MB on every executor, whatever the input; kept as RANGES rows while they are added up.
 SLOTS, RANGES = 1 << 22, 64
 #: Tokens in a group from which another one starts: some 8 MB in a task with their owners, and the longest document more.
 GROUP_TOKENS = 1 << 19
 #: Classes that one task compares with a group.
 QUERIES = 2048
-#: Odd numbers: products with them are the hashes of the orders by smallest hashes.
-TURNS = np.array([1, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], np.uint64)
-ORDERS = [(f"m{k}", f"l{k}") for k in range(len(TURNS) + 1)]
-MARKS = "doc_id long, n_shingles long, key binary, " + "".join(f"{m} long, {l} long, " for m, l in ORDERS) + "prefix array<long>"
+#: The orders' columns: the two most frequent tokens, the two smallest hashes.
+ORDERS = [("m0", "l0"), ("m1", "l1")]
+#: Bits that tell which ids have sets to be made: 4 MB on every executor; when they fill up, more sets are made than are used.
+ID_BITS = 1 << 25
+MARKS = "doc_id long, text_hash long, n_shingles long, key binary, " + "".join(f"{m} long, {l} long, " for m, l in ORDERS) + "prefix array<long>"
 
 
-def need(n: int) -> int:
-    """Tokens that a set of ``n`` has in common with any that it links with."""
-    return (PERCENT * n + 99) // 100
+@dataclass(frozen=True)
+class Rule:
+    """Which documents link: words in a shingle, and the similarity in per cent from which they do."""
 
+    shingle: int = 4
+    percent: int = 85
 
-def spare(n):
-    return 1 + n // 32
+    def tokens(self, text: str | None) -> np.ndarray:
+        return np.unique(shingle_hashes(text, self.shingle))
+
+    def need(self, n: int) -> int:
+        """Tokens that a set of ``n`` has in common with any that it links with."""
+        return (self.percent * n + 99) // 100
 
+    def in_matrix(self, n: int) -> int:
+        """How many of a set's first tokens the matrix holds."""
+        return min(n, n - self.need(n) + spare(n))
 
-def tokens_of(text: str | None) -> np.ndarray:
-    return np.unique(shingle_hashes(text, SHINGLE))
+
+def spare(n: int) -> int:
+    """Of the tokens in the matrix, those that a set of ``n`` shares with any of its size or more that it links with."""
+    return 1 + n // 32
 
 
 def key_of(tokens: np.ndarray) -> bytes | None:
@@ -82,14 +94,14 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - 22)).astype(np.int64)
 
 
-def token_levels(docs: DataFrame) -> np.ndarray:
+def token_levels(docs: DataFrame, rule: Rule) -> np.ndarray:
     """For each slot, twice the logarithm of how many times tokens of that slot are in documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, size = np.zeros(SLOTS, np.uint32), [], 0
         for b in batches:
             for text in b.column(0):
-                held.append(_slots(tokens_of(text.as_py())))
+                held.append(_slots(rule.tokens(text.as_py())))
                 size += len(held[-1])
                 if size > SLOTS // 4:
                     total += np.bincount(np.concatenate(held), minlength=SLOTS).astype(np.uint32)
@@ -115,17 +127,17 @@ def token_levels(docs: DataFrame) -> np.ndarray:
     return found.ravel()
 
 
-def marks(docs: DataFrame) -> DataFrame:
+def marks(docs: DataFrame, rule: Rule) -> DataFrame:
     """A row per document; the tokens of its set for the matrix come with the first row of that set in a task."""
-    order = docs.sparkSession.sparkContext.broadcast(token_levels(docs))
+    order = docs.sparkSession.sparkContext.broadcast(token_levels(docs, rule))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         levels = order.value
         for b in batches:
             n, keys, least, prefixes = [], [], [], []
-            for text in b.column(1):
-                t = tokens_of(text.as_py())
+            for text in b.column(2):
+                t = rule.tokens(text.as_py())
                 n.append(len(t))
                 keys.append(key_of(t))
                 if keys[-1] is None or keys[-1] in seen:
@@ -134,47 +146,50 @@ def marks(docs: DataFrame) -> DataFrame:
                     continue
                 seen.add(keys[-1])
                 rarest_first = t[np.lexsort((t, levels[_slots(t)]))]
-                firsts = [rarest_first[: -3 : -1], *(np.sort(t * turn)[:2] for turn in TURNS)]
+                firsts = [rarest_first[:-3:-1], t[:2]]
                 least.append(np.concatenate([np.resize(x, 2) for x in firsts]).view(np.int64))
-                length = min(len(t), len(t) - need(len(t)) + spare(len(t)))
-                prefixes.append(rarest_first[:length].view(np.int64))
+                prefixes.append(rarest_first[: rule.in_matrix(len(t))].view(np.int64))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum([0 if p is None else len(p) for p in prefixes])]), pa.int32()),
                 pa.array(np.concatenate([np.empty(0, np.int64), *(p for p in prefixes if p is not None)])),
                 mask=pa.array([p is None for p in prefixes]),
             )
             ends = np.stack(least, axis=1) if least else np.empty((2 * len(ORDERS), 0), np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *map(pa.array, ends), lists], names=[c.split()[0] for c in MARKS.split(", ")])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), *map(pa.array, ends), lists], names=[c.split()[0] for c in MARKS.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, MARKS)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_or_empty()), text_or_empty().alias("text")).mapInArrow(run, MARKS)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys in order to (key, group, before): runs of about GROUP_TOKENS are groups, named by their first key;
-    ``before``, for the first of a group, is the group before it."""
-    group, size = None, GROUP_TOKENS
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, part) in order to (key, part, before, size): tokens in the part's classes before, and the class's own."""
+    total = 0
     for b in batches:
-        groups, before = [], []
-        for key in b.column(0).to_pylist():
-            last = None
-            if size >= GROUP_TOKENS:
-                last, group, size = group, key, 0
-            size += int.from_bytes(key[:4], "big")
-            groups.append(group)
-            before.append(last)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(groups, pa.binary()), pa.array(before, pa.binary())], names=["key", "group", "before"])
+        sizes = [int.from_bytes(k[:4], "big") for k in b.column(0).to_pylist()]
+        ends = total + np.cumsum(sizes, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ends - np.array(sizes, np.int64)), pa.array(sizes, pa.int64())], names=["key", "part", "before", "size"])
+        total = int(ends[-1]) if len(sizes) else total
 
 
-def grouped(classes: DataFrame, m1: str, m2: str) -> DataFrame:
-    """(key, group, before) of each class, by one order."""
-    rows = classes.select("key", m1, m2).repartitionByRange(m1, m2, "key").sortWithinPartitions(m1, m2, "key").select("key")
-    return rows.mapInArrow(_runs, "key binary, group binary, before binary")
+def grouped(classes: DataFrame, m1: str, m2: str, number: int) -> DataFrame:
+    """(key, group, next) of each class, by one order: its group, and the next one if it is its group's last.
+
+    Groups go on across partitions: a part's tokens before it are added up from a row per part.
+    """
+    rows = classes.select("key", m1, m2).repartitionByRange(m1, m2, "key").sortWithinPartitions(m1, m2, "key").select("key", F.spark_partition_id().alias("part"))
+    rows = materialize(rows.mapInArrow(_running, "key binary, part int, before long, size long"), "order")
+    parts = rows.groupBy("part").agg(F.sum("size").alias("tokens"))
+    offsets = parts.select("part", (F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")).alias("offset"))
+    first = F.col("offset") + F.col("before")
+    group = lambda at: (F.lit(number << 48) + F.floor(at / GROUP_TOKENS)).cast("long")
+    last = group(first + F.col("size")) > group(first)
+    return rows.join(offsets, "part").select("key", group(first).alias("group"), F.when(last, group(first) + 1).alias("next"))
 
 
 class OpenGroup:
     """The union of a group's tokens, each with the members that have it."""
 
-    def __init__(self, members: list[np.ndarray]):
+    def __init__(self, members: list[np.ndarray], rule: Rule):
+        self.rule = rule
         self.sizes = np.array([len(m) for m in members])
         tokens, owners = np.concatenate(members), np.repeat(np.arange(len(members)), self.sizes)
         order = np.argsort(tokens, kind="stable")
@@ -187,15 +202,15 @@ class OpenGroup:
         """Which members link with the query."""
         at = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
         at = at[self.union[at] == query]
-        if len(at) < need(max(len(query), self.smallest)):  # the bound by the group's union
+        if len(at) < self.rule.need(max(len(query), self.smallest)):  # the bound by the group's union
             return np.empty(0, np.int64)
         many = self.first[at + 1] - self.first[at]
         places = np.repeat(self.first[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
         common = np.bincount(self.owners[places], minlength=len(self.sizes))
-        return np.flatnonzero(100 * common >= PERCENT * (len(query) + self.sizes - common))
+        return np.flatnonzero(100 * common >= self.rule.percent * (len(query) + self.sizes - common))
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _opened(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (group, part, own, query, key, tokens) in order of the first three and key, members first, to links."""
     name = None
     for b in batches:
@@ -216,20 +231,20 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not keys:
                 continue
             if opened is None:
-                opened, label = _members(keys, sets, inner, u, v)
+                opened, label = _members(rule, keys, sets, inner, u, v)
             for k in {label[m]: m for m in opened.linked(tokens)}.values():
                 u.append(key)
                 v.append(keys[k])
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
 
-def _members(keys: list[bytes], sets: list[np.ndarray], own: bool, u: list[bytes], v: list[bytes]) -> tuple[OpenGroup, list[int]]:
+def _members(rule: Rule, keys: list[bytes], sets: list[np.ndarray], own: bool, u: list[bytes], v: list[bytes]) -> tuple[OpenGroup, list[int]]:
     """The opened group and its members' connected parts, whose links are added if they are wanted.
 
     Of two parts that link, one isn't the largest; so all members ask that no
     other has found yet, and then those outside of the largest part.
     """
-    opened, label = OpenGroup(sets), np.arange(len(keys))
+    opened, label = OpenGroup(sets, rule), np.arange(len(keys))
     asked = np.zeros(len(keys), bool)
 
     def ask(i: int) -> None:
@@ -259,12 +274,12 @@ def _members(keys: list[bytes], sets: list[np.ndarray], own: bool, u: list[bytes
     return opened, label.tolist()
 
 
-def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bool) -> DataFrame:
+def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bool, rule: Rule) -> DataFrame:
     """Links (u, v) of the classes that ``requests`` (key, group) name with the groups' members and, if ``own``, of members.
 
     ``groups``: key, group (if ``own``, those of one member have nothing to link and are left out); ``sets``: key, tokens.
     """
-    if own:
+    if own:  # the last of the last group asks one that isn't there
         several = groups.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         groups = groups.select("key", "group").join(several, "group").drop("members")
     asked = requests.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
@@ -277,30 +292,39 @@ def open_groups(requests: DataFrame, groups: DataFrame, sets: DataFrame, own: bo
         rows = rows.unionByName(last)
     rows = rows.join(sets.hint("merge"), "key").withColumn("own", F.lit(own)).select("group", "part", "own", "query", "key", "tokens")
     rows = rows.repartition("group", "part").sortWithinPartitions("group", "part", "query", "key")
-    return rows.mapInArrow(_opened, "u binary, v binary")
+    return rows.mapInArrow(partial(_opened, rule), "u binary, v binary")
 
 
-def token_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def token_sets(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """(key, tokens) of the classes (key, first), made from the texts again rather than kept for all.
 
-    Other texts under the same ids come along; no group has their keys.
+    Texts whose ids share a bit with one of theirs come along; no group has their keys.
     """
 
+    at = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+    ids = classes.select(F.col("first").alias("id")).select(at.alias("at")).selectExpr("at div 64 AS word", "shiftleft(1L, CAST(at % 64 AS INT)) AS bit")
+    words = ids.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most ID_BITS / 64 rows
+    filled = np.zeros(ID_BITS // 64, np.int64)
+    filled[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    marked = docs.sparkSession.sparkContext.broadcast(filled)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marked.value
         for b in batches:
-            sets = [tokens_of(t.as_py()) for t in b.column(0)]
+            at = b.column(0).to_numpy()
+            wanted = np.flatnonzero((bits[at >> 6] >> (at & 63)) & 1)
+            sets = [rule.tokens(b.column(1)[i].as_py()) for i in wanted.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([key_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "tokens"])
 
-    ids = classes.select(F.col("first").alias("first_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    return texts.select("text").where("length(text) > 0").mapInArrow(run, "key binary, tokens binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text")).select(at.alias("at"), "text")
+    return texts.mapInArrow(run, "key binary, tokens binary").where("key IS NOT NULL")
 
 
 def size_of(key: str) -> Column:
     return F.conv(F.hex(F.substring(key, 1, 4)), 16, 10).cast("long")
 
 
-def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame) -> DataFrame:
+def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame, rule: Rule) -> DataFrame:
     """(key, group) where the counted tokens leave room for a link that isn't known.
 
     ``shared``: token, key; ``groups``: key, group; ``connected``: node, root.
@@ -312,41 +336,47 @@ def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame)
     matrix = classes.groupBy("token", F.col("members").alias("g_members"), F.col("group").alias("g")).agg(
         F.min("size").alias("least"), F.max("size").alias("most"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    fits = (F.struct("members", "group") < F.struct("g_members", "g")) & (F.col("size") * 100 >= F.col("least") * PERCENT) & (F.col("most") * 100 >= F.col("size") * PERCENT)
+    fits = (F.struct("members", "group") < F.struct("g_members", "g")) & (F.col("size") * 100 >= F.col("least") * rule.percent) & (F.col("most") * 100 >= F.col("size") * rule.percent)
     fits &= (F.col("low") != F.col("root")) | (F.col("high") != F.col("root"))
     met = classes.join(matrix, "token").where(fits).groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"), F.first("size").alias("size"))
     enough = F.floor(F.least("size", "least") / 32) + 1
     return met.where(F.col("n") >= enough).select("key", F.col("g").alias("group"))
 
 
-def link_classes(docs: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix."""
+def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule, also: DataFrame | None = None) -> DataFrame:
+    """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix.
+
+    ``also``: doc_id (once each) and two columns by which classes are ordered once more.
+    """
     posts = leaves.select("key", F.explode("prefix").alias("token")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token")))
     shared = materialize(posts.where("n > 1").select("token", "key"), "matrix")
     # Fewer shared tokens than any partner asks for: such a class links with nothing.
-    enough = F.floor(F.floor(size_of("key") * PERCENT / 100) / 32) + 1
+    enough = F.floor(F.floor(size_of("key") * rule.percent / 100) / 32) + 1
     sharing = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)
     classes = materialize(leaves.drop("prefix", "n").join(sharing, "key", "left_semi"), "classes")
-    sets = materialize(token_sets(docs, classes), "token-sets")
-    orders = [grouped(classes, *names).withColumn("_order", F.lit(k)) for k, names in enumerate(ORDERS)]
+    sets = materialize(token_sets(docs, classes, rule), "token-sets")
+    orders = [grouped(classes, *names, k) for k, names in enumerate(ORDERS)]
+    if also is not None:
+        also = also.toDF("_doc", "_m", "_l")
+        orders.append(grouped(classes.join(also, F.col("first") == F.col("_doc"), "left"), "_m", "_l", len(orders)))
     groups = materialize(reduce(DataFrame.unionByName, orders), "groups")
-    named = lambda c: F.concat(F.col(c), F.col("_order").cast("string").cast("binary")).alias("group")
-    chained = groups.where("before IS NOT NULL").select("key", named("before"))
-    own = materialize(open_groups(chained, groups.select("key", named("group")), sets, True), "own-links")
+    chained = groups.where("next IS NOT NULL").select("key", F.col("next").alias("group"))
+    own = materialize(open_groups(chained, groups.select("key", "group"), sets, True, rule), "own-links")
     stars = materialize(components(own), "connected")
-    groups = groups.where("_order = 0")
-    requests = materialize(matrix_requests(shared, groups, stars), "requests")
-    return stars.toDF("u", "v").unionByName(open_groups(requests, groups, sets, False))
+    groups = groups.where(F.col("group") < (1 << 48)).select("key", "group")
+    requests = materialize(matrix_requests(shared, groups, stars, rule), "requests")
+    return stars.toDF("u", "v").unionByName(open_groups(requests, groups, sets, False, rule))
 
 
-def cluster(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, key, component_id."""
-    marked = materialize(marks(docs), "sets")
+def cluster(docs: DataFrame, rule: Rule = Rule(), also: DataFrame | None = None) -> DataFrame:  # noqa: B008
+    """One row per document: doc_id, text_hash, n_shingles, key, component_id."""
+    marked = materialize(marks(docs, rule), "sets")
     one = [F.first(c, ignorenulls=True).alias(c) for c in (*(c for names in ORDERS for c in names), "prefix")]
     count = marked.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     sets = marked.where("prefix IS NOT NULL").groupBy("key").agg(*one)
     leaves = materialize(count.join(sets, "key"), "set-classes")
-    return name_components(marked.select("doc_id", "n_shingles", "key"), leaves.select("key", "first", "n"), "key", link_classes(docs, leaves))
+    marked = marked.select("doc_id", "text_hash", "n_shingles", "key")
+    return name_components(marked, leaves.select("key", "first", "n"), "key", link_classes(docs, leaves, rule, also))
 
 
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,10 +224,9 @@ def test_timestamps_are_iso_or_null(spark):
 
 
 def test_leaves_of_any_depth(spark):
-    from tidemark.operators.profile import json_depth, json_leaves
+    from tidemark.operators.profile import json_leaves
 
     df = spark.createDataFrame([('{"a":{"b":[{"c":{"d":{"e":{"f":[1,{"g":"}}}]]"}]}}}}]}}',), ("[]",), ("no",), (None,)], "j string")
-    assert json_depth(df, "j") == 9
     assert {(r.path, r.value) for r in json_leaves(df, "j", []).collect()} == {("a.b[].c.d.e.f[]", "1"), ("a.b[].c.d.e.f[].g", "}}}]]")}
 
 
@@ -239,6 +238,10 @@ def test_replay_of_raw_adds_nothing(spark, tmp_path):
         src.write_raw(df.withColumn("run_id", df.run_id if run == "007" else df.payload), f"{tmp_path}/raw")
     rows = src.read_raw(spark, f"{tmp_path}/raw", "007", "2024-01-05", "2024-01-05")
     assert rows.count() == 4 and rows.first().run_id == "007"
+    for _ in range(2):  # a later part of the same run, day and resource leaves the first
+        src.write_raw(df.selectExpr("* EXCEPT (page_number)", "2L AS page_number"), f"{tmp_path}/raw", part="2")
+    rows = src.read_raw(spark, f"{tmp_path}/raw", "007", "2024-01-05", "2024-01-05")
+    assert sorted(r.page_number for r in rows.collect()) == [1] * 4 + [2] * 4
 
 
 def test_latest_of_null_orders_and_ties(spark):

@@ -95,11 +95,6 @@ def is_distinct(a: Column | str, b: Column | str) -> Column:
     return ~_col(a).eqNullSafe(_col(b))
 
 
-def same_row(left: str, right: str, cols: list[str]) -> Column:
-    """Whether two aliased rows agree in all columns, nulls included."""
-    return F.struct(*(F.col(f"{left}.{c}") for c in cols)).eqNullSafe(F.struct(*(F.col(f"{right}.{c}") for c in cols)))
-
-
 def money(amount: Column | str, rate: Column | str) -> Column:
     """amount times rate to nine places, half up; null where it doesn't fit."""
     return F.try_multiply(_col(amount).cast(AMOUNT), _col(rate).cast(RATE)).cast(RESULT)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .classify import claim_scope, cost_usd, not_annulled
 from .cohort import MART_COLUMNS, claims_by_policy, cohort_mart, policy_detail, policy_values
 from .ranges import find_differences
-from .relational import ambiguous_versions, table_diff
+from .relational import table_diff
 
 Check = tuple[str, Column, Column]
 
@@ -199,8 +199,3 @@ def assert_equal(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> N
     found = find_differences(a, b, keys or a.columns).take(5)
     if found:
         raise ChecksFailed("tables differ: " + "; ".join(f"{r['side']} has {r['times']} more of {[r[k] for k in keys or a.columns]}" for r in found))
-
-
-def assert_unambiguous(df: DataFrame, keys: list[str]) -> None:
-    if ambiguous_versions(df, keys).take(1):
-        raise ChecksFailed(f"several versions of one {', '.join(keys)}")

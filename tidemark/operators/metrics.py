@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +75,3 @@ def top_k_with_others(mart: DataFrame, dim: str, metric: str, k: int, others: st
 def as_doubles(df: DataFrame) -> DataFrame:
     """Money as doubles, after the exact sums."""
     return df.withColumns({c: F.col(c).cast("double") for c in df.columns if c in (*COSTS, "prima_usd")})
-
-
-MetricFunction = Callable[[DataFrame], DataFrame]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.leaves import share_code
-from ..operators import merge, profile, relational
+from ..operators import checks, merge, profile, relational
 from ..sources import pages as src
 from ..sources import batches
 from ..sources.batches import work_dir
@@ -383,3 +383,33 @@ def published_after_checks(p):
     again = batches.apply_run(p.spark, path, "r4", {"customers": c}, at_least_one, fingerprint="r2")
     failed = batches.runs(p.spark, path).where("run_status = 'FAILED'").agg(F.count(F.lit(1)).alias("failures"))
     return batches.read_published(p.spark, path, "customers").join(failed).withColumn("again", F.lit(again))
+
+
+@query(f"""WITH n AS (SELECT COUNT(*) AS rows, COUNT(DISTINCT {_PAGE}) AS pages, MAX(ts) AS last FROM events)
+  SELECT unnest(['cloned rows', 'loaded as expected', 'loaded short', 'same batch', 'changed batch', 'contract', 'contract without ids', 'fresh', 'stale', 'stale change feed']) AS guard,
+    unnest([rows, CAST(rows = rows AS BIGINT), CAST(rows = rows + 1 AS BIGINT), CAST(pages > 0 AS BIGINT), CAST(pages < 5 AS BIGINT), 1, 0, CAST(last >= last AS BIGINT), CAST(last - INTERVAL 1 DAY >= last AS BIGINT), 1]) AS value FROM n""", None)
+def load_guards(p):
+    """The guards of loads, clones, captures under one run id, schemas and capture times, each where it holds and where it doesn't."""
+
+    def holds(f, *args, **more) -> int:
+        try:
+            f(*args, **more)
+        except (IntegrityError, checks.ChecksFailed):
+            return 0
+        return 1
+
+    events = p.table("events").withColumn("resource", F.lit(RESOURCE))
+    facts = events.agg(F.count(F.lit(1)).alias("rows"), F.max("ts").alias("last")).first()
+    source, copy = work_dir(p.spark, "clone"), work_dir(p.spark, "clone")
+    events.write.parquet(source)
+    pages, dtypes = manifest(p), events.dtypes
+    changed = pages.withColumn("rows_received", F.col("rows_received") + (F.col("page_number") == 5).cast("long"))
+    day = F.expr("interval 1 day")
+    before = p.spark.range(1).select((F.lit(facts["last"]) - day).alias("t")).first()["t"]
+    values = {
+        "cloned rows": src.clone_table(p.spark, source, copy), "loaded as expected": int(batches.verify_loaded(events, {RESOURCE: facts["rows"]})), "loaded short": int(batches.verify_loaded(events, {RESOURCE: facts["rows"] + 1})),
+        "same batch": holds(src.assert_same_batch, pages, pages), "changed batch": holds(src.assert_same_batch, pages, changed), "contract": holds(checks.assert_contract, events, dtypes),
+        "contract without ids": holds(checks.assert_contract, events, dtypes, forbid_ids=True), "fresh": int(merge.is_fresh(RESOURCE, facts["last"], {RESOURCE: facts["last"]})),
+        "stale": int(merge.is_fresh(RESOURCE, before, {RESOURCE: facts["last"]})), "stale change feed": int(merge.is_fresh("policies", before, {"policies": facts["last"]})),
+    }
+    return p.spark.createDataFrame(list(values.items()), "guard string, value long")

@@ -332,13 +332,14 @@ def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame,
     of_group = groups.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     known = groups.select("key", "group").join(of_group, "group").join(connected.withColumnRenamed("node", "key"), "key", "left")
     known = known.select("key", "members", "group", F.coalesce("root", "key").alias("root"), size_of("key").alias("size"))
-    classes = shared.join(known, "key")
+    # Written once, as both sides of the join by token come from it; one shuffle by token serves a side's aggregate and join.
+    classes = materialize(shared.join(known.hint("merge"), "key"), "matrix-classes").repartition("token")
     matrix = classes.groupBy("token", F.col("members").alias("g_members"), F.col("group").alias("g")).agg(
         F.min("size").alias("least"), F.max("size").alias("most"), F.min("root").alias("low"), F.max("root").alias("high")
     )
     fits = (F.struct("members", "group") < F.struct("g_members", "g")) & (F.col("size") * 100 >= F.col("least") * rule.percent) & (F.col("most") * 100 >= F.col("size") * rule.percent)
     fits &= (F.col("low") != F.col("root")) | (F.col("high") != F.col("root"))
-    met = classes.join(matrix, "token").where(fits).groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"), F.first("size").alias("size"))
+    met = classes.join(matrix.hint("merge"), "token").where(fits).groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"), F.first("size").alias("size"))
     enough = F.floor(F.least("size", "least") / 32) + 1
     return met.where(F.col("n") >= enough).select("key", F.col("g").alias("group"))
 

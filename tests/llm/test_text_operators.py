@@ -443,6 +443,30 @@ def test_scores_equal_plain_loops():
     assert np.allclose(log10_likelihoods(trainer.net, docs), [plain_log10(lex, p, d.tolist()) for d in docs], rtol=1e-4)
 
 
+def test_training_carries_the_state_through_whole_documents(monkeypatch):
+    """With a rate of zero a fit's likelihood is that of whole documents, though long ones are learned in pieces; so is the state at token 1,000."""
+    from dataclasses import replace
+
+    from tidemark.llm.language_model import RULES, Network, Trainer, as_rows, initial, lay_out, log10_likelihoods
+
+    lex, rng = tiny(), np.random.default_rng(5)
+    lex.config = replace(lex.config, rate=0.0, score_places=700)
+    docs = [rng.integers(0, lex.dynamic + 2 * RULES, n).astype(np.int32) for n in (50, 7, 3000, 1, 33, 1500, 128, 900)]
+    flat = initial(lex)
+    trainer = Trainer(lex, flat.copy(), np.zeros_like(flat))
+    pieces = []
+    monkeypatch.setattr("tidemark.llm.language_model.lay_out", lambda d, *a: pieces.append(len(d)) or lay_out(d, *a))
+    trainer.fit(docs)
+    assert pieces[-1] > 2 * len(docs)  # there were pieces
+    assert trainer.log_likelihood / np.log(10) == pytest.approx(log10_likelihoods(Network(lex, flat), docs).sum(), rel=1e-5)
+    net = Network(lex, flat)
+    states = net.carried(docs, 100)
+    assert sorted(states) == [2, 5, 6, 7] and len(states[2]) == 30 and len(states[6]) == 2
+    read, fresh = net.inputs(docs[2][:, None], np.zeros((3000, 1), np.int32))
+    plain, _ = net.run(net.gates(slice(None)), read, fresh, np.zeros((lex.config.hidden, 1), np.float32), False)
+    assert np.allclose(states[2][10], as_rows(plain, read >= 0)[999, :-1], atol=1e-5) and not states[2][0].any()
+
+
 def test_state_is_carried_over_windows():
     from dataclasses import replace
 

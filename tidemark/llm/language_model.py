@@ -14,8 +14,11 @@ count one, added to its class).
 
 Fit.  Truncated backpropagation in numpy: documents lie one after another in
 lanes, windows of fixed length are run with the state carried from the one
-before (reset where a document begins), and gradients stop at the window; a
-document that would fill much of a lane is learned from in pieces.  Each task
+before (reset where a document begins), and gradients stop at the window.  A
+document that would fill much of a lane is learned from in pieces, each of which
+starts from the state carried through all that lies before it, with the word
+before it as the first one read; those states come from one forward pass with the
+weights at hand when the documents are laid out.  Each task
 starts from the same weights and trains on its own documents, first in few lanes
 and then in many; weights and step sizes are then averaged by tokens, in two
 steps, and go out again for the next round.  Every training document is learned
@@ -236,8 +239,13 @@ class Network:
         read[1:] = np.where(fresh[1:], self.end, np.maximum(target[:-1], 0))
         return read, fresh
 
-    def run(self, table: np.ndarray, read: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """States (step, unit, lane) of a window; with ``keep`` what the way back needs.  ``read``: rows of ``table``."""
+    def run(
+        self, table: np.ndarray, read: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool, starts: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, list]:
+        """States (step, unit, lane) of a window; with ``keep`` what the way back needs.  ``read``: rows of ``table``.
+
+        What begins does so with a state of zeros, or with that of ``starts``: states as rows, and the row of each step and lane.
+        """
         n, (steps, lanes) = len(h), read.shape
         gx = np.ascontiguousarray(table[read.ravel()].reshape(steps, lanes, 3 * n).transpose(0, 2, 1))
         states, saved, bias = np.empty((steps, n, lanes), table.dtype), [], self.p["bu"][2 * n :, None]
@@ -247,6 +255,8 @@ class Network:
             for t in range(steps):
                 if begins[t]:
                     h = h * stays[t]
+                    if starts is not None:
+                        h[:, fresh[t]] = starts[0][starts[1][t, fresh[t]]].T
                 g = u @ h
                 rz, gn = g[: 2 * n], g[2 * n :]
                 rz += gx[t, : 2 * n]
@@ -266,6 +276,30 @@ class Network:
                 h = after
         return states, saved
 
+    def carried(self, docs: list[np.ndarray], piece: int) -> dict[int, np.ndarray]:
+        """The states (piece, unit) at the starts of the pieces of each document longer than ``piece``, by its place; the first is zero."""
+        n, long = self.lex.config.hidden, [i for i, d in enumerate(docs) if len(d) > piece]
+        out = {i: np.zeros((-(-len(docs[i]) // piece), n), np.float32) for i in long}
+        if not long:
+            return out
+        sizes = [len(docs[i]) for i in long]
+        target, doc, lengths = lay_out([docs[i] for i in long], min(512, max(16, sum(sizes) // max(sizes))))
+        read, fresh = self.inputs(target, doc)
+        step = np.arange(len(doc), dtype=np.int32)[:, None]
+        place = step - np.maximum.accumulate(np.where(fresh, step, 0), axis=0) + 1  # tokens of the document up to here
+        ends = (place % piece == 0) & (doc >= 0)
+        h, table, at = np.zeros((n, doc.shape[1]), np.float32), self.gates(slice(None)), 0
+        while at < len(doc):
+            live = int((lengths > at).sum())
+            part = slice(at, at + max(16, self.lex.config.score_places // live)), slice(0, live)
+            states, _ = self.run(table, read[part], fresh[part], h[:, :live], False)
+            h, at = states[-1], part[0].stop
+            for t, lane in np.argwhere(ends[part]).tolist():
+                i, k = long[doc[part][t, lane]], place[part][t, lane] // piece
+                if k < len(out[i]):
+                    out[i][k] = states[t, :, lane]
+        return out
+
     def output(self, s: np.ndarray, target: np.ndarray, grad: dict[str, np.ndarray] | None, bounded: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target along its path of classes; optionally gradients.
 
@@ -376,26 +410,30 @@ class Trainer:
         self.inner = self.net.p["emb"].size
         self.flat_grad = np.zeros_like(flat)
         self.grad, self.seen = views(self.flat_grad, lex), views(squares, lex)["emb"]
-        self.rng, self.tokens = np.random.default_rng(lex.config.seed), 0
+        self.rng, self.tokens, self.log_likelihood = np.random.default_rng(lex.config.seed), 0, 0.0
 
     def fit(self, docs: list[np.ndarray]) -> None:
-        """Documents that would fill much of a lane are learned from in pieces, each from a state of zeros, so that lanes end together."""
+        """Documents that would fill much of a lane are learned from in pieces, each from the state and word before it, so that lanes end together."""
         c, net, size = self.c, self.net, sum(map(len, docs))
         lanes = min(c.lanes, max(c.least_lanes, size // c.lane_tokens))
         piece = max(8 * c.window, size // (8 * lanes))
-        docs = [x for d in docs for x in (np.array_split(d, -(-len(d) // piece)) if len(d) > piece else [d])]
-        target, doc, lengths = lay_out(docs, lanes, self.rng)
+        carried, zero = net.carried(docs, piece), np.zeros((1, c.hidden), np.float32)
+        starts = np.concatenate([carried.get(i, zero) for i in range(len(docs))] + [zero])  # the last: of places without a document
+        before = np.array([d[at - 1] if at else net.end for d in docs for at in range(0, len(d), piece)] + [net.end], np.int32)
+        target, doc, lengths = lay_out([d[at : at + piece] for d in docs for at in range(0, len(d), piece)], lanes, self.rng)
         read, fresh = net.inputs(target, doc)
+        read[fresh] = before[doc[fresh]]
         h = np.zeros((c.hidden, target.shape[1]), np.float32)
         for at in range(0, len(target), c.window):
             live = int((lengths > at).sum())  # the lanes that aren't at their end
             part = slice(at, at + c.window), slice(0, live)
             tokens, rows = np.unique(read[part], return_inverse=True)
-            states, saved = net.run(net.gates(tokens), rows, fresh[part], h[:, :live], True)
+            states, saved = net.run(net.gates(tokens), rows, fresh[part], h[:, :live], True, (starts, doc[part]))
             h = states[-1]
             use = target[part] >= 0
             n = int(use.sum())
-            _, back = net.output(as_rows(states, use), target[part][use], self.grad)
+            logp, back = net.output(as_rows(states, use), target[part][use], self.grad)
+            self.log_likelihood += float(logp.sum(dtype=np.float64))
             d = np.zeros((*use.shape, c.hidden), np.float32)
             d[use] = back[:, :-1]
             net.backward(tokens, rows, fresh[part], saved, np.ascontiguousarray(d.transpose(0, 2, 1)), self.grad)

@@ -100,26 +100,59 @@ def written(record) -> tuple[str, list[tuple[str, str]]]:
     return "".join(text), ledger
 
 
+#: Records that a task holds parsed at a time, beside one page's.
+RECORDS_AT_ONCE = 2_000
+#: The same text as ``written`` for what JSON can write; it refuses numbers that aren't finite.
+_PLAIN = json.JSONEncoder(ensure_ascii=False, allow_nan=False, sort_keys=True, separators=(",", ":"))
+
+
+def _written(record) -> tuple[str, list[tuple[str, str]]]:
+    try:
+        return _PLAIN.encode(record), []
+    except (ValueError, RecursionError):
+        return written(record)
+
+
+def page_records(body: str, keys: list[str]) -> Iterator[tuple]:
+    """A page's records one by one: index, whether an object, key, time of change, hash, payload, non-finite numbers."""
+    for i, record in enumerate(json.loads(body)["data"]):
+        text, issues = _written(record)
+        is_object = isinstance(record, dict)
+        parts = [record.get(k) for k in keys] if is_object else [None]
+        key = KEY_SEPARATOR.join(map(str, parts)) if parts and None not in parts else None
+        at = record.get("updated_at") if is_object else None
+        yield i, is_object, key, at if isinstance(at, str) else None, hashlib.sha256(text.encode()).hexdigest(), text, [{"path": p, "value": v} for p, v in issues]
+
+
+def record_batches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Records of batches of pages, given on some thousand at a time: a batch of pages is never held parsed."""
+    rows: list[tuple] = []
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _SCHEMA.types)], schema=_SCHEMA)
+
+    for b in batches:
+        for file, number, body in zip(*b.columns):
+            at = file.as_py(), number.as_py()
+            for record in page_records(body.as_py(), keys):
+                rows.append((*at, *record))
+                if len(rows) >= RECORDS_AT_ONCE:
+                    yield out()
+                    rows.clear()
+    if rows:
+        yield out()
+
+
 def parse_pages(pages: DataFrame, resource: str) -> DataFrame:
     """A row per record, in the page's order, with key, hash, payload and non-finite numbers.
 
     Records that aren't objects are kept and marked; a page that isn't JSON fails the run.
+    A task's memory is that of the pages of one Arrow batch as text and of one page parsed.
     """
     keys = SOURCE_KEYS.get(resource, [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for file, number, body in zip(*(c.to_pylist() for c in b.columns)):
-                for i, record in enumerate(json.loads(body)["data"]):
-                    text, issues = written(record)
-                    is_object = isinstance(record, dict)
-                    parts = [record.get(k) for k in keys] if is_object else [None]
-                    key = KEY_SEPARATOR.join(map(str, parts)) if parts and None not in parts else None
-                    at = record.get("updated_at") if is_object else None
-                    rows.append((file, number, i, is_object, key, at if isinstance(at, str) else None, hashlib.sha256(text.encode()).hexdigest(), text, [{"path": p, "value": v} for p, v in issues]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _SCHEMA.types)], schema=_SCHEMA)
+        return record_batches(batches, keys)
 
     return pages.select("source_file", "page_number", "body").mapInArrow(run, RECORDS)
 

@@ -65,12 +65,16 @@ def parse_bool(c: Column | str) -> Column:
     return F.when(text.isin("1", "true"), True).when(text.isin("0", "false"), False)
 
 
-def json_scalar(c: Column | str, path: str) -> Column:
-    """The scalar at a path as text; null for an object or an array there, or invalid JSON."""
-    v = F.try_variant_get(F.try_parse_json(_col(c)), path, "variant")
-    kind = F.schema_of_variant(v)
+def json_scalar(c: Column | str, path: str, parsed: Column | None = None) -> Column:
+    """The scalar at a path as text; null for an object or an array there, or invalid JSON.
+
+    ``parsed``: the column as a variant, for callers that read several paths and parse once.
+    Texts and booleans are taken from the variant; only numbers are read from the JSON text, as they are written there.
+    """
+    whole = parsed if parsed is not None else F.try_parse_json(_col(c))
+    kind = F.schema_of_variant(F.try_variant_get(whole, path, "variant"))
     nested = F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))
-    return F.when(~nested, F.get_json_object(_col(c), path))
+    return F.when(kind.isin("STRING", "BOOLEAN"), F.try_variant_get(whole, path, "string")).when(~nested, F.get_json_object(_col(c), path))
 
 
 def source_key(*keys: Column | str) -> Column:

@@ -12,6 +12,7 @@ from .relational import latest_by, latest_periods, missing_refs, opposite_amount
 from ..functions.expr import json_scalar, money
 from ..functions.leaves import json_leaves
 from ..functions.variants import kind_of, members, scalar_class, shape_of
+from ..sources.batches import work_dir
 
 
 def _metric(name: str, value: Column) -> Column:
@@ -164,19 +165,29 @@ def silver_status(runs: DataFrame, first: str) -> DataFrame:
     return runs.where(F.to_date("started_at") >= F.lit(first).cast("date")).select("run_id", "run_status", field("history_rows"), field("active_rows"), field("claim_rows"))
 
 
+#: Names of fields that hold a currency.
+CURRENCY_NAME = r"(?i)(currency|moneda)"
+
+
 def audit_raw_claims(raw: DataFrame) -> DataFrame:
     """Claims as they came (``payload``): repeated and conflicting ids, negatives and their opposites, how a currency is missing, currencies elsewhere."""
-    scalar = lambda path: json_scalar("payload", path)
-    df = raw.select(
+    scalar = lambda path: json_scalar("payload", path, F.col("_parsed"))
+    # A currency elsewhere needs a key with one of the names besides amount.currency, or an escaped one: only such payloads are walked.
+    mentions, own = F.regexp_count("payload", F.lit(CURRENCY_NAME)), (F.col("currency").isNotNull()).cast("int")
+    df = raw.select("payload", F.try_parse_json("payload").alias("_parsed")).select(
         "payload", F.sha2("payload", 256).alias("hash"), scalar("$.claim_id").alias("claim_id"), scalar("$.policy_id").alias("policy_id"), scalar("$.amount.value").try_cast("decimal(19,9)").alias("amount"),
-        scalar("$.amount.currency").alias("currency"), F.get_json_object("payload", "$.amount.currency").alias("any_currency"),
+        scalar("$.amount.currency").alias("currency"), (F.get_json_object("payload", "$.amount.currency").isNotNull()).alias("any_currency"),
     )
-    per = df.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("hash").alias("v"))
-    ids = per.agg(F.count_if(F.col("n") > 1).alias("repeated_ids"), F.count_if(F.col("v") > 1).alias("conflicting_ids"))
+    walked = F.col("payload").contains("\\") | (mentions > own)
+    df, path = df.withColumn("payload", F.when(walked, F.col("payload"))), work_dir(raw.sparkSession, "raw-claims")
+    df.write.parquet(path)  # parsed once; what follows reads the columns it needs
+    df = raw.sparkSession.read.schema(df.schema).parquet(path)
+    per = df.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("v0"), F.max("hash").alias("v1"))
+    ids = per.agg(F.count_if(F.col("n") > 1).alias("repeated_ids"), F.count_if(F.col("v0") < F.col("v1")).alias("conflicting_ids"))
     opposite = opposite_amounts(df, ["policy_id", "currency"]).agg(F.count(F.lit(1)).alias("negative"), F.count_if(F.col("opposites") > 0).alias("negative_with_opposite"))
     missing = df.agg(
-        F.count_if(F.col("any_currency").isNull()).alias("currency_absent"), F.count_if(F.col("any_currency").isNotNull() & F.col("currency").isNull()).alias("currency_nested"), F.count_if(F.trim("currency") == "").alias("currency_blank")
+        F.count_if(~F.col("any_currency")).alias("currency_absent"), F.count_if(F.col("any_currency") & F.col("currency").isNull()).alias("currency_nested"), F.count_if(F.trim("currency") == "").alias("currency_blank")
     )
-    elsewhere = leaf_screen(json_leaves(df, "payload", ["claim_id"]), r"(?i)(currency|moneda)", r"^[A-Z]{3}$", ["claim_id"]).where("path <> 'amount.currency'")
+    elsewhere = leaf_screen(json_leaves(df.where("payload IS NOT NULL"), "payload", ["claim_id"]), CURRENCY_NAME, r"^[A-Z]{3}$", ["claim_id"]).where("path <> 'amount.currency'")
     facts = ids.join(opposite).join(missing).join(elsewhere.agg(F.countDistinct("claim_id").alias("currency_elsewhere")))
     return _unpivot(facts, "repeated_ids", "conflicting_ids", "negative", "negative_with_opposite", "currency_absent", "currency_nested", "currency_blank", "currency_elsewhere")

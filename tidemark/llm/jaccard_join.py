@@ -344,11 +344,8 @@ def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame,
     return met.where(F.col("n") >= enough).select("key", F.col("g").alias("group"))
 
 
-def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule, also: DataFrame | None = None) -> DataFrame:
-    """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix.
-
-    ``also``: doc_id (once each) and two columns by which classes are ordered once more.
-    """
+def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule) -> DataFrame:
+    """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix."""
     posts = leaves.select("key", F.explode("prefix").alias("token")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token")))
     shared = materialize(posts.where("n > 1").select("token", "key"), "matrix")
     # Fewer shared tokens than any partner asks for: such a class links with nothing.
@@ -357,9 +354,6 @@ def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule, also: DataFrame
     classes = materialize(leaves.drop("prefix", "n").join(sharing, "key", "left_semi"), "classes")
     sets = materialize(token_sets(docs, classes, rule), "token-sets")
     orders = [grouped(classes, *names, k) for k, names in enumerate(ORDERS)]
-    if also is not None:
-        also = also.toDF("_doc", "_m", "_l")
-        orders.append(grouped(classes.join(also, F.col("first") == F.col("_doc"), "left"), "_m", "_l", len(orders)))
     groups = materialize(reduce(DataFrame.unionByName, orders), "groups")
     chained = groups.where("next IS NOT NULL").select("key", F.col("next").alias("group"))
     own = materialize(open_groups(chained, groups.select("key", "group"), sets, True, rule), "own-links")
@@ -369,7 +363,7 @@ def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule, also: DataFrame
     return stars.toDF("u", "v").unionByName(open_groups(requests, groups, sets, False, rule))
 
 
-def cluster(docs: DataFrame, rule: Rule = Rule(), also: DataFrame | None = None) -> DataFrame:  # noqa: B008
+def cluster(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """One row per document: doc_id, text_hash, n_shingles, key, component_id."""
     marked = materialize(marks(docs, rule), "sets")
     one = [F.first(c, ignorenulls=True).alias(c) for c in (*(c for names in ORDERS for c in names), "prefix")]
@@ -377,7 +371,7 @@ def cluster(docs: DataFrame, rule: Rule = Rule(), also: DataFrame | None = None)
     sets = marked.where("prefix IS NOT NULL").groupBy("key").agg(*one)
     leaves = materialize(count.join(sets, "key"), "set-classes")
     marked = marked.select("doc_id", "text_hash", "n_shingles", "key")
-    return name_components(marked, leaves.select("key", "first", "n"), "key", link_classes(docs, leaves, rule, also))
+    return name_components(marked, leaves.select("key", "first", "n"), "key", link_classes(docs, leaves, rule))
 
 
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,6 +134,11 @@ def leaf_screen(leaves: DataFrame, path_pattern: str, value_pattern: str, keep:
     return leaves.where(F.col("path").rlike(path_pattern) & F.col("value").rlike(value_pattern)).select(*keep, "path", "value")
 
 
+def screened_leaves(df: DataFrame, payload: str, path_pattern: str, value_pattern: str, keep: list[str]) -> DataFrame:
+    """The leaves of JSON texts whose path and value match; where they are found, those that can't match are left out."""
+    return leaf_screen(json_leaves(df, payload, keep, (path_pattern, value_pattern)), path_pattern, value_pattern, keep)
+
+
 def field_quality(df: DataFrame, payload: str, fields: list[str]) -> DataFrame:
     """Per field: present, absent, explicit null, nested and marked non-finite records."""
     obj = F.from_json(payload, "map<string,string>")
@@ -188,6 +193,6 @@ def audit_raw_claims(raw: DataFrame) -> DataFrame:
     missing = df.agg(
         F.count_if(~F.col("any_currency")).alias("currency_absent"), F.count_if(F.col("any_currency") & F.col("currency").isNull()).alias("currency_nested"), F.count_if(F.trim("currency") == "").alias("currency_blank")
     )
-    elsewhere = leaf_screen(json_leaves(df.where("payload IS NOT NULL"), "payload", ["claim_id"]), CURRENCY_NAME, r"^[A-Z]{3}$", ["claim_id"]).where("path <> 'amount.currency'")
+    elsewhere = screened_leaves(df.where("payload IS NOT NULL"), "payload", CURRENCY_NAME, r"^[A-Z]{3}$", ["claim_id"]).where("path <> 'amount.currency'")
     facts = ids.join(opposite).join(missing).join(elsewhere.agg(F.countDistinct("claim_id").alias("currency_elsewhere")))
     return _unpivot(facts, "repeated_ids", "conflicting_ids", "negative", "negative_with_opposite", "currency_absent", "currency_nested", "currency_blank", "currency_elsewhere")

@@ -843,13 +843,13 @@ def json_leaves_deep(p):
 
 @query("""SELECT o_orderkey, path, value FROM (SELECT o_orderkey, 'v' || repeat('.a[]', CAST(o_orderkey % 60 AS INT)) || '.z' AS path, CAST(o_orderkey AS VARCHAR) AS value FROM orders) x WHERE value LIKE '%7'""", None)
 def leaf_screen_deep(p):
-    return profile.leaf_screen(profile.json_leaves(deep_payloads(p), "payload", ["o_orderkey"]), r"(^|\.)z$", r"7$", ["o_orderkey"])
+    return profile.screened_leaves(deep_payloads(p), "payload", r"(^|\.)z$", r"7$", ["o_orderkey"])
 
 
 @query("SELECT claim_id, 'amount.currency' AS path, currency AS value FROM claims WHERE currency IN ('ARS', 'BRL')")
 def leaf_screen(p):
     df = claim_payloads(p).withColumn("claim_id", F.get_json_object("payload", "$.claim_id"))
-    return profile.leaf_screen(profile.json_leaves(df, "payload", ["claim_id"]), r"currency$", r"^(ARS|BRL)$", ["claim_id"])
+    return profile.screened_leaves(df, "payload", r"currency$", r"^(ARS|BRL)$", ["claim_id"])
 
 
 @query("""SELECT 'status' AS field, 'present' AS kind, COUNT(*) AS records FROM claims UNION ALL SELECT 'amount', 'nested', COUNT(*) FROM claims UNION ALL SELECT 'policy', 'absent', COUNT(*) FROM claims""")

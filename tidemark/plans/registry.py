@@ -408,12 +408,13 @@ FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (policy_id % 10 = 3) AS gone, COUNT(
     COUNT(*) FILTER (NOT u) AS excl, COUNT(*) FILTER (NOT u AND gone) AS g_excl
    FROM (SELECT NOT excluded AS u, status = 'PAGADO' AS paid, cover_state <> 'COINCIDE' AS o, policy_id % 10 = 3 AS gone FROM claim_values) y) c""", FULL_CTE)
 def gold_checks_failing(p):
-    """A mart without a tenth of the policies, a detail with some twice, and claims of no known scope."""
-    active, claims = p.active, flagged(p)
-    policies, values = cohort.policy_values(active, p.products, p.agencies, p.fx, CUTOFF), cohort.claim_values(claims, active, p.fx, CUTOFF)
+    """A mart without a tenth of the policies, a detail with some twice, and claims of no known scope; each layer is made once."""
+    fx, active = stored(p, "fx", p.fx), stored(p, "active", p.active)
+    claims = stored(p, "claims", classify.cost_usd(classify.claim_scope(classify.classify(p.claims, p.history, fx), active, CUTOFF), fx))
+    policies, values = stored(p, "policies", cohort.policy_values(active, p.products, p.agencies, fx, CUTOFF)), claims.where("scope = 'INCLUIDO'")
     detail = stored(p, "detail", cohort.policy_detail(policies, cohort.claims_by_policy(values)))
-    scoped = classify.claim_scope(claims, active, CUTOFF).withColumn("scope", F.when(F.col("policy_id") % 20 != 7, F.col("scope")))
-    mart = cohort.cohort_mart(detail.where("policy_id % 10 <> 3"))
+    scoped = claims.withColumn("scope", F.when(F.col("policy_id") % 20 != 7, F.col("scope")))
+    mart = stored(p, "mart", cohort.cohort_mart(detail.where("policy_id % 10 <> 3")))
     df = checks.gold_checks(mart, detail.unionByName(detail.where("policy_id % 100 = 1")), policies, values, active, scoped, CUTOFF)
     names = ["POLICY_COUNT", "CLAIM_COUNT", "PAID_COUNT", "MISSING_PERIOD_COUNT", "CLAIMS_HAVE_POLICY", "POLICY_DETAIL_UNIQUE", "LATEST_STATE_ELIGIBILITY", "SOURCE_SCOPE_PARTITION", "EXCLUDED_COUNT"]
     return df.where(F.col("check_name").isin(names)).select("check_name", F.col("expected").cast("long").alias("expected"), F.col("actual").cast("long").alias("actual"))

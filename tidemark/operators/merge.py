@@ -126,19 +126,24 @@ def snapshot_absent(table: DataFrame, batch: DataFrame, recorded: DataFrame, key
 
 
 def immutable_conflicts(history: DataFrame, batch: DataFrame, keys: list[str] = ["policy_id", "updated_on"]) -> DataFrame:  # noqa: B006
-    """Events of the batch that differ from the stored event of the same policy and time; op is content here."""
-    cols = [c for c in history.columns if c not in keys]
-    h = history.select(*keys, F.struct(*cols).alias("_h"))
-    b = batch.select(*keys, F.struct(*cols).alias("_b"))
-    return b.join(h, keys).where(~F.col("_b").eqNullSafe(F.col("_h"))).select(*keys).distinct()
+    """Events of the batch that differ from the stored event of the same policy and time; op is content here.
+
+    Both sides are one table, shuffled once by the keys: a key of both with more than one content.
+    """
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    h, b = history.withColumns({"_old": F.lit(True), "_new": F.lit(False)}), batch.select(*history.columns).withColumns({"_old": F.lit(False), "_new": F.lit(True)})
+    contents = h.unionByName(b).where(known).repartition(*keys).groupBy(*history.columns).agg(F.bool_or("_old").alias("_old"), F.bool_or("_new").alias("_new"))
+    per = contents.groupBy(*keys).agg(F.count(F.lit(1)).alias("_contents"), F.bool_or("_old").alias("_old"), F.bool_or("_new").alias("_new"))
+    return per.where("_contents > 1 AND _old AND _new").select(*keys)
 
 
 def op_violations(batch: DataFrame, history: DataFrame) -> DataFrame:
-    """Touched policies with an op outside I, U, D, or without exactly one I in their history and the batch."""
-    events = affected(history, batch, "policy_id").select(*EVENT_KEY).unionByName(batch.select(*EVENT_KEY)).distinct()
+    """Touched policies with an op outside I, U, D, or without exactly one I in their history and the batch; one shuffle by policy."""
+    old = history.where("policy_id IS NOT NULL").select(*EVENT_KEY, F.lit(False).alias("_new"))
+    events = old.unionByName(batch.select(*EVENT_KEY, F.lit(True).alias("_new"))).repartition("policy_id").groupBy(*EVENT_KEY).agg(F.bool_or("_new").alias("_new"))
     bad = ~F.coalesce(F.col("op").isin("I", "U", "D"), F.lit(False))
-    per = events.groupBy("policy_id").agg(F.count_if(F.col("op") == "I").alias("inserts"), F.count_if(bad).alias("bad_ops"))
-    return per.where("inserts <> 1 OR bad_ops > 0")
+    per = events.groupBy("policy_id").agg(F.bool_or("_new").alias("_new"), F.count_if(F.col("op") == "I").alias("inserts"), F.count_if(bad).alias("bad_ops"))
+    return per.where("_new AND (inserts <> 1 OR bad_ops > 0)").drop("_new")
 
 
 def delta_window(events: DataFrame, watermark: str, overlap_seconds: int, at: str = "updated_on") -> DataFrame:

@@ -17,7 +17,7 @@ from ..sources.batches import work_dir
 from ..sources.pages import IntegrityError
 from ..streaming import cdc, latest, watermark
 from .adapters import CTE, Portfolio
-from .registry import query
+from .registry import query, stored
 
 PAGE = 500
 RESOURCE, RUN = "siniestros", "run1"
@@ -347,9 +347,9 @@ def watermark_runs(p):
 @query("SELECT policy_id, client_id, CAST(premium AS DOUBLE) AS premium, status, op, updated_on FROM active", CTE)
 def cdc_stream(p):
     """All events in three files, later ones first within a policy's reach, applied by the stream."""
-    path, source, schema = work_dir(p.spark, "cdc"), work_dir(p.spark, "cdc-in"), p.history.schema
+    path, source, schema, history = work_dir(p.spark, "cdc"), work_dir(p.spark, "cdc-in"), p.history.schema, stored(p, "history", p.history)
     for part in ("op = 'I'", "op = 'D'", "op = 'U'"):
-        p.history.where(part).write.mode("append").parquet(source)
+        history.where(part).write.mode("append").parquet(source)
         if part != "op = 'D'":  # a stream each for the first file and the rest, the second on a new checkpoint
             stream = p.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
             cdc.start_cdc_stream(stream, path, work_dir(p.spark, "cdc-check")).awaitTermination()

@@ -123,6 +123,29 @@ def test_few_groups_are_opened(spark):
     assert not {bytes(r.key) for r in made[0].collect()} & passages
 
 
+def test_sets_that_share_with_other_sizes_only_are_not_made(spark):
+    """Long texts are made of short ones; a pair at the bound of sizes, 17 and 20 shingles, is linked."""
+    from tidemark.llm import jaccard_join as j
+
+    rng = random.Random(11)
+    texts = []
+    for _ in range(6):
+        short = [" ".join(words(rng, 20, 10**9)) for _ in range(8)]
+        texts += [*short, " ".join(short)]
+    base = words(rng, 23, 10**9)
+    pair = [" ".join(base[:20]), " ".join(base)]
+    df = spark.createDataFrame(list(enumerate(texts + pair)), "doc_id long, text string")
+    made = []
+    real = j.token_sets
+    j.token_sets = lambda docs, classes, rule: made.append(classes) or real(docs, classes, rule)
+    try:
+        rows = j.cluster(df).collect()
+    finally:
+        j.token_sets = real
+    assert {bytes(r.key) for r in made[0].collect()} == {j.key_of(j.Rule().tokens(t)) for t in pair}
+    assert {r.doc_id: r.component_id for r in rows} == {i: min(i, len(texts)) for i in range(len(texts) + 2)}
+
+
 def test_opened_group_compares_exactly():
     import numpy as np
 

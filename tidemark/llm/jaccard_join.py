@@ -344,10 +344,21 @@ def matrix_requests(shared: DataFrame, groups: DataFrame, connected: DataFrame,
     return met.where(F.col("n") >= enough).select("key", F.col("g").alias("group"))
 
 
+def shared_tokens(leaves: DataFrame, rule: Rule) -> DataFrame:
+    """(token, key): the tokens of each class (key, prefix) that a class of a size that can link with it has too.
+
+    A key begins with its size, so of a token's classes in order of their keys the ones before and after are nearest in size.
+    """
+    order = Window.partitionBy("token").orderBy("key")
+    posts = leaves.select("key", F.explode("prefix").alias("token")).withColumns({"before": F.lag("key").over(order), "after": F.lead("key").over(order)})
+    fits = lambda less, more: size_of(less) * 100 >= size_of(more) * rule.percent
+    near = (F.col("before").isNotNull() & fits("before", "key")) | (F.col("after").isNotNull() & fits("key", "after"))
+    return posts.where(near).select("token", "key")
+
+
 def link_classes(docs: DataFrame, leaves: DataFrame, rule: Rule) -> DataFrame:
     """Links (u, v) that connect every component; ``leaves``: key, first, n, the columns of ORDERS, prefix."""
-    posts = leaves.select("key", F.explode("prefix").alias("token")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    shared = materialize(posts.where("n > 1").select("token", "key"), "matrix")
+    shared = materialize(shared_tokens(leaves, rule), "matrix")
     # Fewer shared tokens than any partner asks for: such a class links with nothing.
     enough = F.floor(F.floor(size_of("key") * rule.percent / 100) / 32) + 1
     sharing = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= enough)

@@ -467,6 +467,56 @@ def test_training_carries_the_state_through_whole_documents(monkeypatch):
     assert np.allclose(states[2][10], as_rows(plain, read >= 0)[999, :-1], atol=1e-5) and not states[2][0].any()
 
 
+def test_states_of_pieces_need_no_more_than_the_last_start(monkeypatch):
+    from tidemark.llm.language_model import Network, initial, lay_out
+
+    lex, rng, walked = tiny(), np.random.default_rng(5), []
+    docs = [rng.integers(0, lex.dynamic, n) for n in (100, 101, 200, 299, 40)]
+    monkeypatch.setattr("tidemark.llm.language_model.lay_out", lambda d, *a: walked.extend(map(len, d)) or lay_out(d, *a))
+    states = Network(lex, initial(lex)).carried(docs, 100)
+    assert walked == [100, 100, 200] and {i: len(x) for i, x in states.items()} == {1: 2, 2: 2, 3: 3}
+    assert all(x[1:].any(axis=1).all() and not x[0].any() for x in states.values())
+
+
+def test_classes_of_words_in_blocks_have_the_same_gradients(monkeypatch):
+    from tidemark.llm import language_model as lm
+
+    lex, rng = tiny(), np.random.default_rng(6)
+    flat = lm.initial(lex).astype(np.float64)
+    target = rng.integers(0, lex.dynamic + 2 * lm.RULES, 300)
+    s = np.append(rng.normal(size=(300, 5)), np.ones((300, 1)), 1)
+    found = []
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(lm, "BLOCK", size)
+        grad = lm.views(np.full_like(flat, 9.0), lex)
+        found.append([*lm.Network(lex, flat).output(s, target, grad), *(grad[k] for k in ("top", "mid", "word", "rule"))])
+    assert all(np.allclose(a, b) for other in found[1:] for a, b in zip(found[0], other))
+
+
+def test_texts_read_by_columns_are_read_as_one_by_one(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import language_model as lm
+
+    rng = random.Random(9)
+    texts = ["", " ", "\n a  B \t", "K İ ß \x85 \u2003x", "9.. é1z 𝄞 日本"] + ["".join(rng.choice("aAzZ09.,éÉñ日𝄞\x1c\x85 \u00a0\t\n\x0b\x0c\r  ") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    seen = Counter(w for t in texts for w in [*lm.words_in(t), lm.END])
+    words = [lm.END, *sorted((w for w, n in seen.items() if w and n > 2), key=lambda w: (-seen[w], w))]
+    monkeypatch.setattr(lm, "TEXT_AT_ONCE", 500)
+    for some in (words, []):  # without the end in it: nothing was learned from
+        lex = lm.Lexicon(some, np.array([float(seen[w]) for w in some]), np.ones(lm.RULES), np.ones(lm.RULES), lm.Config(dynamic=32, class_size=8, group_size=2))
+        slices = [*lm.text_slices(pa.array(texts))]
+        assert len(slices) > 5 and [t for x in slices for t in x.to_pylist()] == texts
+        for part in slices:
+            cols = lex.read_all(part, pa.array([w.decode() for w in some], pa.string()))
+            for t, tokens, known, logs, fixed, rare in zip(part.to_pylist(), *(c.to_pylist() for c in cols)):
+                want = lex.read(t)
+                assert np.array_equal(np.frombuffer(tokens, np.int32), want[0]) and known == want[3] and [w.encode() for w in rare] == want[4]
+                assert logs == pytest.approx(want[2]) and fixed == pytest.approx(want[1])
+            got = lm.words_of_texts(part)[0]
+            assert lm.rules_of(got).tolist() == [lm.rule(w.encode()) for w in got.to_pylist()]
+
+
 def test_state_is_carried_over_windows():
     from dataclasses import replace
 

@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -45,6 +44,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +57,10 @@ PARTS = 64
 AVERAGE_FAN = 256
 #: Logits beyond this, either way, count as this.
 LARGEST = 60.0
+#: Rows of a class of words that are multiplied at a time: few, or most of a small class's block is filled up.
+BLOCK = 16
+#: Bytes of text whose words a task holds at a time, beside one text.
+TEXT_AT_ONCE = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -90,14 +94,55 @@ def words_in(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+_ASCII = bytes(range(128))
+_NO_LETTER = bytes(set(_ASCII) - set(range(97, 123)))
+
+
 def rule(word: bytes) -> int:
     """Class of a word outside the dynamic ones: by its last letter, or by its first letter beyond ASCII."""
     if word.isascii():
-        for c in reversed(word):
-            if 97 <= c <= 122:
-                return c - 97
-        return 26
-    return 27 + next(ord(c) for c in word.decode() if ord(c) > 127) % 6
+        letters = word.rstrip(_NO_LETTER)
+        return letters[-1] - 97 if letters else 26
+    return 27 + ord(word.translate(None, _ASCII).decode()[0]) % 6
+
+
+def text_slices(texts: pa.StringArray) -> Iterator[pa.StringArray]:
+    """The texts in order, some megabytes at a time."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(size // TEXT_AT_ONCE)) + 1
+    for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+        if x < y:
+            yield texts.slice(x, y - x)
+
+
+def words_of_texts(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """``words_in`` of all texts, one after another, and where each text's words start (and the end)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, starts = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    starts -= starts[0]
+    some = pc.greater(pc.binary_length(words), 0)  # white space at a text's start or end leaves an empty one
+    kept = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(some.to_numpy(zero_copy_only=False), out=kept[1:])
+    return (words if kept[-1] == len(words) else words.filter(some)), kept[starts]
+
+
+def rules_of(words: pa.StringArray) -> np.ndarray:
+    """``rule`` of each word."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = np.append(0, ends[:-1])
+    data = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary())), b"")[0].as_py(), np.uint8)
+    data = np.append(data, np.zeros(4, np.uint8)).astype(np.int64)
+    letters, beyond = np.flatnonzero((data >= 97) & (data <= 122)), np.append(np.flatnonzero(data > 127), len(data))
+    last = np.append(letters, -1)[np.searchsorted(letters, ends) - 1]
+    out = np.where(last >= starts, data[last] - 97, 26)
+    at = beyond[np.searchsorted(beyond, starts)]
+    (other,) = np.nonzero(at < ends)
+    a, b, c, d = (data[at[other] + i] for i in range(4))
+    two, three, four = (a & 31) << 6 | b & 63, (a & 15) << 12 | (b & 63) << 6 | c & 63, (a & 7) << 18 | (b & 63) << 12 | (c & 63) << 6 | d & 63
+    out[other] = 27 + np.where(a < 224, two, np.where(a < 240, three, four)) % 6
+    return out
 
 
 @dataclass
@@ -145,6 +190,30 @@ class Lexicon:
         fixed = float(self.fixed[known].sum() + self.rare_log[kinds].sum())
         return tokens, fixed, float(self.log_count[known].sum()), len(known), rare
 
+    def read_all(self, texts: pa.StringArray, head: pa.StringArray) -> list[pa.Array]:
+        """``read`` of every text by whole columns: tokens, known, log counts, fixed shares and rare words; ``head``: the lexicon's words."""
+        if END not in self.index:  # nothing was learned from
+            read = [self.read(t.as_py()) for t in texts]
+            rare = pa.array([[w.decode() for w in x[4]] for x in read], pa.list_(pa.string()))
+            return [pa.array([x[0].tobytes() for x in read], pa.binary()), pa.array([x[3] for x in read], pa.int64()), pa.array([x[2] for x in read]), pa.array([x[1] for x in read]), rare]
+        n = len(texts)
+        words, starts = words_of_texts(texts)
+        found = pc.fill_null(pc.index_in(words, head), -1).to_numpy()
+        ends = starts[1:] + np.arange(n)  # each text's end goes after its words
+        at = np.insert(found, starts[1:], self.index[END])
+        begins = np.append(0, ends[:-1] + 1)
+        tokens = self.token[at]
+        places = np.flatnonzero(at < 0)
+        rare = words.filter(pa.array(found < 0))
+        kinds, text = rules_of(rare), np.searchsorted(ends, places)
+        tokens[places] = self.dynamic + RULES + kinds
+        missed = np.bincount(text, minlength=n)
+        fixed = np.add.reduceat(np.append(self.fixed, 0.0)[at], begins) + np.bincount(text, self.rare_log[kinds], n)
+        logs = np.add.reduceat(np.append(self.log_count, 0.0)[at], begins)
+        offsets = np.append(0, ends + 1).astype(np.int32) * 4
+        column = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(tokens)])
+        return [column, pa.array(ends + 1 - begins - missed, pa.int64()), pa.array(logs), pa.array(fixed), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(missed)), pa.int32()), rare)]
+
 
 # ---- the network
 
@@ -221,7 +290,7 @@ class Network:
     def gates(self, tokens: np.ndarray | slice) -> np.ndarray:
         """What each token adds to the gates; the first two gates are negated, as 1 / (1 + exp(-x)) wants them."""
         p, n = self.p, self.lex.config.hidden
-        table = p["emb"][tokens] @ p["wx"]
+        table = (p["emb"][tokens] if isinstance(tokens, slice) else p["emb"].take(tokens, axis=0)) @ p["wx"]
         table += p["bx"]
         table[:, : 2 * n] += p["bu"][: 2 * n]
         np.negative(table[:, : 2 * n], out=table[:, : 2 * n])
@@ -246,35 +315,40 @@ class Network:
 
         What begins does so with a state of zeros, or with that of ``starts``: states as rows, and the row of each step and lane.
         """
-        n, (steps, lanes) = len(h), read.shape
-        gx = np.ascontiguousarray(table[read.ravel()].reshape(steps, lanes, 3 * n).transpose(0, 2, 1))
-        states, saved, bias = np.empty((steps, n, lanes), table.dtype), [], self.p["bu"][2 * n :, None]
-        begins, stays, u = fresh.any(axis=1).tolist(), (~fresh).astype(table.dtype), self.p["u"].copy()
-        u[: 2 * n] *= -1
+        n, (steps, lanes), kind = len(h), read.shape, table.dtype
+        gx = np.ascontiguousarray(table.take(read.ravel(), axis=0).reshape(steps, lanes, 3 * n).transpose(0, 2, 1))
+        states = np.ones((steps + 1, n + 1, lanes), kind)  # the last row stays one and takes the bias
+        states[0, :n] = h
+        u = np.concatenate((self.p["u"], self.p["bu"][:, None]), axis=1)
+        u[: 2 * n, :n] *= -1
+        u[: 2 * n, n] = 0  # in the table already
+        step, lane = np.nonzero(fresh)
+        begins = np.searchsorted(step, np.arange(steps + 1)).tolist()
+        first = np.zeros((n, len(lane)), kind) if starts is None else starts[0].take(starts[1][step, lane], axis=0).T
+        gates, news, gaps = (np.empty((steps if keep else 1, size, lanes), kind) for size in (3 * n, n, n))
+        places = [(g, g[: 2 * n], g[:n], g[n : 2 * n], g[2 * n :], new, gap) for g, new, gap in zip(gates, news, gaps)] * (1 if keep else steps)
+        saved = []
         with np.errstate(over="ignore"):  # exp of a large number is infinite, the gate zero
-            for t in range(steps):
-                if begins[t]:
-                    h = h * stays[t]
-                    if starts is not None:
-                        h[:, fresh[t]] = starts[0][starts[1][t, fresh[t]]].T
-                g = u @ h
-                rz, gn = g[: 2 * n], g[2 * n :]
-                rz += gx[t, : 2 * n]
+            for x, y, before, after, of_rz, of_new, (g, rz, r, z, gn, new, gap) in zip(begins, begins[1:], states, states[1:, :n], gx[:, : 2 * n], gx[:, 2 * n :], places):
+                if x < y:
+                    before = before.copy()
+                    before[:n, lane[x:y]] = first[:, x:y]
+                np.matmul(u, before, out=g)
+                rz += of_rz
                 np.exp(rz, out=rz)
                 rz += 1
                 np.reciprocal(rz, out=rz)
-                gn += bias
-                new = rz[:n] * gn
-                new += gx[t, 2 * n :]
+                np.multiply(r, gn, out=new)
+                new += of_new
                 np.tanh(new, out=new)
-                after = states[t]
-                np.subtract(h, new, out=after)
+                before = before[:n]
+                np.subtract(before, new, out=after)
                 if keep:
-                    saved.append((h, rz, new, gn, after.copy()))
-                after *= rz[n:]
+                    gap[...] = after
+                    saved.append((before, rz, new, gn, gap))
+                after *= z
                 after += new
-                h = after
-        return states, saved
+        return states[1:, :n], saved
 
     def carried(self, docs: list[np.ndarray], piece: int) -> dict[int, np.ndarray]:
         """The states (piece, unit) at the starts of the pieces of each document longer than ``piece``, by its place; the first is zero."""
@@ -282,8 +356,8 @@ class Network:
         out = {i: np.zeros((-(-len(docs[i]) // piece), n), np.float32) for i in long}
         if not long:
             return out
-        sizes = [len(docs[i]) for i in long]
-        target, doc, lengths = lay_out([docs[i] for i in long], min(512, max(16, sum(sizes) // max(sizes))))
+        sizes = [(len(docs[i]) - 1) // piece * piece for i in long]  # no piece starts in what follows
+        target, doc, lengths = lay_out([docs[i][:size] for i, size in zip(long, sizes)], min(512, max(16, sum(sizes) // max(sizes))))
         read, fresh = self.inputs(target, doc)
         step = np.arange(len(doc), dtype=np.int32)[:, None]
         place = step - np.maximum.accumulate(np.where(fresh, step, 0), axis=0) + 1  # tokens of the document up to here
@@ -306,49 +380,81 @@ class Network:
         ``s``: states as rows with a one appended.  Rows are put in the order of their classes, so that every class's are one block.
         """
         lex, c, p = self.lex, self.lex.config, self.p
-        key = lex.key[target]
+        key = lex.key.take(target)
         order = np.argsort(key, kind="stable")
-        s, target = s[order], target[order]
-        ends = np.searchsorted(key[order], np.arange(lex.word_classes + 3)).tolist()
+        s, target = s.take(order, axis=0), target.take(order)
+        starts = np.searchsorted(key.take(order), np.arange(lex.word_classes + 3))
+        ends = starts.tolist()
         cut, n = ends[lex.word_classes], len(target)
-        blocks = [(k, x, y) for k, (x, y) in enumerate(zip(ends, ends[1:])) if x < y]
-        words = [x for x in blocks if x[0] < lex.word_classes]
         mids = [(k, x, y) for k in range(lex.groups) if (x := ends[k * c.group_size]) < (y := ends[(k + 1) * c.group_size])]
-        rules = [(k - lex.word_classes, x, y) for k, x, y in blocks if k >= lex.word_classes]
+        rules = [(k, x, y) for k in range(2) if (x := ends[lex.word_classes + k]) < (y := ends[lex.word_classes + k + 1])]
         path = [
-            ("top", 0, n, [(0, 0, n)], lex.top[target]),
+            ("top", 0, n, [(0, 0, n)], lex.top.take(target)),
             ("mid", 0, cut, mids, target[:cut] // c.class_size % c.group_size),
-            ("word", 0, cut, words, target[:cut] % c.class_size),
+            ("word", 0, cut, None, target[:cut] % c.class_size),
             ("rule", cut, n, rules, (target[cut:] - lex.dynamic) % RULES),
         ]
         out, back = np.zeros(n, s.dtype), None if grad is None else np.zeros_like(s)
         for name, lo, hi, parts, slot in path:
-            w, at = p[name], np.arange(hi - lo)
-            e = np.empty((hi - lo, w.shape[2]), s.dtype)
-            for k, x, y in parts:
-                np.matmul(s[x:y], w[k], out=e[x - lo : y - lo])
+            if lo == hi:
+                if grad is not None:
+                    grad[name][...] = 0
+                continue
+            w = p[name]
+            if parts is None:
+                classes, firsts, rows, at = self.blocks(starts[: lex.word_classes + 1], hi)
+                mine, theirs = s.take(rows, axis=0).reshape(len(classes), -1, s.shape[1]), w.take(classes, axis=0)
+                e = np.matmul(mine, theirs).reshape(-1, w.shape[2])
+            else:
+                at, e = np.arange(hi - lo), np.empty((hi - lo, w.shape[2]), s.dtype)
+                for k, x, y in parts:
+                    np.matmul(s[x:y], w[k], out=e[x - lo : y - lo])
             if not bounded:
                 np.clip(e, -LARGEST, LARGEST, out=e)
             np.exp(e, out=e)
-            total = e.sum(axis=1)
-            out[lo:hi] += np.log(e[at, slot] / total)
+            total, place = e @ np.ones(e.shape[1], e.dtype), at * e.shape[1] + slot
+            out[lo:hi] += np.log(e.take(place) / (total if parts else total.take(at)))
             if grad is not None:
-                e /= total[:, None]
-                e[at, slot] -= 1
+                np.reciprocal(total, out=total)
+                if parts is None:  # rows that only fill a block have no part in the gradient
+                    kept = np.zeros_like(total)
+                    kept[at] = total.take(at)
+                    total = kept
+                e *= total[:, None]
+                e.reshape(-1)[place] -= 1
                 grad[name][...] = 0
-                more = np.empty((hi - lo, s.shape[1]), s.dtype)
+                if parts is None:
+                    e = e.reshape(len(classes), -1, w.shape[2])
+                    each = np.matmul(mine.transpose(0, 2, 1), e)
+                    grad[name][classes[firsts]] = each[firsts]
+                    for x, y in zip(firsts.tolist(), [*firsts[1:].tolist(), len(classes)]):
+                        if y - x > 1:
+                            np.sum(each[x:y], axis=0, out=grad[name][classes[x]])
+                    back[lo:hi] += np.matmul(e, theirs.transpose(0, 2, 1)).reshape(-1, s.shape[1]).take(at, axis=0)
+                    continue
                 for k, x, y in parts:
                     d = e[x - lo : y - lo]
                     np.matmul(s[x:y].T, d, out=grad[name][k])
-                    np.matmul(d, w[k].T, out=more[x - lo : y - lo])
-                back[lo:hi] += more
-        result = np.empty_like(out)
-        result[order] = out
-        if back is not None:
-            unsorted = np.empty_like(back)
-            unsorted[order] = back
-            back = unsorted
-        return result, back
+                    back[x:y] += np.matmul(d, w[k].T)
+        place = np.empty_like(order)
+        place[order] = np.arange(n)
+        return out.take(place), None if back is None else back.take(place, axis=0)
+
+    @staticmethod
+    def blocks(starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows in the order of their classes as blocks of equal length, each of one class, so that one product does them all.
+
+        ``starts``: where each class's rows start, and the end.  The blocks' classes, the first block of each class that has rows, the rows of
+        the blocks (repeated where a class's last block isn't full), and the places of the rows in the blocks.
+        """
+        counts = np.diff(starts)
+        number = -(-counts // BLOCK)
+        classes = np.repeat(np.arange(len(counts)), number)
+        before = np.cumsum(number) - number
+        first = starts[classes] + BLOCK * (np.arange(len(classes)) - before[classes])
+        all_rows = (first[:, None] + np.arange(BLOCK)).ravel()
+        at = np.flatnonzero(all_rows < np.repeat(starts[1:][classes], BLOCK))
+        return classes, before[number > 0], np.minimum(all_rows, rows - 1), at
 
     def backward(self, tokens: np.ndarray, read: np.ndarray, fresh: np.ndarray, saved: list, d_states: np.ndarray, grad: dict[str, np.ndarray]) -> None:
         """Through the window's steps, the last first; no gradient leaves the window.  ``grad["emb"]`` gets a row for each of ``tokens``."""
@@ -383,8 +489,8 @@ class Network:
         d_g[:, 2 * n :] = d_x
         flat = np.ascontiguousarray(d_g.transpose(0, 2, 1)).reshape(-1, 3 * n)
         flat_read = read.ravel()
-        emb = p["emb"][tokens]
-        np.matmul(emb[flat_read].T, flat, out=grad["wx"])
+        emb = p["emb"].take(tokens, axis=0)
+        np.matmul(emb.take(flat_read, axis=0).T, flat, out=grad["wx"])
         grad["bx"][: 2 * n], grad["bx"][2 * n :] = sums[: 2 * n], flat[:, 2 * n :].sum(axis=0)
         per_row, width = flat @ p["wx"].T, emb.shape[1]
         places = (flat_read[:, None] * width + np.arange(width)).ravel()
@@ -398,7 +504,7 @@ def as_rows(states: np.ndarray, use: np.ndarray) -> np.ndarray:
     s[:, :, :n] = states.transpose(0, 2, 1)
     s[:, :, n] = 1
     s = s.reshape(-1, n + 1)
-    return s if use.all() else s[use.ravel()]
+    return s if use.all() else s.take(np.flatnonzero(use), axis=0)
 
 
 class Trainer:
@@ -423,11 +529,14 @@ class Trainer:
         target, doc, lengths = lay_out([d[at : at + piece] for d in docs for at in range(0, len(d), piece)], lanes, self.rng)
         read, fresh = net.inputs(target, doc)
         read[fresh] = before[doc[fresh]]
-        h = np.zeros((c.hidden, target.shape[1]), np.float32)
+        h, number = np.zeros((c.hidden, target.shape[1]), np.float32), np.zeros(len(net.p["emb"]), np.int64)
         for at in range(0, len(target), c.window):
             live = int((lengths > at).sum())  # the lanes that aren't at their end
             part = slice(at, at + c.window), slice(0, live)
-            tokens, rows = np.unique(read[part], return_inverse=True)
+            rows = read[part]
+            tokens = np.flatnonzero(np.bincount(rows.ravel(), minlength=len(number)))
+            number[tokens] = np.arange(len(tokens))
+            rows = number.take(rows)
             states, saved = net.run(net.gates(tokens), rows, fresh[part], h[:, :live], True, (starts, doc[part]))
             h = states[-1]
             use = target[part] >= 0
@@ -435,7 +544,7 @@ class Trainer:
             logp, back = net.output(as_rows(states, use), target[part][use], self.grad)
             self.log_likelihood += float(logp.sum(dtype=np.float64))
             d = np.zeros((*use.shape, c.hidden), np.float32)
-            d[use] = back[:, :-1]
+            d.reshape(-1, c.hidden)[np.flatnonzero(use)] = back[:, :-1]
             net.backward(tokens, rows, fresh[part], saved, np.ascontiguousarray(d.transpose(0, 2, 1)), self.grad)
             self.step(tokens, n, n / (c.window * len(lengths)))
             self.tokens += n
@@ -489,22 +598,24 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     """word (the end is the empty word), rule and count over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        seen: list[pa.RecordBatch] = []
 
-        def out() -> pa.RecordBatch:
-            words = [w.decode() for w in seen]
-            kinds = [rule(w) for w in seen]
-            batch = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(kinds, pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "rule", "c"])
+        def out() -> list[pa.RecordBatch]:
+            counts = pa.Table.from_batches(seen).group_by("word", use_threads=False).aggregate([("c", "sum")]).combine_chunks()
             seen.clear()
-            return batch
+            return [
+                pa.RecordBatch.from_arrays([b["word"], pa.array(rules_of(b["word"]), pa.int32()), b["c_sum"]], names=["word", "rule", "c"]) for b in counts.to_batches()
+            ]
 
         for b in batches:
-            for t in b.column(0):
-                seen.update(words_in(t.as_py()))
-                seen[END] += 1
-                if len(seen) > FLUSH:
-                    yield out()
-        yield out()
+            for texts in text_slices(b.column(0)):
+                counts = words_of_texts(texts)[0].value_counts()
+                words, ends = pa.concat_arrays([counts.field(0), pa.array([END.decode()])]), pa.array([len(texts)], pa.int64())
+                seen.append(pa.RecordBatch.from_arrays([words, pa.concat_arrays([counts.field(1), ends])], names=["word", "c"]))
+                if sum(map(len, seen)) > FLUSH:
+                    yield from out()
+        if seen:
+            yield from out()
 
     return texts.mapInArrow(run, "word string, rule int, c long").groupBy("word", "rule").agg(F.sum("c").alias("c"))
 
@@ -537,14 +648,15 @@ def tokenized(docs: DataFrame, lex: Lexicon) -> DataFrame:
         from pyspark import TaskContext
 
         mine, row = shared.value, TaskContext.get().partitionId() << 40
+        head = pa.array([w.decode() for w in mine.words], pa.string())
         for b in batches:
-            read = [mine.read(t.as_py()) for t in b.column(1)]
-            cols = [
-                pa.array(range(row, row + len(read)), pa.int64()), b.column(0), pa.array([x[0].tobytes() for x in read], pa.binary()), pa.array([x[3] for x in read], pa.int64()),
-                pa.array([x[2] for x in read], pa.float64()), pa.array([x[1] for x in read], pa.float64()), pa.array([[w.decode() for w in x[4]] for x in read], pa.list_(pa.string())),
-            ]
-            row += len(read)
-            yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "tokens", "n_known", "base", "fixed", "rare"])
+            at = 0
+            for texts in text_slices(b.column(1)):
+                n = len(texts)
+                tokens, known, logs, fixed, rare = mine.read_all(texts, head)
+                cols = [pa.array(np.arange(row, row + n), pa.int64()), b.column(0).slice(at, n), tokens, known, logs, fixed, rare]
+                row, at = row + n, at + n
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "tokens", "n_known", "base", "fixed", "rare"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, TOKENS)
 

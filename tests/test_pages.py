@@ -36,3 +36,20 @@ def test_page_records_of_odd_pages():
     assert [f[:4] for f in found] == [(0, False, None, None), (1, True, None, None), (2, True, "7", None)]
     assert found[2][5:] == ('{"claim_id":7,"updated_at":3,"v":{"__non_finite_number__":"NaN"}}', [{"path": "$.v", "value": "NaN"}])
     assert found[0][4] == hashlib.sha256(b'"x"').hexdigest()
+
+
+def test_drift_goes_over_the_records_twice(spark):
+    from tidemark.sources.pages import schema_drift
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [(1, True, '{"a":1}'), (2, True, '{"a":"x"}'), (2, True, '{"a":2,"b":null}'), (3, False, '"s"')]
+    records = spark.createDataFrame(rows, "page_number long, is_object boolean, payload string").mapInArrow(counted, "page_number long, is_object boolean, payload string")
+    got = {tuple(r) for r in schema_drift(records).collect()}
+    assert got == {(2, "new_shape", "a,b"), (3, "new_shape", "not an object"), (2, "new_type", "a string"), (2, "mixed_types", "a")}
+    assert read.value == 2 * len(rows)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import KEY_SEPARATOR, norm_ts, utc_date
 from ..functions.variants import NON_FINITE, kind_of, members
 from ..operators.ranges import with_previous_in_order
+from .batches import work_dir
 
 #: Key fields of each resource (fixed values).
 SOURCE_KEYS = {"polizas": ["poliza_id"], "siniestros": ["claim_id"], "agencias": ["agencia_id"], "productos": ["producto_id"], "tipo_cambio": ["fecha", "moneda"]}
@@ -368,13 +369,24 @@ def shape_summary(records: DataFrame) -> DataFrame:
     return records.groupBy("page_number", shape.alias("shape")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def _once(df: DataFrame, label: str) -> DataFrame:
+    """The rows as read back from a table in the shared folder."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def schema_drift(records: DataFrame) -> DataFrame:
-    """Against the first page: shapes and types of fields that come up later, and fields of several types in a page."""
-    shapes = shape_summary(records).groupBy("shape").agg(F.min("page_number").alias("page_number"))
-    types = field_types(records).where("type <> 'null'").distinct()
+    """Against the first page: shapes and types of fields that come up later, and fields of several types in a page.
+
+    The shapes and the types of the pages are each made in one pass over the records and written; the rest reads those.
+    """
+    by_page = _once(shape_summary(records).select("page_number", "shape"), "shapes")
+    shapes = by_page.groupBy("shape").agg(F.min("page_number").alias("page_number"))
+    types = _once(field_types(records).where("type <> 'null'").distinct(), "types")
     first_types = types.groupBy("field", "type").agg(F.min("page_number").alias("page_number"))
     first_fields = types.groupBy("field").agg(F.min("page_number").alias("_since"))
-    start = records.agg(F.min("page_number").alias("_start"))
+    start = by_page.agg(F.min("page_number").alias("_start"))
     new_shapes = shapes.join(start).where("page_number > _start").select("page_number", F.lit("new_shape").alias("drift"), F.col("shape").alias("what"))
     new_types = first_types.join(first_fields, "field").where("page_number > _since").select("page_number", F.lit("new_type").alias("drift"), F.concat_ws(" ", "field", "type").alias("what"))
     mixed = types.groupBy("page_number", "field").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("page_number", F.lit("mixed_types").alias("drift"), F.col("field").alias("what"))
